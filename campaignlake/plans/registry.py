@@ -35,3 +35,4 @@ SNAPSHOT_DATE = O.SNAPSHOT_DATE
 
 # Import the query modules for their registrations.
 from campaignlake.plans import queries_core  # noqa: E402,F401
+from campaignlake.plans import queries_ml  # noqa: E402,F401
