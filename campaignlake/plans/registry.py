@@ -37,3 +37,4 @@ SNAPSHOT_DATE = O.SNAPSHOT_DATE
 from campaignlake.plans import queries_core  # noqa: E402,F401
 from campaignlake.plans import queries_ml  # noqa: E402,F401
 from campaignlake.plans import queries_ingest  # noqa: E402,F401
+from campaignlake.plans import queries_streams  # noqa: E402,F401
