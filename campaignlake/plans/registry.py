@@ -32,9 +32,3 @@ def register(name: str, sql: str | None = None):
 
 PROCESSING_DATE = O.PROCESSING_DATE
 SNAPSHOT_DATE = O.SNAPSHOT_DATE
-
-# Import the query modules for their registrations.
-from campaignlake.plans import queries_core  # noqa: E402,F401
-from campaignlake.plans import queries_ml  # noqa: E402,F401
-from campaignlake.plans import queries_ingest  # noqa: E402,F401
-from campaignlake.plans import queries_streams  # noqa: E402,F401
