@@ -84,14 +84,15 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 # B15 -----------------------------------------------------------------------
 def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_id"),
                         ts: str = "event_ts", order: str = "event_id",
-                        minutes: int = 10) -> DataFrame:
+                        minutes: int = 10, prior: DataFrame | None = None) -> DataFrame:
     """Keep a row unless the previous row of the same key (by ts, then id) is
     less than ``minutes`` earlier.
 
     The window is partitioned by key *and* a time bucket as wide as the
     window, so one very active key is spread over many tasks; the last event
     of the preceding bucket comes from a grouped ``max`` joined on
-    (key, bucket + 1).
+    (key, bucket + 1).  ``prior`` (key columns + ``last_ts``) supplies the
+    last event seen before ``df`` (incremental use on micro-batches).
     """
     key = list(key)
     width_us = minutes * 60 * 1_000_000
@@ -103,7 +104,11 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
                       .agg(F.max(ts).alias("_prev_bucket_last"))
                       .withColumn("_bucket", F.col("_bucket") + 1))
     joined = with_prev.join(last_of_bucket, [*key, "_bucket"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_bucket_last"))
+    earlier = F.col("_prev_bucket_last")
+    if prior is not None:
+        joined = joined.join(prior.select(*key, F.col("last_ts").alias("_prior_last")), key, "left")
+        earlier = F.greatest(earlier, F.col("_prior_last"))
+    prev = F.coalesce(F.col("_prev"), earlier)
     limit = F.col(ts) - F.expr(f"INTERVAL {minutes} MINUTES")
     kept = joined.filter(prev.isNull() | (prev <= limit))
     return kept.select(*df.columns)

@@ -80,30 +80,41 @@ def _processing_date(processing_date: str | None):
 
 
 # B26 -----------------------------------------------------------------------
+def exposure_counts(banners: DataFrame) -> DataFrame:
+    """(user_id, date, campaign_id) -> impressions, clicks.  Both the daily
+    stats (summed over users) and the exposure set (its keys) come from this
+    one aggregate, so the impressions are read and shuffled once."""
+    return (banners.groupBy("user_id", F.to_date("event_ts").alias("date"), "campaign_id")
+            .agg(F.count(F.lit(1)).alias("impressions"),
+                 F.sum("is_clicked").cast("bigint").alias("clicks")))
+
+
+_METRICS = ("impressions", "clicks", "installs", "conversions", "revenue")
+
+
 def campaign_daily_from_parts(daily: DataFrame, installs: DataFrame | None,
                               actions: DataFrame | None,
                               processing_date: str | None = None) -> DataFrame:
-    """Full outer join of the three per-(date, campaign) aggregates, NULL
+    """Full outer combination of the per-(date, campaign) aggregates, NULL
     metrics zero-filled *before* the ratios (ratios are never NULL):
     ctr = clicks/impressions*100 (4 places), cpc = revenue/clicks (2),
     cpm = revenue/impressions*1000 (2), conversion_rate = installs/clicks*100
-    (4), each 0 when its divisor is 0.  Rows with a NULL key are dropped."""
-    out = daily
-    if installs is not None:
-        out = out.join(installs, KEY, "full")
-    else:
-        out = out.withColumn("installs", F.lit(None).cast("bigint"))
-    if actions is not None:
-        out = out.join(actions, KEY, "full")
-    else:
-        out = (out.withColumn("conversions", F.lit(None).cast("bigint"))
-               .withColumn("revenue", F.lit(None).cast("bigint")))
-    filled = reject_null_keys(out).select(
-        F.col("campaign_id").cast("bigint").alias("campaign_id"),
-        "date",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-          for c in ("impressions", "clicks", "installs", "conversions", "revenue")],
-    )
+    (4), each 0 when its divisor is 0.  Rows with a NULL key are dropped.
+
+    Each input has one row per key, so the full outer join is computed as a
+    union followed by one grouped sum (a single small shuffle instead of two
+    sort-merge full joins)."""
+    parts = [p for p in (daily, installs, actions) if p is not None]
+    aligned = [p.select(*KEY, *[F.col(m).cast("bigint").alias(m) if m in p.columns
+                                else F.lit(None).cast("bigint").alias(m) for m in _METRICS])
+               for p in parts]
+    union = aligned[0]
+    for p in aligned[1:]:
+        union = union.unionByName(p)
+    summed = reject_null_keys(union).groupBy(*KEY).agg(*[F.sum(m).alias(m) for m in _METRICS])
+    filled = summed.select(
+        F.col("campaign_id").cast("bigint").alias("campaign_id"), "date",
+        *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in _METRICS])
     return filled.select(
         "campaign_id", "date", "impressions", "clicks",
         C.safe_ratio("clicks * 100", "impressions", 4).alias("ctr"),
@@ -121,10 +132,13 @@ def campaign_daily_full(banners: DataFrame, installs: DataFrame | None = None,
                         processing_date: str | None = None) -> DataFrame:
     """The daily campaign mart from cleaned impressions, installs and actions.
     Installs and actions are optional; absent inputs give zeros."""
-    exposure = exposure_set(banners)
+    counts = exposure_counts(banners)
+    daily = counts.groupBy(*KEY).agg(F.sum("impressions").alias("impressions"),
+                                     F.sum("clicks").alias("clicks"))
+    exposure = counts.filter(F.col("user_id").isNotNull()).select("user_id", "date", "campaign_id")
     di = attribute_installs(installs, exposure) if installs is not None else None
     da = attribute_actions(actions, exposure) if actions is not None else None
-    return campaign_daily_from_parts(daily_banner_stats(banners), di, da, processing_date)
+    return campaign_daily_from_parts(daily, di, da, processing_date)
 
 
 # B27 -----------------------------------------------------------------------

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from campaignlake.operators import bi, clean, features, model
 from campaignlake.plans import oracle_sql as O
 from campaignlake.plans.queries_core import ods_banners, q_campaign_daily_full
 from campaignlake.plans.registry import SNAPSHOT_DATE, register
+from campaignlake.session import path_exists, scratch_root
 from campaignlake.sources import domain as D
 
 SNAP = f"DATE '{SNAPSHOT_DATE}'"
@@ -92,24 +95,39 @@ def q_stratified_split(spark, sf):
     return model.split_assignment(labelled).select("user_id", "snapshot_date", model.LABEL, "split")
 
 
-def _trained(spark, sf):
-    return model.train_click_model(feature_table(spark, sf))
+def _model_path(spark, sf):
+    """Where the click model of one input folder is saved (shared scratch)."""
+    digest = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12]
+    return f"{scratch_root(spark)}/models/click-{digest}"
+
+
+def _train_and_save(spark, sf):
+    m, train, test = model.train_click_model(feature_table(spark, sf))
+    auc = model.evaluate_auc(m, test)
+    n_train = train.agg(F.count(F.lit(1))).collect()[0][0]
+    n_test = test.agg(F.count(F.lit(1))).collect()[0][0]
+    model.save_model_with_meta(spark, m, _model_path(spark, sf),
+                               {"roc_auc": auc, "n_train": n_train, "n_test": n_test})
+    return m, auc, n_train, n_test
 
 
 @register("train_click_model")
 def q_train_click_model(spark, sf):
-    """Fit, evaluate on the held-out part; one row of metrics."""
-    m, train, test = _trained(spark, sf)
-    auc = model.evaluate_auc(m, test)
-    counts = train.agg(F.count(F.lit(1)).alias("n_train")).collect()[0][0], \
-        test.agg(F.count(F.lit(1)).alias("n_test")).collect()[0][0]
-    return spark.createDataFrame([(float(auc), int(counts[0]), int(counts[1]))],
+    """Fit (200 rounds), evaluate on the held-out part, save model + meta;
+    one row of metrics."""
+    _, auc, n_train, n_test = _train_and_save(spark, sf)
+    return spark.createDataFrame([(float(auc), int(n_train), int(n_test))],
                                  "roc_auc double, n_train long, n_test long")
 
 
 @register("score_users")
 def q_score_users(spark, sf):
-    m, _, _ = _trained(spark, sf)
+    """Batch scoring with the saved model (trained first if there is none)."""
+    path = _model_path(spark, sf)
+    if path_exists(spark, path):
+        m, _ = model.load_model_with_meta(spark, path)
+    else:
+        m = _train_and_save(spark, sf)[0]
     return model.score_users(m, feature_table(spark, sf))
 
 

@@ -84,26 +84,35 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date("event_ts")).select(*_BANNER_COLUMNS)
 
 
+def _with_copies(base: DataFrame, near: bool) -> DataFrame:
+    """One scan: each impression row is emitted once, plus its copies, via
+    an exploded copy list (0 = original, 1 = exact copy, 2/3 = near copies)."""
+    e = F.col("eid")
+    kinds = [F.lit(0), F.when(e % 50 == 0, F.lit(1))]
+    if near:
+        kinds += [F.when(e % 50 == 1, F.lit(2)), F.when(e % 50 == 2, F.lit(3))]
+    rows = base.withColumn("_copy", F.explode(F.array_compact(F.array(*kinds))))
+    k = F.col("_copy")
+    rows = rows.withColumn(
+        "event_id", F.when(k == 0, F.col("event_id"))
+        .when(k == 1, F.concat(F.col("event_id"), F.lit("-dup")))
+        .otherwise(F.concat(F.col("event_id"), F.lit("-near"))))
+    if near:
+        rows = rows.withColumn(
+            "event_ts", F.when(k == 2, F.col("event_ts") + F.expr("INTERVAL 4 MINUTES"))
+            .when(k == 3, F.col("event_ts") + F.expr("INTERVAL 15 MINUTES"))
+            .otherwise(F.col("event_ts")))
+    return _finish(rows.drop("eid", "_copy"))
+
+
 def raw_banner_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed raw impressions with the dirt described above (exact copies, NULL users)."""
-    base = _banner_base(spark, sf_dir)
-    dups = (base.filter(F.col("eid") % 50 == 0)
-            .withColumn("event_id", F.concat(F.col("event_id"), F.lit("-dup"))))
-    return _finish(base.unionByName(dups).drop("eid"))
+    return _with_copies(_banner_base(spark, sf_dir), near=False)
 
 
 def raw_banner_events_with_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_banner_events`` plus copies 4 and 15 minutes later (windowed de-dup input)."""
-    base = _banner_base(spark, sf_dir)
-    dups = (base.filter(F.col("eid") % 50 == 0)
-            .withColumn("event_id", F.concat(F.col("event_id"), F.lit("-dup"))))
-    near4 = (base.filter(F.col("eid") % 50 == 1)
-             .withColumn("event_id", F.concat(F.col("event_id"), F.lit("-near")))
-             .withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 4 MINUTES")))
-    near15 = (base.filter(F.col("eid") % 50 == 2)
-              .withColumn("event_id", F.concat(F.col("event_id"), F.lit("-near")))
-              .withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 15 MINUTES")))
-    return _finish(base.unionByName(dups).unionByName(near4).unionByName(near15).drop("eid"))
+    return _with_copies(_banner_base(spark, sf_dir), near=True)
 
 
 def raw_installs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,65 @@ def stream_banner_events(spark: SparkSession, source: str, table_path: str,
 
 
 # B15 (stream) ----------------------------------------------------------------
+def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str,
+                               checkpoint: str | None = None, minutes: int = WINDOW_MINUTES,
+                               lateness_minutes: int = WINDOW_MINUTES, available_now: bool = True,
+                               max_files_per_trigger: int | None = None):
+    """Drop an event less than ``minutes`` after the previous event of the
+    same (banner_id, user_id), incrementally.
+
+    Each micro-batch is handled set-based (``clean.dedup_within_window``)
+    with a keyed state table -- the last event time per key -- as the
+    predecessor of each key's first row in the batch.  The state is a
+    versioned Parquet table next to the stream checkpoint (version = batch
+    id), so a replayed batch reads the same state and rewrites the same
+    output partitions (``batch_id``, ``event_date``): exactly-once.  Keys
+    whose last event is older than the batch's latest event by more than
+    window + lateness are evicted.  Rows must arrive in event-time order per
+    key (up to ``lateness_minutes``), as for any watermark."""
+    from campaignlake.operators import clean, lifecycle
+    from campaignlake.session import path_exists
+
+    ckpt = checkpoint or new_scratch(spark, "checkpoint-window")
+    state_path = f"{ckpt}/key_state"
+    key = ["banner_id", "user_id"]
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    events = decode_events(reader.load(source)) \
+        .filter(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        batch = batch.persist()
+        try:
+            prev_path = f"{state_path}/batch={batch_id - 1}"
+            prior = s.read.parquet(prev_path) if batch_id > 0 and path_exists(s, prev_path) else None
+            kept = clean.dedup_within_window(batch, key, minutes=minutes, prior=prior)
+            lifecycle.write_layer(kept.select(*_OUT_COLUMNS).withColumn("batch_id", F.lit(batch_id)),
+                                  table_path, ["batch_id", "event_date"])
+            latest = batch.groupBy(*key).agg(F.max("event_ts").alias("last_ts"))
+            state = latest if prior is None else prior.unionByName(latest)
+            state = state.groupBy(*key).agg(F.max("last_ts").alias("last_ts"))
+            top = batch.agg(F.max("event_ts")).collect()[0][0]
+            if top is not None:
+                horizon = F.lit(top).cast("timestamp_ntz") - F.expr(
+                    f"INTERVAL {minutes + lateness_minutes} MINUTES")
+                state = state.filter(F.col("last_ts") >= horizon)
+            lifecycle.write_layer(state.withColumn("batch", F.lit(batch_id)), state_path, "batch")
+            if batch_id >= 2:
+                lifecycle._delete_partitions(s, state_path, "batch", [str(batch_id - 2)])
+        finally:
+            batch.unpersist()
+
+    w = events.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 _STATE_SCHEMA = "last_ts timestamp"
 
 
@@ -97,13 +156,13 @@ def _window_rule(minutes: int):
     return fn
 
 
-def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str,
-                               checkpoint: str | None = None, minutes: int = WINDOW_MINUTES,
-                               available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Drop an event less than ``minutes`` after the previous event of the
-    same (banner_id, user_id).  State per key: the last event time, removed
-    once the watermark passes it by the window.  Rows of one key in one
-    micro-batch are handled together, so the trigger size bounds memory."""
+def stream_dedup_within_window_state(spark: SparkSession, source: str, table_path: str,
+                                     checkpoint: str | None = None, minutes: int = WINDOW_MINUTES,
+                                     available_now: bool = True, max_files_per_trigger: int | None = None):
+    """The same rule on Spark's state store (``applyInPandasWithState``, one
+    pandas call per key and micro-batch, event-time timeout).  Simple, but
+    the per-key Python call makes it slow when a batch holds many distinct
+    keys with few rows each; prefer ``stream_dedup_within_window``."""
     events = _message_stream(spark, source, max_files_per_trigger)
     out_schema = events.schema
     kept = (events.withWatermark("event_ts", f"{minutes} minutes")

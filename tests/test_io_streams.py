@@ -118,11 +118,14 @@ def test_streams_equal_batch_when_replayed_in_time_order(spark, tmp_path):
     batch = messages.decode_events(spark.read.text(src))
     batch = batch.filter(F.col("user_id").isNotNull())
 
+    want = {r.event_id for r in clean.dedup_within_window(batch).collect()}
+    assert want == {"a1", "b1", "b2", "c2"}
     t1 = new_scratch(spark, "t-window")
     events.stream_dedup_within_window(spark, src, t1, max_files_per_trigger=1)
-    got = {r.event_id for r in spark.read.parquet(t1).collect()}
-    want = {r.event_id for r in clean.dedup_within_window(batch).collect()}
-    assert got == want == {"a1", "b1", "b2", "c2"}
+    assert {r.event_id for r in spark.read.parquet(t1).collect()} == want
+    t1b = new_scratch(spark, "t-window-state")
+    events.stream_dedup_within_window_state(spark, src, t1b, max_files_per_trigger=1)
+    assert {r.event_id for r in spark.read.parquet(t1b).collect()} == want
 
     t2 = new_scratch(spark, "t-exact")
     events.stream_banner_events(spark, src, t2, max_files_per_trigger=1)
