@@ -114,6 +114,16 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
     return kept.select(*df.columns)
 
 
+def clean_banner_events_observed(raw: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
+    """B11 + B12 with the B14 counts observed on the way: the counts of rows
+    read, rows with a user and rows after de-duplication fill in during the
+    one action that consumes the result (no extra count jobs)."""
+    read, o_read = observe_rows(raw, "rows_read")
+    with_user, o_user = observe_rows(drop_null_key(read, "user_id"), "rows_with_user")
+    out, o_out = observe_rows(dedup_events(with_user), "rows_deduplicated")
+    return out, {"rows_read": o_read, "rows_with_user": o_user, "rows_deduplicated": o_out}
+
+
 # B05 -----------------------------------------------------------------------
 def normalize_null_text(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Blank text or the word NULL (any case) -> NULL, on all string columns
@@ -220,7 +230,8 @@ def ods_build(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """
     out: dict[str, DataFrame] = {}
     if "banner_events" in raw:
-        out["banner_events"] = clean_banner_events(raw["banner_events"])
+        out["banner_events"], report = clean_banner_events_observed(raw["banner_events"])
+        out["_banner_report"] = report  # type: ignore[assignment]
     if "installs" in raw:
         out["installs"] = drop_null_key(raw["installs"], "user_id")
     if "fct_actions" in raw:

@@ -43,18 +43,23 @@ def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str) -
 
 def build_ods(spark: SparkSession, lake_root: str) -> dict[str, str]:
     """B20: the operational layer from the raw tables, plus campaign budget
-    metrics (B21) on the campaign dictionary."""
+    metrics (B21) on the campaign dictionary.  The impression de-dup counts
+    (B14) are observed during the ODS write and returned under
+    ``"banner_report"`` as a dict of ints."""
     raw = {}
     for entity in DELIVERY_FILES:
         t = lifecycle.read_table(spark, _layer(lake_root, "raw", entity))
         if t is not None:
             raw[entity] = t
     ods = clean.ods_build(raw)
+    report = ods.pop("_banner_report", None)
     out = {}
     for entity, df in ods.items():
         if entity == "cd_campaign":
             continue
         out[entity] = lifecycle.write_layer(df, _layer(lake_root, "ods", entity), PARTITIONS.get(entity))
+    if report is not None:
+        out["banner_report"] = {k: int(o.get["rows"]) for k, o in report.items()}  # type: ignore[assignment]
     if "cd_campaign" in ods and "banner_events" in out:
         banners = spark.read.parquet(out["banner_events"])
         out["cd_campaign"] = lifecycle.write_layer(

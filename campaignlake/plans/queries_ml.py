@@ -46,6 +46,18 @@ def q_user_activity_7d(spark, sf):
     return features.user_activity_7d(ods_banners(spark, sf), SNAPSHOT_DATE)
 
 
+_LATEST_CTES = _ACTIVITY_CTES.replace(
+    "MAX(device_type) AS device_type, MAX(os) AS os",
+    "arg_max(device_type, event_ts::VARCHAR || ' ' || event_id) AS device_type, "
+    "arg_max(os, event_ts::VARCHAR || ' ' || event_id) AS os")
+
+
+@register("user_activity_7d_latest", f"WITH {O.base_ctes()}, {_LATEST_CTES} SELECT * FROM act")
+def q_user_activity_7d_latest(spark, sf):
+    """device_type/os of the latest impression (ties by event_id) instead of max."""
+    return features.user_activity_7d(ods_banners(spark, sf), SNAPSHOT_DATE, latest=True)
+
+
 @register("user_features_7d", f"WITH {_FEATURE_CTES} SELECT * FROM f")
 def q_user_features_7d(spark, sf):
     return feature_table(spark, sf)

@@ -159,6 +159,16 @@ _ODS_COLS = ["event_id", "banner_id", "campaign_id", "user_id", "event_ts", "eve
              "device_type", "os", "geo", "is_clicked"]
 
 
+@register("write_layer", f"WITH {O.base_ctes()} SELECT * FROM b")
+def q_write_layer(spark, sf):
+    """ODS written partitioned by event_date, then one day rewritten from a
+    frame holding only that day: dynamic overwrite leaves the other days."""
+    path = lifecycle.write_layer(ods_banners(spark, sf), new_scratch(spark, "ods-layer"), "event_date")
+    day = spark.read.parquet(path).filter(F.col("event_date") == F.lit("2024-01-10").cast("date"))
+    lifecycle.write_layer(lifecycle.stage(day, "event_date"), path, "event_date")
+    return spark.read.parquet(path).select(*_ODS_COLS)
+
+
 @register("compact_partitions", f"WITH {O.base_ctes()} SELECT * FROM b")
 def q_compact_partitions(spark, sf):
     """Many small files per day, then the days from 2024-01-10 compacted;
