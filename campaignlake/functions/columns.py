@@ -81,6 +81,37 @@ def parse_event_time(col) -> Column:
     return F.trim(_c(col)).try_cast("timestamp_ntz")
 
 
+_DAY_US = 86_400_000_000
+
+
+def epoch_micros(col, type_name: str = "timestamp_ntz") -> Column:
+    """Microseconds since 1970-01-01 00:00.  For TIMESTAMP_NTZ this is the
+    wall clock read as UTC, built from calendar fields so that it does not
+    depend on the session time zone (no DST gaps or folds)."""
+    c = _c(col)
+    if type_name == "timestamp":
+        return F.unix_micros(c)
+    return (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(_DAY_US)
+            + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(c).cast("bigint") * F.lit(60_000_000)
+            + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint"))
+
+
+def ntz_to_instant(col) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP, reading the wall clock as UTC."""
+    return F.timestamp_micros(epoch_micros(col))
+
+
+def instant_to_ntz(col) -> Column:
+    """TIMESTAMP -> TIMESTAMP_NTZ as the UTC wall clock (inverse of ``ntz_to_instant``)."""
+    us = F.unix_micros(_c(col))
+    rem = F.pmod(us, F.lit(_DAY_US))
+    days = ((us - rem) / F.lit(_DAY_US)).cast("int")
+    secs = (rem / F.lit(1_000_000.0)).cast("decimal(18,6)")
+    return F.date_from_unix_date(days).cast("timestamp_ntz") + \
+        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
 def half_up_ratio(num: str, den: str, scale: int) -> Column:
     """Exact half-up rounding of num/den to ``scale`` places.
 

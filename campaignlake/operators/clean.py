@@ -96,8 +96,8 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
     """
     key = list(key)
     width_us = minutes * 60 * 1_000_000
-    bucketed = df.withColumn(
-        "_bucket", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width_us)))
+    ts_type = df.schema[ts].dataType.simpleString()
+    bucketed = df.withColumn("_bucket", F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us)))
     w = Window.partitionBy(*key, "_bucket").orderBy(F.col(ts), F.col(order))
     with_prev = bucketed.withColumn("_prev", F.lag(ts).over(w))
     last_of_bucket = (bucketed.groupBy(*key, "_bucket")

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campaignlake.functions.columns import epoch_micros
 from campaignlake.sources import domain as D
 
 # ---------------------------------------------------------------------------
@@ -146,7 +147,7 @@ def write_messages(messages: DataFrame, path: str) -> str:
 # --- change feed --------------------------------------------------------------
 
 def _epoch_ms(ts: str) -> Column:
-    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
+    return F.floor(epoch_micros(ts) / F.lit(1000)).cast("bigint")
 
 
 def action_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

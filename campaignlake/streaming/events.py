@@ -7,8 +7,8 @@
 * ``ship_lines``: tail delimited files into JSON log messages (B48).
 
 The built-in watermark operators need a TIMESTAMP event time; decoded
-times are TIMESTAMP_NTZ, so they are cast in the session time zone and cast
-back for output.  Backfills must replay files in event-time order (or run
+times are TIMESTAMP_NTZ, so they are read as UTC instants and turned back
+into the same wall clock for output (independent of the session zone).  Backfills must replay files in event-time order (or run
 as one micro-batch): rows older than the watermark are dropped by design.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from campaignlake import schemas
+from campaignlake.functions import columns as C
 from campaignlake.session import new_scratch
 from campaignlake.sources.messages import decode_events
 
@@ -40,7 +41,7 @@ def _message_stream(spark: SparkSession, source: str, max_files_per_trigger: int
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     decoded = decode_events(reader.load(source))
     return (decoded.filter(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
-            .withColumn("event_ts", F.col("event_ts").cast("timestamp")))
+            .withColumn("event_ts", C.ntz_to_instant("event_ts")))
 
 
 def _run(df: DataFrame, table_path: str, checkpoint: str, available_now: bool,
@@ -65,7 +66,7 @@ def stream_banner_events(spark: SparkSession, source: str, table_path: str,
     events = _message_stream(spark, source, max_files_per_trigger)
     deduped = (events.withWatermark("event_ts", watermark)
                .dropDuplicates(["banner_id", "user_id", "event_ts"])
-               .withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")))
+               .withColumn("event_ts", C.instant_to_ntz("event_ts")))
     return _run(deduped.select(*_OUT_COLUMNS), table_path,
                 checkpoint or new_scratch(spark, "checkpoint-banners"), available_now)
 
@@ -169,7 +170,7 @@ def stream_dedup_within_window_state(spark: SparkSession, source: str, table_pat
             .groupBy("banner_id", "user_id")
             .applyInPandasWithState(_window_rule(minutes), out_schema, _STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
-    kept = kept.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+    kept = kept.withColumn("event_ts", C.instant_to_ntz("event_ts"))
     return _run(kept.select(*_OUT_COLUMNS), table_path,
                 checkpoint or new_scratch(spark, "checkpoint-window"), available_now)
 
