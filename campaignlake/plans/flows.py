@@ -4,6 +4,9 @@ back, so every step is restartable and idempotent (dynamic overwrite)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,18 +30,33 @@ def _layer(lake_root: str, layer: str, table: str) -> str:
     return f"{lake_root.rstrip('/')}/{layer}/{table}"
 
 
+def _concurrently(jobs: dict[str, Callable[[], object]], max_workers: int = 6) -> dict[str, object]:
+    """Submit independent Spark jobs (one per table) from a few threads so
+    that small dictionary writes overlap the large fact write instead of
+    queueing behind it.  Spark's scheduler shares the executors."""
+    if len(jobs) <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str) -> dict[str, str]:
     """B01-B03 for every delivered file present; raw tables written."""
-    out = {}
+    def job(entity: str, src: str) -> Callable[[], str]:
+        def run() -> str:
+            df = delimited.ingest_delimited(spark, src, schemas.ENTITIES[entity])
+            if entity == "banner_events":
+                df = clean.add_event_identity(df).withColumn("event_date", F.to_date("event_ts"))
+            return lifecycle.write_layer(df, _layer(lake_root, "raw", entity), PARTITIONS.get(entity))
+        return run
+
+    jobs = {}
     for entity, fname in DELIVERY_FILES.items():
         src = f"{delivery_root.rstrip('/')}/{fname}"
-        if not path_exists(spark, src):
-            continue
-        df = delimited.ingest_delimited(spark, src, schemas.ENTITIES[entity])
-        if entity == "banner_events":
-            df = clean.add_event_identity(df).withColumn("event_date", F.to_date("event_ts"))
-        out[entity] = lifecycle.write_layer(df, _layer(lake_root, "raw", entity), PARTITIONS.get(entity))
-    return out
+        if path_exists(spark, src):
+            jobs[entity] = job(entity, src)
+    return _concurrently(jobs)  # type: ignore[return-value]
 
 
 def build_ods(spark: SparkSession, lake_root: str) -> dict[str, str]:
@@ -53,11 +71,10 @@ def build_ods(spark: SparkSession, lake_root: str) -> dict[str, str]:
             raw[entity] = t
     ods = clean.ods_build(raw)
     report = ods.pop("_banner_report", None)
-    out = {}
-    for entity, df in ods.items():
-        if entity == "cd_campaign":
-            continue
-        out[entity] = lifecycle.write_layer(df, _layer(lake_root, "ods", entity), PARTITIONS.get(entity))
+    jobs = {entity: (lambda e=entity, d=df: lifecycle.write_layer(d, _layer(lake_root, "ods", e),
+                                                                  PARTITIONS.get(e)))
+            for entity, df in ods.items() if entity != "cd_campaign"}
+    out = _concurrently(jobs)
     if report is not None:
         out["banner_report"] = {k: int(o.get["rows"]) for k, o in report.items()}  # type: ignore[assignment]
     if "cd_campaign" in ods and "banner_events" in out:

@@ -25,9 +25,9 @@ class EntitySpec:
     def names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
-    def struct(self) -> T.StructType:
-        return T.StructType([T.StructField(c, T._parse_datatype_string(t), True)
-                             for c, t in self.columns])
+    def ddl(self) -> str:
+        """DDL text of the typed columns, e.g. for ``spark.read.schema``."""
+        return ", ".join(f"{c} {t}" for c, t in self.columns)
 
 
 BANNER_EVENTS = EntitySpec(

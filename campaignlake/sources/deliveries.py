@@ -20,6 +20,8 @@ followed by a tombstone (NULL value).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,20 +103,23 @@ def dictionary_lines(df: DataFrame) -> DataFrame:
 
 def write_delimited_delivery(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     """All six delimited files of one delivery under ``root``; returns paths."""
-    paths = {
-        "banner_events": write_lines(banner_lines(D.raw_banner_events(spark, sf_dir)),
-                                     BANNER_HEADER, f"{root}/Fct_banners_show"),
-        "installs": write_lines(installs_lines(D.raw_installs(spark, sf_dir)),
-                                INSTALLS_HEADER, f"{root}/Installs"),
-        "fct_actions": write_lines(actions_lines(D.raw_actions(spark, sf_dir)),
-                                   ACTIONS_HEADER, f"{root}/Fct_actions"),
-        "cd_banner": write_lines(dictionary_lines(D.raw_cd_banner(spark, sf_dir)),
-                                 CD_BANNER_HEADER, f"{root}/CD_banner"),
-        "cd_campaign": write_lines(dictionary_lines(D.raw_cd_campaign(spark, sf_dir)),
-                                   CD_CAMPAIGN_HEADER, f"{root}/CD_campaign"),
-        "cd_user": write_lines(dictionary_lines(D.raw_cd_user(spark, sf_dir)),
-                               CD_USER_HEADER, f"{root}/CD_user"),
+    jobs = {
+        "banner_events": lambda: write_lines(banner_lines(D.raw_banner_events(spark, sf_dir)),
+                                             BANNER_HEADER, f"{root}/Fct_banners_show"),
+        "installs": lambda: write_lines(installs_lines(D.raw_installs(spark, sf_dir)),
+                                        INSTALLS_HEADER, f"{root}/Installs"),
+        "fct_actions": lambda: write_lines(actions_lines(D.raw_actions(spark, sf_dir)),
+                                           ACTIONS_HEADER, f"{root}/Fct_actions"),
+        "cd_banner": lambda: write_lines(dictionary_lines(D.raw_cd_banner(spark, sf_dir)),
+                                         CD_BANNER_HEADER, f"{root}/CD_banner"),
+        "cd_campaign": lambda: write_lines(dictionary_lines(D.raw_cd_campaign(spark, sf_dir)),
+                                           CD_CAMPAIGN_HEADER, f"{root}/CD_campaign"),
+        "cd_user": lambda: write_lines(dictionary_lines(D.raw_cd_user(spark, sf_dir)),
+                                       CD_USER_HEADER, f"{root}/CD_user"),
     }
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        paths = {k: f.result() for k, f in futures.items()}
     return paths
 
 
