@@ -26,14 +26,24 @@ MAX_BROADCAST_PARTITIONS = 100_000
 
 # B50 -----------------------------------------------------------------------
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | str | None = None,
-                mode: str = "overwrite", rows_per_file: int | None = None) -> str:
+                mode: str = "overwrite", rows_per_file: int | None = None,
+                rebalance: bool = True) -> str:
     """Create or replace a table; with ``partition_by`` only the partitions
-    present in ``df`` are replaced (dynamic overwrite)."""
+    present in ``df`` are replaced (dynamic overwrite).
+
+    A partitioned write is clustered by its partition columns with the
+    ``rebalance`` hint first: without it every input task writes one file per
+    day it touches (tasks x days small files); with it adaptive execution
+    gives each day files of the advisory size and splits a very large day
+    over several tasks."""
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if cols and rebalance:
+        df = df.hint("rebalance", *cols)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", str(rows_per_file))
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if cols:
+        w = w.partitionBy(*cols)
     w.parquet(path)
     return path
 
@@ -87,8 +97,10 @@ def compact_partitions(spark: SparkSession, path: str, partition: str, where: st
               .withColumn("_salt", F.pmod(F.xxhash64(*data_cols), F.col("_k")))
               .repartition(partition, "_salt")
               .drop("_k", "_salt"))
-    staged = stage(salted.select(*df.columns), partition, "compact")
-    return write_layer(staged, path, partition, rows_per_file=rows_per_file)
+    staged = write_layer(salted.select(*df.columns), new_scratch(spark, "compact"), partition,
+                         rebalance=False)
+    return write_layer(spark.read.parquet(staged), path, partition, rows_per_file=rows_per_file,
+                       rebalance=False)
 
 
 # B52 -----------------------------------------------------------------------

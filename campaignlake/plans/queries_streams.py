@@ -174,7 +174,7 @@ def q_compact_partitions(spark, sf):
     """Many small files per day, then the days from 2024-01-10 compacted;
     the table's rows are unchanged."""
     table = lifecycle.write_layer(ods_banners(spark, sf).repartition(16), new_scratch(spark, "ods-banners"),
-                                  "event_date")
+                                  "event_date", rebalance=False)
     lifecycle.compact_partitions(spark, table, "event_date", where="event_date >= DATE'2024-01-10'",
                                  rows_per_file=1000)
     return spark.read.parquet(table).select(*_ODS_COLS)
