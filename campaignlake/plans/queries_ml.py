@@ -6,11 +6,11 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from campaignlake.operators import bi, clean, features, model
+from campaignlake.operators import bi, clean, features, lifecycle, model
 from campaignlake.plans import oracle_sql as O
 from campaignlake.plans.queries_core import ods_banners, q_campaign_daily_full
 from campaignlake.plans.registry import SNAPSHOT_DATE, register
-from campaignlake.session import path_exists, scratch_root
+from campaignlake.session import new_scratch, path_exists, scratch_root
 from campaignlake.sources import domain as D
 
 SNAP = f"DATE '{SNAPSHOT_DATE}'"
@@ -134,13 +134,18 @@ def q_train_click_model(spark, sf):
 
 @register("score_users")
 def q_score_users(spark, sf):
-    """Batch scoring with the saved model (trained first if there is none)."""
+    """Batch scoring with the saved model (trained first if there is none);
+    the predictions are written to the snapshot-partitioned table (B40) and
+    read back."""
     path = _model_path(spark, sf)
     if path_exists(spark, path):
         m, _ = model.load_model_with_meta(spark, path)
     else:
         m = _train_and_save(spark, sf)[0]
-    return model.score_users(m, feature_table(spark, sf))
+    out = lifecycle.write_predictions(model.score_users(m, feature_table(spark, sf)),
+                                      new_scratch(spark, "ml-click-predictions"))
+    return spark.read.parquet(out).select("user_id", "snapshot_date", "probability_click", "segment",
+                                          "recommend_bid")
 
 
 # --- BI -----------------------------------------------------------------------

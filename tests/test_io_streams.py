@@ -196,6 +196,17 @@ def test_tiering_moves_old_days_and_is_idempotent(spark):
     assert c.select("month").distinct().count() == 1
 
 
+def test_tiering_ttl_drops_expired_cold_days(spark):
+    df = spark.range(0, 90).select(F.col("id").alias("v"),
+                                   F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    hot = lifecycle.write_layer(df, new_scratch(spark, "t-hot2"), "d")
+    cold = new_scratch(spark, "t-cold2")
+    lifecycle.tier_hot_cold(spark, hot, cold, "d", as_of="2025-04-01", hot_days=30, ttl_days=60)
+    c = spark.read.parquet(cold)
+    assert c.agg(F.min("d")).collect()[0][0] == dt.date(2025, 1, 31)
+    assert spark.read.parquet(hot).agg(F.min("d")).collect()[0][0] == dt.date(2025, 3, 2)
+
+
 def test_skip_if_empty(spark):
     assert messages.skip_if_empty(spark.createDataFrame([], "value string"))
     assert not messages.skip_if_empty(spark.createDataFrame([("x",)], "value string"))
