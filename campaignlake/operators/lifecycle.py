@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlake.operators.marts import upsert_rows
-from campaignlake.session import new_scratch
+from campaignlake.session import delete_path, new_scratch
 
 # Hot retention and the default file size target.
 HOT_DAYS = 30
@@ -105,11 +105,8 @@ def compact_partitions(spark: SparkSession, path: str, partition: str, where: st
 
 # B52 -----------------------------------------------------------------------
 def _delete_partitions(spark: SparkSession, path: str, partition: str, values: list[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={v}")
-        p.getFileSystem(conf).delete(p, True)
+        delete_path(spark, f"{path}/{partition}={v}")
 
 
 def tier_hot_cold(spark: SparkSession, path: str, cold_path: str, partition: str, as_of: str,
@@ -132,11 +129,8 @@ def tier_hot_cold(spark: SparkSession, path: str, cold_path: str, partition: str
             limit = F.date_sub(F.lit(as_of).cast("date"), ttl_days)
             expired = old.filter(F.col(partition) < limit).select("month", F.date_format(partition, "yyyy-MM-dd")) \
                 .distinct().collect()
-            jvm = spark.sparkContext._jvm
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
             for month, day in expired:
-                p = jvm.org.apache.hadoop.fs.Path(f"{cold_path}/month={month}/{partition}={day}")
-                p.getFileSystem(conf).delete(p, True)
+                delete_path(spark, f"{cold_path}/month={month}/{partition}={day}")
     return path, cold_path
 
 

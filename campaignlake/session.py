@@ -83,8 +83,21 @@ def local_path(path: str) -> str:
     return os.path.abspath(path)
 
 
+def _fs_path(spark: SparkSession, path: str):
+    """Hadoop ``Path`` and its ``FileSystem`` (local, HDFS or object store),
+    through the session's Hadoop configuration."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists on its file system (local, HDFS or object store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    """True when ``path`` exists."""
+    p, fs = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (a partition folder); True if it existed."""
+    p, fs = _fs_path(spark, path)
+    return bool(fs.delete(p, True))
