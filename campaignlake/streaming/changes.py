@@ -71,16 +71,26 @@ def latest_rows(table: DataFrame, key=("key",), order: str = "ts_ms") -> DataFra
 # B47 -----------------------------------------------------------------------
 def append_stream_to_table(spark: SparkSession, source: str, table_path: str,
                            checkpoint: str | None = None, available_now: bool = True,
-                           interval: str = COMMIT_INTERVAL, max_files_per_trigger: int | None = None):
-    """Change messages (folder of JSON records) -> unwrapped rows appended to a
+                           interval: str = COMMIT_INTERVAL, max_files_per_trigger: int | None = None,
+                           fmt: str = "text", options: dict[str, str] | None = None):
+    """Change messages (folder of JSON records, or a Kafka topic) -> unwrapped rows appended to a
     Parquet table.  Tombstones are not written; updates append a second row
     (no key columns are configured), use ``latest_rows`` on read for the
     newest version.  New columns are admitted (read with mergeSchema).
     Returns the started query (already finished for ``available_now``)."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = unwrap_changes(parse_feed_lines(reader.load(source)))
+    if fmt == "kafka":  # source = topic; options carry the brokers
+        reader = spark.readStream.format("kafka").option("subscribe", source) \
+            .option("startingOffsets", "earliest")
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        msgs = reader.load().select(F.col("key").cast("string").alias("key"),
+                                    F.col("value").cast("string").alias("value"), "topic")
+    else:
+        reader = spark.readStream.format("text")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        msgs = parse_feed_lines(reader.load(source))
+    rows = unwrap_changes(msgs)
     out = rows.filter(~F.col("is_tombstone")).drop("is_tombstone")
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", table_path)

@@ -35,11 +35,28 @@ LOG_TYPE = "csv"
 _OUT_COLUMNS = [c for c, _ in schemas.BANNER_EVENTS.columns] + ["event_date"]
 
 
-def _message_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None) -> DataFrame:
-    reader = spark.readStream.format("text")
+def message_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
+                   fmt: str = "text", options: dict[str, str] | None = None) -> DataFrame:
+    """Unbounded messages with a ``value`` column: a folder of
+    newline-delimited messages (``fmt="text"``) or a Kafka topic
+    (``fmt="kafka"``, ``source`` = topic, options carry the brokers; the
+    Kafka connector jar must be on the classpath)."""
+    reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        reader = reader.option("subscribe", source).option("startingOffsets", "earliest")
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        return reader.load().select(F.col("value").cast("string").alias("value"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    decoded = decode_events(reader.load(source))
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    return reader.load(source)
+
+
+def _message_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None,
+                    fmt: str = "text", options: dict[str, str] | None = None) -> DataFrame:
+    decoded = decode_events(message_stream(spark, source, max_files_per_trigger, fmt, options))
     return (decoded.filter(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
             .withColumn("event_ts", C.ntz_to_instant("event_ts")))
 
@@ -60,10 +77,11 @@ def _run(df: DataFrame, table_path: str, checkpoint: str, available_now: bool,
 # B49 -----------------------------------------------------------------------
 def stream_banner_events(spark: SparkSession, source: str, table_path: str,
                          checkpoint: str | None = None, watermark: str = WATERMARK,
-                         available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Messages folder -> cleaned, de-duplicated banner events (first arrival
-    of each (banner_id, user_id, event_ts) survives)."""
-    events = _message_stream(spark, source, max_files_per_trigger)
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         fmt: str = "text", options: dict[str, str] | None = None):
+    """Messages (folder or topic) -> cleaned, de-duplicated banner events
+    (first arrival of each (banner_id, user_id, event_ts) survives)."""
+    events = _message_stream(spark, source, max_files_per_trigger, fmt, options)
     deduped = (events.withWatermark("event_ts", watermark)
                .dropDuplicates(["banner_id", "user_id", "event_ts"])
                .withColumn("event_ts", C.instant_to_ntz("event_ts")))
@@ -75,7 +93,8 @@ def stream_banner_events(spark: SparkSession, source: str, table_path: str,
 def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str,
                                checkpoint: str | None = None, minutes: int = WINDOW_MINUTES,
                                lateness_minutes: int = WINDOW_MINUTES, available_now: bool = True,
-                               max_files_per_trigger: int | None = None):
+                               max_files_per_trigger: int | None = None, fmt: str = "text",
+                               options: dict[str, str] | None = None):
     """Drop an event less than ``minutes`` after the previous event of the
     same (banner_id, user_id), incrementally.
 
@@ -94,10 +113,7 @@ def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str
     ckpt = checkpoint or new_scratch(spark, "checkpoint-window")
     state_path = f"{ckpt}/key_state"
     key = ["banner_id", "user_id"]
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    events = decode_events(reader.load(source)) \
+    events = decode_events(message_stream(spark, source, max_files_per_trigger, fmt, options)) \
         .filter(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
 
     def process(batch: DataFrame, batch_id: int) -> None:

@@ -232,3 +232,21 @@ def test_csv_flow_reports_dedup_counts_and_reruns_idempotently(spark):
     first = sorted(tuple(r) for r in flows.build_mart(spark, lake, "2025-01-01").collect())
     again = sorted(tuple(r) for r in flows.csv_flow(spark, root, lake, "2025-01-01").collect())
     assert first == again and len(first) > 0
+
+
+def test_command_line_jobs(spark):
+    from campaignlake.__main__ import main
+    from campaignlake.sources import deliveries as V
+    from tests.conftest import SF_SMALL
+    root, lake = new_scratch(spark, "t-cli-delivery"), new_scratch(spark, "t-cli-lake")
+    V.write_delimited_delivery(spark, SF_SMALL, root)
+    main(["csv-flow", "--delivery", root, "--lake", lake, "--processing-date", "2024-02-01"])
+    main(["features", "--lake", lake, "--snapshot-date", "2024-01-15"])
+    main(["compact", "--table", f"{lake}/ods/banner_events", "--rows-per-file", "100"])
+    cold = new_scratch(spark, "t-cli-cold")
+    main(["tier", "--table", f"{lake}/ods/banner_events", "--cold", cold, "--as-of", "2024-02-15"])
+    mart = spark.read.parquet(f"{lake}/dm/campaign_daily")
+    feats = spark.read.parquet(f"{lake}/ml/user_features")
+    hot, cold_rows = spark.read.parquet(f"{lake}/ods/banner_events").count(), spark.read.parquet(cold).count()
+    assert mart.count() > 0 and feats.count() > 0
+    assert hot + cold_rows == mart.agg(F.sum("impressions")).collect()[0][0]
