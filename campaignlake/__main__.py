@@ -19,6 +19,8 @@ def _today() -> str:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="campaignlake")
+    ap.add_argument("--profile", default="cluster", choices=["cluster", "local"],
+                    help="session defaults (cluster: RocksDB streaming state, 128 MB partitions)")
     sub = ap.add_subparsers(dest="job", required=True)
 
     p = sub.add_parser("csv-flow", help="delimited delivery -> raw -> ods -> dm.campaign_daily")
@@ -76,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
     from campaignlake.session import build_session
     from campaignlake.streaming import changes
 
-    spark = build_session(app_name=f"campaignlake-{args.job}")
+    spark = build_session(app_name=f"campaignlake-{args.job}", profile=args.profile)
     opts = {"kafka.bootstrap.servers": args.bootstrap} if getattr(args, "bootstrap", None) else None
     if args.job == "csv-flow":
         flows.csv_flow(spark, args.delivery, args.lake, args.processing_date)

@@ -240,11 +240,11 @@ def test_command_line_jobs(spark):
     from tests.conftest import SF_SMALL
     root, lake = new_scratch(spark, "t-cli-delivery"), new_scratch(spark, "t-cli-lake")
     V.write_delimited_delivery(spark, SF_SMALL, root)
-    main(["csv-flow", "--delivery", root, "--lake", lake, "--processing-date", "2024-02-01"])
-    main(["features", "--lake", lake, "--snapshot-date", "2024-01-15"])
-    main(["compact", "--table", f"{lake}/ods/banner_events", "--rows-per-file", "100"])
+    main(["--profile", "local", "csv-flow", "--delivery", root, "--lake", lake, "--processing-date", "2024-02-01"])
+    main(["--profile", "local", "features", "--lake", lake, "--snapshot-date", "2024-01-15"])
+    main(["--profile", "local", "compact", "--table", f"{lake}/ods/banner_events", "--rows-per-file", "100"])
     cold = new_scratch(spark, "t-cli-cold")
-    main(["tier", "--table", f"{lake}/ods/banner_events", "--cold", cold, "--as-of", "2024-02-15"])
+    main(["--profile", "local", "tier", "--table", f"{lake}/ods/banner_events", "--cold", cold, "--as-of", "2024-02-15"])
     mart = spark.read.parquet(f"{lake}/dm/campaign_daily")
     feats = spark.read.parquet(f"{lake}/ml/user_features")
     hot, cold_rows = spark.read.parquet(f"{lake}/ods/banner_events").count(), spark.read.parquet(cold).count()
