@@ -88,7 +88,8 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
     """Keep a row unless the previous row of the same key (by ts, then id) is
     less than ``minutes`` earlier.
 
-    The window is partitioned by key *and* a time bucket as wide as the
+    Copies at the same time collapse first (grouped, combined map-side); the
+    window is then partitioned by key *and* a time bucket as wide as the
     window, so one very active key is spread over many tasks; the last event
     of the preceding bucket comes from a grouped ``max`` joined on
     (key, bucket + 1).  ``prior`` (key columns + ``last_ts``) supplies the
@@ -97,7 +98,11 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
     key = list(key)
     width_us = minutes * 60 * 1_000_000
     ts_type = df.schema[ts].dataType.simpleString()
-    bucketed = df.withColumn("_bucket", F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us)))
+    # Rows with the same key and time: only the smallest id can survive (the
+    # others follow it at distance 0), so collapse them first with the
+    # map-side-combined aggregate; a burst of copies never reaches the window.
+    firsts = keep_first(df, [*key, ts], [order])
+    bucketed = firsts.withColumn("_bucket", F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us)))
     w = Window.partitionBy(*key, "_bucket").orderBy(F.col(ts), F.col(order))
     with_prev = bucketed.withColumn("_prev", F.lag(ts).over(w))
     last_of_bucket = (bucketed.groupBy(*key, "_bucket")
