@@ -74,7 +74,10 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame,
     existing = read_table(spark, path)
     if existing is None:
         return write_layer(updates, path, partition)
-    merged = upsert_rows(existing, updates.select(*existing.columns), key, partition)
+    updates = stage(updates.select(*existing.columns), partition, "upsert-input")
+    n_touched = updates.select(partition).distinct().count()
+    merged = upsert_rows(existing, updates, key, partition,
+                         broadcast_touched=n_touched <= MAX_BROADCAST_PARTITIONS)
     return write_layer(stage(merged, partition, "upsert"), path, partition)
 
 

@@ -185,12 +185,19 @@ def campaign_budget_metrics(banners: DataFrame, campaigns: DataFrame) -> DataFra
 
 # B28 -----------------------------------------------------------------------
 def upsert_rows(existing: DataFrame, updates: DataFrame, key=("date", "campaign_id"),
-                partition: str = "date") -> DataFrame:
+                partition: str = "date", broadcast_touched: bool = False) -> DataFrame:
     """New content of the partitions touched by ``updates``: existing rows of
     those partitions whose key is not in the update, plus every update row
     (INSERT ... ON CONFLICT (key) DO UPDATE).  Untouched partitions are not
-    read beyond the semi-join on the partition column."""
+    read beyond the semi-join on the partition column.
+
+    ``broadcast_touched``: the caller has checked that the list of touched
+    partition values is small; the semi-join then needs no shuffle of the
+    existing rows (a shuffle on the partition column alone would send a
+    whole day to one task)."""
     touched = updates.select(partition).distinct()
+    if broadcast_touched:
+        touched = F.broadcast(touched)
     kept = (existing.join(touched, partition, "left_semi")
             .join(updates.select(*key), list(key), "left_anti"))
     return kept.unionByName(updates.select(*existing.columns))
