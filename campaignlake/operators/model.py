@@ -9,6 +9,7 @@ so category codes fitted at training are the codes used at scoring.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -77,9 +78,17 @@ def encode_features(features: DataFrame) -> DataFrame:
 
 
 # B34 -----------------------------------------------------------------------
-def split_bucket(user_col: str = "user_id", seed: int = SPLIT_SEED):
-    """A stable pseudo-random number in [0, 1) per user."""
-    return F.pmod(F.xxhash64(F.col(user_col), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+def split_threshold(fraction: float) -> str:
+    """Hex text t such that 'first 8 hex digits of the hash < t' holds for
+    a ``fraction`` share of uniformly spread hashes."""
+    return f"{min(16 ** 8 - 1, math.ceil(fraction * 16 ** 8)):08x}"
+
+
+def in_train(user_col: str = "user_id", fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED):
+    """Stable pseudo-random train flag per user: SHA-256 of 'user:seed',
+    first 8 hex digits compared as text (the same in any SQL engine)."""
+    h = F.substring(F.sha2(F.concat_ws(":", F.col(user_col).cast("string"), F.lit(str(seed))), 256), 1, 8)
+    return h < F.lit(split_threshold(fraction))
 
 
 def stratified_split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED,
@@ -88,13 +97,13 @@ def stratified_split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int
     train share is ``fraction`` within each label in expectation (the hash is
     independent of the label).  A per-label rank window would put each label
     in one task."""
-    b = split_bucket(user_col, seed)
-    return df.filter(b < fraction), df.filter(b >= fraction)
+    flag = in_train(user_col, fraction, seed)
+    return df.filter(flag), df.filter(~flag)
 
 
 def split_assignment(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
     """The split as a column: ``split`` = 'train' or 'test'."""
-    return df.withColumn("split", F.when(split_bucket("user_id", seed) < fraction, F.lit("train"))
+    return df.withColumn("split", F.when(in_train("user_id", fraction, seed), F.lit("train"))
                          .otherwise(F.lit("test")))
 
 
