@@ -23,9 +23,10 @@ _EV = ("ev AS (SELECT event_id AS n, user_id, ts, "
        + " AS actions, '{\"id\":' || CAST(event_id AS VARCHAR) || '}' AS key FROM events "
        "WHERE event_type IN ('purchase', 'error'))")
 
-_CREATED = "SELECT key, user_id, ts AS session_start, actions, 'c' AS op, (epoch_us(ts) // 1000) AS ts_ms"
+_CREATED = ("SELECT key, user_id, ts AS session_start, actions, 'c' AS op, (epoch_us(ts) // 1000) AS ts_ms, "
+            "CASE WHEN n % 13 = 0 THEN '{\"channel\":\"app\"}' END AS extra_fields")
 _UPDATED = ("SELECT key, user_id, ts AS session_start, 'registration' AS actions, 'u' AS op, "
-            "(epoch_us(ts) // 1000) + 1000 AS ts_ms")
+            "(epoch_us(ts) // 1000) + 1000 AS ts_ms, CAST(NULL AS VARCHAR) AS extra_fields")
 
 
 def _feed(spark, sf):
@@ -34,7 +35,7 @@ def _feed(spark, sf):
 
 @register("unwrap_changes", f"WITH {_EV} {_CREATED}, false AS is_tombstone FROM ev UNION ALL "
           f"{_UPDATED}, false FROM ev WHERE n % 7 = 0 UNION ALL SELECT key, NULL, NULL, NULL, NULL, "
-          "NULL, true FROM ev WHERE n % 11 = 0")
+          "NULL, NULL, true FROM ev WHERE n % 11 = 0")
 def q_unwrap_changes(spark, sf):
     return changes.unwrap_changes(changes.read_feed(spark, _feed(spark, sf)))
 

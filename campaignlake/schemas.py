@@ -102,6 +102,14 @@ CHANGE_ENVELOPE = T.StructType([
     T.StructField("ts_ms", T.LongType()),
 ])
 
+# The same envelope with the row images as string maps (keeps new columns).
+CHANGE_ENVELOPE_MAPS = T.StructType([
+    T.StructField("before", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("after", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("op", T.StringType()),
+    T.StructField("ts_ms", T.LongType()),
+])
+
 # Column order of the daily campaign mart.
 MART_COLUMNS = ("campaign_id", "date", "impressions", "clicks", "ctr", "installs",
                 "conversions", "revenue", "cpc", "cpm", "conversion_rate", "processing_date")

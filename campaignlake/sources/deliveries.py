@@ -13,9 +13,10 @@ otherwise n % 43 = 0 -> one field too many; otherwise n % 41 = 0 -> click
 flag 'yes'.
 Malformed messages: n % 89 = 0 -> not JSON; n % 83 = 0 -> campaign_id is
 the string "x"; n % 79 = 0 -> unparsable event_ts.
-Change feed of actions: every action is created (op c); n % 7 = 0 -> then
-updated to 'registration' (op u); n % 11 = 0 -> then deleted (op d) and
-followed by a tombstone (NULL value).
+Change feed of actions: every action is created (op c); n % 13 = 0 -> the
+created image carries a column the table does not have yet ("channel");
+n % 7 = 0 -> then updated to 'registration' (op u); n % 11 = 0 -> then
+deleted (op d) and followed by a tombstone (NULL value).
 """
 
 from __future__ import annotations
@@ -174,7 +175,10 @@ def action_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.to_json(F.struct(before.alias("before"), after.alias("after"),
                                   F.lit(op).alias("op"), (ms + offset_ms).alias("ts_ms")))
 
-    create = ev.select(key.alias("key"), env(none, image, "c", 0).alias("value"),
+    wider = F.struct("user_id", F.date_format("ts", TS_TEXT).alias("session_start"), "actions",
+                     F.lit("app").alias("channel"))
+    created = F.when(n % 13 == 0, env(none, wider, "c", 0)).otherwise(env(none, image, "c", 0))
+    create = ev.select(key.alias("key"), created.alias("value"),
                        (ms + 0).alias("ts_ms"), F.lit(0).alias("seq"))
     update = ev.filter(n % 7 == 0).select(key.alias("key"), env(image, updated, "u", 1000).alias("value"),
                                           (ms + 1000).alias("ts_ms"), F.lit(1).alias("seq"))

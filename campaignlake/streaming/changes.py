@@ -30,23 +30,33 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 # B45 -----------------------------------------------------------------------
+_IMAGE_COLUMNS = ("user_id", "session_start", "actions")
+
+
 def unwrap_changes(messages: DataFrame) -> DataFrame:
     """Envelope -> new row image.  Creates, updates and snapshot reads keep
     their ``after`` image; deletes are dropped; a tombstone (NULL value) is
-    passed through as a row with only its key and ``is_tombstone``."""
-    env = F.from_json(F.col("value").cast("string"), schemas.CHANGE_ENVELOPE)
+    passed through as a row with only its key and ``is_tombstone``.
+
+    The image is parsed once as a string map, so fields that the declared
+    columns do not know (a column added at the source) are not lost: they
+    are kept as JSON text in ``extra_fields`` (NULL when there are none)."""
+    env = F.from_json(F.col("value").cast("string"), schemas.CHANGE_ENVELOPE_MAPS)
     df = messages.withColumn("_env", env)
     tomb = F.col("value").isNull()
     op = F.col("_env.op")
     kept = df.filter(tomb | op.isin("c", "u", "r"))
     after = F.col("_env.after")
+    known = F.array(*[F.lit(c) for c in _IMAGE_COLUMNS])
+    extra = F.map_filter(after, lambda k, v: ~F.array_contains(known, k))
     return kept.select(
         "key",
-        after.getField("user_id").alias("user_id"),
-        C.parse_event_time(after.getField("session_start")).alias("session_start"),
-        after.getField("actions").alias("actions"),
+        after.getItem("user_id").try_cast("bigint").alias("user_id"),
+        C.parse_event_time(after.getItem("session_start")).alias("session_start"),
+        after.getItem("actions").alias("actions"),
         op.alias("op"),
         F.col("_env.ts_ms").alias("ts_ms"),
+        F.when(F.size(extra) > 0, F.to_json(extra)).alias("extra_fields"),
         tomb.alias("is_tombstone"),
     )
 

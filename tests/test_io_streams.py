@@ -143,6 +143,12 @@ def test_unwrap_changes_rules(spark):
                                   ("k4", None)], "key string, value string")
     rows = changes.unwrap_changes(msgs).collect()
     assert sorted(r.key for r in rows) == ["k1", "k2", "k3", "k4"]
+    assert all(r.extra_fields is None for r in rows)
+    wide = spark.createDataFrame([("k5", '{"after":{"user_id":2,"session_start":"2025-02-01 10:00:00",'
+                                         '"actions":"x","channel":"web"},"op":"c","ts_ms":3}')],
+                                 "key string, value string")
+    w = changes.unwrap_changes(wide).collect()[0]
+    assert (w.user_id, w.extra_fields) == (2, '{"channel":"web"}')
     tomb = [r for r in rows if r.key == "k4"][0]
     assert tomb.is_tombstone and tomb.user_id is None
     assert all(r.session_start == dt.datetime(2025, 2, 1, 10) for r in rows if r.key != "k4")
