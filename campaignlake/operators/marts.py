@@ -112,6 +112,11 @@ def campaign_daily_from_parts(daily: DataFrame, installs: DataFrame | None,
     for p in aligned[1:]:
         union = union.unionByName(p)
     summed = reject_null_keys(union).groupBy(*KEY).agg(*[F.sum(m).alias(m) for m in _METRICS])
+    return _finish_mart(summed, processing_date)
+
+
+def _finish_mart(summed: DataFrame, processing_date: str | None) -> DataFrame:
+    """Zero-fill the metrics of a one-row-per-key frame, then the ratios."""
     filled = summed.select(
         F.col("campaign_id").cast("bigint").alias("campaign_id"), "date",
         *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in _METRICS])
@@ -127,18 +132,48 @@ def campaign_daily_from_parts(daily: DataFrame, installs: DataFrame | None,
     ).select(*schemas.MART_COLUMNS)
 
 
+def user_day_outcomes(installs: DataFrame | None, actions: DataFrame | None) -> DataFrame:
+    """(user_id, date) -> installed (0/1), converted (0/1), revenue: installs
+    and non-blank actions folded into one aggregate (combined map-side)."""
+    parts = []
+    if installs is not None:
+        parts.append(installs.filter(F.col("user_id").isNotNull()).select(
+            "user_id", F.to_date("install_timestamp").alias("date"), F.lit(1).alias("installed"),
+            F.lit(0).alias("converted"), F.lit(None).cast("bigint").alias("revenue")))
+    if actions is not None:
+        parts.append(actions.filter(F.col("user_id").isNotNull() & ~C.is_blank("actions")).select(
+            "user_id", F.to_date("session_start").alias("date"), F.lit(0).alias("installed"),
+            F.lit(1).alias("converted"), C.action_revenue("actions").cast("bigint").alias("revenue")))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.groupBy("user_id", "date").agg(F.max("installed").alias("installed"),
+                                               F.max("converted").alias("converted"),
+                                               F.sum("revenue").alias("revenue"))
+
+
 def campaign_daily_full(banners: DataFrame, installs: DataFrame | None = None,
                         actions: DataFrame | None = None,
                         processing_date: str | None = None) -> DataFrame:
     """The daily campaign mart from cleaned impressions, installs and actions.
-    Installs and actions are optional; absent inputs give zeros."""
+    Installs and actions are optional; absent inputs give zeros.
+
+    One pass: the (user, date, campaign) impression counts are left-joined
+    to the per-(user, date) outcomes and summed per (date, campaign).  Each
+    counts row is one exposure, so summing the outcome flags over them is
+    the distinct-exposure attribution, and impressions/clicks come from the
+    same rows; the de-duplicated impressions are shuffled and aggregated
+    once.  Every attributed key has an impression, so this equals the full
+    outer combination of B22, B24 and B25."""
     counts = exposure_counts(banners)
-    daily = counts.groupBy(*KEY).agg(F.sum("impressions").alias("impressions"),
-                                     F.sum("clicks").alias("clicks"))
-    exposure = counts.filter(F.col("user_id").isNotNull()).select("user_id", "date", "campaign_id")
-    di = attribute_installs(installs, exposure) if installs is not None else None
-    da = attribute_actions(actions, exposure) if actions is not None else None
-    return campaign_daily_from_parts(daily, di, da, processing_date)
+    if installs is None and actions is None:
+        joined = counts.select("*", *[F.lit(None).cast("bigint").alias(c)
+                                      for c in ("installed", "converted", "revenue")])
+    else:
+        joined = counts.join(user_day_outcomes(installs, actions), ["user_id", "date"], "left")
+    summed = reject_null_keys(joined).groupBy(*KEY).agg(
+        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+        F.sum("installed").alias("installs"), F.sum("converted").alias("conversions"),
+        F.sum("revenue").alias("revenue"))
+    return _finish_mart(summed, processing_date)
 
 
 # B27 -----------------------------------------------------------------------
