@@ -187,11 +187,13 @@ def _duplicate_rows(df: DataFrame, key: Sequence[str], relation: str) -> DataFra
         .select(F.lit("duplicate_key").alias("check"), F.lit(relation).alias("relation"), "violations")
 
 
-def _orphan_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str, relation: str) -> DataFrame:
+def _orphan_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str, relation: str,
+                 weight: str | None = None) -> DataFrame:
     # Count fact rows per key first (map-side combine), then anti-join the
-    # small per-key counts against the dimension keys.
-    per_key = fact.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
+    # small per-key counts against the dimension keys.  ``weight``: the fact
+    # is already a count table (rows per key combination).
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    per_key = fact.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(n.alias("_n"))
     keys = dim.select(F.col(pk).alias("_k")).distinct()
     missing = per_key.join(keys, "_k", "left_anti")
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")) \
@@ -202,13 +204,16 @@ def check_relations(banners: DataFrame, installs: DataFrame, actions: DataFrame,
                     cd_banner: DataFrame, cd_campaign: DataFrame, cd_user: DataFrame) -> DataFrame:
     """Primary-key uniqueness of the dictionaries and fact keys missing from
     their dictionary: rows (check, relation, violations)."""
+    # One pre-aggregation of the impressions serves the three banner checks.
+    keys = banners.groupBy("banner_id", "campaign_id", "user_id").agg(F.count(F.lit(1)).alias("_rows"))
     parts = [
         _duplicate_rows(cd_banner, ["banner_id"], "cd_banner"),
         _duplicate_rows(cd_campaign, ["campaign_id"], "cd_campaign"),
         _duplicate_rows(cd_user, ["user_id"], "cd_user"),
-        _orphan_rows(banners, "banner_id", cd_banner, "banner_id", "banner_events.banner_id->cd_banner"),
-        _orphan_rows(banners, "campaign_id", cd_campaign, "campaign_id", "banner_events.campaign_id->cd_campaign"),
-        _orphan_rows(banners, "user_id", cd_user, "user_id", "banner_events.user_id->cd_user"),
+        _orphan_rows(keys, "banner_id", cd_banner, "banner_id", "banner_events.banner_id->cd_banner", "_rows"),
+        _orphan_rows(keys, "campaign_id", cd_campaign, "campaign_id",
+                     "banner_events.campaign_id->cd_campaign", "_rows"),
+        _orphan_rows(keys, "user_id", cd_user, "user_id", "banner_events.user_id->cd_user", "_rows"),
         _orphan_rows(installs, "user_id", cd_user, "user_id", "installs.user_id->cd_user"),
         _orphan_rows(actions, "user_id", cd_user, "user_id", "fct_actions.user_id->cd_user"),
     ]
