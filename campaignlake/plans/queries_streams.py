@@ -19,7 +19,7 @@ from campaignlake.sources import domain as D
 from campaignlake.streaming import changes, events
 
 _EV = ("ev AS (SELECT event_id AS n, user_id, ts, "
-       + D._sql_pick("event_id % 5", D.ACTION_NAMES)
+       + D.sql_pick("event_id % 5", D.ACTION_NAMES)
        + " AS actions, '{\"id\":' || CAST(event_id AS VARCHAR) || '}' AS key FROM events "
        "WHERE event_type IN ('purchase', 'error'))")
 

@@ -162,7 +162,7 @@ def action_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = (D.read_table(spark, sf_dir, "events")
           .filter(F.col("event_type").isin("purchase", "error"))
           .select("event_id", "user_id", "ts",
-                  D._pick(F.col("event_id") % 5, D.ACTION_NAMES).alias("actions")))
+                  D.pick(F.col("event_id") % 5, D.ACTION_NAMES).alias("actions")))
     n = F.col("event_id")
     image = F.struct("user_id", F.date_format("ts", TS_TEXT).alias("session_start"), "actions")
     updated = F.struct("user_id", F.date_format("ts", TS_TEXT).alias("session_start"),

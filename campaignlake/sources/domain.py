@@ -45,14 +45,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
+def pick(index: Column, values: tuple[str, ...]) -> Column:
     expr = F.when(index == 0, F.lit(values[0]))
     for i, v in enumerate(values[1:], start=1):
         expr = expr.when(index == i, F.lit(v))
     return expr
 
 
-def _sql_pick(index: str, values: tuple[str, ...]) -> str:
+def sql_pick(index: str, values: tuple[str, ...]) -> str:
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
     return f"CASE {index} {arms} END"
 
@@ -68,10 +68,10 @@ def _banner_base(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (e % 20 + 1).alias("campaign_id"),
                 F.when(e % 97 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("user_id"),
                 F.col("ts").alias("event_ts"),
-                _pick(e % 3, PLACEMENTS).alias("placement"),
-                _pick(F.expr("(event_id div 15) % 2"), DEVICES).alias("device_type"),
-                _pick(F.expr("(event_id div 30) % 2"), OSES).alias("os"),
-                _pick(F.col("user_id") % 5, GEOS).alias("geo"),
+                pick(e % 3, PLACEMENTS).alias("placement"),
+                pick(F.expr("(event_id div 15) % 2"), DEVICES).alias("device_type"),
+                pick(F.expr("(event_id div 30) % 2"), OSES).alias("os"),
+                pick(F.col("user_id") % 5, GEOS).alias("geo"),
                 (F.col("event_type") == "click").cast("int").alias("is_clicked"),
             ))
 
@@ -119,14 +119,14 @@ def raw_installs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read_table(spark, sf_dir, "events")
             .filter(F.col("event_type") == "signup")
             .select("user_id", F.col("ts").alias("install_timestamp"),
-                    _pick(F.col("event_id") % 3, INSTALL_SOURCES).alias("source")))
+                    pick(F.col("event_id") % 3, INSTALL_SOURCES).alias("source")))
 
 
 def raw_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read_table(spark, sf_dir, "events")
             .filter(F.col("event_type").isin("purchase", "error"))
             .select("user_id", F.col("ts").alias("session_start"),
-                    _pick(F.col("event_id") % 5, ACTION_NAMES).alias("actions")))
+                    pick(F.col("event_id") % 5, ACTION_NAMES).alias("actions")))
 
 
 def raw_cd_user(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def raw_cd_user(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(F.col("c_acctbal") > 5000, F.lit("high_spend"))
                  .when(F.col("c_acctbal") < 0, F.lit("low_active"))
                  .otherwise(F.lower("c_mktsegment")).alias("segment"),
-                _pick(F.col("c_nationkey") % 4, TARIFFS).alias("tariff"),
+                pick(F.col("c_nationkey") % 4, TARIFFS).alias("tariff"),
                 F.date_format(created, "yyyy-MM-dd").alias("date_create"),
                 F.when(k % 4 == 0, F.date_format(ended, "yyyy-MM-dd"))
                  .when(k % 4 == 1, F.lit(""))
@@ -170,10 +170,10 @@ def raw_cd_banner(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     return (read_table(spark, sf_dir, "part")
             .select((k % 100 + 1).alias("banner_id"),
-                    _pick(F.col("p_size") % 3, CREATIVE_TYPES).alias("creative_type"),
+                    pick(F.col("p_size") % 3, CREATIVE_TYPES).alias("creative_type"),
                     F.col("p_name").alias("message"),
-                    _pick(k % 3, BANNER_SIZES).alias("size"),
-                    _pick(F.expr("(p_partkey div 100) % 3"), AUDIENCES).alias("target_audience_segment")))
+                    pick(k % 3, BANNER_SIZES).alias("size"),
+                    pick(F.expr("(p_partkey div 100) % 3"), AUDIENCES).alias("target_audience_segment")))
 
 
 # ---------------------------------------------------------------------------
@@ -185,10 +185,10 @@ def _sql_banner_select(id_expr: str, ts_expr: str, where: str) -> str:
         f"event_id % 20 + 1 AS campaign_id, "
         f"CASE WHEN event_id % 97 = 0 THEN NULL ELSE user_id END AS user_id, "
         f"{ts_expr} AS event_ts, CAST({ts_expr} AS DATE) AS event_date, "
-        f"{_sql_pick('event_id % 3', PLACEMENTS)} AS placement, "
-        f"{_sql_pick('(event_id // 15) % 2', DEVICES)} AS device_type, "
-        f"{_sql_pick('(event_id // 30) % 2', OSES)} AS os, "
-        f"{_sql_pick('user_id % 5', GEOS)} AS geo, "
+        f"{sql_pick('event_id % 3', PLACEMENTS)} AS placement, "
+        f"{sql_pick('(event_id // 15) % 2', DEVICES)} AS device_type, "
+        f"{sql_pick('(event_id // 30) % 2', OSES)} AS os, "
+        f"{sql_pick('user_id % 5', GEOS)} AS geo, "
         f"CAST(event_type = 'click' AS INTEGER) AS is_clicked "
         f"FROM events WHERE event_type IN ('view', 'click'){where}"
     )
@@ -211,12 +211,12 @@ SQL_RAW_BANNER_EVENTS_NEAR = (
 )
 
 SQL_RAW_INSTALLS = (
-    f"SELECT user_id, ts AS install_timestamp, {_sql_pick('event_id % 3', INSTALL_SOURCES)} AS source "
+    f"SELECT user_id, ts AS install_timestamp, {sql_pick('event_id % 3', INSTALL_SOURCES)} AS source "
     f"FROM events WHERE event_type = 'signup'"
 )
 
 SQL_RAW_ACTIONS = (
-    f"SELECT user_id, ts AS session_start, {_sql_pick('event_id % 5', ACTION_NAMES)} AS actions "
+    f"SELECT user_id, ts AS session_start, {sql_pick('event_id % 5', ACTION_NAMES)} AS actions "
     f"FROM events WHERE event_type IN ('purchase', 'error')"
 )
 
@@ -224,7 +224,7 @@ SQL_RAW_CD_USER = (
     "SELECT c_custkey AS user_id, "
     "CASE WHEN c_acctbal > 5000 THEN 'high_spend' WHEN c_acctbal < 0 THEN 'low_active' "
     "ELSE lower(c_mktsegment) END AS segment, "
-    f"{_sql_pick('c_nationkey % 4', TARIFFS)} AS tariff, "
+    f"{sql_pick('c_nationkey % 4', TARIFFS)} AS tariff, "
     "strftime(DATE '2023-01-01' + CAST(c_custkey % 365 AS INTEGER), '%Y-%m-%d') AS date_create, "
     "CASE c_custkey % 4 WHEN 0 THEN strftime(DATE '2024-06-01' + CAST(c_custkey % 30 AS INTEGER), '%Y-%m-%d') "
     "WHEN 1 THEN '' WHEN 2 THEN 'NULL' ELSE ' ' END AS date_end "
@@ -243,8 +243,8 @@ SQL_RAW_CD_CAMPAIGN = (
 
 SQL_RAW_CD_BANNER = (
     "SELECT p_partkey % 100 + 1 AS banner_id, "
-    f"{_sql_pick('p_size % 3', CREATIVE_TYPES)} AS creative_type, p_name AS message, "
-    f"{_sql_pick('p_partkey % 3', BANNER_SIZES)} AS size, "
-    f"{_sql_pick('(p_partkey // 100) % 3', AUDIENCES)} AS target_audience_segment "
+    f"{sql_pick('p_size % 3', CREATIVE_TYPES)} AS creative_type, p_name AS message, "
+    f"{sql_pick('p_partkey % 3', BANNER_SIZES)} AS size, "
+    f"{sql_pick('(p_partkey // 100) % 3', AUDIENCES)} AS target_audience_segment "
     "FROM part"
 )

@@ -256,3 +256,15 @@ def test_command_line_jobs(spark):
     hot, cold_rows = spark.read.parquet(f"{lake}/ods/banner_events").count(), spark.read.parquet(cold).count()
     assert mart.count() > 0 and feats.count() > 0
     assert hot + cold_rows == mart.agg(F.sum("impressions")).collect()[0][0]
+
+
+def test_jdbc_read_requires_complete_partitioning(spark):
+    from campaignlake.sources import jdbc
+    opts = jdbc.jdbc_options("jdbc:postgresql://db/ods", "ods.fct_actions", "u", "p")
+    assert opts == {"url": "jdbc:postgresql://db/ods", "dbtable": "ods.fct_actions", "user": "u", "password": "p"}
+    try:
+        jdbc.jdbc_read(spark, opts, partition_column="user_id", lower_bound=0)
+    except ValueError as exc:
+        assert "num_partitions" in str(exc)
+    else:
+        raise AssertionError("expected a ValueError for incomplete bounds")
