@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
-from campaignlake.functions import columns as C
 from campaignlake.operators import clean, marts
 from campaignlake.plans import oracle_sql as O
 from campaignlake.plans.registry import PROCESSING_DATE, register
