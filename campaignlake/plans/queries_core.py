@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from campaignlake.operators import clean, marts
 from campaignlake.plans import oracle_sql as O
 from campaignlake.plans.registry import PROCESSING_DATE, register
