@@ -37,8 +37,8 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | str | No
     gives each day files of the advisory size and splits a very large day
     over several tasks."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    if cols and rebalance:
-        df = df.hint("rebalance", *cols)
+    if rebalance:
+        df = clustered_for_write(df, cols)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", str(rows_per_file))
@@ -48,6 +48,11 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | str | No
     return path
 
 
+def clustered_for_write(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """``df`` with the ``rebalance`` hint on the partition columns (if any)."""
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None when it does not exist yet."""
     try:

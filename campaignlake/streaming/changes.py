@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from campaignlake import schemas
 from campaignlake.functions import columns as C
-from campaignlake.session import new_scratch
+from campaignlake.session import new_scratch, path_exists
 
 # Routing of the change topic and the sink commit interval.
 ROUTE_REGEX = "cdc.ods.fct_actions"
@@ -82,12 +82,17 @@ def latest_rows(table: DataFrame, key=("key",), order: str = "ts_ms") -> DataFra
 def append_stream_to_table(spark: SparkSession, source: str, table_path: str,
                            checkpoint: str | None = None, available_now: bool = True,
                            interval: str = COMMIT_INTERVAL, max_files_per_trigger: int | None = None,
-                           fmt: str = "text", options: dict[str, str] | None = None):
+                           fmt: str = "text", options: dict[str, str] | None = None,
+                           create_if_missing: bool = True):
     """Change messages (folder of JSON records, or a Kafka topic) -> unwrapped rows appended to a
     Parquet table.  Tombstones are not written; updates append a second row
     (no key columns are configured), use ``latest_rows`` on read for the
     newest version.  New columns are admitted (read with mergeSchema).
-    Returns the started query (already finished for ``available_now``)."""
+    With ``create_if_missing=False`` the target table must already exist
+    (the reference sink does not auto-create).  Returns the started query
+    (already finished for ``available_now``)."""
+    if not create_if_missing and not path_exists(spark, table_path):
+        raise FileNotFoundError(f"target table {table_path} does not exist")
     if fmt == "kafka":  # source = topic; options carry the brokers
         reader = spark.readStream.format("kafka").option("subscribe", source) \
             .option("startingOffsets", "earliest")

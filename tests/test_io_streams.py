@@ -268,3 +268,13 @@ def test_jdbc_read_requires_complete_partitioning(spark):
         assert "num_partitions" in str(exc)
     else:
         raise AssertionError("expected a ValueError for incomplete bounds")
+
+
+def test_append_stream_can_require_existing_table(spark, tmp_path):
+    missing = str(tmp_path / "no-such-table")
+    try:
+        changes.append_stream_to_table(spark, str(tmp_path), missing, create_if_missing=False)
+    except FileNotFoundError:
+        pass
+    else:
+        raise AssertionError("expected FileNotFoundError")
