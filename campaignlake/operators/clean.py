@@ -237,19 +237,27 @@ def ods_build(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     Facts lose rows without a user; impressions are de-duplicated; the
     dictionaries are parsed and keyed.  Campaign budget metrics are added
     by ``marts.campaign_budget_metrics`` from the de-duplicated impressions.
+    Row counts per stage (read, with key, after de-duplication) are observed
+    during the write that consumes each frame; they are returned under
+    ``"_report"`` as {entity: {stage: Observation}}.
     """
     out: dict[str, DataFrame] = {}
+    report: dict[str, dict[str, Observation]] = {}
+
+    def counted(entity: str, df: DataFrame, stage: str) -> DataFrame:
+        df, obs = observe_rows(df, f"{entity}_{stage}")
+        report.setdefault(entity, {})[stage] = obs
+        return df
+
     if "banner_events" in raw:
-        out["banner_events"], report = clean_banner_events_observed(raw["banner_events"])
-        out["_banner_report"] = report  # type: ignore[assignment]
-    if "installs" in raw:
-        out["installs"] = drop_null_key(raw["installs"], "user_id")
-    if "fct_actions" in raw:
-        out["fct_actions"] = drop_null_key(raw["fct_actions"], "user_id")
-    if "cd_banner" in raw:
-        out["cd_banner"] = parse_banners(raw["cd_banner"])
-    if "cd_campaign" in raw:
-        out["cd_campaign"] = parse_campaigns(raw["cd_campaign"])
-    if "cd_user" in raw:
-        out["cd_user"] = parse_users(raw["cd_user"])
+        out["banner_events"], report["banner_events"] = clean_banner_events_observed(raw["banner_events"])
+    for entity in ("installs", "fct_actions"):
+        if entity in raw:
+            read = counted(entity, raw[entity], "rows_read")
+            out[entity] = counted(entity, drop_null_key(read, "user_id"), "rows_with_user")
+    for entity, parse in (("cd_banner", parse_banners), ("cd_campaign", parse_campaigns),
+                          ("cd_user", parse_users)):
+        if entity in raw:
+            out[entity] = counted(entity, parse(counted(entity, raw[entity], "rows_read")), "rows_deduplicated")
+    out["_report"] = report  # type: ignore[assignment]
     return out

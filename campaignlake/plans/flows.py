@@ -61,27 +61,32 @@ def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str) -
 
 def build_ods(spark: SparkSession, lake_root: str) -> dict[str, str]:
     """B20: the operational layer from the raw tables, plus campaign budget
-    metrics (B21) on the campaign dictionary.  The impression de-dup counts
-    (B14) are observed during the ODS write and returned under
-    ``"banner_report"`` as a dict of ints."""
+    metrics (B21) on the campaign dictionary.  Row counts per entity and
+    stage (B14) are observed during the ODS writes and returned under
+    ``"report"`` ({entity: {stage: rows}}; impressions also as
+    ``"banner_report"``)."""
     raw = {}
     for entity in DELIVERY_FILES:
         t = lifecycle.read_table(spark, _layer(lake_root, "raw", entity))
         if t is not None:
             raw[entity] = t
     ods = clean.ods_build(raw)
-    report = ods.pop("_banner_report", None)
+    report = ods.pop("_report", {})
     jobs = {entity: (lambda e=entity, d=df: lifecycle.write_layer(d, _layer(lake_root, "ods", e),
                                                                   PARTITIONS.get(e)))
             for entity, df in ods.items() if entity != "cd_campaign"}
     out = _concurrently(jobs)
-    if report is not None:
-        out["banner_report"] = {k: int(o.get["rows"]) for k, o in report.items()}  # type: ignore[assignment]
     if "cd_campaign" in ods and "banner_events" in out:
         banners = spark.read.parquet(out["banner_events"])
         out["cd_campaign"] = lifecycle.write_layer(
             marts.campaign_budget_metrics(banners, ods["cd_campaign"]),
             _layer(lake_root, "ods", "cd_campaign"))
+    # Only frames that were written have filled observations (reading an
+    # unfilled one would wait for an action that never comes).
+    out["report"] = {entity: {stage: int(o.get["rows"]) for stage, o in stages.items()}  # type: ignore[assignment]
+                     for entity, stages in report.items() if entity in out}
+    if "banner_events" in out["report"]:
+        out["banner_report"] = out["report"]["banner_events"]  # type: ignore[assignment]
     return out
 
 

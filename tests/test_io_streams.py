@@ -278,3 +278,17 @@ def test_append_stream_can_require_existing_table(spark, tmp_path):
         pass
     else:
         raise AssertionError("expected FileNotFoundError")
+
+
+def test_ods_report_counts_every_entity(spark):
+    from campaignlake.plans import flows
+    from campaignlake.sources import deliveries as V
+    from tests.conftest import SF_SMALL
+    root, lake = new_scratch(spark, "t-delivery2"), new_scratch(spark, "t-lake2")
+    V.write_delimited_delivery(spark, SF_SMALL, root)
+    flows.load_raw_delivery(spark, root, lake)
+    rep = flows.build_ods(spark, lake)["report"]
+    assert set(rep) == {"banner_events", "installs", "fct_actions", "cd_banner", "cd_campaign", "cd_user"}
+    raw_installs = spark.read.parquet(f"{lake}/raw/installs").count()
+    assert rep["installs"]["rows_read"] == raw_installs >= rep["installs"]["rows_with_user"]
+    assert rep["cd_banner"]["rows_deduplicated"] == 100 < rep["cd_banner"]["rows_read"]
