@@ -88,12 +88,13 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
     """Keep a row unless the previous row of the same key (by ts, then id) is
     less than ``minutes`` earlier.
 
-    Copies at the same time collapse first (grouped, combined map-side); the
+    Copies at the same time collapse first (grouped, combined map-side).  The
     window is then partitioned by key *and* a time bucket as wide as the
-    window, so one very active key is spread over many tasks; the last event
-    of the preceding bucket comes from a grouped ``max`` joined on
-    (key, bucket + 1).  ``prior`` (key columns + ``last_ts``) supplies the
-    last event seen before ``df`` (incremental use on micro-batches).
+    rule, so one very active key is spread over many tasks.  Each row is also
+    sent, as context only, to the next bucket: the previous row of the first
+    row of a bucket is then found by the same ``lag`` (one shuffle, no join).
+    ``prior`` (key columns + ``last_ts``) supplies the last event seen before
+    ``df`` (incremental use on micro-batches).
     """
     key = list(key)
     width_us = minutes * 60 * 1_000_000
@@ -102,20 +103,18 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
     # others follow it at distance 0), so collapse them first with the
     # map-side-combined aggregate; a burst of copies never reaches the window.
     firsts = keep_first(df, [*key, ts], [order])
-    bucketed = firsts.withColumn("_bucket", F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us)))
+    own = F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us))
+    rows = (firsts.withColumn("_own", own)
+            .withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1))))
     w = Window.partitionBy(*key, "_bucket").orderBy(F.col(ts), F.col(order))
-    with_prev = bucketed.withColumn("_prev", F.lag(ts).over(w))
-    last_of_bucket = (bucketed.groupBy(*key, "_bucket")
-                      .agg(F.max(ts).alias("_prev_bucket_last"))
-                      .withColumn("_bucket", F.col("_bucket") + 1))
-    joined = with_prev.join(last_of_bucket, [*key, "_bucket"], "left")
-    earlier = F.col("_prev_bucket_last")
+    with_prev = (rows.withColumn("_prev", F.lag(ts).over(w))
+                 .filter(F.col("_bucket") == F.col("_own")))
+    prev = F.col("_prev")
     if prior is not None:
-        joined = joined.join(prior.select(*key, F.col("last_ts").alias("_prior_last")), key, "left")
-        earlier = F.greatest(earlier, F.col("_prior_last"))
-    prev = F.coalesce(F.col("_prev"), earlier)
+        with_prev = with_prev.join(prior.select(*key, F.col("last_ts").alias("_prior_last")), key, "left")
+        prev = F.coalesce(prev, F.col("_prior_last"))
     limit = F.col(ts) - F.expr(f"INTERVAL {minutes} MINUTES")
-    kept = joined.filter(prev.isNull() | (prev <= limit))
+    kept = with_prev.filter(prev.isNull() | (prev <= limit))
     return kept.select(*df.columns)
 
 
