@@ -68,3 +68,34 @@ def test_half_up_ratio_is_exact(spark, pairs, scale):
         q = Fraction(n, d) * m
         want.append(float(int(q + Fraction(1, 2))) / m)
     assert got == want
+
+
+def _bid_rule(segment, p):
+    seg = "default" if segment is None else segment
+    seg = seg.strip().lower()
+    if "high" in seg or "spend" in seg or (p is not None and p >= 0.5):
+        return "high_spend +20%"
+    if "low" in seg or "active" in seg:
+        return "low_active стандарт"
+    return "стандарт"
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(
+    st.one_of(st.none(), st.sampled_from(["high_spend", " Low_Active ", "youth", "HIGH", "inactive", "default",
+                                          "automobile", "", "spender"])),
+    st.one_of(st.none(), st.sampled_from([0.0, 0.1, 0.4999, 0.5, 0.7, 1.0]))), min_size=1, max_size=30))
+def test_bid_rule_matches_python_rule(spark, rows):
+    df = spark.createDataFrame(rows, "segment string, probability_click double")
+    got = [r[0] for r in df.select(C.recommend_bid()).collect()]
+    assert got == [_bid_rule(s, p) for s, p in rows]
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(st.integers(0, 10**7), st.integers(0, 99), st.sampled_from([",", "."]),
+                               st.sampled_from(["", " ", "  "])), min_size=1, max_size=20))
+def test_budget_parsing_matches_python(spark, vals):
+    texts = [f"{pad}{w}{sep}{c:02d}{pad}" for w, c, sep, pad in vals]
+    df = spark.createDataFrame([(t,) for t in texts], "b string")
+    got = [r[0] for r in df.select(C.parse_decimal_comma("b")).collect()]
+    assert got == [float(t.strip().replace(",", ".")) for t in texts]
