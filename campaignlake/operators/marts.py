@@ -7,7 +7,9 @@ reduced to one row per (user_id, date) -- distinct installers, summed action
 revenue -- so the join with the exposure set is one-to-one on its key and
 ``count(*)`` equals ``count(DISTINCT user_id)`` without a distinct-aggregate
 expansion.  Both reduced sides come out of their aggregate already hash
-partitioned on (user_id, date), the join key.
+partitioned on (user_id, date), the join key.  The full mart folds installs
+and actions into one such per-(user, date) aggregate and joins it once to
+the per-(user, date, campaign) impression counts (``campaign_daily_full``).
 """
 
 from __future__ import annotations
