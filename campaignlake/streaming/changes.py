@@ -68,6 +68,22 @@ def route_topics(messages: DataFrame, regex: str = ROUTE_REGEX, replacement: str
     return messages.withColumn(topic_col, F.regexp_replace(F.col(topic_col), f"^(?:{regex})$", replacement))
 
 
+def route_stream_to_tables(spark: SparkSession, source: str, root: str, checkpoint: str | None = None,
+                           regex: str = ROUTE_REGEX, replacement: str = ROUTE_REPLACEMENT,
+                           available_now: bool = True):
+    """Message records (folder) -> routed topic names -> one Parquet folder
+    per target topic under ``root`` (``topic=<name>``), appended by a stream."""
+    msgs = route_topics(parse_feed_lines(spark.readStream.format("text").load(source)), regex, replacement)
+    w = (msgs.writeStream.format("parquet").outputMode("append").partitionBy("topic")
+         .option("path", root)
+         .option("checkpointLocation", checkpoint or new_scratch(spark, "checkpoint-routes")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=COMMIT_INTERVAL)
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def latest_rows(table: DataFrame, key=("key",), order: str = "ts_ms") -> DataFrame:
     """Newest row per key (the append sink keeps every version)."""
     key = list(key)

@@ -292,3 +292,15 @@ def test_ods_report_counts_every_entity(spark):
     raw_installs = spark.read.parquet(f"{lake}/raw/installs").count()
     assert rep["installs"]["rows_read"] == raw_installs >= rep["installs"]["rows_with_user"]
     assert rep["cd_banner"]["rows_deduplicated"] == 100 < rep["cd_banner"]["rows_read"]
+
+
+def test_route_stream_to_tables(spark, tmp_path):
+    src = str(tmp_path / "feed")
+    _write_text(os.path.join(src, "part-0.json"),
+                '{"key":"k1","value":"{}","topic":"cdc.ods.fct_actions","ts_ms":1,"seq":0}\n'
+                '{"key":"k2","value":"{}","topic":"cdc.ods.other","ts_ms":2,"seq":0}\n')
+    root = new_scratch(spark, "t-routes")
+    changes.route_stream_to_tables(spark, src, root)
+    got = sorted((r.key, r.topic) for r in spark.read.parquet(root).collect())
+    assert got == [("k1", "raw_actions"), ("k2", "cdc.ods.other")]
+    assert os.path.isdir(os.path.join(root.replace("file:", ""), "topic=raw_actions"))
