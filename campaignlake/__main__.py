@@ -71,12 +71,24 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bootstrap", default=None)
     p.add_argument("--continuous", action="store_true", help="run with a 300 s trigger instead of once")
 
+    for name, help_text in (("stream-events", "messages -> de-duplicated ods.banner_events (watermarked)"),
+                            ("stream-window", "messages -> events without repeats within 10 minutes"),
+                            ("ship-lines", "tail delimited files into JSON log messages")):
+        p = sub.add_parser(name, help=help_text)
+        p.add_argument("--source", required=True)
+        p.add_argument("--table", required=True)
+        p.add_argument("--checkpoint", required=True)
+        if name != "ship-lines":
+            p.add_argument("--format", default="text", choices=["text", "kafka"])
+            p.add_argument("--bootstrap", default=None)
+        p.add_argument("--continuous", action="store_true", help="keep running instead of once")
+
     args = ap.parse_args(argv)
 
     from campaignlake.operators import lifecycle, model
     from campaignlake.plans import flows
     from campaignlake.session import build_session
-    from campaignlake.streaming import changes
+    from campaignlake.streaming import changes, events
 
     spark = build_session(app_name=f"campaignlake-{args.job}", profile=args.profile)
     opts = {"kafka.bootstrap.servers": args.bootstrap} if getattr(args, "bootstrap", None) else None
@@ -102,6 +114,18 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "tier":
         lifecycle.tier_hot_cold(spark, args.table, args.cold, args.partition, args.as_of,
                                 args.hot_days, args.ttl_days)
+    elif args.job in ("stream-events", "stream-window", "ship-lines"):
+        once = not args.continuous
+        if args.job == "stream-events":
+            q = events.stream_banner_events(spark, args.source, args.table, args.checkpoint,
+                                            available_now=once, fmt=args.format, options=opts)
+        elif args.job == "stream-window":
+            q = events.stream_dedup_within_window(spark, args.source, args.table, args.checkpoint,
+                                                  available_now=once, fmt=args.format, options=opts)
+        else:
+            q = events.ship_lines(spark, args.source, args.table, args.checkpoint, available_now=once)
+        if args.continuous:
+            q.awaitTermination()
     elif args.job == "stream-changes":
         q = changes.append_stream_to_table(spark, args.source, args.table, args.checkpoint,
                                            available_now=not args.continuous, fmt=args.format,

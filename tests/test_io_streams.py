@@ -243,6 +243,7 @@ def test_csv_flow_reports_dedup_counts_and_reruns_idempotently(spark):
 def test_command_line_jobs(spark):
     from campaignlake.__main__ import main
     from campaignlake.sources import deliveries as V
+    from campaignlake.sources import domain as D
     from tests.conftest import SF_SMALL
     root, lake = new_scratch(spark, "t-cli-delivery"), new_scratch(spark, "t-cli-lake")
     V.write_delimited_delivery(spark, SF_SMALL, root)
@@ -251,6 +252,12 @@ def test_command_line_jobs(spark):
     main(["--profile", "local", "compact", "--table", f"{lake}/ods/banner_events", "--rows-per-file", "100"])
     cold = new_scratch(spark, "t-cli-cold")
     main(["--profile", "local", "tier", "--table", f"{lake}/ods/banner_events", "--cold", cold, "--as-of", "2024-02-15"])
+    msgs = V.write_messages(V.banner_messages(D.raw_banner_events(spark, SF_SMALL)),
+                            new_scratch(spark, "t-cli-msgs"))
+    ev_table = new_scratch(spark, "t-cli-events")
+    main(["--profile", "local", "stream-events", "--source", msgs, "--table", ev_table,
+          "--checkpoint", new_scratch(spark, "t-cli-ckpt")])
+    assert spark.read.parquet(ev_table).count() > 0
     mart = spark.read.parquet(f"{lake}/dm/campaign_daily")
     feats = spark.read.parquet(f"{lake}/ml/user_features")
     hot, cold_rows = spark.read.parquet(f"{lake}/ods/banner_events").count(), spark.read.parquet(cold).count()
