@@ -111,8 +111,12 @@ def q_stratified_split(spark, sf):
 
 
 def _model_path(spark, sf):
-    """Where the click model of one input folder is saved (shared scratch)."""
-    digest = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12]
+    """Where the click model of one input folder is saved (shared scratch).
+    The key covers the input, the feature list, the split and the
+    hyper-parameters, so a changed definition never loads an old model."""
+    spec = repr((sf.rstrip("/"), SNAPSHOT_DATE, model.NUMERIC_FEATURES, model.CATEGORICAL_FEATURES,
+                 sorted(model.GBT_PARAMS.items()), model.SPLIT_SEED, model.TRAIN_FRACTION))
+    digest = hashlib.sha1(spec.encode()).hexdigest()[:16]
     return f"{scratch_root(spark)}/models/click-{digest}"
 
 
