@@ -23,6 +23,10 @@ def _bag(rows, cols):
     return Counter(tuple(_norm(r[c]) for c in cols) for r in rows)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
@@ -30,6 +34,9 @@ def test_query_matches_oracle(spark, duck, name):
     srows = [r.asDict() for r in sdf.collect()]
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for f in sdf.schema.fields:
+        assert _TYPES.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     drows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert len(srows) == len(drows)
     assert _bag(srows, cols) == _bag(drows, cols)
