@@ -58,3 +58,15 @@ def test_partitioned_writes_are_rebalanced(spark):
     assert "RebalancePartitions [event_date" in _explain(df)
     plain = ods_banners(spark, SF_SMALL).select("event_id")
     assert "RebalancePartitions" not in _explain(clustered_for_write(plain, []))
+
+
+def test_no_query_plans_a_cross_join_or_python_udf(spark):
+    import __spark_entry__ as E
+    found = []
+    for name, fn in E.queries().items():
+        if name in ("train_click_model", "score_users"):  # calling them trains a model
+            continue
+        text = _explain(fn(spark, SF_SMALL))
+        found += [(name, p) for p in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                                      "ArrowEvalPython") if p in text]
+    assert found == []
