@@ -6,9 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, packing
-from .common import table
+from . import html_text, langid, mixing, neardup, neighbours, packing, pii, quality, setjoin, toxicity
+from .common import remainder, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -25,12 +26,58 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(tokens, with_ids=False)
 
 
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(table(spark, sf_dir, "documents"), remainder("doc_id", 4) != 2)
+    return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    return out.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits", "n_misspelled", "n_quoted")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op10_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op2_hnsw": op2_hnsw,
     "op3_mix": op3_mix,
+    "op4_neardup": op4_neardup,
+    "op5_langid": op5_langid,
+    "op6_quality": op6_quality,
+    "op7_html": op7_html,
+    "op8_toxicity": op8_toxicity,
+    "op9_pii": op9_pii,
+    "op10_setjoin": op10_setjoin,
 }
 ORACLE: dict[str, str] = {}
