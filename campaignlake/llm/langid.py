@@ -163,6 +163,22 @@ def label_texts(texts: list, model: crf.Crf, emissions: WordEmissions) -> Iterat
             emissions.fresh()
 
 
+def _predict(texts: list, model: crf.Crf | None, emissions: WordEmissions | None) -> tuple:
+    """Languages, scores, words and switches of ``texts``."""
+    n = len(texts)
+    names, scores = [UNKNOWN] * n, np.zeros(n)
+    words, switches = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for i, rows, gamma in label_texts(texts, model, emissions) if model else ():
+        gamma = gamma[rows > 0]
+        if len(gamma):
+            mass = gamma.sum(axis=0, dtype=np.float64)
+            best = int(mass.argmax())
+            names[i], scores[i] = model.labels[best], min(1.0, mass[best] / mass.sum())
+            top = gamma.argmax(axis=1)
+            words[i], switches[i] = len(top), int((top[1:] != top[:-1]).sum())
+    return names, scores, words, switches
+
+
 def identify(docs: DataFrame, usable: Column) -> DataFrame:
     """(doc_id, lang_pred, score, n_words, n_switches) of every row of
     ``docs``; ``usable`` says which rows may be learnt from.  n_words are those
@@ -171,26 +187,26 @@ def identify(docs: DataFrame, usable: Column) -> DataFrame:
     fitted = fit(training_rows(docs, usable))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, emissions = None, None
-        if fitted:
-            model = fitted[0]
-            emissions = WordEmissions(*fitted)
+        model, emissions = (fitted[0], WordEmissions(*fitted)) if fitted else (None, None)
         for batch in batches:
-            n = batch.num_rows
-            names, scores = [UNKNOWN] * n, np.zeros(n)
-            words, switches = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for i, rows, gamma in label_texts(batch.column(1).to_pylist(), model, emissions) if fitted else ():
-                gamma = gamma[rows > 0]
-                if len(gamma):
-                    mass = gamma.sum(axis=0, dtype=np.float64)
-                    best = int(mass.argmax())
-                    names[i], scores[i] = model.labels[best], min(1.0, mass[best] / mass.sum())
-                    top = gamma.argmax(axis=1)
-                    words[i], switches[i] = len(top), int((top[1:] != top[:-1]).sum())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores),
-                                              pa.array(words), pa.array(switches)],
+            names, *numbers = _predict(batch.column(1).to_pylist(), model, emissions)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), *map(pa.array, numbers)],
                                              ["doc_id", "lang_pred", "score", "n_words", "n_switches"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, lang_pred string, score double, n_words long, n_switches long")
+
+
+def accepted(docs: DataFrame, usable: Column, least: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` whose language is known with a score of ``least`` or
+    more, unchanged."""
+    fitted, at = fit(training_rows(docs, usable)), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, emissions = (fitted[0], WordEmissions(*fitted)) if fitted else (None, None)
+        for batch in batches:
+            names, scores, *_ = _predict(batch.column(at).to_pylist(), model, emissions)
+            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(names, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

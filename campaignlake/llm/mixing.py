@@ -141,3 +141,20 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
                  F.count(F.when((F.col("round") == 0) & (F.col("lo") == 0), 1)).alias("rows"),
                  F.array_sort(F.collect_list(F.when(used, F.struct("slot", "round", "lo", "hi")))).alias("pieces"))
             .withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int")))).drop("_", "rows"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """The mix as rows of ``docs``, in schedule order: a document stands once
+    for every round of which the mix takes half its words or more, whole.  Rows
+    of the same id, source and text are one document here."""
+    key = ["doc_id", "source", "text_hash"]
+    taken = (mix(docs, weights, share, most).select(*key, "first", "size", F.explode("pieces").alias("p"))
+             .groupBy(*key, "first", "size", F.col("p.round").alias("round"))
+             .agg(F.sum(F.col("p.hi") - F.col("p.lo")).alias("n"), F.min("p.slot").alias("slot"))
+             .where(F.col("n") * 2 >= F.col("size"))
+             .select(*(F.col(c).alias(f"__mix_{c}") for c in key), F.col("slot").alias("__mix_slot")))
+    named = docs.withColumn("__mix_hash", F.xxhash64("text"))
+    single = named.dropDuplicates(["doc_id", "source", "__mix_hash"])
+    return (single.join(taken, single["doc_id"].eqNullSafe(F.col("__mix_doc_id")) & single["source"].eqNullSafe(F.col("__mix_source"))
+                        & (F.col("__mix_hash") == F.col("__mix_text_hash")))
+            .repartitionByRange("__mix_slot").sortWithinPartitions("__mix_slot", "doc_id").select(*docs.columns))

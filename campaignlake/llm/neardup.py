@@ -17,7 +17,7 @@ block by block; a pair that meets in several tables counts in the first.  Pairs
 are never emitted: a task returns link counts by vector and a spanning forest.
 
 Equal vectors of a label are one node with a weight.  Defined cases: a null
-label, or a vector that is null, empty, zero or has a null or non-finite
+id or label, or a vector that is null, empty, zero or has a null or non-finite
 component, links with nothing; vectors of different dimension never link;
 repeated rows are copies of one another; an empty table gives an empty result;
 other columns are not read.
@@ -212,7 +212,7 @@ def link_counts(codes: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(rows: DataFrame, threshold: float, id_column: str = "vec_id", vector: str = "embedding",
                     label: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
-    taking = F.coalesce(usable(vector), F.lit(False)) & F.col(label).isNotNull()
+    taking = F.coalesce(usable(vector), F.lit(False)) & F.col(label).isNotNull() & F.col(id_column).isNotNull()
     base = rows.select(F.col(id_column).cast("long").alias("vec_id"),
                        F.when(taking, F.col(label)).alias("label"), F.when(taking, F.col(vector)).alias("vector"))
     nodes = written(base.where("label is not null").groupBy("label", "vector")

@@ -336,7 +336,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     stars = posts.join(lists.select("key", "a"), "key").where("node <> a").select("a", F.col("node").alias("b"))
     groups = connected_components(stars)
 
-    classes = written(sets.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles")
+    classes = written(sets.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
                       .agg(F.min("doc_id").alias("first_id")), "classes")
     members = classes.join(groups, F.col("s1") == F.col("node")).select("first_id", "s1", "n_shingles", "component")
     blocks = members.groupBy("component").agg(
@@ -354,3 +354,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             .select("s1", "s2", "n_shingles", F.coalesce("component", "first_id").alias("found")))
     return (sets.join(ends, ["s1", "s2", "n_shingles"], "left")
             .select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each group of near copies: the one with
+    the smallest id.  Rows of one id are one document; a null id is no
+    document and goes."""
+    first = (jaccard_components(docs, n, num, den).where("doc_id = component_id").select(F.col("doc_id").alias("__first_id")).distinct())
+    return (docs.join(first, docs["doc_id"] == first["__first_id"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))

@@ -42,4 +42,4 @@ def stacked(column: pa.Array, dtype: str) -> np.ndarray:
 
 
 def rows_of(df: DataFrame, id_column: str, vector: str, *more: str) -> DataFrame:
-    return df.where(usable(vector)).select(id_column, vector, *more)
+    return df.where(usable(vector) & F.col(id_column).isNotNull()).select(id_column, vector, *more)
