@@ -30,55 +30,80 @@ from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, written
 
 LENGTH = 2048
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 CACHED_LENGTH = 40
 BATCH_BYTES = 16 << 20
 
 # A space is an edge of the tokenizer's word pattern when neither neighbour is
 # white space; a text without a space beside other white space is split plainly.
-_UNEVEN = re.compile(r" \s|\s ")
+_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _EDGE = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = ".,;:!?%&#$*|"
+
+
+def byte_letters() -> list[str]:
+    """The letter by which a byte-level vocabulary writes each byte: printable
+    Latin-1 stands for itself, the others follow from 256 on in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
 class WordEncoder(dict):
-    """Token ids of a text as bytes.  Keeps the ids of " " + word by word, for
-    at most ``CACHED_WORDS`` short words; the table starts anew when full."""
+    """Token ids of a text as bytes.  Keeps the ids of " " + word by word: two
+    generations of at most ``CACHED_WORDS`` short words; the older goes when the
+    newer is full, words used meanwhile having moved on."""
 
     def __init__(self, path: str, dtype: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.dtype = dtype
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # a word of letters is one piece for a plain byte-level tokenizer: its merges alone are needed
+        self.model = self.tokenizer.model if "ByteLevel" in str(self.tokenizer.pre_tokenizer) and not (
+            self.tokenizer.normalizer) and type(self.tokenizer.model).__name__ == "BPE" else None
+        self.letters = byte_letters()
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def letters_only(self, word: str) -> bytes:
+        written = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        return np.array([t.id for t in self.model.tokenize(self.letters[32] + written)], self.dtype).tobytes()
+
     def __missing__(self, word: str) -> bytes:
-        # letters followed by marks: the pattern cuts between the two
-        letters = word.rstrip(".,;:!?%&#$*|")
-        if letters and len(letters) < len(word) and letters.isalpha():
-            out = self[letters] + self.marks(word[len(letters):])
-        else:
-            out = self.ids(" " + word)
+        out = self.older.get(word)
+        if out is None:
+            # letters followed by marks: the pattern cuts between the two
+            letters = word.rstrip(_MARKS)
+            if self.model is None or not letters.isalpha():
+                out = self.ids(" " + word)
+            elif len(letters) < len(word):
+                out = self[letters] + self.marks(word[len(letters):])
+            else:
+                out = self.letters_only(word)
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = out
         return out
 
     def marks(self, text: str) -> bytes:
-        key = "\x00" + text  # no word of a split text equals it: words with a NUL are longer or other keys
+        key = " " + text  # words hold no space
         out = dict.get(self, key)
         if out is None:
             out = self[key] = self.ids(text)
         return out
 
     def text(self, text: str) -> bytes:
-        if "\x00" in text:
-            return self.ids(text)
-        first, *rest = _EDGE.split(text) if _UNEVEN.search(text) else text.split(" ")
+        if "  " in text or " \n" in text or "\n " in text or _OTHER_SPACE.search(text):
+            first, *rest = _EDGE.split(text)
+        else:
+            first, *rest = text.split(" ")
         return self.ids(first) + b"".join(map(self.__getitem__, rest))
 
 
