@@ -143,11 +143,12 @@ def recommend_bid(segment="segment", probability="probability_click") -> Column:
 
 
 def event_identity(banner_id="banner_id", user_id="user_id", event_ts="event_ts") -> Column:
-    """Deterministic event id: sha-256 of 'banner_user_timestamp'.
+    """Deterministic event id: sha-256 of 'banner_user_timestamp', a NULL part
+    being written as '~'.
 
     The timestamp is rendered with an explicit microsecond format so that the
     text does not depend on engine defaults.
     """
     ts_text = F.date_format(_c(event_ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.sha2(F.concat_ws("_", _c(banner_id).cast("string"),
-                              _c(user_id).cast("string"), ts_text), 256)
+    parts = (_c(banner_id).cast("string"), _c(user_id).cast("string"), ts_text)
+    return F.sha2(F.concat_ws("_", *[F.coalesce(p, F.lit("~")) for p in parts]), 256)

@@ -4,22 +4,18 @@ from __future__ import annotations
 
 import re
 
-_BRACKET_TAIL = re.compile(r"\s*\(.*\)\s*$")
-_NON_WORD = re.compile(r"[^\w]")
-_RUNS = re.compile(r"_+")
-
 
 def clean_name(name: str) -> str:
     """'placement (сайт/приложение/соцсеть)' -> 'placement', 'User_id' -> 'user_id'.
 
-    A trailing bracketed explanation is cut first; then every non-word
-    character becomes '_', runs collapse to one, ends are stripped and the
-    name is lower-cased.  An empty result becomes 'col'.
+    What follows an opening bracket explains the name and is cut when the name
+    ends with a closing one.  The words that remain (runs of letters and
+    digits) are joined by '_' in lower case; without any the name is 'col'.
     """
-    n = (name or "").strip().lstrip("﻿").strip()
-    n = _BRACKET_TAIL.sub("", n)
-    n = _RUNS.sub("_", _NON_WORD.sub("_", n)).strip("_").lower()
-    return n or "col"
+    text = (name or "").lstrip("\ufeff \t").rstrip()
+    if text.endswith(")") and "(" in text:
+        text = text.partition("(")[0]
+    return "_".join(w.lower() for w in re.split(r"[\W_]", text) if w) or "col"
 
 
 def clean_names(names: list[str]) -> list[str]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -90,32 +90,40 @@ def dedup_within_window(df: DataFrame, key: Sequence[str] = ("banner_id", "user_
 
     Copies at the same time collapse first (grouped, combined map-side).  The
     window is then partitioned by key *and* a time bucket as wide as the
-    rule, so one very active key is spread over many tasks.  Each row is also
-    sent, as context only, to the next bucket: the previous row of the first
-    row of a bucket is then found by the same ``lag`` (one shuffle, no join).
-    ``prior`` (key columns + ``last_ts``) supplies the last event seen before
-    ``df`` (incremental use on micro-batches).
+    rule, so one very active key is spread over many tasks.  The last event
+    of each bucket (a grouped maximum: key and time only) is context for the
+    next one, so the previous row of a bucket's first row is found by the same
+    ``lag``.  ``prior`` (key columns, ``ts`` and ``order``) holds earlier
+    events that are context only (incremental use on micro-batches); at equal
+    times they come first.  NULL keys are keys like others.
     """
     key = list(key)
     width_us = minutes * 60 * 1_000_000
     ts_type = df.schema[ts].dataType.simpleString()
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us)))
+
     # Rows with the same key and time: only the smallest id can survive (the
     # others follow it at distance 0), so collapse them first with the
     # map-side-combined aggregate; a burst of copies never reaches the window.
-    firsts = keep_first(df, [*key, ts], [order])
-    own = F.floor(C.epoch_micros(ts, ts_type) / F.lit(width_us))
-    rows = (firsts.withColumn("_own", own)
-            .withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1))))
-    w = Window.partitionBy(*key, "_bucket").orderBy(F.col(ts), F.col(order))
-    with_prev = (rows.withColumn("_prev", F.lag(ts).over(w))
-                 .filter(F.col("_bucket") == F.col("_own")))
-    prev = F.col("_prev")
+    firsts = bucketed(keep_first(df, [*key, ts], [order]))
+    slim = firsts.select(*key, ts, order, "_bucket")
+    parts = [firsts.withColumn("_own", F.lit(True))]
     if prior is not None:
-        with_prev = with_prev.join(prior.select(*key, F.col("last_ts").alias("_prior_last")), key, "left")
-        prev = F.coalesce(prev, F.col("_prior_last"))
+        context = bucketed(prior.select(*key, ts, order))
+        parts.append(context.withColumn("_own", F.lit(False)))
+        slim = slim.unionByName(context)
+    last = slim.groupBy(*key, "_bucket").agg(F.max(F.struct(ts, order)).alias("_last"))
+    parts.append(last.select(*key, F.col(f"_last.{ts}").alias(ts), F.col(f"_last.{order}").alias(order),
+                             (F.col("_bucket") + 1).alias("_bucket"), F.lit(False).alias("_own")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    w = Window.partitionBy(*key, "_bucket").orderBy(F.col(ts), F.col("_own"), F.col(order))
+    with_prev = rows.withColumn("_prev", F.lag(ts).over(w)).filter("_own")
     limit = F.col(ts) - F.expr(f"INTERVAL {minutes} MINUTES")
-    kept = with_prev.filter(prev.isNull() | (prev <= limit))
-    return kept.select(*df.columns)
+    return with_prev.filter(F.col("_prev").isNull() | (F.col("_prev") <= limit)).select(*df.columns)
 
 
 def clean_banner_events_observed(raw: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
@@ -180,46 +188,49 @@ def add_event_identity(df: DataFrame) -> DataFrame:
 
 
 # B19 -----------------------------------------------------------------------
-def _duplicate_rows(df: DataFrame, key: Sequence[str], relation: str) -> DataFrame:
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations")) \
-        .select(F.lit("duplicate_key").alias("check"), F.lit(relation).alias("relation"), "violations")
-
-
-def _orphan_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str, relation: str,
-                 weight: str | None = None) -> DataFrame:
-    # Count fact rows per key first (map-side combine), then anti-join the
-    # small per-key counts against the dimension keys.  ``weight``: the fact
-    # is already a count table (rows per key combination).
-    n = F.sum(weight) if weight else F.count(F.lit(1))
-    per_key = fact.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(n.alias("_n"))
-    keys = dim.select(F.col(pk).alias("_k")).distinct()
-    missing = per_key.join(keys, "_k", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")) \
-        .select(F.lit("orphan").alias("check"), F.lit(relation).alias("relation"), "violations")
-
-
 def check_relations(banners: DataFrame, installs: DataFrame, actions: DataFrame,
                     cd_banner: DataFrame, cd_campaign: DataFrame, cd_user: DataFrame) -> DataFrame:
     """Primary-key uniqueness of the dictionaries and fact keys missing from
-    their dictionary: rows (check, relation, violations)."""
-    # One pre-aggregation of the impressions serves the three banner checks.
-    keys = banners.groupBy("banner_id", "campaign_id", "user_id").agg(F.count(F.lit(1)).alias("_rows"))
-    parts = [
-        _duplicate_rows(cd_banner, ["banner_id"], "cd_banner"),
-        _duplicate_rows(cd_campaign, ["campaign_id"], "cd_campaign"),
-        _duplicate_rows(cd_user, ["user_id"], "cd_user"),
-        _orphan_rows(keys, "banner_id", cd_banner, "banner_id", "banner_events.banner_id->cd_banner", "_rows"),
-        _orphan_rows(keys, "campaign_id", cd_campaign, "campaign_id",
-                     "banner_events.campaign_id->cd_campaign", "_rows"),
-        _orphan_rows(keys, "user_id", cd_user, "user_id", "banner_events.user_id->cd_user", "_rows"),
-        _orphan_rows(installs, "user_id", cd_user, "user_id", "installs.user_id->cd_user"),
-        _orphan_rows(actions, "user_id", cd_user, "user_id", "fct_actions.user_id->cd_user"),
-    ]
-    out = parts[0]
+    their dictionary: rows (check, relation, violations).
+
+    duplicate_key: rows of a dictionary beyond the first of their key (rows
+    without a key are not counted).  orphan: fact rows whose key, not NULL, is
+    in no dictionary row.  The dictionaries are given as delivered.
+
+    One pass: every fact and every dictionary is counted by key (combined
+    map-side); the counts of a relation's two sides meet in one grouped sum."""
+    # one pre-aggregation of the impressions serves their three relations
+    shown = banners.groupBy("banner_id", "campaign_id", "user_id").agg(F.count(F.lit(1)).alias("_rows"))
+    facts = [(shown, "banner_events", "banner_id", "cd_banner"), (shown, "banner_events", "campaign_id", "cd_campaign"),
+             (shown, "banner_events", "user_id", "cd_user"),
+             (installs.withColumn("_rows", F.lit(1)), "installs", "user_id", "cd_user"),
+             (actions.withColumn("_rows", F.lit(1)), "fct_actions", "user_id", "cd_user")]
+    dictionaries = {"cd_banner": (cd_banner, "banner_id"), "cd_campaign": (cd_campaign, "campaign_id"),
+                    "cd_user": (cd_user, "user_id")}
+    names = [f"{fact}.{k}->{d}" for _, fact, k, d in facts]
+
+    def by_key(df: DataFrame, key: str, rows: Column, is_fact: bool, relations: list[str]) -> DataFrame:
+        counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("_k")).agg(F.sum(rows).alias("_n"))
+        return counts.select("_k", F.explode(F.array(*map(F.lit, relations))).alias("relation"),
+                             F.when(F.lit(is_fact), F.col("_n")).otherwise(0).alias("_fact"),
+                             F.when(F.lit(not is_fact), F.col("_n")).otherwise(0).alias("_dict"))
+
+    parts = [by_key(df, k, F.col("_rows"), True, [name]) for (df, _, k, _), name in zip(facts, names)]
+    parts += [by_key(df, k, F.lit(1), False, [d, *(n for n in names if n.endswith(f"->{d}"))])
+              for d, (df, k) in dictionaries.items()]
+    both = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        both = both.unionByName(p)
+    per_key = both.groupBy("relation", "_k").agg(F.sum("_fact").alias("_fact"), F.sum("_dict").alias("_dict"))
+    is_orphan = F.col("relation").contains("->")
+    bad = F.when(is_orphan, F.when(F.col("_dict") == 0, F.col("_fact"))).otherwise(F.col("_dict") - 1)
+    found = per_key.groupBy("relation").agg(F.sum(bad).alias("_bad"))
+    # relations whose tables are empty have no row above
+    spark = banners.sparkSession
+    every = spark.range(1).select(F.explode(F.array(*map(F.lit, [*dictionaries, *names]))).alias("relation"))
+    return every.join(found, "relation", "left").select(
+        F.when(is_orphan, "orphan").otherwise("duplicate_key").alias("check"), "relation",
+        F.coalesce("_bad", F.lit(0)).cast("bigint").alias("violations"))
 
 
 # B53 -----------------------------------------------------------------------

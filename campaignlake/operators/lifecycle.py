@@ -3,25 +3,28 @@
 Tables are folders of Parquet partitioned by a DATE column.  Every rewrite
 uses dynamic partition overwrite, so only the partitions present in the
 written frame are replaced.  When a job rewrites partitions of the table it
-reads, the new content is first written to a fresh folder under the shared
-scratch root (lineage cut, restartable), then copied over.
+reads, the new content is first written to a fresh folder (lineage cut,
+restartable), then put in place.  Compaction and tiering keep a journal beside
+the data (folders starting with '_', which readers skip), so that a run after
+an interrupted one first brings the table back in order.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlake.operators.marts import upsert_rows
-from campaignlake.session import delete_path, new_scratch
+from campaignlake.session import (delete_path, list_files, list_folders, new_scratch, path_exists, read_note, rename_path,
+                                   write_note)
 
 # Hot retention and the default file size target.
 HOT_DAYS = 30
 ROWS_PER_FILE = 5_000_000
-MAX_BROADCAST_PARTITIONS = 100_000
 
 
 # B50 -----------------------------------------------------------------------
@@ -71,66 +74,124 @@ def stage(df: DataFrame, partition_by: Sequence[str] | str | None = None, name:
 
 
 # B28 -----------------------------------------------------------------------
+def partition_values(df: DataFrame, partition: str) -> list:
+    """Distinct values of a DATE partition column (one per day; None first)."""
+    return sorted((r[0] for r in df.select(partition).distinct().collect()), key=lambda v: (v is not None, v))
+
+
+def in_partitions(partition: str, values: list) -> Column:
+    """Literal partition filter, so that the scan reads these folders only."""
+    known = [F.lit(str(v)).cast("date") for v in values if v is not None]
+    hit = F.col(partition).isin(*known) if known else F.lit(False)
+    return hit | F.col(partition).isNull() if None in values else hit
+
+
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame,
                  key: Sequence[str] = ("date", "campaign_id"), partition: str = "date") -> str:
     """INSERT ... ON CONFLICT (key) DO UPDATE on a partitioned table: only the
-    partitions touched by ``updates`` are rewritten.  Running it twice with
-    the same updates gives the same table."""
+    partitions touched by ``updates`` are read and rewritten (their values are
+    a literal partition filter).  Running it twice with the same updates gives
+    the same table."""
     existing = read_table(spark, path)
     if existing is None:
         return write_layer(updates, path, partition)
     updates = stage(updates.select(*existing.columns), partition, "upsert-input")
-    n_touched = updates.select(partition).distinct().count()
-    merged = upsert_rows(existing, updates, key, partition,
-                         broadcast_touched=n_touched <= MAX_BROADCAST_PARTITIONS)
-    return write_layer(stage(merged, partition, "upsert"), path, partition)
+    touched = existing.where(in_partitions(partition, partition_values(updates, partition)))
+    return write_layer(stage(upsert_rows(touched, updates, key), partition, "upsert"), path, partition)
 
 
 # B51 -----------------------------------------------------------------------
+COMPACTED = "_compacted"  # new folders on their way in
+REPLACED = "_replaced"    # old folders on their way out
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    """After an interrupted swap: a partition whose old folder was moved out
+    but whose new one is not in place gets the old one back."""
+    for name in list_folders(spark, f"{path}/{REPLACED}"):
+        if path_exists(spark, f"{path}/{name}"):
+            delete_path(spark, f"{path}/{REPLACED}/{name}")
+        else:
+            rename_path(spark, f"{path}/{REPLACED}/{name}", f"{path}/{name}")
+    delete_path(spark, f"{path}/{REPLACED}")
+    delete_path(spark, f"{path}/{COMPACTED}")
+
+
 def compact_partitions(spark: SparkSession, path: str, partition: str, where: str | None = None,
                        rows_per_file: int = ROWS_PER_FILE) -> str:
-    """Rewrite the selected partitions into files of about ``rows_per_file``
-    rows.  A partition with more rows than that is spread over several tasks
-    by a hash salt, so one large day never lands in a single task."""
+    """Rewrite the partitions that hold a row of ``where`` into files of about
+    ``rows_per_file`` rows, each row being written once.  A partition with more rows than that
+    is spread over several tasks by a hash salt, so one large day never lands
+    in a single task.  The new folders are written beside the table and then
+    swapped in, one rename out and one in per partition."""
+    _finish_compaction(spark, path)
     df = spark.read.parquet(path)
-    sel = df.filter(where) if where else df
-    counts = sel.groupBy(partition).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.withColumn("_k", F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_file))))
-    n_parts = counts.count()
-    small = counts.select(partition, "_k")
-    if n_parts <= MAX_BROADCAST_PARTITIONS:  # one row per partition value: bounded, checked
-        small = F.broadcast(small)
-    data_cols = [c for c in df.columns if c != partition]
-    salted = (sel.join(small, partition)
-              .withColumn("_salt", F.pmod(F.xxhash64(*data_cols), F.col("_k")))
-              .repartition(partition, "_salt")
-              .drop("_k", "_salt"))
-    staged = write_layer(salted.select(*df.columns), new_scratch(spark, "compact"), partition,
-                         rebalance=False)
-    return write_layer(spark.read.parquet(staged), path, partition, rows_per_file=rows_per_file,
-                       rebalance=False)
+    sel = df.where(in_partitions(partition, partition_values(df.filter(where), partition))) if where else df
+    rows = {r[0]: r[1] for r in sel.groupBy(partition).count().collect()}  # one per day
+    files = {v: -(-n // rows_per_file) for v, n in rows.items()}
+    large = [x for v, k in files.items() if k > 1 and v is not None for x in (F.lit(str(v)).cast("date"), F.lit(k))]
+    spread = F.coalesce(F.try_element_at(F.create_map(*large), F.col(partition)), F.lit(1)) if large else F.lit(1)
+    salted = (sel.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in df.columns if c != partition]), spread))
+              .repartition(max(1, sum(files.values())), partition, "_salt").drop("_salt"))
+    write_layer(salted, f"{path}/{COMPACTED}", partition, rows_per_file=2 * rows_per_file, rebalance=False)
+    for name in list_folders(spark, f"{path}/{COMPACTED}"):
+        if "=" in name:
+            rename_path(spark, f"{path}/{name}", f"{path}/{REPLACED}/{name}")
+            rename_path(spark, f"{path}/{COMPACTED}/{name}", f"{path}/{name}")
+            delete_path(spark, f"{path}/{REPLACED}/{name}")
+    _finish_compaction(spark, path)
+    return path
 
 
 # B52 -----------------------------------------------------------------------
-def _delete_partitions(spark: SparkSession, path: str, partition: str, values: list[str]) -> None:
-    for v in values:
-        delete_path(spark, f"{path}/{partition}={v}")
+JOURNAL = "_tiering"
+MOVE = "move"  # partition column of the cold table: one value per tiering run
+
+
+def _finish_tiering(spark: SparkSession, path: str, cold_path: str) -> None:
+    """After an interrupted run: a move whose rows are all in the cold table
+    gets its hot files deleted; an unfinished move is taken back out of it."""
+    done, begun = (read_note(spark, f"{cold_path}/{JOURNAL}/{x}") for x in ("copied", "begun"))
+    if done is not None:
+        for f in done[1:]:
+            delete_path(spark, f"{path}/{f}")
+    elif begun is not None:
+        for month in list_folders(spark, cold_path):
+            for day in list_folders(spark, f"{cold_path}/{month}") if month.startswith("month=") else []:
+                delete_path(spark, f"{cold_path}/{month}/{day}/{MOVE}={begun[0]}")
+    delete_path(spark, f"{cold_path}/{JOURNAL}")
 
 
 def tier_hot_cold(spark: SparkSession, path: str, cold_path: str, partition: str, as_of: str,
                   hot_days: int = HOT_DAYS, ttl_days: int | None = None) -> tuple[str, str]:
     """Keep the last ``hot_days`` days (before ``as_of``) in the hot table;
-    move older days to the cold table partitioned by month (yyyy-MM) and day;
-    with ``ttl_days`` drop cold days older than that.  Each step is
-    idempotent, so a re-run after a failure finishes the move."""
-    df = spark.read.parquet(path)
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), hot_days)
-    cold = df.filter(F.col(partition) < cutoff).withColumn("month", F.date_format(partition, "yyyy-MM"))
-    moved = [r[0] for r in cold.select(F.date_format(partition, "yyyy-MM-dd")).distinct().collect()]
-    if moved:
-        write_layer(cold.select(*[c for c in cold.columns if c not in ("month", partition)],
-                                "month", partition), cold_path, ["month", partition])
-        _delete_partitions(spark, path, partition, moved)
+    move older days to the cold table partitioned by month (yyyy-MM), day and
+    move; with ``ttl_days`` drop cold days older than that.
+
+    Every run adds a partition value of its own (``move``), so rows that come
+    late for an archived day join it and nothing there is replaced.  Hot files
+    are listed first, copied, counted and only then deleted; a journal beside
+    the cold table lets the next run finish or take back an interrupted one."""
+    _finish_tiering(spark, path, cold_path)
+    df = read_table(spark, path)
+    if df is not None:
+        cold = df.filter(F.col(partition) < F.date_sub(F.lit(as_of).cast("date"), hot_days))
+        days = set(partition_values(cold, partition))
+        files = [f for f in list_files(spark, path) if f.split("/")[0] in {f"{partition}={d}" for d in days}]
+        if files:
+            move = f"{as_of}-{uuid.uuid4().hex[:8]}"
+            write_note(spark, f"{cold_path}/{JOURNAL}/begun", [move])
+            # exactly these files: rows that arrive meanwhile wait for the next run
+            moved = spark.read.schema(df.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in files])
+            moved = moved.withColumn("month", F.date_format(partition, "yyyy-MM")).withColumn(MOVE, F.lit(move))
+            write_layer(moved.select(*[c for c in df.columns if c != partition], "month", partition, MOVE),
+                        cold_path, ["month", partition, MOVE])
+            want = spark.read.option("basePath", path).parquet(*[f"{path}/{f}" for f in files]).count()
+            got = spark.read.parquet(cold_path).where(F.col(MOVE) == move).count()
+            if got != want:
+                raise RuntimeError(f"tiering copied {got} of {want} rows to {cold_path}; nothing was deleted")
+            write_note(spark, f"{cold_path}/{JOURNAL}/copied", [move, *files])
+            _finish_tiering(spark, path, cold_path)
     if ttl_days is not None:
         old = read_table(spark, cold_path)
         if old is not None:

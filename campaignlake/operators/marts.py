@@ -94,29 +94,6 @@ def exposure_counts(banners: DataFrame) -> DataFrame:
 _METRICS = ("impressions", "clicks", "installs", "conversions", "revenue")
 
 
-def campaign_daily_from_parts(daily: DataFrame, installs: DataFrame | None,
-                              actions: DataFrame | None,
-                              processing_date: str | None = None) -> DataFrame:
-    """Full outer combination of the per-(date, campaign) aggregates, NULL
-    metrics zero-filled *before* the ratios (ratios are never NULL):
-    ctr = clicks/impressions*100 (4 places), cpc = revenue/clicks (2),
-    cpm = revenue/impressions*1000 (2), conversion_rate = installs/clicks*100
-    (4), each 0 when its divisor is 0.  Rows with a NULL key are dropped.
-
-    Each input has one row per key, so the full outer join is computed as a
-    union followed by one grouped sum (a single small shuffle instead of two
-    sort-merge full joins)."""
-    parts = [p for p in (daily, installs, actions) if p is not None]
-    aligned = [p.select(*KEY, *[F.col(m).cast("bigint").alias(m) if m in p.columns
-                                else F.lit(None).cast("bigint").alias(m) for m in _METRICS])
-               for p in parts]
-    union = aligned[0]
-    for p in aligned[1:]:
-        union = union.unionByName(p)
-    summed = reject_null_keys(union).groupBy(*KEY).agg(*[F.sum(m).alias(m) for m in _METRICS])
-    return _finish_mart(summed, processing_date)
-
-
 def _finish_mart(summed: DataFrame, processing_date: str | None) -> DataFrame:
     """Zero-fill the metrics of a one-row-per-key frame, then the ratios."""
     filled = summed.select(
@@ -186,16 +163,9 @@ def campaign_daily_lite(banners: DataFrame, processing_date: str | None = None)
     agg = (banners.groupBy("campaign_id", date.alias("date"))
            .agg(F.count(F.lit(1)).alias("impressions"),
                 F.coalesce(F.sum("is_clicked"), F.lit(0)).cast("bigint").alias("clicks")))
-    return agg.select(
-        F.col("campaign_id").cast("bigint").alias("campaign_id"), "date", "impressions", "clicks",
-        F.when(F.col("impressions") > 0, F.col("clicks") / F.col("impressions"))
-         .otherwise(F.lit(0.0)).alias("ctr"),
-        F.lit(0).cast("bigint").alias("installs"),
-        F.lit(0).cast("bigint").alias("conversions"),
-        F.lit(0.0).alias("revenue"), F.lit(0.0).alias("cpc"), F.lit(0.0).alias("cpm"),
-        F.lit(0.0).alias("conversion_rate"),
-        _processing_date(processing_date).alias("processing_date"),
-    )
+    fraction = F.when(F.col("impressions") > 0, F.col("clicks") / F.col("impressions")).otherwise(F.lit(0.0))
+    absent = agg.withColumns({m: F.lit(0) for m in _METRICS if m not in agg.columns})
+    return _finish_mart(absent, processing_date).withColumn("ctr", fraction).select(*schemas.MART_COLUMNS)
 
 
 # B21 -----------------------------------------------------------------------
@@ -221,20 +191,9 @@ def campaign_budget_metrics(banners: DataFrame, campaigns: DataFrame) -> DataFra
 
 
 # B28 -----------------------------------------------------------------------
-def upsert_rows(existing: DataFrame, updates: DataFrame, key=("date", "campaign_id"),
-                partition: str = "date", broadcast_touched: bool = False) -> DataFrame:
-    """New content of the partitions touched by ``updates``: existing rows of
-    those partitions whose key is not in the update, plus every update row
-    (INSERT ... ON CONFLICT (key) DO UPDATE).  Untouched partitions are not
-    read beyond the semi-join on the partition column.
-
-    ``broadcast_touched``: the caller has checked that the list of touched
-    partition values is small; the semi-join then needs no shuffle of the
-    existing rows (a shuffle on the partition column alone would send a
-    whole day to one task)."""
-    touched = updates.select(partition).distinct()
-    if broadcast_touched:
-        touched = F.broadcast(touched)
-    kept = (existing.join(touched, partition, "left_semi")
-            .join(updates.select(*key), list(key), "left_anti"))
-    return kept.unionByName(updates.select(*existing.columns))
+def upsert_rows(existing: DataFrame, updates: DataFrame, key=("date", "campaign_id")) -> DataFrame:
+    """Existing rows whose key is not in the update, plus every update row
+    (INSERT ... ON CONFLICT (key) DO UPDATE).  ``existing`` holds the touched
+    partitions only (``lifecycle.upsert_table`` filters them)."""
+    kept = existing.join(updates.select(*key), list(key), "left_anti")
+    return kept.select(*existing.columns).unionByName(updates.select(*existing.columns))

@@ -14,12 +14,13 @@ import math
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from campaignlake.functions import columns as C
+from campaignlake.operators.lifecycle import stage
 from campaignlake.session import scratch_root
 
 # Feature list (de-duplicated), placeholder for a missing
@@ -32,6 +33,8 @@ GBT_PARAMS = dict(maxIter=200, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", seed=42)
 SPLIT_SEED = 42
 TRAIN_FRACTION = 0.8
+LEAST_BINS = 32          # MLlib's default
+MOST_CATEGORIES = 10_000  # values of one category: the indexer brings them to the driver
 
 
 # B32 -----------------------------------------------------------------------
@@ -70,8 +73,9 @@ def encode_features(features: DataFrame) -> DataFrame:
     """Category codes (alphabetical, NULL as '__null__') and filled numbers,
     as plain columns: user_id, snapshot_date, the numeric features and
     ``<category>_idx`` doubles."""
-    filled = fill_features(features)
-    model = _indexer().fit(filled)
+    filled = stage(fill_features(features).select(
+        "user_id", "snapshot_date", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES), name="features")
+    model = fit_indexer(filled)
     coded = model.transform(filled)
     return coded.select("user_id", "snapshot_date", *NUMERIC_FEATURES,
                         *[f"{c}_idx" for c in CATEGORICAL_FEATURES])
@@ -108,24 +112,37 @@ def split_assignment(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int
 
 
 # B35 -----------------------------------------------------------------------
-def click_model_pipeline(**overrides) -> Pipeline:
-    params = dict(GBT_PARAMS)
-    params.update(overrides)
+def fit_indexer(filled: DataFrame) -> StringIndexerModel:
+    """Category codes of ``filled``; an error above ``MOST_CATEGORIES`` values
+    of one category, counted before any of them is collected."""
+    counts = filled.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first().asDict()
+    large = {c: n for c, n in counts.items() if n > MOST_CATEGORIES}
+    if large:
+        raise ValueError(f"too many category values (at most {MOST_CATEGORIES}): {large}")
+    return _indexer().fit(filled)
+
+
+def click_model_pipeline(indexer: StringIndexerModel, **overrides) -> Pipeline:
+    """Codes, assembler and boosted trees; every category value, and the one
+    kept for unseen values, has a bin of its own."""
+    bins = max(LEAST_BINS, *(len(labels) + 1 for labels in indexer.labelsArray))
+    params = {**GBT_PARAMS, "maxBins": bins, **overrides}
     gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, checkpointInterval=10, **params)
-    return Pipeline(stages=[_indexer(), _assembler(), gbt])
+    return Pipeline(stages=[indexer, _assembler(), gbt])
 
 
 def prepare_training(features: DataFrame) -> DataFrame:
-    """Label + filled features, checkpointed to the shared scratch folder."""
+    """Label + filled features, merged to partitions of the advisory size and
+    checkpointed to the shared scratch folder."""
     scratch_root(features.sparkSession)
-    return fill_features(click_label(features)).checkpoint(eager=True)
+    return fill_features(click_label(features)).hint("rebalance").checkpoint(eager=True)
 
 
 def train_click_model(features: DataFrame, **overrides) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Fit on the train part; returns (model, train, test)."""
     data = prepare_training(features)
     train, test = stratified_split(data)
-    model = click_model_pipeline(**overrides).fit(train)
+    model = click_model_pipeline(fit_indexer(train), **overrides).fit(train)
     return model, train, test
 
 
@@ -137,6 +154,16 @@ def evaluate_auc(model: PipelineModel, test: DataFrame) -> float:
     return float(ev.evaluate(model.transform(test)))
 
 
+def rank_sum_auc(predictions: DataFrame) -> float:
+    """ROC-AUC as the rank-sum statistic of the predicted probabilities, ties
+    counting half (the window runs over one row per distinct probability)."""
+    by = (predictions.groupBy(vector_to_array("probability")[1].alias("p"))
+          .agg(F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg")))
+    below = F.coalesce(F.sum("neg").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    r = by.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2)).agg(F.sum("wins"), F.sum("pos"), F.sum("neg")).first()
+    return float(r[0] / (r[1] * r[2])) if r[1] and r[2] else float("nan")
+
+
 # B37 -----------------------------------------------------------------------
 def save_model_with_meta(spark: SparkSession, model: PipelineModel, path: str, meta: dict) -> None:
     """Model directory plus a one-row JSON metadata table at ``path``_meta."""

@@ -1,9 +1,11 @@
 """Composite flows: message flow (P1), delimited-file flow (P2) and daily
 features (P3).  Each layer is written as a table and the next step reads it
-back, so every step is restartable and idempotent (dynamic overwrite)."""
+back, so every step is restartable.  Raw rows are kept by delivery; the days
+that a delivery touches are rebuilt from all deliveries."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from campaignlake import schemas
 from campaignlake.operators import clean, features, lifecycle, marts
-from campaignlake.session import path_exists
+from campaignlake.session import delete_path, path_exists
 from campaignlake.sources import delimited, messages
 
 DELIVERY_FILES = {
@@ -23,7 +25,10 @@ DELIVERY_FILES = {
     "cd_campaign": "CD_campaign",
     "cd_user": "CD_user",
 }
-PARTITIONS = {"banner_events": "event_date"}
+# Facts: partition column and the time it is the day of.
+DAYS = {"banner_events": ("event_date", "event_ts"), "installs": ("install_date", "install_timestamp"),
+        "fct_actions": ("session_date", "session_start")}
+DELIVERY = "delivery"
 
 
 def _layer(lake_root: str, layer: str, table: str) -> str:
@@ -41,14 +46,37 @@ def _concurrently(jobs: dict[str, Callable[[], object]], max_workers: int = 6) -
         return {k: fut.result() for k, fut in futures.items()}
 
 
-def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str) -> dict[str, str]:
-    """B01-B03 for every delivered file present; raw tables written."""
-    def job(entity: str, src: str) -> Callable[[], str]:
-        def run() -> str:
-            df = delimited.ingest_delimited(spark, src, schemas.ENTITIES[entity])
+def _delivery_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str,
+                      delivery: str | None = None) -> dict[str, list]:
+    """B01-B04 for every delivered file present.  Raw tables are partitioned
+    by ``delivery`` (default: the folder's name) and, for facts, by day: the
+    same delivery again replaces its own rows only.  Lines with a wrong number
+    of fields go to quarantine/<entity>.  Returns {entity: days that the
+    delivery holds} ([] for dictionaries)."""
+    name = delivery or _delivery_name(delivery_root)
+
+    def job(entity: str, src: str) -> Callable[[], list]:
+        def run() -> list:
+            good, bad = delimited.split_malformed(delimited.read_lines_checked(spark, src))
+            out = _layer(lake_root, "raw", entity)
+            quarantine = bad.withColumn(DELIVERY, F.lit(name))
+            lifecycle.write_layer(quarantine, _layer(lake_root, "quarantine", entity), DELIVERY)
+            df = delimited.conform_entity(good, schemas.ENTITIES[entity])
+            if entity not in DAYS:
+                lifecycle.write_layer(df.withColumn(DELIVERY, F.lit(name)), out, DELIVERY)
+                return []
+            day, ts = DAYS[entity]
             if entity == "banner_events":
-                df = clean.add_event_identity(df).withColumn("event_date", F.to_date("event_ts"))
-            return lifecycle.write_layer(df, _layer(lake_root, "raw", entity), PARTITIONS.get(entity))
+                df = clean.add_event_identity(df)
+            # the delivery may have held other days before: its folder goes first
+            delete_path(spark, f"{out}/{DELIVERY}={name}")
+            lifecycle.write_layer(df.withColumn(day, F.to_date(ts)).withColumn(DELIVERY, F.lit(name)), out, [DELIVERY, day])
+            written = lifecycle.read_table(spark, f"{out}/{DELIVERY}={name}")
+            return lifecycle.partition_values(written, day) if written is not None else []
         return run
 
     jobs = {}
@@ -59,68 +87,110 @@ def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str) -
     return _concurrently(jobs)  # type: ignore[return-value]
 
 
-def build_ods(spark: SparkSession, lake_root: str) -> dict[str, str]:
-    """B20: the operational layer from the raw tables, plus campaign budget
-    metrics (B21) on the campaign dictionary.  Row counts per entity and
-    stage (B14) are observed during the ODS writes and returned under
+def _all_days(spark: SparkSession, lake_root: str) -> dict[str, list]:
+    out = {}
+    for entity in DELIVERY_FILES:
+        t = lifecycle.read_table(spark, _layer(lake_root, "raw", entity))
+        if t is not None:
+            out[entity] = lifecycle.partition_values(t, DAYS[entity][0]) if entity in DAYS else []
+    return out
+
+
+def build_ods(spark: SparkSession, lake_root: str, touched: dict[str, list] | None = None,
+              delivery: str | None = None, processing_date: str | None = None) -> dict[str, object]:
+    """B20 + B53: the operational layer from the raw tables, each table with
+    ``processing_date``, plus campaign budget metrics (B21) on the campaign
+    dictionary.
+
+    Of the facts only the ``touched`` days (default: all) are rebuilt, each
+    from the rows that all deliveries hold of it; dictionaries are replaced by
+    those of ``delivery`` (default: the last one by name).  Row counts per
+    entity and stage (B14) are observed during the writes and returned under
     ``"report"`` ({entity: {stage: rows}}; impressions also as
     ``"banner_report"``)."""
+    touched = _all_days(spark, lake_root) if touched is None else touched
     raw = {}
-    for entity in DELIVERY_FILES:
+    for entity, days in touched.items():
         t = lifecycle.read_table(spark, _layer(lake_root, "raw", entity))
-        if t is not None:
-            raw[entity] = t
+        if t is None:
+            continue
+        if entity in DAYS:
+            raw[entity] = t.where(lifecycle.in_partitions(DAYS[entity][0], days)).drop(DELIVERY)
+        else:
+            last = delivery or t.agg(F.max(F.col(DELIVERY).cast("string"))).first()[0]
+            raw[entity] = t.where(F.col(DELIVERY).cast("string") == last).drop(DELIVERY)
     ods = clean.ods_build(raw)
     report = ods.pop("_report", {})
-    jobs = {entity: (lambda e=entity, d=df: lifecycle.write_layer(d, _layer(lake_root, "ods", e),
-                                                                  PARTITIONS.get(e)))
-            for entity, df in ods.items() if entity != "cd_campaign"}
-    out = _concurrently(jobs)
-    if "cd_campaign" in ods and "banner_events" in out:
-        banners = spark.read.parquet(out["banner_events"])
-        out["cd_campaign"] = lifecycle.write_layer(
-            marts.campaign_budget_metrics(banners, ods["cd_campaign"]),
-            _layer(lake_root, "ods", "cd_campaign"))
+
+    def write(entity: str, df: DataFrame) -> str:
+        return lifecycle.write_layer(clean.stamp_processing_date(df, processing_date), _layer(lake_root, "ods", entity),
+                                     DAYS[entity][0] if entity in DAYS else None)
+
+    out: dict[str, object] = dict(_concurrently(
+        {entity: (lambda e=entity, d=df: write(e, d)) for entity, df in ods.items() if entity != "cd_campaign"}))
+    if "cd_campaign" in ods:
+        banners = lifecycle.read_table(spark, _layer(lake_root, "ods", "banner_events"))
+        if banners is not None:
+            out["cd_campaign"] = write("cd_campaign", marts.campaign_budget_metrics(banners, ods["cd_campaign"]))
     # Only frames that were written have filled observations (reading an
     # unfilled one would wait for an action that never comes).
-    out["report"] = {entity: {stage: int(o.get["rows"]) for stage, o in stages.items()}  # type: ignore[assignment]
-                     for entity, stages in report.items() if entity in out}
-    if "banner_events" in out["report"]:
-        out["banner_report"] = out["report"]["banner_events"]  # type: ignore[assignment]
+    counts = {entity: {stage: int(o.get["rows"]) for stage, o in stages.items()}
+              for entity, stages in report.items() if entity in out}
+    out["report"] = counts
+    if "banner_events" in counts:
+        out["banner_report"] = counts["banner_events"]
     return out
 
 
-def build_mart(spark: SparkSession, lake_root: str, processing_date: str | None = None) -> DataFrame:
-    """B26 from the operational layer; dm.campaign_daily partitioned by date."""
-    banners = spark.read.parquet(_layer(lake_root, "ods", "banner_events"))
-    installs = lifecycle.read_table(spark, _layer(lake_root, "ods", "installs"))
-    actions = lifecycle.read_table(spark, _layer(lake_root, "ods", "fct_actions"))
-    mart = marts.campaign_daily_full(banners, installs, actions, processing_date)
+def build_mart(spark: SparkSession, lake_root: str, processing_date: str | None = None,
+               touched: dict[str, list] | None = None) -> DataFrame:
+    """B26 from the operational layer; dm.campaign_daily partitioned by date.
+    Rows of a date depend on the facts of that date only, so with ``touched``
+    just these days of all facts are read and rewritten."""
+    facts = {e: lifecycle.read_table(spark, _layer(lake_root, "ods", e)) for e in DAYS}
+    if touched is not None:
+        days = sorted({d for e in DAYS for d in touched.get(e, []) if d is not None})
+        facts = {e: t if t is None else t.where(lifecycle.in_partitions(DAYS[e][0], days)) for e, t in facts.items()}
+    mart = marts.campaign_daily_full(facts["banner_events"], facts["installs"], facts["fct_actions"], processing_date)
     path = lifecycle.write_layer(mart, _layer(lake_root, "dm", "campaign_daily"), "date")
     return spark.read.parquet(path).select(*schemas.MART_COLUMNS)
 
 
 def csv_flow(spark: SparkSession, delivery_root: str, lake_root: str,
-             processing_date: str | None = None) -> DataFrame:
-    """P2: delimited delivery -> raw -> ods -> dm.campaign_daily."""
-    load_raw_delivery(spark, delivery_root, lake_root)
-    build_ods(spark, lake_root)
-    return build_mart(spark, lake_root, processing_date)
+             processing_date: str | None = None, delivery: str | None = None) -> DataFrame:
+    """P2: delimited delivery -> raw -> ods -> dm.campaign_daily.
+
+    A delivery may hold new days, late rows of known days, or be repeated: the
+    days it touches are rebuilt from all deliveries, the others stay."""
+    name = delivery or _delivery_name(delivery_root)
+    touched = load_raw_delivery(spark, delivery_root, lake_root, name)
+    build_ods(spark, lake_root, touched, name, processing_date)
+    return build_mart(spark, lake_root, processing_date, touched)
 
 
 def banner_events_flow(spark: SparkSession, source: str, lake_root: str, fmt: str = "text",
                        options: dict[str, str] | None = None,
-                       processing_date: str | None = None) -> DataFrame | None:
+                       processing_date: str | None = None, delivery: str | None = None) -> DataFrame | None:
     """P1: messages -> raw.banner_events -> ods.banner_events -> lite mart
     (its own table: its ctr is a fraction).  Returns None when there are no
-    messages (nothing is written)."""
+    messages (nothing is written).
+
+    What a run reads is a delivery of its own in the raw table (default name:
+    the source's last path part for files, a new one for a topic).  The days
+    it touches are rebuilt from all deliveries, so neither late messages nor
+    messages that the topic no longer holds shrink a stored day."""
     decoded = messages.decode_events(messages.read_messages(spark, source, fmt, options))
     if messages.skip_if_empty(decoded):
         return None
-    raw_path = lifecycle.write_layer(decoded, _layer(lake_root, "raw", "banner_events"), "event_date")
-    ods = clean.clean_banner_events(spark.read.parquet(raw_path))
+    name = delivery or (_delivery_name(source) if fmt != "kafka" else f"{source}-{uuid.uuid4().hex[:12]}")
+    raw_path = _layer(lake_root, "raw", "banner_events")
+    delete_path(spark, f"{raw_path}/{DELIVERY}={name}")
+    lifecycle.write_layer(decoded.withColumn(DELIVERY, F.lit(name)), raw_path, [DELIVERY, "event_date"])
+    days = lifecycle.partition_values(spark.read.parquet(f"{raw_path}/{DELIVERY}={name}"), "event_date")
+    hit = lifecycle.in_partitions("event_date", days)
+    ods = clean.clean_banner_events(spark.read.parquet(raw_path).where(hit).drop(DELIVERY))
     ods_path = lifecycle.write_layer(ods, _layer(lake_root, "ods", "banner_events"), "event_date")
-    lite = marts.campaign_daily_lite(spark.read.parquet(ods_path), processing_date)
+    lite = marts.campaign_daily_lite(spark.read.parquet(ods_path).where(hit), processing_date)
     path = lifecycle.write_layer(lite, _layer(lake_root, "dm", "campaign_daily_lite"), "date")
     return spark.read.parquet(path).select(*schemas.MART_COLUMNS)
 

@@ -67,19 +67,18 @@ def q_normalize_null_text(spark, sf):
 
 
 @register("event_identity", f"WITH {O.base_ctes()} SELECT banner_id, user_id, event_ts, "
-          "sha256(concat_ws('_', CAST(banner_id AS VARCHAR), CAST(user_id AS VARCHAR), "
-          "strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f'))) AS event_id FROM b")
+          f"{O.event_identity()} AS event_id FROM b")
 def q_event_identity(spark, sf):
     b = ods_banners(spark, sf).select("banner_id", "user_id", "event_ts")
     return clean.add_event_identity(b)
 
 
 _CHECKS_SQL = (
-    f"WITH {O.base_ctes()}, cb AS ({D.SQL_RAW_CD_BANNER}), cc AS ({O.campaigns_parsed('(' + D.SQL_RAW_CD_CAMPAIGN + ')')}), "
-    f"cu AS ({O.users_parsed('(' + D.SQL_RAW_CD_USER + ')')}) "
-    "SELECT 'duplicate_key' AS \"check\", 'cd_banner' AS relation, CAST(COUNT(*) - COUNT(DISTINCT banner_id) AS BIGINT) AS violations FROM cb "
-    "UNION ALL SELECT 'duplicate_key', 'cd_campaign', CAST(COUNT(*) - COUNT(DISTINCT campaign_id) AS BIGINT) FROM cc "
-    "UNION ALL SELECT 'duplicate_key', 'cd_user', CAST(COUNT(*) - COUNT(DISTINCT user_id) AS BIGINT) FROM cu "
+    f"WITH {O.base_ctes()}, cb AS ({D.SQL_RAW_CD_BANNER}), cc AS ({D.SQL_RAW_CD_CAMPAIGN}), "
+    f"cu AS ({D.SQL_RAW_CD_USER}) "
+    "SELECT 'duplicate_key' AS \"check\", 'cd_banner' AS relation, CAST(COUNT(banner_id) - COUNT(DISTINCT banner_id) AS BIGINT) AS violations FROM cb "
+    "UNION ALL SELECT 'duplicate_key', 'cd_campaign', CAST(COUNT(campaign_id) - COUNT(DISTINCT campaign_id) AS BIGINT) FROM cc "
+    "UNION ALL SELECT 'duplicate_key', 'cd_user', CAST(COUNT(user_id) - COUNT(DISTINCT user_id) AS BIGINT) FROM cu "
     "UNION ALL SELECT 'orphan', 'banner_events.banner_id->cd_banner', CAST(COUNT(*) AS BIGINT) FROM b "
     "WHERE banner_id IS NOT NULL AND banner_id NOT IN (SELECT banner_id FROM cb WHERE banner_id IS NOT NULL) "
     "UNION ALL SELECT 'orphan', 'banner_events.campaign_id->cd_campaign', CAST(COUNT(*) AS BIGINT) FROM b "
@@ -97,8 +96,7 @@ _CHECKS_SQL = (
 def q_check_relations(spark, sf):
     return clean.check_relations(
         ods_banners(spark, sf), D.raw_installs(spark, sf), D.raw_actions(spark, sf),
-        D.raw_cd_banner(spark, sf), clean.parse_campaigns(D.raw_cd_campaign(spark, sf)),
-        clean.parse_users(D.raw_cd_user(spark, sf)))
+        D.raw_cd_banner(spark, sf), D.raw_cd_campaign(spark, sf), D.raw_cd_user(spark, sf))
 
 
 @register("stamp_processing_date", f"WITH i AS ({D.SQL_RAW_INSTALLS}) SELECT *, "

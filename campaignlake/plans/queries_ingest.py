@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from campaignlake import schemas
 from campaignlake.operators import clean, marts
 from campaignlake.plans import oracle_sql as O
-from campaignlake.plans.registry import PROCESSING_DATE, register
+from campaignlake.plans.registry import ORACLE, PROCESSING_DATE, register
 from campaignlake.session import new_scratch
 from campaignlake.sources import deliveries as V
 from campaignlake.sources import delimited, messages
@@ -26,12 +26,7 @@ def _banner_file(spark, sf, malformed=False):
     return V.write_lines(lines, V.BANNER_HEADER, path)
 
 
-def _ident_sql(src: str) -> str:
-    return (f"sha256(concat_ws('_', CAST(banner_id AS VARCHAR), CAST(user_id AS VARCHAR), "
-            f"strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f')))")
-
-
-@register("ingest_delimited", f"WITH raw_b AS ({D.SQL_RAW_BANNER_EVENTS}) SELECT {_ident_sql('raw_b')} "
+@register("ingest_delimited", f"WITH raw_b AS ({D.SQL_RAW_BANNER_EVENTS}) SELECT {O.event_identity()} "
           "AS event_id, banner_id, campaign_id, user_id, event_ts, placement, device_type, os, geo, "
           "is_clicked, event_date FROM raw_b")
 def q_ingest_delimited(spark, sf):
@@ -124,11 +119,15 @@ def q_reject_null_keys(spark, sf):
     return marts.reject_null_keys(marts.daily_banner_stats(decoded))
 
 
+DEMO_ROWS = 1000
+
+
 @register("take_first_n", f"WITH raw_b AS ({D.SQL_RAW_BANNER_EVENTS}) SELECT * FROM raw_b "
-          "ORDER BY event_id LIMIT 10000")
+          f"ORDER BY event_id LIMIT {DEMO_ROWS}")
 def q_take_first_n(spark, sf):
-    """Demo-load row cap (the reference default, 10,000), repeatable order."""
-    return delimited.take_first_n(D.raw_banner_events(spark, sf), 10000, ["event_id"])
+    """Demo-load row cap, repeatable order; below the rows of every test table
+    but the smallest."""
+    return delimited.take_first_n(D.raw_banner_events(spark, sf), DEMO_ROWS, ["event_id"])
 
 
 @register("csv_flow_mart", O.full_mart())
@@ -138,3 +137,26 @@ def q_csv_flow_mart(spark, sf):
     root = new_scratch(spark, "delivery")
     V.write_delimited_delivery(spark, sf, root)
     return csv_flow(spark, root, new_scratch(spark, "lake"), processing_date=PROCESSING_DATE)
+
+
+@register("csv_flow_two_deliveries", O.full_mart())
+def q_csv_flow_two_deliveries(spark, sf):
+    """P2 in two deliveries, the second with late rows of the first's days,
+    then the first one once more: the same mart as from one delivery."""
+    from campaignlake.plans.flows import csv_flow
+    root, lake = new_scratch(spark, "delivery"), new_scratch(spark, "lake")
+    for part in (1, 2):
+        V.write_delimited_delivery(spark, sf, f"{root}/day-{part}", part)
+    csv_flow(spark, f"{root}/day-1", lake, PROCESSING_DATE)
+    csv_flow(spark, f"{root}/day-2", lake, PROCESSING_DATE)
+    return csv_flow(spark, f"{root}/day-1", lake, PROCESSING_DATE)
+
+
+@register("csv_flow_quarantine", ORACLE["quarantine_rows"])
+def q_csv_flow_quarantine(spark, sf):
+    """P2 on a delivery with bad lines: what the flow set aside."""
+    from campaignlake.plans.flows import csv_flow
+    root, lake = new_scratch(spark, "delivery"), new_scratch(spark, "lake")
+    V.write_delimited_delivery(spark, sf, root, malformed=True)
+    csv_flow(spark, root, lake, PROCESSING_DATE)
+    return spark.read.parquet(f"{lake}/quarantine/banner_events").drop("delivery")

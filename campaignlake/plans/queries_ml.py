@@ -2,36 +2,32 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
-from campaignlake.operators import bi, clean, features, lifecycle, model
+from campaignlake.operators import bi, clean, features, lifecycle, marts, model
 from campaignlake.plans import oracle_sql as O
 from campaignlake.plans.queries_core import ods_banners, q_campaign_daily_full
-from campaignlake.plans.registry import SNAPSHOT_DATE, register
-from campaignlake.session import new_scratch, path_exists, scratch_root
+from campaignlake.plans.registry import ORACLE, SNAPSHOT_DATE, register
+from campaignlake.session import new_scratch
 from campaignlake.sources import domain as D
 
 SNAP = f"DATE '{SNAPSHOT_DATE}'"
 
+# days before the snapshot: 1 to 7 are in the window, the least is the recency
 _ACTIVITY_CTES = (
-    f"w AS (SELECT * FROM b WHERE CAST(event_ts AS DATE) >= {SNAP} - 7 AND CAST(event_ts AS DATE) < {SNAP}), "
-    "u AS (SELECT user_id, COUNT(*) AS impressions_7d, CAST(SUM(is_clicked) AS BIGINT) AS clicks_7d, "
-    "MAX(event_ts) AS last_ts, MAX(device_type) AS device_type, MAX(os) AS os FROM w GROUP BY user_id), "
-    f"act AS (SELECT user_id, {SNAP} AS snapshot_date, impressions_7d, clicks_7d, "
-    f"CAST(date_diff('day', CAST(last_ts AS DATE), {SNAP}) AS INTEGER) AS recency_days, device_type, os FROM u)"
+    f"act AS (SELECT user_id, {SNAP} AS snapshot_date, COUNT(*) AS impressions_7d, "
+    "SUM(is_clicked)::BIGINT AS clicks_7d, MIN(ago)::INTEGER AS recency_days, "
+    "MAX(device_type) AS device_type, MAX(os) AS os "
+    f"FROM (SELECT *, {SNAP} - event_ts::DATE AS ago FROM b) WHERE ago BETWEEN 1 AND 7 GROUP BY user_id)"
 )
 
 _FEATURE_CTES = (
     f"{O.base_ctes()}, {_ACTIVITY_CTES}, "
-    f"aw AS (SELECT user_id, COUNT(*) AS actions_7d FROM a WHERE CAST(session_start AS DATE) >= {SNAP} - 7 "
-    f"AND CAST(session_start AS DATE) < {SNAP} GROUP BY user_id), "
     f"cu AS ({O.users_parsed('(' + D.SQL_RAW_CD_USER + ')')}), "
     "f AS (SELECT act.user_id, act.snapshot_date, act.impressions_7d, act.clicks_7d, "
-    "CAST(COALESCE(aw.actions_7d, 0) AS BIGINT) AS actions_7d, act.recency_days, act.device_type, act.os, "
-    "cu.segment, cu.tariff FROM act LEFT JOIN aw ON act.user_id = aw.user_id "
-    "LEFT JOIN cu ON act.user_id = cu.user_id)"
+    f"(SELECT COUNT(*) FROM a WHERE a.user_id = act.user_id AND {SNAP} - a.session_start::DATE BETWEEN 1 AND 7) "
+    "AS actions_7d, act.recency_days, act.device_type, act.os, "
+    "cu.segment, cu.tariff FROM act LEFT JOIN cu USING (user_id))"
 )
 
 
@@ -110,49 +106,49 @@ def q_stratified_split(spark, sf):
     return model.split_assignment(labelled).select("user_id", "snapshot_date", model.LABEL, "split")
 
 
-def _model_path(spark, sf):
-    """Where the click model of one input folder is saved (shared scratch).
-    The key covers the input, the feature list, the split and the
-    hyper-parameters, so a changed definition never loads an old model."""
-    spec = repr((sf.rstrip("/"), SNAPSHOT_DATE, model.NUMERIC_FEATURES, model.CATEGORICAL_FEATURES,
-                 sorted(model.GBT_PARAMS.items()), model.SPLIT_SEED, model.TRAIN_FRACTION))
-    digest = hashlib.sha1(spec.encode()).hexdigest()[:16]
-    return f"{scratch_root(spark)}/models/click-{digest}"
+_SPLIT_SQL = ORACLE["stratified_split"]
 
 
-def _train_and_save(spark, sf):
+@register("train_click_model", "SELECT COUNT(*) FILTER (WHERE split = 'train') AS n_train, "
+          "COUNT(*) FILTER (WHERE split = 'test') AS n_test, "
+          "CAST(SUM(target_click) FILTER (WHERE split = 'train') AS BIGINT) AS pos_train, "
+          "COALESCE(CAST(SUM(target_click) FILTER (WHERE split = 'test') AS BIGINT), 0) AS pos_test, "
+          f"true AS auc_is_rank_sum FROM ({_SPLIT_SQL})")
+def q_train_click_model(spark, sf):
+    """Fit (200 rounds), evaluate on the held-out part, save model + metadata;
+    one row: sizes and positives of both parts, and whether the evaluator's
+    AUC is the rank-sum AUC of the predictions."""
     m, train, test = model.train_click_model(feature_table(spark, sf))
     auc = model.evaluate_auc(m, test)
-    n_train = train.agg(F.count(F.lit(1))).collect()[0][0]
-    n_test = test.agg(F.count(F.lit(1))).collect()[0][0]
-    model.save_model_with_meta(spark, m, _model_path(spark, sf),
+    ranked = model.rank_sum_auc(m.transform(test))
+    (n_train, pos_train), (n_test, pos_test) = (
+        tuple(part.agg(F.count(F.lit(1)), F.coalesce(F.sum(model.LABEL), F.lit(0))).first()) for part in (train, test))
+    model.save_model_with_meta(spark, m, new_scratch(spark, "click-model"),
                                {"roc_auc": auc, "n_train": n_train, "n_test": n_test})
-    return m, auc, n_train, n_test
+    same = bool(abs(auc - ranked) < 1e-6) if 0 < pos_test < n_test else True
+    return spark.createDataFrame([(int(n_train), int(n_test), int(pos_train), int(pos_test), same)],
+                                 "n_train long, n_test long, pos_train long, pos_test long, auc_is_rank_sum boolean")
 
 
-@register("train_click_model")
-def q_train_click_model(spark, sf):
-    """Fit (200 rounds), evaluate on the held-out part, save model + meta;
-    one row of metrics."""
-    _, auc, n_train, n_test = _train_and_save(spark, sf)
-    return spark.createDataFrame([(float(auc), int(n_train), int(n_test))],
-                                 "roc_auc double, n_train long, n_test long")
+SCORING_ROUNDS = 5  # the scored model is trained for the query; its rules hold for any number
 
 
-@register("score_users")
+@register("score_users", f"WITH {_FEATURE_CTES} SELECT user_id, snapshot_date, COALESCE(segment, 'default') AS segment, "
+          "true AS probability_in_range, true AS bid_follows_rule FROM f")
 def q_score_users(spark, sf):
-    """Batch scoring with the saved model (trained first if there is none);
-    the predictions are written to the snapshot-partitioned table (B40) and
-    read back."""
-    path = _model_path(spark, sf)
-    if path_exists(spark, path):
-        m, _ = model.load_model_with_meta(spark, path)
-    else:
-        m = _train_and_save(spark, sf)[0]
-    out = lifecycle.write_predictions(model.score_users(m, feature_table(spark, sf)),
-                                      new_scratch(spark, "ml-click-predictions"))
-    return spark.read.parquet(out).select("user_id", "snapshot_date", "probability_click", "segment",
-                                          "recommend_bid")
+    """Train, save, load by its path and score; the predictions are written to
+    the snapshot-partitioned table (B40), read back and held against the
+    rules."""
+    path = new_scratch(spark, "click-model")
+    feats = lifecycle.stage(feature_table(spark, sf), name="features")
+    trained, _, _ = model.train_click_model(feats, maxIter=SCORING_ROUNDS)
+    model.save_model_with_meta(spark, trained, path, {})
+    m, _ = model.load_model_with_meta(spark, path)
+    out = lifecycle.write_predictions(model.score_users(m, feats), new_scratch(spark, "ml-click-predictions"))
+    p = F.col("probability_click")
+    rule = model.recommend_bids(spark.read.parquet(out).withColumnRenamed("recommend_bid", "_bid"))
+    return rule.select("user_id", "snapshot_date", "segment", p.between(0.0, 1.0).alias("probability_in_range"),
+                       (F.col("_bid") == F.col("recommend_bid")).alias("bid_follows_rule"))
 
 
 # --- BI -----------------------------------------------------------------------
@@ -172,13 +168,19 @@ def q_ctr_by_campaign(spark, sf):
 @register("traffic_by_day", f"WITH {_MART} SELECT date, CAST(SUM(impressions) AS BIGINT) AS impressions, "
           "CAST(SUM(clicks) AS BIGINT) AS clicks FROM mart GROUP BY date")
 def q_traffic_by_day(spark, sf):
-    return bi.traffic_by_day(q_campaign_daily_full(spark, sf))
+    """From the daily impressions and clicks alone; installs and actions have
+    no part in it."""
+    return bi.traffic_by_day(marts.reject_null_keys(marts.daily_banner_stats(ods_banners(spark, sf))))
+
+
+TABLE_ROWS = 100
 
 
 @register("campaign_table", f"WITH {_MART} SELECT {', '.join(bi.TABLE_COLUMNS)} FROM mart "
-          f"ORDER BY date, campaign_id LIMIT {bi.ROW_LIMIT}")
+          f"ORDER BY date, campaign_id LIMIT {TABLE_ROWS}")
 def q_campaign_table(spark, sf):
-    return bi.campaign_table(q_campaign_daily_full(spark, sf))
+    """The dashboard table with a cap below the rows of the mart."""
+    return bi.campaign_table(q_campaign_daily_full(spark, sf), limit=TABLE_ROWS)
 
 
 @register("preview", f"WITH {_MART} SELECT * FROM mart ORDER BY date, campaign_id LIMIT {bi.PREVIEW_ROWS}")

@@ -33,11 +33,30 @@ def _feed(spark, sf):
     return V.write_change_feed(V.action_change_feed(spark, sf), new_scratch(spark, "delivery-feed"))
 
 
+def _forms(spark, sf):
+    path = V.write_change_feed(V.action_change_forms(spark, sf), new_scratch(spark, "delivery-feed"))
+    return changes.read_feed(spark, path)
+
+
+# rows unwrapped at the source: microseconds keep the whole time, milliseconds cut it
+_FLAT = ("SELECT key, user_id, CASE WHEN n % 2 = 0 THEN ts ELSE date_trunc('milliseconds', ts) END AS session_start, "
+         "actions, CAST(NULL AS VARCHAR) AS op, (epoch_us(ts) // 1000) AS ts_ms, CAST(NULL AS VARCHAR) AS extra_fields")
+
+
 @register("unwrap_changes", f"WITH {_EV} {_CREATED}, false AS is_tombstone FROM ev UNION ALL "
           f"{_UPDATED}, false FROM ev WHERE n % 7 = 0 UNION ALL SELECT key, NULL, NULL, NULL, NULL, "
-          "NULL, NULL, true FROM ev WHERE n % 11 = 0")
+          "NULL, NULL, true FROM ev WHERE n % 11 = 0 "
+          f"UNION ALL {_FLAT}, false FROM ev WHERE n % 17 = 0 AND n % 34 <> 17")
 def q_unwrap_changes(spark, sf):
-    return changes.unwrap_changes(changes.read_feed(spark, _feed(spark, sf)))
+    """Envelopes, unwrapped rows with both time encodings, deletes, tombstones
+    and messages that are no change record."""
+    return changes.unwrap_changes(_forms(spark, sf))
+
+
+@register("unwrap_quarantine", f"WITH {_EV} SELECT key, 'not json ' || CAST(n AS VARCHAR) AS raw_value FROM ev "
+          "WHERE n % 19 = 0 UNION ALL SELECT key, '{\"other\":' || CAST(n AS VARCHAR) || '}' FROM ev WHERE n % 23 = 0")
+def q_unwrap_quarantine(spark, sf):
+    return changes.quarantined_changes(_forms(spark, sf))
 
 
 @register("route_topics", f"WITH {_EV} SELECT key, 0 AS seq, 'raw_actions' AS topic, (epoch_us(ts) // 1000) AS ts_ms "
@@ -84,6 +103,26 @@ def q_stream_banner_events(spark, sf):
     return spark.read.parquet(table).select(*_STREAM_COLS)
 
 
+@register("stream_compact_stream", _decoded_sql() + "SELECT banner_id, user_id, event_ts, event_date FROM d "
+          "WHERE user_id IS NOT NULL AND event_ts IS NOT NULL GROUP BY ALL "
+          "UNION ALL SELECT -1, -1, TIMESTAMP '2024-01-10 00:00:00', DATE '2024-01-10'")
+def q_stream_compact_stream(spark, sf):
+    """A table that holds a batch-written row; a stream appends the first
+    messages, the table is compacted, the stream goes on."""
+    table, feed, ckpt = (new_scratch(spark, x) for x in ("ods-banner-stream", "messages", "checkpoint-banners"))
+    raw = D.raw_banner_events(spark, sf)
+    seed = (raw.limit(1).withColumn("banner_id", F.lit(-1).cast("bigint")).withColumn("user_id", F.lit(-1).cast("bigint"))
+            .withColumn("event_ts", F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+            .withColumn("event_date", F.to_date("event_ts")))
+    lifecycle.write_layer(seed, table, "event_date")
+    early = F.col("event_ts") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    for part in (raw.where(early), raw.where(~early)):
+        V.banner_messages(part).select("value").write.mode("append").text(feed)
+        events.stream_banner_events(spark, feed, table, ckpt)
+        lifecycle.compact_partitions(spark, table, "event_date")
+    return spark.read.parquet(table).select("banner_id", "user_id", "event_ts", "event_date")
+
+
 def _near_decoded_sql() -> str:
     return _decoded_sql().replace(D.SQL_RAW_BANNER_EVENTS, D.SQL_RAW_BANNER_EVENTS_NEAR, 1)
 
@@ -187,9 +226,15 @@ _AS_OF = "2024-02-15"
 @register("tier_hot_cold", f"WITH {O.base_ctes()} SELECT *, CASE WHEN event_date >= DATE '{_AS_OF}' - 30 "
           "THEN 'hot' ELSE 'cold' END AS tier FROM b")
 def q_tier_hot_cold(spark, sf):
-    hot = lifecycle.write_layer(ods_banners(spark, sf), new_scratch(spark, "ods-hot"), "event_date")
+    """Tier, then rows of archived days come late into the hot table, then
+    tier again: every row is in one of the two tables."""
+    rows = ods_banners(spark, sf)
+    late = F.pmod(V.event_number(), F.lit(7)) == 0
+    hot = lifecycle.write_layer(rows.where(~late), new_scratch(spark, "ods-hot"), "event_date")
     cold = new_scratch(spark, "ods-cold")
     lifecycle.tier_hot_cold(spark, hot, cold, "event_date", as_of=_AS_OF, hot_days=30)
+    rows.where(late).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(hot)
+    lifecycle.tier_hot_cold(spark, hot, cold, "event_date", as_of=_AS_OF, hot_days=30)
     h = spark.read.parquet(hot).select(*_ODS_COLS).withColumn("tier", F.lit("hot"))
     c = spark.read.parquet(cold).select(*_ODS_COLS).withColumn("tier", F.lit("cold"))
     return h.unionByName(c)
@@ -225,6 +270,19 @@ def q_banner_events_flow(spark, sf):
                               processing_date=PROCESSING_DATE)
 
 
+@register("banner_events_flow_two_deliveries", _LITE_SQL)
+def q_banner_events_flow_two(spark, sf):
+    """P1 in two deliveries with late messages, then the first once more."""
+    from campaignlake.plans.flows import banner_events_flow
+    root, lake = new_scratch(spark, "delivery-messages"), new_scratch(spark, "lake")
+    raw = D.raw_banner_events(spark, sf)
+    for part in (1, 2):
+        V.write_messages(V.banner_messages(V.delivered_in(raw, "event_ts", part)), f"{root}/day-{part}")
+    for part in (1, 2, 1):
+        mart = banner_events_flow(spark, f"{root}/day-{part}", lake, processing_date=PROCESSING_DATE)
+    return mart
+
+
 @register("ml_daily_features", f"WITH {_FEATURE_CTES} SELECT * FROM f")
 def q_ml_daily_features(spark, sf):
     """P3: ods tables -> ml.user_features slice of the snapshot date."""

@@ -25,10 +25,6 @@ class EntitySpec:
     def names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
-    def ddl(self) -> str:
-        """DDL text of the typed columns, e.g. for ``spark.read.schema``."""
-        return ", ".join(f"{c} {t}" for c, t in self.columns)
-
 
 BANNER_EVENTS = EntitySpec(
     "banner_events",
@@ -89,27 +85,6 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("is_clicked", T.IntegerType()),
 ])
 
-# Change-feed envelope of ods.fct_actions (row images are text on the wire).
-ACTION_IMAGE = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("session_start", T.StringType()),
-    T.StructField("actions", T.StringType()),
-])
-CHANGE_ENVELOPE = T.StructType([
-    T.StructField("before", ACTION_IMAGE),
-    T.StructField("after", ACTION_IMAGE),
-    T.StructField("op", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-])
-
-# The same envelope with the row images as string maps (keeps new columns).
-CHANGE_ENVELOPE_MAPS = T.StructType([
-    T.StructField("before", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("after", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("op", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-])
-
 # Column order of the daily campaign mart.
 MART_COLUMNS = ("campaign_id", "date", "impressions", "clicks", "ctr", "installs",
                 "conversions", "revenue", "cpc", "cpm", "conversion_rate", "processing_date")

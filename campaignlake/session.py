@@ -8,14 +8,13 @@ module holds the only session-level decisions:
 * adaptive execution with skew-join splitting and partition coalescing;
 * no Spark UI;
 * a scratch root taken from ``spark.checkpoint.dir``.  On a cluster that
-  setting names a shared folder; a job never invents a machine-local one.
-  Only when it is unset (local tests) do we create one under the system
-  temporary folder and register it.
+  setting must name a shared folder; without it a job stops with an error.
+  Only on a local master do we create one under the system temporary folder
+  and register it.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,6 +74,8 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         root = tempfile.mkdtemp(prefix="campaignlake-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -88,15 +89,6 @@ def new_scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can open the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def _fs_path(spark: SparkSession, path: str):
     """Hadoop ``Path`` and its ``FileSystem`` (local, HDFS or object store),
     through the session's Hadoop configuration."""
@@ -115,3 +107,49 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` (a partition folder); True if it existed."""
     p, fs = _fs_path(spark, path)
     return bool(fs.delete(p, True))
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a file or folder; the parent of ``dst`` is created.  An error if it
+    cannot be moved (for example because ``dst`` exists)."""
+    p, fs = _fs_path(spark, src)
+    q, _ = _fs_path(spark, dst)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"cannot move {src} to {dst}")
+
+
+def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> list[str]:
+    """Files below ``path`` with this suffix, as paths relative to it, sorted;
+    folders whose name starts with '_' or '.' are left out."""
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    root = fs.getFileStatus(p).getPath().toString().rstrip("/")
+    found, todo = fs.listFiles(p, True), []
+    while found.hasNext():
+        f = found.next().getPath().toString()[len(root) + 1:]
+        if f.endswith(suffix) and not any(x[0] in "_." for x in f.split("/")):
+            todo.append(f)
+    return sorted(todo)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in ``path``."""
+    p, fs = _fs_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def write_note(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """Small text file (a journal entry), complete when it has its name."""
+    p, fs = _fs_path(spark, path + ".tmp")
+    out = fs.create(p, True)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+    delete_path(spark, path)
+    rename_path(spark, path + ".tmp", path)
+
+
+def read_note(spark: SparkSession, path: str) -> list[str] | None:
+    """Lines of a journal entry, or None if there is none."""
+    return [r[0] for r in spark.read.text(path).collect()] if path_exists(spark, path) else None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campaignlake.functions import columns as C
 from campaignlake.functions.names import clean_names
@@ -22,16 +23,33 @@ def read_delimited(spark: SparkSession, path: str, schema: str | None = None,
     """Headered delimited text, every column STRING, empty field -> NULL.
 
     Without ``schema`` the header names the columns (a UTF-8 byte-order mark
-    is dropped by the reader).  With ``schema`` (DDL text of STRING columns,
-    positional) rows with too few or too many fields keep their raw text in
-    ``_corrupt_record`` instead of being padded or cut silently.
+    is dropped by the reader), and a file of a folder whose header differs
+    from the first one's is an error when it is read.  With ``schema`` (DDL
+    text of STRING columns, positional) rows with too few or too many fields
+    keep their raw text in ``_corrupt_record`` instead of being padded or cut
+    silently.
     """
-    reader = (spark.read.option("header", True).option("sep", sep).option("quote", quote)
-              .option("encoding", encoding).option("inferSchema", False))
+    def reader():
+        return (spark.read.option("header", True).option("sep", sep).option("quote", quote)
+                .option("encoding", encoding).option("inferSchema", False))
+
     if schema is not None:
-        reader = (reader.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE")
-                  .option("columnNameOfCorruptRecord", CORRUPT))
-    return reader.csv(path)
+        return (reader().schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    first = reader().csv(path)
+    # every file's header is held against this one, whatever columns are read
+    return reader().schema(first.schema).option("enforceSchema", False).option("columnPruning", False).csv(path)
+
+
+def read_lines_checked(spark: SparkSession, path: str, sep: str = DEFAULT_SEP, quote: str = DEFAULT_QUOTE) -> DataFrame:
+    """Headered delimited text with cleaned column names plus ``_corrupt_record``
+    (see ``split_malformed``); a file whose header differs is an error."""
+    names = spark.read.option("header", True).option("sep", sep).option("quote", quote).csv(path).columns
+    kept = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    rows = (spark.read.schema(kept).option("header", True).option("sep", sep).option("quote", quote)
+            .option("enforceSchema", False).option("columnPruning", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return rows.toDF(*clean_names(names), CORRUPT)
 
 
 # B02 -----------------------------------------------------------------------
@@ -75,8 +93,10 @@ def split_malformed(df: DataFrame, flag_col: str | None = "is_clicked") -> tuple
     (missing fields NULL, surplus cut) plus their raw text in ``raw_line``.
     Good rows: the rest, with a click flag that is not all digits set to
     NULL."""
-    bad = df.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_line")
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # the flag depends on all fields: naming them keeps every action (a bare count too) reading them
+    whole = F.length(F.concat_ws("", *[c for c in df.columns if c != CORRUPT])) >= 0
+    bad = df.filter(whole & F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_line")
+    good = df.filter(whole & F.col(CORRUPT).isNull()).drop(CORRUPT)
     if flag_col and flag_col in good.columns:
         flag = F.trim(F.col(flag_col))
         good = good.withColumn(flag_col, F.when(flag.rlike("^[0-9]+$"), flag))

@@ -102,15 +102,37 @@ def dictionary_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(";", *[_txt(c) for c in df.columns]).alias("value"))
 
 
-def write_delimited_delivery(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """All six delimited files of one delivery under ``root``; returns paths."""
+FIRST_DELIVERY_BEFORE = "2024-01-16"
+LATE_USERS = 29
+
+
+def delivered_in(facts: DataFrame, ts: str, part: int | None) -> DataFrame:
+    """Rows of the first (1) or second (2) of two deliveries, or all (None).
+    The first holds the days before ``FIRST_DELIVERY_BEFORE``, but rows of
+    every 29th user and every 29th second come late, with the second."""
+    if part is None:
+        return facts
+    early = F.col(ts) < F.lit(FIRST_DELIVERY_BEFORE).cast("timestamp_ntz")
+    late = (F.coalesce(F.col("user_id"), F.lit(1)) % LATE_USERS == 0) | (F.second(ts) % LATE_USERS == 0)
+    first = F.coalesce(early & ~late, F.lit(False))
+    return facts.where(first if part == 1 else ~first)
+
+
+def write_delimited_delivery(spark: SparkSession, sf_dir: str, root: str, part: int | None = None,
+                             malformed: bool = False) -> dict[str, str]:
+    """All six delimited files of one delivery under ``root``; returns paths.
+    ``part``: see ``delivered_in``; ``malformed``: banner lines with wrong
+    field counts and flags."""
     jobs = {
-        "banner_events": lambda: write_lines(banner_lines(D.raw_banner_events(spark, sf_dir)),
-                                             BANNER_HEADER, f"{root}/Fct_banners_show"),
-        "installs": lambda: write_lines(installs_lines(D.raw_installs(spark, sf_dir)),
-                                        INSTALLS_HEADER, f"{root}/Installs"),
-        "fct_actions": lambda: write_lines(actions_lines(D.raw_actions(spark, sf_dir)),
-                                           ACTIONS_HEADER, f"{root}/Fct_actions"),
+        "banner_events": lambda: write_lines(
+            banner_lines(delivered_in(D.raw_banner_events(spark, sf_dir), "event_ts", part), malformed),
+            BANNER_HEADER, f"{root}/Fct_banners_show"),
+        "installs": lambda: write_lines(
+            installs_lines(delivered_in(D.raw_installs(spark, sf_dir), "install_timestamp", part)),
+            INSTALLS_HEADER, f"{root}/Installs"),
+        "fct_actions": lambda: write_lines(
+            actions_lines(delivered_in(D.raw_actions(spark, sf_dir), "session_start", part)),
+            ACTIONS_HEADER, f"{root}/Fct_actions"),
         "cd_banner": lambda: write_lines(dictionary_lines(D.raw_cd_banner(spark, sf_dir)),
                                          CD_BANNER_HEADER, f"{root}/CD_banner"),
         "cd_campaign": lambda: write_lines(dictionary_lines(D.raw_cd_campaign(spark, sf_dir)),
@@ -192,6 +214,30 @@ def action_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.withColumn("topic", F.lit(CHANGE_TOPIC))
 
 
+def action_change_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``action_change_feed`` and the other forms that arrive: n % 17 = 0 ->
+    the row already unwrapped at the source, its time as epoch microseconds
+    (n even) or milliseconds (n odd); n % 34 = 17 of them mark a delete;
+    n % 19 = 0 -> a value that is not JSON; n % 23 = 0 -> JSON that is no
+    change record."""
+    ev = (D.read_table(spark, sf_dir, "events")
+          .filter(F.col("event_type").isin("purchase", "error"))
+          .select("event_id", "user_id", "ts", D.pick(F.col("event_id") % 5, D.ACTION_NAMES).alias("actions")))
+    n = F.col("event_id")
+    key, ms = F.to_json(F.struct(n.alias("id"))), _epoch_ms("ts")
+    time = F.when(n % 2 == 0, epoch_micros("ts")).otherwise(ms)
+    row = F.to_json(F.struct("user_id", time.alias("session_start"), "actions",
+                             F.when(n % 34 == 17, "true").otherwise("false").alias("__deleted"), ms.alias("__ts_ms")))
+
+    def rows(where: Column, value: Column, seq: int) -> DataFrame:
+        return ev.where(where).select(key.alias("key"), value.alias("value"), (ms + seq).alias("ts_ms"),
+                                      F.lit(seq).alias("seq"), F.lit(CHANGE_TOPIC).alias("topic"))
+
+    return (action_change_feed(spark, sf_dir).unionByName(rows(n % 17 == 0, row, 4))
+            .unionByName(rows(n % 19 == 0, F.concat(F.lit("not json "), n.cast("string")), 5))
+            .unionByName(rows(n % 23 == 0, F.to_json(F.struct(n.alias("other"))), 6)))
+
+
 def write_change_feed(feed: DataFrame, path: str) -> str:
     """Messages as JSON lines {key, value, topic, ts_ms, seq} (value may be null)."""
     feed.select(F.to_json(F.struct("key", "value", "topic", "ts_ms", "seq"),

@@ -17,7 +17,9 @@ Rules (event_id = e, user = u):
 * installs: signup events, source by e % 3;
 * actions: purchase/error events, action by e % 5 (one of them blank);
 * users: customer; campaigns: nation (+1); banners: part (key % 100 + 1, so
-  the banner dictionary has duplicates).
+  the banner dictionary has duplicates);
+* dictionaries lack some keys (customer % 31 = 0, campaign 7, banner 13) and
+  hold some rows twice (customer % 53 = 0, campaign 5).
 """
 
 from __future__ import annotations
@@ -135,7 +137,8 @@ def raw_cd_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     created = F.date_add(F.lit("2023-01-01").cast("date"), (k % 365).cast("int"))
     ended = F.date_add(F.lit("2024-06-01").cast("date"), (k % 30).cast("int"))
-    return (read_table(spark, sf_dir, "customer")
+    return (read_table(spark, sf_dir, "customer").where(k % 31 != 0)
+            .withColumn("_twice", F.explode(F.sequence(F.lit(0), F.when(k % 53 == 0, 1).otherwise(0))))
             .select(
                 k.alias("user_id"),
                 F.when(F.col("c_acctbal") > 5000, F.lit("high_spend"))
@@ -160,7 +163,8 @@ def raw_cd_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     budget = F.when(n % 5 == 0, F.concat(F.lit(" "), budget, F.lit(" "))).otherwise(budget)
     start = F.date_add(F.lit("2024-01-01").cast("date"), (n % 5).cast("int"))
     end = F.date_add(F.lit("2024-03-01").cast("date"), (n % 7).cast("int"))
-    return (read_table(spark, sf_dir, "nation")
+    return (read_table(spark, sf_dir, "nation").where(n != 6)
+            .withColumn("_twice", F.explode(F.sequence(F.lit(0), F.when(n == 4, 1).otherwise(0))))
             .select((n + 1).cast("bigint").alias("campaign_id"), budget.alias("daily_budget"),
                     F.date_format(start, "dd.MM.yyyy").alias("start_date"),
                     F.date_format(end, "dd.MM.yyyy").alias("end_date")))
@@ -168,7 +172,7 @@ def raw_cd_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_cd_banner(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    return (read_table(spark, sf_dir, "part")
+    return (read_table(spark, sf_dir, "part").where(k % 100 != 12)
             .select((k % 100 + 1).alias("banner_id"),
                     pick(F.col("p_size") % 3, CREATIVE_TYPES).alias("creative_type"),
                     F.col("p_name").alias("message"),
@@ -228,7 +232,7 @@ SQL_RAW_CD_USER = (
     "strftime(DATE '2023-01-01' + CAST(c_custkey % 365 AS INTEGER), '%Y-%m-%d') AS date_create, "
     "CASE c_custkey % 4 WHEN 0 THEN strftime(DATE '2024-06-01' + CAST(c_custkey % 30 AS INTEGER), '%Y-%m-%d') "
     "WHEN 1 THEN '' WHEN 2 THEN 'NULL' ELSE ' ' END AS date_end "
-    "FROM customer"
+    "FROM customer, range(2) AS copy(c) WHERE c_custkey % 31 <> 0 AND (c = 0 OR c_custkey % 53 = 0)"
 )
 
 SQL_RAW_CD_CAMPAIGN = (
@@ -238,7 +242,8 @@ SQL_RAW_CD_CAMPAIGN = (
     "strftime(DATE '2024-03-01' + CAST(n_nationkey % 7 AS INTEGER), '%d.%m.%Y') AS end_date "
     "FROM (SELECT *, CAST(50000 + (n_nationkey * 7919) % 150000 AS VARCHAR) "
     "|| CASE WHEN n_nationkey % 2 = 0 THEN ',' ELSE '.' END "
-    "|| lpad(CAST((n_nationkey * 37) % 100 AS VARCHAR), 2, '0') AS b FROM nation) n"
+    "|| lpad(CAST((n_nationkey * 37) % 100 AS VARCHAR), 2, '0') AS b FROM nation) n, range(2) AS copy(c) "
+    "WHERE n_nationkey <> 6 AND (c = 0 OR n_nationkey = 4)"
 )
 
 SQL_RAW_CD_BANNER = (
@@ -246,5 +251,5 @@ SQL_RAW_CD_BANNER = (
     f"{sql_pick('p_size % 3', CREATIVE_TYPES)} AS creative_type, p_name AS message, "
     f"{sql_pick('p_partkey % 3', BANNER_SIZES)} AS size, "
     f"{sql_pick('(p_partkey // 100) % 3', AUDIENCES)} AS target_audience_segment "
-    "FROM part"
+    "FROM part WHERE p_partkey % 100 <> 12"
 )

@@ -39,11 +39,10 @@ def decode_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
     A message that is not JSON gives an all-NULL row; a field of the wrong
     type gives NULL in that field only; an unparsable event_ts gives NULL
     event_ts and event_date."""
-    v = F.from_json(F.col(value_col).cast("string"), schemas.MESSAGE_SCHEMA)
-    flat = messages.select(v.alias("v")).select("v.*")
-    ts = C.parse_event_time("event_ts")
-    return (flat.withColumn("event_ts", ts)
-            .withColumn("event_date", F.to_date("event_ts")))
+    record = F.from_json(F.col(value_col).cast("string"), schemas.MESSAGE_SCHEMA)
+    time = C.parse_event_time(record["event_ts"])
+    fields = [(time if f == "event_ts" else record[f]).alias(f) for f in schemas.MESSAGE_SCHEMA.names]
+    return messages.select(*fields, F.to_date(time).alias("event_date"))
 
 
 # B10 -----------------------------------------------------------------------

@@ -4,12 +4,12 @@ to a table.  Works on any frame with message columns (``key``, ``value``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campaignlake import schemas
 from campaignlake.functions import columns as C
 from campaignlake.session import new_scratch, path_exists
+from campaignlake.streaming.sink import append_batch, append_stream, run_batches
 
 # Routing of the change topic and the sink commit interval.
 ROUTE_REGEX = "cdc.ods.fct_actions"
@@ -31,36 +31,77 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 # B45 -----------------------------------------------------------------------
 _IMAGE_COLUMNS = ("user_id", "session_start", "actions")
+_SERVICE_FIELDS = ("__deleted", "__op", "__ts_ms", "__source_ts_ms")  # added by a source that unwraps itself
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """``messages`` with ``_top``: the JSON object's fields as a string map
+    (NULL when the value is not a JSON object) and ``_form``: 'tombstone',
+    'envelope' (a field ``op`` and an image), 'row' (the image itself) or
+    'other'."""
+    top = F.from_json(F.col("value").cast("string"), "map<string,string>")
+    df = messages.withColumn("_top", top)
+    t = F.col("_top")
+    envelope = F.map_contains_key(t, "op") & (F.map_contains_key(t, "after") | F.map_contains_key(t, "before"))
+    image = F.exists(F.map_keys(t), lambda k: k.isin(*_IMAGE_COLUMNS))
+    return df.withColumn("_form", F.when(F.col("value").isNull(), "tombstone").when(t.isNull(), "other")
+                         .when(envelope, "envelope").when(image, "row").otherwise("other"))
+
+
+def change_time(text: Column) -> Column:
+    """Time of a change record: text, or the source's epoch encodings, told
+    apart by size (seconds below 10^11, milliseconds below 10^14, else
+    microseconds)."""
+    n = text.try_cast("bigint")
+    micros = F.when(F.abs(n) < 10 ** 11, n * 1_000_000).when(F.abs(n) < 10 ** 14, n * 1000).otherwise(n)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    parts = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.floor(micros / 1_000_000)).cast("decimal(18,6)")
+                               + (F.pmod(micros, F.lit(1_000_000)) / 1_000_000).cast("decimal(18,6)"))
+    return F.when(n.isNotNull(), start + parts).otherwise(C.parse_event_time(text))
 
 
 def unwrap_changes(messages: DataFrame) -> DataFrame:
-    """Envelope -> new row image.  Creates, updates and snapshot reads keep
-    their ``after`` image; deletes are dropped; a tombstone (NULL value) is
-    passed through as a row with only its key and ``is_tombstone``.
+    """Change record -> new row image.  Of envelopes, creates, updates and
+    snapshot reads keep their ``after`` image and deletes are dropped; a row
+    that the source has unwrapped already passes through (unless it marks a
+    delete); a tombstone (NULL value) becomes a row with only its key and
+    ``is_tombstone``.  Anything else goes to ``quarantined_changes``.
 
     The image is parsed once as a string map, so fields that the declared
     columns do not know (a column added at the source) are not lost: they
     are kept as JSON text in ``extra_fields`` (NULL when there are none)."""
-    env = F.from_json(F.col("value").cast("string"), schemas.CHANGE_ENVELOPE_MAPS)
-    df = messages.withColumn("_env", env)
-    tomb = F.col("value").isNull()
-    op = F.col("_env.op")
-    kept = df.filter(tomb | op.isin("c", "u", "r"))
-    after = F.col("_env.after")
-    known = F.array(*[F.lit(c) for c in _IMAGE_COLUMNS])
-    extra = F.map_filter(after, lambda k, v: ~F.array_contains(known, k))
+    df = _parsed(messages)
+    top, form = F.col("_top"), F.col("_form")
+    inner = F.from_json(F.element_at(top, "after"), "map<string,string>")
+    df = df.withColumn("_image", F.when(form == "envelope", inner).when(form == "row", top))
+    op = F.when(form == "envelope", F.element_at(top, "op")).when(form == "row", F.element_at(top, "__op"))
+    ms = F.when(form == "envelope", F.element_at(top, "ts_ms")).when(
+        form == "row", F.coalesce(F.element_at(top, "__ts_ms"), F.element_at(top, "__source_ts_ms")))
+    deleted = F.coalesce(F.lower(F.element_at(top, "__deleted")) == "true", F.lit(False))
+    df = df.withColumn("_op", op).withColumn("_ms", ms.try_cast("bigint"))
+    kept = df.where((form == "tombstone") | (form == "envelope") & F.col("_op").isin("c", "u", "r")
+                    | (form == "row") & ~deleted & F.coalesce(F.col("_op") != "d", F.lit(True)))
+    image = F.col("_image")
+    known = F.array(*[F.lit(c) for c in (*_IMAGE_COLUMNS, *_SERVICE_FIELDS)])
+    extra = F.map_filter(image, lambda k, v: ~F.array_contains(known, k))
     return kept.select(
         "key",
-        after.getItem("user_id").try_cast("bigint").alias("user_id"),
-        C.parse_event_time(after.getItem("session_start")).alias("session_start"),
-        after.getItem("actions").alias("actions"),
-        op.alias("op"),
-        F.col("_env.ts_ms").alias("ts_ms"),
+        F.element_at(image, "user_id").try_cast("bigint").alias("user_id"),
+        change_time(F.element_at(image, "session_start")).alias("session_start"),
+        F.element_at(image, "actions").alias("actions"),
+        F.col("_op").alias("op"),
+        F.col("_ms").alias("ts_ms"),
         F.when(F.size(extra) > 0, F.to_json(extra)).alias("extra_fields"),
-        tomb.alias("is_tombstone"),
+        (form == "tombstone").alias("is_tombstone"),
     )
 
 
+def quarantined_changes(messages: DataFrame) -> DataFrame:
+    """Messages that are no change record (not JSON, or neither envelope nor
+    row), with their text as ``raw_value``."""
+    return _parsed(messages).where("_form = 'other'").select("key", F.col("value").cast("string").alias("raw_value"))
+
+
 # B46 -----------------------------------------------------------------------
 def route_topics(messages: DataFrame, regex: str = ROUTE_REGEX, replacement: str = ROUTE_REPLACEMENT,
                  topic_col: str = "topic") -> DataFrame:
@@ -74,14 +115,8 @@ def route_stream_to_tables(spark: SparkSession, source: str, root: str, checkpoi
     """Message records (folder) -> routed topic names -> one Parquet folder
     per target topic under ``root`` (``topic=<name>``), appended by a stream."""
     msgs = route_topics(parse_feed_lines(spark.readStream.format("text").load(source)), regex, replacement)
-    w = (msgs.writeStream.format("parquet").outputMode("append").partitionBy("topic")
-         .option("path", root)
-         .option("checkpointLocation", checkpoint or new_scratch(spark, "checkpoint-routes")))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=COMMIT_INTERVAL)
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    return append_stream(msgs, root, checkpoint or new_scratch(spark, "checkpoint-routes"), available_now, "topic",
+                         COMMIT_INTERVAL)
 
 
 def latest_rows(table: DataFrame, key=("key",), order: str = "ts_ms") -> DataFrame:
@@ -99,14 +134,15 @@ def append_stream_to_table(spark: SparkSession, source: str, table_path: str,
                            checkpoint: str | None = None, available_now: bool = True,
                            interval: str = COMMIT_INTERVAL, max_files_per_trigger: int | None = None,
                            fmt: str = "text", options: dict[str, str] | None = None,
-                           create_if_missing: bool = True):
+                           create_if_missing: bool = True, quarantine_path: str | None = None):
     """Change messages (folder of JSON records, or a Kafka topic) -> unwrapped rows appended to a
     Parquet table.  Tombstones are not written; updates append a second row
     (no key columns are configured), use ``latest_rows`` on read for the
     newest version.  New columns are admitted (read with mergeSchema).
     With ``create_if_missing=False`` the target table must already exist
-    (the reference sink does not auto-create).  Returns the started query
-    (already finished for ``available_now``)."""
+    (a sink that does not create tables).  With ``quarantine_path``
+    messages that are no change record are appended there.  Returns the
+    started query (already finished for ``available_now``)."""
     if not create_if_missing and not path_exists(spark, table_path):
         raise FileNotFoundError(f"target table {table_path} does not exist")
     if fmt == "kafka":  # source = topic; options carry the brokers
@@ -121,16 +157,15 @@ def append_stream_to_table(spark: SparkSession, source: str, table_path: str,
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         msgs = parse_feed_lines(reader.load(source))
-    rows = unwrap_changes(msgs)
-    out = rows.filter(~F.col("is_tombstone")).drop("is_tombstone")
-    w = (out.writeStream.format("parquet").outputMode("append")
-         .option("path", table_path)
-         .option("checkpointLocation", checkpoint or new_scratch(spark, "checkpoint-changes")))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    ckpt = checkpoint or new_scratch(spark, "checkpoint-changes")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        rows = unwrap_changes(batch).filter(~F.col("is_tombstone")).drop("is_tombstone")
+        append_batch(rows, table_path, ckpt, batch_id)
+        if quarantine_path:
+            append_batch(quarantined_changes(batch), quarantine_path, ckpt, batch_id)
+
+    return run_batches(msgs, process, ckpt, available_now, interval)
 
 
 def read_appended(spark: SparkSession, table_path: str) -> DataFrame:

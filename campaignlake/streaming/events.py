@@ -3,7 +3,7 @@
 * ``stream_banner_events``: decode -> drop rows without user or event time
   -> watermark -> exact de-duplication -> Parquet table (B49).
 * ``stream_dedup_within_window``: the 10-minute rule of B15 with explicit
-  per-key state (last event time), keyed by (banner_id, user_id).
+  state (the recent events), keyed by (banner_id, user_id).
 * ``ship_lines``: tail delimited files into JSON log messages (B48).
 
 The built-in watermark operators need a TIMESTAMP event time; decoded
@@ -14,17 +14,14 @@ as one micro-batch): rows older than the watermark are dropped by design.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from campaignlake import schemas
 from campaignlake.functions import columns as C
-from campaignlake.session import new_scratch
+from campaignlake.session import delete_path, new_scratch
 from campaignlake.sources.messages import decode_events
+from campaignlake.streaming.sink import append_batch, append_stream, run_batches
 
 # De-duplication window, log topic and log type.
 WATERMARK = "10 minutes"
@@ -61,19 +58,6 @@ def _message_stream(spark: SparkSession, source: str, max_files_per_trigger: int
             .withColumn("event_ts", C.ntz_to_instant("event_ts")))
 
 
-def _run(df: DataFrame, table_path: str, checkpoint: str, available_now: bool,
-         partition_by: str | None = "event_date", interval: str = "60 seconds"):
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", table_path).option("checkpointLocation", checkpoint))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
-
-
 # B49 -----------------------------------------------------------------------
 def stream_banner_events(spark: SparkSession, source: str, table_path: str,
                          checkpoint: str | None = None, watermark: str = WATERMARK,
@@ -85,8 +69,8 @@ def stream_banner_events(spark: SparkSession, source: str, table_path: str,
     deduped = (events.withWatermark("event_ts", watermark)
                .dropDuplicates(["banner_id", "user_id", "event_ts"])
                .withColumn("event_ts", C.instant_to_ntz("event_ts")))
-    return _run(deduped.select(*_OUT_COLUMNS), table_path,
-                checkpoint or new_scratch(spark, "checkpoint-banners"), available_now)
+    return append_stream(deduped.select(*_OUT_COLUMNS), table_path,
+                         checkpoint or new_scratch(spark, "checkpoint-banners"), available_now, "event_date")
 
 
 # B15 (stream) ----------------------------------------------------------------
@@ -99,20 +83,21 @@ def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str
     same (banner_id, user_id), incrementally.
 
     Each micro-batch is handled set-based (``clean.dedup_within_window``)
-    with a keyed state table -- the last event time per key -- as the
-    predecessor of each key's first row in the batch.  The state is a
-    versioned Parquet table next to the stream checkpoint (version = batch
-    id), so a replayed batch reads the same state and rewrites the same
-    output partitions (``batch_id``, ``event_date``): exactly-once.  Keys
-    whose last event is older than the batch's latest event by more than
-    window + lateness are evicted.  Rows must arrive in event-time order per
-    key (up to ``lateness_minutes``), as for any watermark."""
+    with the recent events of earlier batches as context, so a late row is
+    judged by its own neighbours.  These are kept in a versioned Parquet table
+    next to the stream checkpoint (version = batch id), so a replayed batch
+    reads the same state; they reach back ``minutes`` + ``lateness_minutes``
+    from the latest event.  Results equal the batch rule for rows that are at
+    most ``lateness_minutes`` late, but for one case: a row that was written
+    before a late row came that precedes it by less than ``minutes`` stays.
+    ``max_files_per_trigger`` (or maxOffsetsPerTrigger among the options)
+    bounds a micro-batch."""
     from campaignlake.operators import clean, lifecycle
     from campaignlake.session import path_exists
 
     ckpt = checkpoint or new_scratch(spark, "checkpoint-window")
-    state_path = f"{ckpt}/key_state"
-    key = ["banner_id", "user_id"]
+    state_path = f"{ckpt}/recent_events"
+    recent = ["banner_id", "user_id", "event_ts", "event_id"]
     events = decode_events(message_stream(spark, source, max_files_per_trigger, fmt, options)) \
         .filter(F.col("user_id").isNotNull() & F.col("event_ts").isNotNull())
 
@@ -122,73 +107,21 @@ def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str
         try:
             prev_path = f"{state_path}/batch={batch_id - 1}"
             prior = s.read.parquet(prev_path) if batch_id > 0 and path_exists(s, prev_path) else None
-            kept = clean.dedup_within_window(batch, key, minutes=minutes, prior=prior)
-            lifecycle.write_layer(kept.select(*_OUT_COLUMNS).withColumn("batch_id", F.lit(batch_id)),
-                                  table_path, ["batch_id", "event_date"])
-            latest = batch.groupBy(*key).agg(F.max("event_ts").alias("last_ts"))
-            state = latest if prior is None else prior.unionByName(latest)
-            state = state.groupBy(*key).agg(F.max("last_ts").alias("last_ts"))
-            top = batch.agg(F.max("event_ts")).collect()[0][0]
+            kept = clean.dedup_within_window(batch, ["banner_id", "user_id"], minutes=minutes, prior=prior)
+            append_batch(kept.select(*_OUT_COLUMNS), table_path, ckpt, batch_id, "event_date")
+            seen = batch.select(*recent) if prior is None else batch.select(*recent).unionByName(prior.select(*recent))
+            top = seen.agg(F.max("event_ts")).collect()[0][0]
             if top is not None:
                 horizon = F.lit(top).cast("timestamp_ntz") - F.expr(
                     f"INTERVAL {minutes + lateness_minutes} MINUTES")
-                state = state.filter(F.col("last_ts") >= horizon)
-            lifecycle.write_layer(state.withColumn("batch", F.lit(batch_id)), state_path, "batch")
+                seen = clean.keep_first(seen.filter(F.col("event_ts") >= horizon), recent[:3], ["event_id"])
+            lifecycle.write_layer(seen.withColumn("batch", F.lit(batch_id)), state_path, "batch")
             if batch_id >= 2:
-                lifecycle._delete_partitions(s, state_path, "batch", [str(batch_id - 2)])
+                delete_path(s, f"{state_path}/batch={batch_id - 2}")
         finally:
             batch.unpersist()
 
-    w = events.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
-
-
-_STATE_SCHEMA = "last_ts timestamp"
-
-
-def _window_rule(minutes: int):
-    gap = pd.Timedelta(minutes=minutes)
-
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches), ignore_index=True)
-        if rows.empty:
-            return
-        rows = rows.sort_values(["event_ts", "event_id"], kind="mergesort")
-        prev = rows["event_ts"].shift(1)
-        if state.exists:
-            prev.iloc[0] = pd.Timestamp(state.get[0])
-        keep = prev.isna() | ((rows["event_ts"] - prev) >= gap)
-        last = rows["event_ts"].iloc[-1]
-        state.update((last.to_pydatetime(),))
-        state.setTimeoutTimestamp(int((last + gap).timestamp() * 1000))
-        yield rows[keep.values]
-
-    return fn
-
-
-def stream_dedup_within_window_state(spark: SparkSession, source: str, table_path: str,
-                                     checkpoint: str | None = None, minutes: int = WINDOW_MINUTES,
-                                     available_now: bool = True, max_files_per_trigger: int | None = None):
-    """The same rule on Spark's state store (``applyInPandasWithState``, one
-    pandas call per key and micro-batch, event-time timeout).  Simple, but
-    the per-key Python call makes it slow when a batch holds many distinct
-    keys with few rows each; prefer ``stream_dedup_within_window``."""
-    events = _message_stream(spark, source, max_files_per_trigger)
-    out_schema = events.schema
-    kept = (events.withWatermark("event_ts", f"{minutes} minutes")
-            .groupBy("banner_id", "user_id")
-            .applyInPandasWithState(_window_rule(minutes), out_schema, _STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-    kept = kept.withColumn("event_ts", C.instant_to_ntz("event_ts"))
-    return _run(kept.select(*_OUT_COLUMNS), table_path,
-                checkpoint or new_scratch(spark, "checkpoint-window"), available_now)
+    return run_batches(events, process, ckpt, available_now)
 
 
 # B48 -----------------------------------------------------------------------
@@ -206,5 +139,4 @@ def ship_lines(spark: SparkSession, source: str, table_path: str, checkpoint: st
         parts.append(F.struct(F.lit(host).alias("name")).alias("host"))
     msgs = lines.select(F.lit(LOG_TOPIC).alias("topic"), F.to_json(F.struct(*parts)).alias("value"),
                         F.col("value").alias("message"), "source_file")
-    return _run(msgs, table_path, checkpoint or new_scratch(spark, "checkpoint-lines"),
-                available_now, partition_by=None)
+    return append_stream(msgs, table_path, checkpoint or new_scratch(spark, "checkpoint-lines"), available_now)

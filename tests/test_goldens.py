@@ -75,20 +75,6 @@ def test_mart_without_optional_inputs_gives_zeros(spark):
     assert all(r.installs == 0 and r.conversions == 0 and r.revenue == 0.0 for r in m)
 
 
-def test_full_join_keeps_unmatched_keys(spark):
-    daily = spark.createDataFrame([(dt.date(2025, 2, 1), 1, 2, 1)],
-                                  "date date, campaign_id bigint, impressions bigint, clicks bigint")
-    inst = spark.createDataFrame([(dt.date(2025, 2, 2), 5, 3), (None, 6, 1)],
-                                 "date date, campaign_id bigint, installs bigint")
-    acts = spark.createDataFrame([(dt.date(2025, 2, 3), 7, 1, 100)],
-                                 "date date, campaign_id bigint, conversions bigint, revenue bigint")
-    rows = {(r.date.isoformat(), r.campaign_id): r
-            for r in marts.campaign_daily_from_parts(daily, inst, acts, "2025-02-10").collect()}
-    assert set(rows) == {("2025-02-01", 1), ("2025-02-02", 5), ("2025-02-03", 7)}
-    assert rows[("2025-02-02", 5)].installs == 3 and rows[("2025-02-02", 5)].ctr == 0.0
-    assert rows[("2025-02-03", 7)].revenue == 100.0 and rows[("2025-02-03", 7)].cpm == 0.0
-
-
 def test_campaign_budget_metrics(spark):
     b = clean.clean_banner_events(X.banners(spark))
     out = {r.campaign_id: r for r in

@@ -52,6 +52,7 @@ def test_split_malformed(spark, tmp_path):
     _write_text(p, "a;b;c\n1;2;1\n3;4\n5;6;7;8\n9;10;yes\n")
     df = delimited.read_delimited(spark, p, schema="a string, b string, is_clicked string")
     good, bad = delimited.split_malformed(df)
+    assert (good.count(), bad.count()) == (2, 2)
     g = sorted((r.a, r.is_clicked) for r in good.collect())
     assert g == [("1", "1"), ("9", None)]
     assert sorted(r.raw_line for r in bad.collect()) == ["3;4", "5;6;7;8"]
@@ -123,9 +124,6 @@ def test_streams_equal_batch_when_replayed_in_time_order(spark, tmp_path):
     t1 = new_scratch(spark, "t-window")
     events.stream_dedup_within_window(spark, src, t1, max_files_per_trigger=1)
     assert {r.event_id for r in spark.read.parquet(t1).collect()} == want
-    t1b = new_scratch(spark, "t-window-state")
-    events.stream_dedup_within_window_state(spark, src, t1b, max_files_per_trigger=1)
-    assert {r.event_id for r in spark.read.parquet(t1b).collect()} == want
 
     t2 = new_scratch(spark, "t-exact")
     events.stream_banner_events(spark, src, t2, max_files_per_trigger=1)
@@ -298,7 +296,7 @@ def test_ods_report_counts_every_entity(spark):
     assert set(rep) == {"banner_events", "installs", "fct_actions", "cd_banner", "cd_campaign", "cd_user"}
     raw_installs = spark.read.parquet(f"{lake}/raw/installs").count()
     assert rep["installs"]["rows_read"] == raw_installs >= rep["installs"]["rows_with_user"]
-    assert rep["cd_banner"]["rows_deduplicated"] == 100 < rep["cd_banner"]["rows_read"]
+    assert rep["cd_banner"]["rows_deduplicated"] == 99 < rep["cd_banner"]["rows_read"]
 
 
 def test_route_stream_to_tables(spark, tmp_path):
@@ -311,3 +309,185 @@ def test_route_stream_to_tables(spark, tmp_path):
     got = sorted((r.key, r.topic) for r in spark.read.parquet(root).collect())
     assert got == [("k1", "raw_actions"), ("k2", "cdc.ods.other")]
     assert os.path.isdir(os.path.join(root.replace("file:", ""), "topic=raw_actions"))
+
+
+def test_folder_with_another_header_is_an_error(spark, tmp_path):
+    root = tmp_path / "Installs"
+    _write_text(str(root / "a.csv"), "user_id;install_timestamp;source\n1;2025-02-01 10:00:00;x\n")
+    _write_text(str(root / "b.csv"), "source;user_id;install_timestamp\ny;2;2025-02-01 10:00:00\n")
+    for read in (lambda: delimited.ingest_delimited(spark, str(root), schemas.INSTALLS),
+                 lambda: delimited.split_malformed(delimited.read_lines_checked(spark, str(root)))[0]):
+        try:
+            read().count()
+        except Exception as exc:  # noqa: BLE001
+            assert "header" in str(exc).lower()
+        else:
+            raise AssertionError("expected a header error")
+
+
+def test_scratch_root_refuses_a_machine_local_folder_on_a_cluster(spark):
+    from campaignlake import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    try:
+        session.scratch_root(Session())
+    except ValueError as exc:
+        assert "spark.checkpoint.dir" in str(exc)
+    else:
+        raise AssertionError("expected an error")
+
+
+def test_late_rows_of_archived_days_join_them(spark):
+    rows = spark.range(0, 100).select(F.col("id").alias("v"), F.lit("2025-01-01").cast("date").alias("d"))
+    hot = lifecycle.write_layer(rows, new_scratch(spark, "t-hot"), "d")
+    cold = new_scratch(spark, "t-cold")
+    lifecycle.tier_hot_cold(spark, hot, cold, "d", as_of="2025-03-01")
+    spark.createDataFrame([(500,)], "v long").withColumn("d", F.lit("2025-01-01").cast("date")) \
+        .write.mode("append").partitionBy("d").parquet(hot)
+    lifecycle.tier_hot_cold(spark, hot, cold, "d", as_of="2025-03-01")
+    assert sorted(r.v for r in spark.read.parquet(cold).collect()) == [*range(100), 500]
+
+
+def test_interrupted_tiering_is_finished_or_taken_back(spark, monkeypatch):
+    rows = spark.range(0, 40).select(F.col("id").alias("v"), F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("d"))
+    for stop_at in ("begun", "copied"):
+        hot = lifecycle.write_layer(rows, new_scratch(spark, "t-hot"), "d")
+        cold = new_scratch(spark, "t-cold")
+        real, calls = lifecycle.write_note, []
+
+        def note(spark, path, lines):
+            name = path.rsplit("/", 1)[-1]
+            calls.append(name)
+            if name == "copied" and stop_at == "begun":
+                raise KeyboardInterrupt  # copied, but not noted
+            real(spark, path, lines)
+            if name == "copied":
+                lifecycle.delete_path(spark, f"{hot}/{lines[1]}")  # one file deleted, then the end
+                raise KeyboardInterrupt
+
+        monkeypatch.setattr(lifecycle, "write_note", note)
+        try:
+            lifecycle.tier_hot_cold(spark, hot, cold, "d", as_of="2025-03-01")
+        except KeyboardInterrupt:
+            pass
+        monkeypatch.setattr(lifecycle, "write_note", real)
+        lifecycle.tier_hot_cold(spark, hot, cold, "d", as_of="2025-03-02")
+        assert sorted(r.v for r in spark.read.parquet(cold).collect()) == list(range(40))
+        assert lifecycle.list_files(spark, hot) == []
+
+
+def test_compaction_writes_one_file_per_partition_and_recovers(spark):
+    df = spark.range(0, 4000).select(F.col("id").alias("v"), F.rpad(F.col("id").cast("string"), 200, "x").alias("t"),
+                                     F.date_add(F.lit("2025-02-01").cast("date"), (F.col("id") % 3).cast("int")).alias("d"))
+    path = lifecycle.write_layer(df.repartition(12), new_scratch(spark, "t-compact"), "d", rebalance=False)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lifecycle.compact_partitions(spark, path, "d", where="v < 2")  # a row of two days
+        by_day = [f.split("/")[0] for f in lifecycle.list_files(spark, path)]
+        assert [by_day.count(f"d=2025-02-0{k}") for k in (1, 2)] == [1, 1] and by_day.count("d=2025-02-03") > 1
+        lifecycle.compact_partitions(spark, path, "d", rows_per_file=500)
+        by_day = [f.split("/")[0] for f in lifecycle.list_files(spark, path)]
+        assert all(2 <= by_day.count(f"d=2025-02-0{k}") <= 3 for k in (1, 2, 3))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    # interrupted between the two renames of a swap
+    lifecycle.rename_path(spark, f"{path}/d=2025-02-02", f"{path}/_replaced/d=2025-02-02")
+    lifecycle.compact_partitions(spark, path, "d")
+    out = spark.read.parquet(path)
+    assert out.count() == 4000 and out.select("v").distinct().count() == 4000
+
+
+def test_replayed_batches_are_appended_once(spark, monkeypatch):
+    from campaignlake.streaming import sink
+    table, ckpt = new_scratch(spark, "t-sink"), new_scratch(spark, "t-ckpt")
+    day = F.lit("2025-02-01").cast("date")
+    lifecycle.write_layer(spark.range(5).withColumn("d", day), table, "d")  # rows of a batch job
+    batch = spark.range(10, 20).withColumn("d", F.date_add(day, (F.col("id") % 2).cast("int")))
+    real = sink.write_note
+
+    def note(spark, path, lines):
+        if path.endswith("in-0"):
+            raise KeyboardInterrupt  # all files moved, not noted
+        real(spark, path, lines)
+
+    monkeypatch.setattr(sink, "write_note", note)
+    try:
+        sink.append_batch(batch, table, ckpt, 0, "d")
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.setattr(sink, "write_note", real)
+    for _ in range(2):
+        sink.append_batch(batch, table, ckpt, 0, "d")
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [*range(5), *range(10, 20)]
+    lifecycle.compact_partitions(spark, table, "d")
+    sink.append_batch(batch, table, ckpt, 0, "d")
+    assert spark.read.parquet(table).count() == 15
+
+
+def test_stream_window_rule_with_null_banner_and_late_rows(spark, tmp_path):
+    def msg(eid, banner, t):
+        return _msg(eid, 1, 7, t).replace('"banner_id":1', f'"banner_id":{banner}')
+
+    files = [
+        [msg("a1", "null", "2025-02-01T10:00:00"), msg("a2", 1, "2025-02-01T10:00:00")],
+        [msg("b1", "null", "2025-02-01T10:04:00"), msg("b2", 1, "2025-02-01T12:00:00")],
+        # late: 12:00 is stored; 11:52 is judged by 10:00, its copy by 11:52
+        [msg("c1", 1, "2025-02-01T11:52:00"), msg("c2", "null", "2025-02-01T12:09:00"), msg("c3", 1, "2025-02-01T12:05:00")],
+        [msg("d1", 1, "2025-02-01T11:55:00"), msg("d2", "null", "2025-02-01T12:12:00"), msg("d3", 1, "2025-02-01T12:05:00")],
+    ]
+    src = str(tmp_path / "msgs")
+    _message_files(spark, src, files)
+    table = new_scratch(spark, "t-window")
+    events.stream_dedup_within_window(spark, src, table, max_files_per_trigger=1, lateness_minutes=30)
+    got = {r.event_id for r in spark.read.parquet(table).collect()}
+    batch = {r.event_id for r in clean.dedup_within_window(messages.decode_events(spark.read.text(src))).collect()}
+    # the documented difference: 12:00 was written before the late 11:52 came
+    assert got - batch == {"b2"} and batch <= got and "c1" in got and not {"b1", "d1", "d3", "c3"} & got
+
+
+def test_change_forms(spark):
+    msgs = spark.createDataFrame([
+        ("k1", '{"user_id":1,"session_start":1738404000123456,"actions":"x"}'),
+        ("k2", '{"user_id":2,"session_start":1738404000123,"actions":"x","__deleted":"false","channel":"web"}'),
+        ("k3", '{"user_id":3,"session_start":"2025-02-01 10:00:00","actions":"x","__deleted":"true"}'),
+        ("k4", "not json"), ("k5", "[1]"), ("k6", '{"other":1}'),
+        ("k7", '{"before":null,"after":{"user_id":7,"session_start":1738404000000000,"actions":"y"},"op":"c","ts_ms":5}'),
+    ], "key string, value string")
+    rows = {r.key: r for r in changes.unwrap_changes(msgs).collect()}
+    assert set(rows) == {"k1", "k2", "k7"}
+    assert rows["k1"].session_start == dt.datetime(2025, 2, 1, 10, 0, 0, 123456)
+    assert rows["k2"].session_start == dt.datetime(2025, 2, 1, 10, 0, 0, 123000) and rows["k2"].extra_fields == '{"channel":"web"}'
+    assert rows["k7"].session_start == dt.datetime(2025, 2, 1, 10) and rows["k7"].op == "c"
+    assert sorted(r.key for r in changes.quarantined_changes(msgs).collect()) == ["k4", "k5", "k6"]
+
+
+def test_second_delivery_keeps_earlier_days(spark):
+    from campaignlake.plans import flows
+    lake, root = new_scratch(spark, "t-lake"), new_scratch(spark, "t-deliveries").replace("file:", "")
+    head = "banner_id;campaign_id;user_id;timestamp;placement;device_type;os;geo;is_clicked\n"
+
+    def deliver(name, banners, installs, actions):
+        _write_text(f"{root}/{name}/Fct_banners_show", head + "".join(f"1;1;{u};{t};site;phone;ios;g;{c}\n" for u, t, c in banners))
+        _write_text(f"{root}/{name}/Installs", "user_id;install_timestamp;source\n" + "".join(f"{u};{t};x\n" for u, t in installs))
+        _write_text(f"{root}/{name}/Fct_actions", "user_id;session_start;actions\n" + "".join(f"{u};{t};first_order\n" for u, t in actions))
+        return flows.csv_flow(spark, f"{root}/{name}", lake, "2025-02-10")
+
+    deliver("one", [(1, "2025-02-01 10:00:00", 1)], [(1, "2025-02-01 11:00:00")], [(1, "2025-02-01 12:00:00")])
+    deliver("two", [(2, "2025-02-02 10:00:00", 0)], [(2, "2025-02-02 11:00:00")], [])
+    mart = deliver("three", [(3, "2025-02-01 09:00:00", 0)], [], [])
+    rows = {r.date.isoformat(): (r.impressions, r.clicks, r.installs, r.conversions, r.revenue) for r in mart.collect()}
+    assert rows == {"2025-02-01": (2, 1, 1, 1, 100.0), "2025-02-02": (1, 0, 1, 0, 0.0)}
+    for t in ("banner_events", "installs", "fct_actions"):
+        assert spark.read.parquet(f"{lake}/ods/{t}").where("processing_date IS NOT NULL").count() > 0

@@ -1,7 +1,6 @@
 """Click model on MLlib (few boosting rounds in tests)."""
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
+import pytest
 from pyspark.sql import functions as F
 
 from campaignlake.operators import model
@@ -10,19 +9,6 @@ from campaignlake.session import new_scratch
 from tests.conftest import SF_CHECK
 
 
-def _rank_sum_auc(pred):
-    """ROC-AUC from ranks with ties averaged (a test cross-check, global sort)."""
-    p = pred.select(F.col(model.LABEL).alias("y"), vector_to_array("probability")[1].alias("s"))
-    w = Window.orderBy("s")
-    ranked = p.withColumn("r0", F.rank().over(w))
-    ties = ranked.groupBy("s").agg(F.count(F.lit(1)).alias("t"), F.min("r0").alias("rmin"))
-    r = ranked.join(ties, "s").withColumn("r", F.col("rmin") + (F.col("t") - 1) / 2.0)
-    agg = r.agg(F.sum(F.when(F.col("y") == 1, F.col("r"))).alias("rs"),
-                F.sum(F.col("y")).alias("npos"), F.count(F.lit(1)).alias("n")).collect()[0]
-    npos, nneg = agg.npos, agg.n - agg.npos
-    return (agg.rs - npos * (npos + 1) / 2.0) / (npos * nneg)
-
-
 def test_train_score_and_evaluate(spark):
     feats = feature_table(spark, SF_CHECK)
     m, train, test = model.train_click_model(feats, maxIter=5)
@@ -30,7 +16,7 @@ def test_train_score_and_evaluate(spark):
     auc = model.evaluate_auc(m, test)
     assert 0.0 <= auc <= 1.0
     pred = m.transform(test)
-    assert abs(_rank_sum_auc(pred) - auc) < 1e-6
+    assert abs(model.rank_sum_auc(pred) - auc) < 1e-6
     scored = model.score_users(m, feats)
     rows = scored.collect()
     assert len(rows) == feats.count() == len({r.user_id for r in rows})
@@ -57,3 +43,12 @@ def test_encoded_categories_are_alphabetical(spark):
     enc = model.encode_features(feature_table(spark, SF_CHECK))
     dev = {r.device_type_idx for r in enc.collect()}
     assert dev <= {0.0, 1.0}
+
+
+def test_training_with_forty_tariffs(spark, monkeypatch):
+    feats = feature_table(spark, SF_CHECK).withColumn("tariff", F.concat(F.lit("t"), (F.col("user_id") % 40).cast("string")))
+    m, _, test = model.train_click_model(feats, maxIter=2)
+    assert m.stages[-1].getOrDefault("maxBins") >= 41 and 0 <= model.evaluate_auc(m, test) <= 1
+    monkeypatch.setattr(model, "MOST_CATEGORIES", 10)
+    with pytest.raises(ValueError, match="tariff"):
+        model.train_click_model(feats, maxIter=2)

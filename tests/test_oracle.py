@@ -45,7 +45,6 @@ def test_query_matches_oracle(spark, duck, name):
 def test_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert not any("pipeline" in k for k in q)
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["campaign_id", "date", "impressions", "clicks", "ctr", "installs", "conversions",
