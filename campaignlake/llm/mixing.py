@@ -87,7 +87,7 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     total = targets.agg(F.sum("target")).first()[0] or 0.0
     slots = round(total / block)
     cut = targets.groupBy().agg(F.array_sort(F.collect_list(F.struct("source_no", "target"))).alias("t")).select(
-        F.expr("transform(sequence(1, size(t)), i -> named_struct("
+        F.expr("transform(slice(sequence(1, size(t) + 1), 1, size(t)), i -> named_struct("
                "'source_no', t[i-1].source_no, "
                "'upto', aggregate(slice(t, 1, i), 0D, (a, x) -> a + x.target)))").alias("cuts"))
     cuts = cut.scalar()  # one row, as long as the list of sources
@@ -96,7 +96,7 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
            .withColumn("u", (F.col("slot") * F.lit(GOLDEN)) % 1.0)
            .withColumn("bucket", F.floor(F.col("slot") / width))
            .withColumn("cuts", cuts)
-           .withColumn("last", F.element_at("cuts", -1))
+           .withColumn("last", F.try_element_at("cuts", F.lit(-1)))
            .withColumn("source_no", F.coalesce(
                F.get(F.filter("cuts", lambda c: c["upto"] > F.col("u") * F.col("last")["upto"]), F.lit(0))["source_no"],
                F.col("last")["source_no"]))
@@ -115,9 +115,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
     targets = source_targets(sized, weights, share, most)
     targets = written(targets.withColumn(
         "source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")), "targets")
-    n_docs, n_sources, total = (lambda r: (r[0], r[1], r[2] or 0.0))(
-        sized.agg(F.count("*").alias("n")).join(
-            F.broadcast(targets.agg(F.count("*").alias("s"), F.sum("target").alias("t")))).first())
+    n_docs = sized.count()
+    n_sources, total = targets.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0.0))).first()
     block = int(min(MOST_BLOCK, max(1, total // (max(1, n_sources) * SLOTS_PER_SOURCE))))
     slots = schedule(targets, block)
     buckets = max(1, round(n_docs ** 0.5))
