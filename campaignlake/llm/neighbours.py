@@ -55,7 +55,8 @@ def beam(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: np.
     o = np.argsort(-s, axis=1)
     ids[:, :w] = np.take_along_axis(entry[:, :w], o, 1)
     sims[:, :w] = np.take_along_axis(s, o, 1)
-    seen[rows[:, None], np.maximum(ids[:, :w], 0)] |= ids[:, :w] >= 0
+    r, c = np.nonzero(ids[:, :w] >= 0)
+    seen[r, ids[r, c]] = True
     active = rows
     while len(active):
         a_ids, a_sims, a_done = ids[active], sims[active], done[active]
@@ -79,7 +80,8 @@ def beam(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: np.
         if width:
             o = np.argsort(~fresh, axis=1, kind="stable")[:, :width]
             nb, fresh = np.take_along_axis(nb, o, 1), np.take_along_axis(fresh, o, 1)
-            seen[active[:, None], np.maximum(nb, 0)] |= fresh
+            r, c = np.nonzero(fresh)
+            seen[active[r], nb[r, c]] = True
             s = np.einsum("qd,qkd->qk", queries[active], vectors[nb])
             s[~fresh] = -np.inf
             nb[~fresh] = -1
