@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +27,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast
+from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, mix64
 
 DOCS_PER_LANGUAGE = 400
 FEATURES = 1 << 16
-SLOTS = 24
+LEXICON_FEATURES = 600  # three strengths of each language
+GRAMS = 7
+SLOTS = 23
+WIDTH = 32              # bytes of a word that features see
 SEQUENCES = 6000
 LENGTH = 32
 STEPS = 400
 LEXICON = 2000          # words of a language
-CACHED_WORDS = 200_000
-BATCH_WORDS = 1_000_000
+CACHED_WORDS = 300_000
+BATCH_WORDS = 500_000
 UNKNOWN = "und"
 
 
@@ -48,27 +50,53 @@ def plain(word: str) -> str:
     return word if word.isalpha() else "".join(c for c in word if c.isalpha())
 
 
-def features(word: str, lexicon: dict[str, list[str]]) -> list[int]:
-    """Hashed features of a plain word (1 to FEATURES - 1)."""
-    w = f"^{word[:30]}$"
-    names = [f"w{w}" if len(w) < 6 else "", *(f"p{w[:i]}" for i in (2, 3, 4)), *(f"s{w[-i:]}" for i in (2, 3, 4)),
-             *(w[i:i + 2] for i in range(min(len(w) - 1, 7))), *(w[i:i + 3] for i in range(min(len(w) - 2, 7))),
-             *lexicon.get(word, ())]
-    out = [crc32(x.encode("utf-8", "surrogatepass")) % (FEATURES - 1) + 1 for x in names if x]
-    return out[:SLOTS]
+def feature_rows(words: list[str], lexicon: dict[str, tuple[int, ...]]) -> np.ndarray:
+    """Hashed features (words x SLOTS, 0 for none) of plain words: the word if
+    short, affixes of two to four bytes, the first bigrams and trigrams, all
+    with marks for its ends, and its lexicon features."""
+    raw = [b"^" + w.encode("utf-8", "surrogatepass")[:WIDTH - 2] + b"$" for w in words]
+    n = np.fromiter(map(len, raw), np.int64, len(raw))
+    m = np.frombuffer(b"".join(x.ljust(WIDTH, b"\0") for x in raw), np.uint8).reshape(-1, WIDTH).astype(np.uint64)
+    out = np.zeros((len(raw), SLOTS), np.int64)
+    slot = 0
+
+    def put(kind: int, code: np.ndarray, valid: np.ndarray) -> None:
+        nonlocal slot
+        h = mix64(code * np.uint64(64) + np.uint64(kind)) % np.uint64(FEATURES - 1 - LEXICON_FEATURES)
+        out[:, slot] = np.where(valid, h.astype(np.int64) + 1, 0)
+        slot += 1
+
+    def gram(at: np.ndarray | int, k: int) -> np.ndarray:
+        code = np.zeros(len(raw), np.uint64)
+        for i in range(k):
+            column = m[:, at + i] if isinstance(at, int) else m[np.arange(len(raw)), np.clip(at + i, 0, WIDTH - 1)]
+            code = code * np.uint64(256) + column
+        return code
+
+    put(1, gram(0, 8), n <= 8)
+    for k in (2, 3, 4):
+        put(k, gram(0, k), n >= k)
+        put(k + 8, gram(n - k, k), n >= k)
+    for i in range(GRAMS):
+        put(20, gram(i, 2), n >= i + 2)
+        put(21, gram(i, 3), n >= i + 3)
+    for i in range(SLOTS - slot):
+        out[:, slot + i] = [f[i] if i < len(f) else 0 for f in map(lexicon.get, words, [()] * len(words))]
+    return out
 
 
-def _lexicon(counts: dict[str, Counter]) -> dict[str, list[str]]:
+def _lexicon(counts: dict[str, Counter]) -> dict[str, tuple[int, ...]]:
     """By word: features that name its language and how typical it is."""
     total = {k: sum(c.values()) + 1 for k, c in counts.items()}
     everywhere: Counter = sum(counts.values(), Counter())
-    out: dict[str, list[str]] = {}
-    for k, c in sorted(counts.items()):
+    out: dict[str, tuple[int, ...]] = {}
+    for number, (k, c) in enumerate(sorted(counts.items())):
         rate = {w: (n / total[k]) / ((everywhere[w] - n + 0.5) / (sum(total.values()) - total[k] + 1))
                 for w, n in c.items() if n >= 5}
         for w, r in sorted(rate.items(), key=lambda x: (-c[x[0]], x[0]))[:LEXICON]:
             if r > 4:
-                out.setdefault(w, []).append(f"lex {k} {min(3, int(np.log10(r)))}")
+                place = (3 * number + min(2, int(np.log10(r)))) % LEXICON_FEATURES
+                out[w] = (*out.get(w, ()), FEATURES - 1 - place)
     return out
 
 
@@ -109,58 +137,57 @@ def fit(rows: list) -> tuple[crf.Crf, dict] | None:
             x[i, at:at + n] = [index.setdefault(w, len(index)) for w in words[lo:lo + n]]
             truth[i, at:at + n] = y
             at += n
-    table = np.zeros((len(index), SLOTS), np.int64)
-    for w, i in index.items():
-        f = features(w, lexicon)
-        table[i, :len(f)] = f
+    table = feature_rows(list(index), lexicon)
     return crf.train(table, x, truth, labels, FEATURES, STEPS), lexicon
 
 
 class WordEmissions(dict):
     """Row of ``table`` that holds a word's emissions; row 0 is for words
-    without letters.  Call ``fresh`` between texts: it starts anew when full."""
+    without letters.  ``learn`` the words of a text before looking them up;
+    ``fresh`` between batches starts anew when the table is full."""
 
     def __init__(self, model: crf.Crf, lexicon: dict) -> None:
         super().__init__()
         self.model, self.lexicon = model, lexicon
-        self.table = np.zeros((CACHED_WORDS, len(model.labels)), np.float32)
-        self.used = 1
-
-    def __missing__(self, word: str) -> int:
-        p = plain(word)
-        if not p:
-            return 0
-        if self.used == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used] = self.model.weights[features(p, self.lexicon)].sum(axis=0)
-        self[word] = self.used
-        self.used += 1
-        return self.used - 1
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.table = np.zeros((1, len(self.model.labels)), np.float32)
+
+    def learn(self, words: set[str]) -> None:
+        new = list(words.difference(self))
+        for lo in range(0, len(new), 20_000):
+            part = new[lo:lo + 20_000]
+            plains = [plain(w) for w in part]
+            rows = self.model.weights[feature_rows(plains, self.lexicon)].sum(axis=1)
+            at = iter(range(len(self.table), len(self.table) + len(part)))
+            keep = np.array([bool(p) for p in plains])
+            self.update((w, next(at) if p else 0) for w, p in zip(part, plains, strict=True))
+            self.table = np.concatenate([self.table, rows[keep]])
 
     def fresh(self) -> None:
-        if self.used > CACHED_WORDS // 2:
+        if len(self) > CACHED_WORDS:
             self.clear()
-            self.table = np.zeros((CACHED_WORDS, self.table.shape[1]), np.float32)
-            self.used = 1
 
 
 def label_texts(texts: list, model: crf.Crf, emissions: WordEmissions) -> Iterator[tuple]:
     """(position, word rows, posteriors) of every text that has words."""
-    ids, held, at = [], 0, []
+    held, size = [], 0
     for i, text in enumerate(texts):
         words = (text or "").split()
-        ids.append(np.fromiter(map(emissions.__getitem__, words), np.int64, len(words)))
-        at.append(i)
-        held += len(words)
-        if held >= BATCH_WORDS or i + 1 == len(texts):
-            lengths = np.array([len(x) for x in ids])
-            for part in crf.batches(lengths, BATCH_WORDS):
+        held.append((i, words))
+        size += len(words)
+        if size >= BATCH_WORDS or i + 1 == len(texts):
+            emissions.fresh()
+            emissions.learn(set().union(*(w for _, w in held)))
+            ids = [np.fromiter(map(emissions.__getitem__, w), np.int64, len(w)) for _, w in held]
+            for part in crf.batches(np.array([len(x) for x in ids]), BATCH_WORDS):
                 mine = [ids[j] for j in part]
-                gamma = crf.posteriors(model, emissions.table[:emissions.used], mine)
+                gamma = crf.posteriors(model, emissions.table, mine)
                 for c, j in enumerate(part):
-                    yield at[j], mine[c], gamma[:len(mine[c]), c]
-            ids, held, at = [], 0, []
-            emissions.fresh()
+                    yield held[j][0], mine[c], gamma[:len(mine[c]), c]
+            held, size = [], 0
 
 
 def _predict(texts: list, model: crf.Crf | None, emissions: WordEmissions | None) -> tuple:
