@@ -9,10 +9,11 @@ boundary between small and large is where the sum of keys and list entries is
 least (``boundary``); sets within a factor t of it are in both parts, so no
 pair falls between.
 
-The order comes from a count sketch of fixed size (``SKETCH_BITS``).  It only
-says how long lists are: any order gives the same links.
+The order comes from a count sketch with a bucket for every ``LOAD`` shingles,
+up to 64 MB.  It only says how long lists are: any order gives the same links,
+and a corpus for which 64 MB are too few gets longer lists, not other results.
 
-Sets that meet at a key form candidate groups; each group's texts are brought
+Sets that meet at a key, and are of neighbouring sizes, form candidate groups; each group's texts are brought
 together once (large groups as pairs of blocks of bounded size), where the
 overlaps are counted exactly and the links are reduced to a spanning forest.
 Copies (equal sets) are one node throughout.  No list, group or set is capped.
@@ -32,15 +33,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, mix64, written
+from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, connected_components, mix64, written
 
-SKETCH_BITS = 25        # 32 MB, whatever the input
+LOAD = 4                # shingles to a bucket of the sketch, up to the size below
+LEAST_BITS, MOST_BITS = 16, 26  # of the sketch: 64 KB to 64 MB
 CHUNK_BITS = 16         # of the sketch, in one row
+WORD_BYTES = 6          # for the size of the sketch
 MOST_SMALL = 24         # largest boundary that is considered
 BLOCK_SHINGLES = 2_000_000
+LONG_LIST = 50_000      # entries of a list that one task may hold
+ID_BITS = 27            # of the filter of ids: 16 MB
+ID_CHUNK = 1 << 20
+ID_PARTS = 8
 CACHED_WORDS = 300_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = (np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03))
@@ -58,9 +65,13 @@ class WordHashes(dict):
         return h
 
 
-def shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
+def as_bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def shingles(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of lower-cased words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
     w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -131,14 +142,35 @@ def sketch_value(level: np.ndarray) -> np.ndarray:
     return np.where(level <= 64, level, 64 * 2 ** ((level - 64.0) / 16))
 
 
-def _first_pass(docs: DataFrame, n: int) -> DataFrame:
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """A chunk of small counts: a bit for each bucket in use, then places and
+    counts of those above one."""
+    many = np.flatnonzero(counts > 1)
+    return np.packbits(counts > 0).tobytes() + many.astype("<u2").tobytes() + counts[many].tobytes()
+
+
+def _unpacked_counts(raw: bytes) -> np.ndarray:
+    size = (1 << CHUNK_BITS) // 8
+    out = np.unpackbits(np.frombuffer(raw[:size], np.uint8))
+    many = (len(raw) - size) // 3
+    out[np.frombuffer(raw[size:size + 2 * many], "<u2")] = np.frombuffer(raw[size + 2 * many:], np.uint8)
+    return out
+
+
+def sketch_bits(docs: DataFrame) -> int:
+    """log2 of the sketch's buckets for this corpus."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(min(MOST_BITS, max(LEAST_BITS, round(np.log2(max(1.0, total / WORD_BYTES / LOAD))))))
+
+
+def _first_pass(docs: DataFrame, n: int, bits: int) -> DataFrame:
     """Written rows of (doc_id, n_shingles, s1, s2) for documents, and of
     (chunk, counts) for the sketch of each task."""
-    size, shift = 1 << CHUNK_BITS, np.uint64(64 - SKETCH_BITS)
+    size, shift = 1 << CHUNK_BITS, np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, n_held = WordHashes(), [], 0
-        counts = np.zeros(1 << SKETCH_BITS, np.uint8)
+        counts = np.zeros(1 << bits, np.uint8)
 
         def add() -> None:
             at, c = np.unique(np.concatenate(held), return_counts=True)
@@ -148,7 +180,7 @@ def _first_pass(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                s = shingles(text.as_py(), n, hashes)
+                s = shingles(as_bytes(text.as_py()), n, hashes)
                 rows.append((len(s), *signature(s)))
                 held.append((s >> shift).astype(np.uint32))
                 n_held += len(s)
@@ -163,7 +195,7 @@ def _first_pass(docs: DataFrame, n: int) -> DataFrame:
         if held:
             add()
         pack = zstandard.ZstdCompressor(level=1)
-        for at in range(0, 1 << SKETCH_BITS, 64 * size):
+        for at in range(0, 1 << bits, 64 * size):
             parts = counts[at:at + 64 * size].reshape(-1, size)
             used = np.flatnonzero(parts.any(axis=1))
             if len(used):
@@ -171,7 +203,7 @@ def _first_pass(docs: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(m, kind_arrow), *(pa.nulls(m, pa.int64()) for _ in range(3)),
                      pa.array(used + at // size, pa.int32()),
-                     pa.array([pack.compress(parts[i].tobytes()) for i in used], pa.binary())], names)
+                     pa.array([pack.compress(_packed_counts(parts[i])) for i in used], pa.binary())], names)
 
     names = ["doc_id", "n_shingles", "s1", "s2", "chunk", "counts"]
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -181,8 +213,9 @@ def _first_pass(docs: DataFrame, n: int) -> DataFrame:
     return written(out, "sets")
 
 
-def _sketch(first: DataFrame) -> np.ndarray:
-    """The tasks' sketches summed by chunk; 32 MB reach the driver at any size."""
+def _sketch(first: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tasks' sketches summed by chunk (64 MB at most reach the driver),
+    and the number of buckets by level."""
     size = 1 << CHUNK_BITS
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +227,7 @@ def _sketch(first: DataFrame) -> np.ndarray:
                     if total is not None:
                         yield row(chunk, total)
                     chunk, total = c, np.zeros(size, np.uint32)
-                total += np.frombuffer(unpack.decompress(raw.as_py(), max_output_size=size), np.uint8)
+                total += _unpacked_counts(unpack.decompress(raw.as_py()))
         if total is not None:
             yield row(chunk, total)
 
@@ -204,23 +237,27 @@ def _sketch(first: DataFrame) -> np.ndarray:
 
     parts = (first.where("chunk is not null").select("chunk", "counts").repartition("chunk")
              .sortWithinPartitions("chunk").mapInArrow(add, "chunk int, levels binary"))
-    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    out, seen = np.zeros(1 << bits, np.uint8), np.zeros(256)
     for r in parts.toLocalIterator():
-        out[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(r["levels"], np.uint8)
-    return out
+        part = np.frombuffer(r["levels"], np.uint8)
+        out[r["chunk"] * size:(r["chunk"] + 1) * size] = part
+        seen += np.bincount(part, minlength=256)
+    return out, seen
 
 
-def _postings(docs: DataFrame, n: int, num: int, den: int, sketch: np.ndarray, small: int) -> DataFrame:
-    """(key, node): keys of every set; node is the set's first signature.  A
-    key that only one set in the whole table can have is left out."""
-    shared, shift = docs.sparkSession.sparkContext.broadcast(sketch), np.uint64(64 - SKETCH_BITS)
+def _postings(docs: DataFrame, n: int, num: int, den: int, sketch: np.ndarray, bits: int, small: int) -> DataFrame:
+    """(key, node, size_class): keys of every set; node is the set's first
+    signature.  Sets that may link are in one size class or in neighbouring
+    ones."""
+    width = np.log(den / num) * (1 + 1e-9)  # of a size class, on the log scale
+    shared, shift = docs.sparkSession.sparkContext.broadcast(sketch), np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, levels = WordHashes(), shared.value
         for batch in batches:
-            keys, nodes, lens = [], [], []
+            keys, nodes, lens, classes = [], [], [], []
             for text in batch.column(0):
-                s = shingles(text.as_py(), n, hashes)
+                s = shingles(as_bytes(text.as_py()), n, hashes)
                 a = len(s)
                 if not a:
                     continue
@@ -230,23 +267,83 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, sketch: np.ndarray, s
                 if a * den >= num * (small + 1):
                     level = levels[s >> shift]
                     # rare first, equal levels by hash (s is sorted, the sort is stable)
-                    first = np.argsort(level, kind="stable")[:prefix(a, num, den)]
-                    found.append(s[first[level[first] > 1]])
+                    found.append(s[np.argsort(level, kind="stable")[:prefix(a, num, den)]])
                 keys += found
                 lens.append(sum(map(len, found)))
                 nodes.append(signature(s)[0])
+                classes.append(int(np.log(a) / width))
                 if len(nodes) >= 4096:
-                    yield emit(keys, nodes, lens)
-                    keys, nodes, lens = [], [], []
+                    yield emit(keys, nodes, classes, lens)
+                    keys, nodes, lens, classes = [], [], [], []
             if nodes:
-                yield emit(keys, nodes, lens)
+                yield emit(keys, nodes, classes, lens)
 
-    def emit(keys: list, nodes: list, lens: list) -> pa.RecordBatch:
+    def emit(keys: list, nodes: list, classes: list, lens: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).astype(np.int64)),
-             pa.array(np.repeat(np.array(nodes, np.int64), lens))], ["key", "node"])
+             pa.array(np.repeat(np.array(nodes, np.int64), lens)), pa.array(np.repeat(np.array(classes, np.int32), lens))],
+            ["key", "node", "size_class"])
+
+    return docs.select("text").mapInArrow(run, "key long, node long, size_class int")
+
+
+def _stars(posts: DataFrame) -> DataFrame:
+    """Candidate edges (a, b): in every list, the sets of neighbouring size
+    classes are tied to the smallest of them, so an edge a posting at most.
+    First the lists are cut down to those with several entries."""
+    several = written(posts.groupBy("key").count().where("count > 1"), "lists")
+
+    def bracketed(keys: DataFrame) -> DataFrame:
+        # a set lies in the brackets (class, class) and (class, class + 1)
+        return (posts.join(keys.select("key"), "key")
+                .withColumn("bracket", F.explode(F.array("size_class", F.col("size_class") + 1))).drop("size_class"))
+
+    # lists of bounded length lie together after the join: no further shuffle
+    group = Window.partitionBy("key", "bracket")
+    out = (bracketed(several.where(F.col("count") <= LONG_LIST)).withColumn("a", F.min("node").over(group))
+           .where("node <> a").select("a", F.col("node").alias("b")))
+    long_ones = several.where(F.col("count") > LONG_LIST)
+    if not long_ones.isEmpty():  # their minimum is combined before the shuffle, their rows are not gathered
+        both = bracketed(bounded_broadcast(long_ones.select("key"), MAX_ONE_ROW_PER_PARTITION))
+        low = both.groupBy("key", "bracket").agg(F.min("node").alias("a"))
+        out = out.union(both.join(low, ["key", "bracket"]).where("node <> a").select("a", F.col("node").alias("b")))
+    return out.distinct()
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (doc_id, text, packed) of ``docs`` that may be among ``wanted``.doc_id: a
+    bit for each hash of an id, 16 MB whatever the input, drops the others
+    before they are shuffled.  (An exact join follows.)"""
+    def place(ids: np.ndarray) -> np.ndarray:
+        return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - ID_BITS)).astype(np.int64)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << ID_BITS, bool)
+        for batch in batches:
+            bits[place(batch.column(0).to_numpy())] = True
+        for lo in range(0, len(bits), ID_CHUNK):
+            part = np.packbits(bits[lo:lo + ID_CHUNK])
+            if part.any():
+                raw = zstandard.ZstdCompressor(level=1).compress(part.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([raw], pa.binary())], ["lo", "bits"])
+
+    filled = np.zeros((1 << ID_BITS) // 8, np.uint8)
+    for r in wanted.select("doc_id").coalesce(ID_PARTS).mapInArrow(mark, "lo long, bits binary").toLocalIterator():
+        part = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), np.uint8)
+        filled[r["lo"] // 8:r["lo"] // 8 + len(part)] |= part
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            at = place(batch.column(0).to_numpy())
+            hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            batch = batch.filter(pa.array(hit.astype(bool)))
+            packed = [pack.compress(as_bytes(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "text"])
 
-    return docs.select("text").mapInArrow(run, "key long, node long")
+    return docs.select("doc_id", "text").mapInArrow(keep, "doc_id long, text binary")
 
 
 def forest(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -294,9 +391,10 @@ def forest(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
 
 def _verify(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links (a, b) within each (component, i, j) of ``rows``, which also has
-    doc_id, s1 and text.  Rows stream by group; one group is held at a time."""
+    doc_id, s1 and the packed text.  Rows stream by group; one group is held at
+    a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, key, ids, sets = WordHashes(), None, [], []
+        hashes, unpack, key, ids, sets = WordHashes(), zstandard.ZstdDecompressor(), None, [], []
         for batch in batches:
             out = []
             cols = [batch.column(c).to_pylist() for c in range(5)]
@@ -304,7 +402,7 @@ def _verify(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 if (c, i, j) != key:
                     out += links(ids, sets)
                     key, ids, sets = (c, i, j), [], []
-                s = shingles(text.as_py(), n, hashes)
+                s = shingles(unpack.decompress(text.as_py()), n, hashes)
                 if signature(s)[0] == s1:  # an id may stand for several texts
                     ids.append(doc)
                     sets.append(s)
@@ -326,15 +424,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     doc_id, text): documents link at Jaccard similarity num/den or more of their
     sets of ``n``-word shingles; component_id is the smallest doc_id that links
     reach."""
-    first = _first_pass(docs, n)
+    bits = sketch_bits(docs)
+    first = _first_pass(docs, n, bits)
     sets = first.where("chunk is null").select("doc_id", "n_shingles", "s1", "s2")
-    sketch = _sketch(first)
+    sketch, levels = _sketch(first, bits)
     sizes = dict(sets.where(F.col("n_shingles").between(1, 2 * MOST_SMALL)).groupBy("n_shingles").count().collect())
-    small = boundary(sizes, np.bincount(sketch, minlength=256).astype(float), num, den)
-    posts = written(_postings(docs, n, num, den, sketch, small), "postings")
-    lists = posts.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
-    stars = posts.join(lists.select("key", "a"), "key").where("node <> a").select("a", F.col("node").alias("b"))
-    groups = connected_components(stars)
+    small = boundary(sizes, levels, num, den)
+    posts = written(_postings(docs, n, num, den, sketch, bits, small), "postings")
+    groups = connected_components(_stars(posts))
 
     classes = written(sets.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
                       .agg(F.min("doc_id").alias("first_id")), "classes")
@@ -348,7 +445,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     placed = (placed.withColumn("other", F.explode(other))
               .select(F.col("first_id").alias("doc_id"), "s1", "component",
                       F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    links = written(_verify(placed.join(docs.select("doc_id", "text"), "doc_id"), n, num, den), "pairs")
+    placed = written(placed, "placed")
+    links = written(_verify(placed.join(_texts_of(docs, placed), "doc_id"), n, num, den), "pairs")
     found = connected_components(links)
     ends = (classes.join(found, F.col("first_id") == F.col("node"), "left")
             .select("s1", "s2", "n_shingles", F.coalesce("component", "first_id").alias("found")))

@@ -61,8 +61,10 @@ def test_equals_brute_force(spark, monkeypatch, n, num, den, sizes, small):
     assert got == brute_force(rows, n, num, den)
 
 
-def test_blocks_of_large_groups(spark, monkeypatch):
+@pytest.mark.parametrize("long_list", [50_000, 10])
+def test_blocks_of_large_groups(spark, monkeypatch, long_list):
     monkeypatch.setattr(setjoin, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(setjoin, "LONG_LIST", long_list)  # also lists that are never gathered
     base = [f"v{i}" for i in range(80)]
     rows = [(i, " ".join([*base[:i % 70], f"y{i}", *base[i % 70:]])) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
