@@ -143,9 +143,10 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """The mix as rows of ``docs``, in schedule order: a document stands once
-    for every round of which the mix takes half its words or more, whole.  Rows
-    of the same id, source and text are one document here."""
+    """The mix as rows of ``docs``: a document stands once for every round of
+    which the mix takes half its words or more, whole.  Every partition is in
+    schedule order and holds a random part of the documents.  Rows of the same
+    id, source and text are one document here."""
     key = ["doc_id", "source", "text_hash"]
     taken = (mix(docs, weights, share, most).select(*key, "first", "size", F.explode("pieces").alias("p"))
              .groupBy(*key, "first", "size", F.col("p.round").alias("round"))
@@ -156,4 +157,4 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     single = named.dropDuplicates(["doc_id", "source", "__mix_hash"])
     return (single.join(taken, single["doc_id"].eqNullSafe(F.col("__mix_doc_id")) & single["source"].eqNullSafe(F.col("__mix_source"))
                         & (F.col("__mix_hash") == F.col("__mix_text_hash")))
-            .repartitionByRange("__mix_slot").sortWithinPartitions("__mix_slot", "doc_id").select(*docs.columns))
+            .sortWithinPartitions("__mix_slot", "doc_id").select(*docs.columns))

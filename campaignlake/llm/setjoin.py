@@ -46,9 +46,9 @@ MOST_SMALL = 24         # largest boundary that is considered
 BLOCK_SHINGLES = 2_000_000
 LONG_LIST = 50_000      # entries of a list that one task may hold
 ID_BITS = 27            # of the filter of ids: 16 MB
-ID_CHUNK = 1 << 20
+ID_CHUNK = 1 << 17      # bytes
 ID_PARTS = 8
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = (np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03))
 
@@ -318,11 +318,12 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - ID_BITS)).astype(np.int64)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << ID_BITS, bool)
+        bits = np.zeros((1 << ID_BITS) // 8, np.uint8)
         for batch in batches:
-            bits[place(batch.column(0).to_numpy())] = True
+            at = place(batch.column(0).to_numpy())
+            np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
         for lo in range(0, len(bits), ID_CHUNK):
-            part = np.packbits(bits[lo:lo + ID_CHUNK])
+            part = bits[lo:lo + ID_CHUNK]
             if part.any():
                 raw = zstandard.ZstdCompressor(level=1).compress(part.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([raw], pa.binary())], ["lo", "bits"])
@@ -330,7 +331,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     filled = np.zeros((1 << ID_BITS) // 8, np.uint8)
     for r in wanted.select("doc_id").coalesce(ID_PARTS).mapInArrow(mark, "lo long, bits binary").toLocalIterator():
         part = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), np.uint8)
-        filled[r["lo"] // 8:r["lo"] // 8 + len(part)] |= part
+        filled[r["lo"]:r["lo"] + len(part)] |= part
     shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
