@@ -91,8 +91,8 @@ ORACLE: dict[str, str] = {
     "op4_neardup": f"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id
           AND len(p.e) = len(q.e) AND list_cosine_similarity(p.e, q.e) >= 0.93),
 n AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a), {_REACH}
@@ -104,7 +104,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-             ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
 e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
 common AS (SELECT p.doc_id AS a, q.doc_id AS b, p.n AS na, q.n AS nb, COUNT(*) AS c FROM e p JOIN e q USING (x)
            WHERE p.doc_id <> q.doc_id AND 100 * p.n >= 90 * q.n AND 100 * q.n >= 90 * p.n GROUP BY ALL),
