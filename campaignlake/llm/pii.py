@@ -6,10 +6,11 @@ phone number), leftmost and without overlap within a kind, matches that fail a
 kind's test being dropped.  The field is trained from the small labelled table
 ``LABELLED`` (digits drawn anew a few times) and decoded by Viterbi over batches
 of numpy arrays.  It sees tokens (runs of letters, runs of digits, single
-marks) of every stretch of a text that holds a digit or an at sign, with the
-neighbouring words; elsewhere the label is held at "no", which cuts the chain
-there without changing the rest.  Its spans are kept if they pass the kind's
-test and touch no base span.
+marks) of every stretch of a text around a digit, an at sign or a spelled-out
+mark ("(at)", "[dot]"), without one of which no span passes its kind's test.  A
+stretch grows until its first and last label are "no" (or the text ends);
+beyond, the label is held at "no".  Spans are kept if they pass the kind's test
+and touch no base span.
 
 Defined cases: null and empty text have no span; texts of any length are read
 whole, in time that grows with their length; repeated rows are read alike; an
@@ -36,6 +37,8 @@ ROUNDS = 12       # times that the labelled table is used, with other digits
 STEPS = 300
 BATCH_TOKENS = 200_000
 CACHED = 100_000
+NEVER = -1e6      # log weight of a move that no labelling has
+CONTEXT = 3       # chunks beside a mark that are decoded at first
 LABELS = ["no", *(f"{b}-{k}" for k in KINDS for b in "bi")]
 
 # The labelled table: [kind text] marks a span.
@@ -83,7 +86,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\S")
 _HOT = re.compile(r"[0-9@]")
-_SPACE = re.compile(r"\s")
+_MARK = re.compile(r"[0-9@(\[](?:(?<=[0-9@])|\s*(?:[aA][tT]|[dD][oO][tT])\s*[)\]])")
+_CHUNK = re.compile(r"\S+|\s+\S+")
 
 
 def luhn(digits: str) -> bool:
@@ -157,17 +161,17 @@ def tokens(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
 
 
 def _shape(t: str) -> str:
-    if t.isdigit():
+    if t.isdecimal():
         return f"9{min(len(t), 20)}"
     return ("a" if t.islower() else "A" if t.isupper() else "Aa") + str(min(len(t), 5)) if t.isalpha() else t
 
 
 def _token_features(t: str) -> tuple[str, ...]:
     low = t.lower()
-    out = [_shape(t), "9" if t.isdigit() else "a" if t.isalpha() else "m"]
+    out = [_shape(t), "9" if t.isdecimal() else "a" if t.isalpha() else "m"]
     if t.isalpha() and len(t) < 8:
         out.append(f"w{low}")
-    if t.isdigit() and len(t) <= 3:
+    if t.isdecimal() and len(t) <= 3:
         out.append("<256" if int(t) < 256 else ">255")
     return tuple(out)
 
@@ -235,39 +239,54 @@ def fit(seed: int = 5) -> crf.Crf:
         y[i, :len(f)] = truth[i]
         table.append(f)
         at += len(f)
-    return crf.train(np.concatenate(table), x, y, LABELS, FEATURES, STEPS, rate=0.2, seed=seed)
+    model = crf.train(np.concatenate(table), x, y, LABELS, FEATURES, STEPS, rate=0.2, seed=seed)
+    # a span goes on only with its own kind
+    goes_on = np.array([k.startswith("i-") for k in LABELS])
+    same = np.array([[a[2:] == b[2:] for b in LABELS] for a in LABELS])
+    model.moves[goes_on & ~same] = NEVER
+    model.start[goes_on] = NEVER
+    return model
+
+
+def _widened(text: str, lo: int, hi: int, before: int, after: int) -> tuple[int, int]:
+    """The stretch from ``lo`` to ``hi`` with its first and last chunk whole and
+    so many white-space separated chunks more on each side."""
+    while lo > 0 and not text[lo - 1].isspace():
+        lo -= 1
+    for _ in range(before):
+        at = lo
+        while at > 0 and text[at - 1].isspace():
+            at -= 1
+        if not at:
+            break
+        lo = at
+        while lo > 0 and not text[lo - 1].isspace():
+            lo -= 1
+    for _ in range(after + 1):
+        m = _CHUNK.match(text, hi)
+        if not m:
+            break
+        hi = m.end()
+    return lo, hi
 
 
 def islands(text: str) -> list[tuple[int, int]]:
-    """Stretches of white-space separated chunks that hold a digit or an at
-    sign, with a chunk more on each side."""
+    """Stretches of white-space separated chunks around every digit, at sign and
+    spelled-out mark, with ``CONTEXT`` chunks more on each side."""
     out: list[tuple[int, int]] = []
-    m = _HOT.search(text)
+    m = _MARK.search(text)
     while m:
-        at = m.start()
-        lo = max(text.rfind(" ", 0, at), text.rfind("\n", 0, at))
-        if lo > 0:
-            lo = max(text.rfind(" ", 0, lo), text.rfind("\n", 0, lo))
-        e = _SPACE.search(text, at)
-        hi = e.start() if e else len(text)
-        if e:
-            e = _SPACE.search(text, hi + 1)
-            hi = e.start() if e else len(text)
+        lo, own = _widened(text, m.start(), m.end(), CONTEXT, 0)
+        hi = _widened(text, own, own, 0, CONTEXT)[1]
         if out and lo <= out[-1][1]:
             out[-1] = out[-1][0], hi
         else:
-            out.append((lo + 1, hi))
-        # the chunk after the last hot one was only added for context
-        m = _HOT.search(text, _after(text, at))
+            out.append((lo, hi))
+        m = _MARK.search(text, own)
     return out
 
 
-def _after(text: str, at: int) -> int:
-    e = _SPACE.search(text, at)
-    return e.start() if e else len(text)
-
-
-_AT = re.compile(r"@|[(\[]\s*at\s*[)\]]")
+_AT = re.compile(r"@|[(\[]\s*at\s*[)\]]", re.I)
 
 
 def _sound(kind: str, part: str) -> bool:
@@ -280,45 +299,67 @@ def _sound(kind: str, part: str) -> bool:
         return len(groups) == 4 and all(int(g) <= 255 for g in groups if len(g) < 9) and max(map(len, groups)) < 9
     if kind == "phone":
         return 9 <= len(d) <= 15 and not re.search(r"[^0-9+(). /-]", part) and bool(re.search(r"[^0-9]", part))
-    return bool(_AT.search(part)) and len(part) >= 5
+    m = _AT.search(part)
+    return bool(m) and len(part) >= 5 and bool(part[:m.start()].strip()) and bool(part[m.end():].strip())
 
 
-def found_spans(texts: list[str], base: list[list], model: crf.Crf, hashed: Hashed) -> list[list]:
-    """Spans that the field adds to ``base``, by text."""
-    out: list[list] = [[] for _ in texts]
+def _decoded(texts: list[str], todo: list, model: crf.Crf, hashed: Hashed) -> Iterator[tuple]:
+    """((text number, start, end), tokens, labels) of the islands ``todo``."""
     held: list[tuple] = []
-
-    def decode() -> None:
-        lengths = np.array([len(h[1]) for h in held])
-        for part in crf.batches(lengths, BATCH_TOKENS):
-            for j, y in zip(part, crf.viterbi(model, [model.weights[held[k][2]].sum(axis=1) for k in part]), strict=True):
-                i, toks = held[j][:2]
-                at = 0
-                while at < len(y):
-                    if not y[at]:
-                        at += 1
-                        continue
-                    kind, end = LABELS[y[at]][2:], at + 1
-                    while end < len(y) and LABELS[y[end]] == f"i-{kind}":
-                        end += 1
-                    s, e = toks[at][0], toks[end - 1][1]
-                    if _sound(kind, texts[i][s:e]) and all(e <= a or b <= s for _, a, b in base[i]):
-                        out[i].append((kind, s, e))
-                    at = end
-        held.clear()
-
     size = 0
-    for i, text in enumerate(texts):
-        for lo, hi in islands(text):
-            toks = tokens(text, lo, hi)
-            held.append((i, toks, features(text, toks, hashed)))
-            size += len(toks)
-        if size > BATCH_TOKENS:
-            decode()
+    for n, island in enumerate(todo, 1):
+        i, lo, hi = island
+        toks = tokens(texts[i], lo, hi)
+        held.append((island, toks, features(texts[i], toks, hashed)))
+        size += len(toks)
+        if size > BATCH_TOKENS or n == len(todo):
+            for part in crf.batches(np.array([len(h[1]) for h in held]), BATCH_TOKENS):
+                found = crf.viterbi(model, [model.weights[held[k][2]].sum(axis=1) for k in part])
+                for j, y in zip(part, found, strict=True):
+                    yield held[j][0], held[j][1], y
+            held.clear()
             size = 0
-    if held:
-        decode()
-    return out
+
+
+def found_spans(texts: list[str], base: list[list], model: crf.Crf, hashed: Hashed) -> list[list]:
+    """Spans that the field adds to ``base``, by text.  An island whose labels
+    run to its edge is decoded again with more of the text on that side, and
+    together with the islands that it then meets."""
+    done: list[dict] = [{} for _ in texts]  # spans by island
+    todo = [(i, lo, hi) for i, text in enumerate(texts) for lo, hi in islands(text)]
+    while todo:
+        wider: dict[int, list] = {}
+        for (i, lo, hi), toks, y in _decoded(texts, todo, model, hashed):
+            if y[0] or y[-1]:
+                n = len(toks)
+                new = _widened(texts[i], lo, hi, n if y[0] else 0, n if y[-1] else -1)
+                if new != (lo, hi):
+                    wider.setdefault(i, []).append(new)
+                    continue
+            spans = done[i][lo, hi] = []
+            at = 0
+            while at < len(y):
+                if not y[at]:
+                    at += 1
+                    continue
+                kind, end = LABELS[y[at]][2:], at + 1
+                while end < len(y) and LABELS[y[end]] == f"i-{kind}":
+                    end += 1
+                s, e = toks[at][0], toks[end - 1][1]
+                if _sound(kind, texts[i][s:e]) and all(e <= a or b <= s for _, a, b in base[i]):
+                    spans.append((kind, s, e))
+                at = end
+        todo = []
+        for i, new in wider.items():
+            merged: list[tuple[int, int]] = []
+            for lo, hi in sorted([*new, *done[i]]):
+                if merged and lo <= merged[-1][1]:
+                    merged[-1] = merged[-1][0], max(hi, merged[-1][1])
+                else:
+                    merged.append((lo, hi))
+            done[i] = {x: done[i][x] for x in merged if x in done[i]}
+            todo += [(i, *x) for x in merged if x not in done[i]]
+    return [[x for spans in d.values() for x in spans] for d in done]
 
 
 def digest(spans: list) -> str:

@@ -245,6 +245,35 @@ def test_field_adds_what_patterns_miss():
             assert set(base) <= set(every)
 
 
+def test_spelled_out_addresses_are_found():
+    model, hashed = pii.fit(), pii.Hashed()
+    for address in ("bob (at) example (dot) com", "j_doe42 (at) example (dot) com", "r.smith [at] post [dot] example [dot] org",
+                    "Anna (AT) web (DOT) org"):
+        for before, after in (("mail", "today"), ("plain words " * 50 + "so please write to", "now " + "and more words " * 50)):
+            text = f"{before} {address} {after}"
+            (_, every), = pii.scan([text], model, hashed)
+            assert [(k, text[s:e]) for k, s, e in every] == [("email", address)]
+            assert pii.masked(text, every) == f"{before} <email> {after}"
+    texts = ["area 10 \u00b2 and \u2460 of \u0663", "(at) noon"]
+    assert [every for _, every in pii.scan(texts, model, hashed)] == [[], []]
+
+
+def test_islands_equal_whole_texts():
+    model, hashed, rng = pii.fit(), pii.Hashed(), random.Random(8)
+    lines = [pii.parse_labelled(x)[0] for x in pii.LABELLED.strip().split("\n")]
+    plain = ["the", "of", "and", "word", "they", "went", "home"]
+    texts = [" ".join(x for _ in range(6) for x in (rng.choice(lines), *rng.choices(plain, k=rng.randint(8, 30)))) for _ in range(60)]
+    base = [pii.base_spans(t) for t in texts]
+    got = pii.found_spans(texts, base, model, hashed)
+    islands = pii.islands
+    try:
+        pii.islands = lambda text: [(0, len(text))]
+        assert list(map(sorted, got)) == list(map(sorted, pii.found_spans(texts, base, model, hashed)))
+    finally:
+        pii.islands = islands
+    assert sum(map(len, got)) > 100
+
+
 def test_personal_data_rows(spark):
     text = "write to ann.lee@mail.example.com or +1 (168) 555-5254 from 10.0.0.7"
     rows = [(1, text, "en", "s", len(text)), (1, text, "en", "s", len(text)), (2, None, "en", "s", None), (3, "", "en", "s", 0),
