@@ -1,9 +1,11 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 Slot i of the mix falls on the point frac(i * golden ratio); the sources'
-targets, laid end to end over [0, 1), map it to a source.  A source's documents
-are shuffled by a hash, laid end to end and cut into blocks of equally many
-words; the r-th slot of a source takes its r-th block (the second round of a
+blocks, laid end to end over the points in their order, map it to a source.  A
+source with words to take has one block or more: its target is cut into equally
+long ones (to a word), about as long as those of the others, so that its slots
+hold its target whole.  A source's documents are shuffled by a hash and laid end
+to end; the r-th slot of a source takes its r-th block (the second round of a
 source follows the first).  Any stretch of the schedule therefore holds the
 sources in their target shares.
 
@@ -79,28 +81,29 @@ def _running(df: DataFrame, key: str, bucket: str, order: list, value: Column, n
             .withColumn(name, F.col("_before") + F.col("_in")).drop("_v", "_k", "_b", "_before", "_in"))
 
 
+def block_count(words: Column, block: int) -> Column:
+    """Blocks of about ``block`` words (1 or more) that ``words`` are cut into."""
+    return F.when(words > 0, F.greatest(F.lit(1), F.round(words / block))).otherwise(0).cast("long")
+
+
 def schedule(targets: DataFrame, block: int) -> DataFrame:
     """(slot, source_no, rank): which block of which source each slot takes.
-    ``targets`` needs source_no and target; the number of slots is the sum of
-    the targets over ``block``, rounded."""
+    ``targets`` needs source_no and target; there is a slot for every block."""
     spark = targets.sparkSession
-    total = targets.agg(F.sum("target")).first()[0] or 0.0
-    slots = round(total / block)
-    cut = targets.groupBy().agg(F.array_sort(F.collect_list(F.struct("source_no", "target"))).alias("t")).select(
+    counts = targets.select("source_no", block_count(F.round("target"), block).alias("n"))
+    slots = counts.agg(F.sum("n")).first()[0] or 0
+    cut = counts.groupBy().agg(F.array_sort(F.collect_list(F.struct("source_no", "n"))).alias("t")).select(
         F.expr("transform(slice(sequence(1, size(t) + 1), 1, size(t)), i -> named_struct("
                "'source_no', t[i-1].source_no, "
-               "'upto', aggregate(slice(t, 1, i), 0D, (a, x) -> a + x.target)))").alias("cuts"))
+               "'upto', aggregate(slice(t, 1, i), 0L, (a, x) -> a + x.n)))").alias("cuts"))
     cuts = cut.scalar()  # one row, as long as the list of sources
     width = max(1, round(slots ** 0.5))
     out = (spark.range(slots).withColumnRenamed("id", "slot")
            .withColumn("u", (F.col("slot") * F.lit(GOLDEN)) % 1.0)
-           .withColumn("bucket", F.floor(F.col("slot") / width))
-           .withColumn("cuts", cuts)
-           .withColumn("last", F.try_element_at("cuts", F.lit(-1)))
-           .withColumn("source_no", F.coalesce(
-               F.get(F.filter("cuts", lambda c: c["upto"] > F.col("u") * F.col("last")["upto"]), F.lit(0))["source_no"],
-               F.col("last")["source_no"]))
-           .select("slot", "bucket", "source_no"))
+           .withColumn("all", F.lit(0)).withColumn("bucket", F.floor(F.col("u") * width)))
+    out = _running(out, "all", "bucket", ["u", "slot"], F.lit(1).cast("long"), "place")
+    out = out.select("slot", F.floor(F.col("slot") / width).alias("bucket"), "place").withColumn("cuts", cuts).select(
+        "slot", "bucket", F.get(F.filter("cuts", lambda c: c["upto"] > F.col("place")), F.lit(0))["source_no"].alias("source_no"))
     return _running(out, "source_no", "bucket", ["slot"], F.lit(1).cast("long"), "rank").select("slot", "source_no", "rank")
 
 
@@ -120,7 +123,11 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
     block = int(min(MOST_BLOCK, max(1, total // (max(1, n_sources) * SLOTS_PER_SOURCE))))
     slots = schedule(targets, block)
     buckets = max(1, round(n_docs ** 0.5))
-    t = targets.select(F.col("source").alias("_source"), "source_no", "source_size", "target")
+    # ``words`` to take in ``n`` blocks: the first ``longer`` hold a word more than ``short``
+    t = targets.withColumn("words", F.least(F.round("target"), F.col("source_size") * most).cast("long"))
+    t = t.withColumn("n", block_count(F.col("words"), block)).select(
+        F.col("source").alias("_source"), "source_no", "source_size", "target", "n",
+        F.expr("words div greatest(n, 1)").alias("short"), (F.col("words") % F.greatest("n", F.lit(1))).alias("longer"))
     rows = sized.join(t, sized["source"].eqNullSafe(t["_source"])).drop("_source")
     rows = rows.withColumn("order", F.xxhash64(F.lit(SEED), "doc_id", "text_hash"))
     rows = rows.withColumn("bucket", F.pmod(F.shiftrightunsigned("order", 20), F.lit(buckets)))
@@ -128,12 +135,17 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
     # every document's stretch of each round, cut at the block edges
     rows = rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     begin = F.col("round") * F.col("source_size") + F.col("first")
+    def block_of(word: str) -> Column:  # n beyond the last one
+        return F.least("n", F.expr(f"CASE WHEN {word} < longer * (short + 1) THEN {word} div (short + 1) "
+                                   f"ELSE longer + ({word} - longer * (short + 1)) div greatest(short, 1) END"))
+
     rows = rows.withColumn("begin", begin.cast("long")).withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("begin") / block),
-        F.floor((F.col("begin") + F.greatest(F.col("size"), F.lit(1)) - 1) / block))))
+        block_of("begin"), block_of("(begin + greatest(size, 1) - 1)"))))
+    edge = F.col("block") * F.col("short") + F.least("block", "longer")
+    after = edge + F.col("short") + F.when(F.col("block") < F.col("longer"), 1).otherwise(0)
     rows = (rows.join(slots.withColumnRenamed("rank", "block"), ["source_no", "block"], "left")
-            .withColumn("lo", F.greatest(F.lit(0), F.col("block") * block - F.col("begin")))
-            .withColumn("hi", F.least(F.col("size"), (F.col("block") + 1) * block - F.col("begin"))))
+            .withColumn("lo", F.greatest(F.lit(0), edge - F.col("begin")))
+            .withColumn("hi", F.least(F.col("size"), after - F.col("begin"))))
     used = F.col("slot").isNotNull() & (F.col("hi") > F.col("lo"))
     return (rows.groupBy("doc_id", "source", "text_hash", "size", "source_size", "target", "first")
             .agg(F.sum(F.when(used, F.col("hi") - F.col("lo")).otherwise(0)).alias("taken"),

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from campaignlake.llm import mixing
 
@@ -52,6 +53,27 @@ def test_sizes_targets_and_taken(spark, rows):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+@pytest.mark.parametrize("small", [None, "a"])
+def test_small_source_beside_large_ones(spark, small):
+    # blocks of 1,500 words; the small source is last (null) or first
+    rows = [(i, " ".join(["w"] * 500), "en", f"s{i % 4}", 0) for i in range(20_000)]
+    rows += [(90_000 + i, " ".join(["w"] * n), "en", small, 0) for i, n in enumerate((30, 1, 19))]
+    got = mixing.mix(docs_frame(spark, rows)).where(F.col("source").eqNullSafe(F.lit(small))).collect()
+    assert [r["target"] for r in got] == [100.0] * 3 and [r["taken"] for r in got] == [2 * r["size"] for r in got]
+
+
+def test_every_source_has_its_target(spark):
+    # a hot source, middling ones and small ones
+    sizes = {"hot": 4_000_000, **{f"m{i}": 997 * i + 211 for i in range(9)}, **{f"x{i}": 7 * i + 1 for i in range(15)}}
+    rows = [(f"{k}:{lo}", min(300, n - lo), k) for k, n in sizes.items() for lo in range(0, n, 300)]
+    docs = spark.createDataFrame(rows, "doc_id string, n int, source string").select(
+        "doc_id", F.expr("repeat('w ', n)").alias("text"), "source")
+    got = mixing.mix(docs).groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert len(got) == len(sizes)
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= 0.5
+
+
 def test_schedule_is_even(spark):
     targets = spark.createDataFrame([(1, 600.0), (2, 300.0), (3, 100.0)], "source_no long, target double")
     rows = sorted((r["slot"], r["source_no"], r["rank"]) for r in mixing.schedule(targets, 1).collect())
