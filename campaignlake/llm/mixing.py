@@ -155,18 +155,22 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """The mix as rows of ``docs``: a document stands once for every round of
-    which the mix takes half its words or more, whole.  Every partition is in
-    schedule order and holds a random part of the documents.  Rows of the same
+    """The mix as rows of ``docs``, in schedule order: a document stands once
+    for every round of which the mix takes half its words or more, whole.
+    Partitions hold equal stretches of the slots, in order.  Rows of the same
     id, source and text are one document here."""
-    key = ["doc_id", "source", "text_hash"]
+    spark, key = docs.sparkSession, ["doc_id", "source", "text_hash"]
     taken = (mix(docs, weights, share, most).select(*key, "first", "size", F.explode("pieces").alias("p"))
              .groupBy(*key, "first", "size", F.col("p.round").alias("round"))
              .agg(F.sum(F.col("p.hi") - F.col("p.lo")).alias("n"), F.min("p.slot").alias("slot"))
              .where(F.col("n") * 2 >= F.col("size"))
-             .select(*(F.col(c).alias(f"__mix_{c}") for c in key), F.col("slot").alias("__mix_slot")))
-    named = docs.withColumn("__mix_hash", F.xxhash64("text"))
-    single = named.dropDuplicates(["doc_id", "source", "__mix_hash"])
-    return (single.join(taken, single["doc_id"].eqNullSafe(F.col("__mix_doc_id")) & single["source"].eqNullSafe(F.col("__mix_source"))
-                        & (F.col("__mix_hash") == F.col("__mix_text_hash")))
+             .select(F.struct(*key).alias("__mix_key"), F.col("slot").alias("__mix_slot")))
+    taken = written(taken, "taken")
+    slots = (taken.agg(F.max("__mix_slot")).first()[0] or 0) + 1
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a struct is never null, so both sides are dealt by it once: the texts move
+    # to their key and then to their slot
+    single = docs.withColumn("__mix_key", F.struct("doc_id", "source", F.xxhash64("text").alias("text_hash")))
+    mixed = single.dropDuplicates(["__mix_key"]).join(taken, "__mix_key")
+    return (mixed.repartitionById(parts, F.floor(F.col("__mix_slot") * parts / slots).cast("int"))
             .sortWithinPartitions("__mix_slot", "doc_id").select(*docs.columns))

@@ -107,6 +107,25 @@ def test_mixed_documents_follow_taken(spark):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_are_in_schedule_order(spark, tmp_path):
+    docs = docs_frame(spark, many_docs(400) + [(None, "no id", "en", None, 0)] * 2)
+    first = {}
+    for r in mixing.mix(docs).collect():
+        for n in (0, 1):
+            part = [p for p in r["pieces"] if p["round"] == n]
+            if 2 * sum(p["hi"] - p["lo"] for p in part) >= r["size"]:
+                first.setdefault(r["doc_id"], set()).add(min(p["slot"] for p in part))
+    mixing.mixed_documents(docs).write.parquet(f"{tmp_path}/mix")
+    files = sorted((tmp_path / "mix").glob("part-*.parquet"))
+    rows = [r["doc_id"] for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert len(files) > 1 and sorted(map(str, rows)) == sorted(str(i) for i, s in first.items() for _ in s)
+    got, seen = [], defaultdict(int)
+    for i in rows:
+        got.append(sorted(first[i])[seen[i]])
+        seen[i] += 1
+    assert got == sorted(got)
+
+
 def test_plan_is_native(spark):
     plan = mixing.mix(docs_frame(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan.split("Physical Plan")[1])
