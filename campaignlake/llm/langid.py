@@ -1,12 +1,14 @@
 """Language identification: a linear-chain conditional random field labels every
 word of a text, which may switch languages, by forward-backward.
 
-Features of a word: affixes, character n-grams, and lexicon features (words
-that are typical of a language in the training rows, by strength).  Training
+Features of a word: affixes, all its character n-grams, and lexicon features
+(words that are typical of a language in the training rows, by strength).  A
+word of more than ``WIDTH - 2`` bytes (text without blanks is one) is cut into
+consecutive pieces, each a position of the chain like a word.  Training
 sequences are spliced from runs of words of different training documents, so
 that the transitions learn how rarely the language changes.  The language of a
-document is the one with the most posterior mass over its words with letters;
-the score is its share.
+document is the one with the most posterior mass over its words with letters
+(by pieces); the score is its share.
 
 The model is fitted on a bounded sample (``DOCS_PER_LANGUAGE`` rows of each
 language, by a hash of the id); whole texts are labelled.  Defined cases: null
@@ -32,9 +34,9 @@ from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, mix64
 DOCS_PER_LANGUAGE = 400
 FEATURES = 1 << 16
 LEXICON_FEATURES = 600  # three strengths of each language
-GRAMS = 7
-SLOTS = 23
-WIDTH = 32              # bytes of a word that features see
+LEXICON_SLOTS = 2       # lexicon features of a word
+WIDTH = 32              # bytes of a word or a piece of one, with marks for its ends
+GROUPS = (11, 17, WIDTH)  # words up to so many bytes are computed together
 SEQUENCES = 6000
 LENGTH = 32
 STEPS = 400
@@ -50,14 +52,47 @@ def plain(word: str) -> str:
     return word if word.isalpha() else "".join(c for c in word if c.isalpha())
 
 
+def pieces(word: str) -> list[str]:
+    """A plain word cut, between letters, into runs of at most WIDTH - 2 bytes."""
+    most = WIDTH - 2
+    if word.isascii():
+        return [word[lo:lo + most] for lo in range(0, len(word), most)]
+    sizes = [1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4 for c in word]
+    out, lo, size = [], 0, 0
+    for at, n in enumerate(sizes):
+        if size + n > most:
+            out.append(word[lo:at])
+            lo, size = at, 0
+        size += n
+    return [*out, word[lo:]] if word else []
+
+
+def positions(text: str | None) -> tuple[list[str], int]:
+    """The words of a text, long ones cut, and how many the cuts added."""
+    words = (text or "").split()
+    least = WIDTH - 2 if not text or text.isascii() else (WIDTH - 2) // 4  # no shorter word is cut
+    if max(map(len, words), default=0) <= least:
+        return words, 0
+    out: list[str] = []
+    for w in words:
+        if len(w) > least and (len(w) > WIDTH - 2 or len(w.lower().encode("utf-8", "surrogatepass")) > WIDTH - 2):
+            cut = pieces(plain(w))
+            out += cut if len(cut) > 1 else [w]
+        else:
+            out.append(w)
+    return out, len(out) - len(words)
+
+
 def feature_rows(words: list[str], lexicon: dict[str, tuple[int, ...]]) -> np.ndarray:
-    """Hashed features (words x SLOTS, 0 for none) of plain words: the word if
-    short, affixes of two to four bytes, the first bigrams and trigrams, all
-    with marks for its ends, and its lexicon features."""
-    raw = [b"^" + w.encode("utf-8", "surrogatepass")[:WIDTH - 2] + b"$" for w in words]
+    """Hashed features (a row per word, 0 for none) of plain words of at most
+    WIDTH - 2 bytes: the word if short, affixes of two to four bytes, all
+    bigrams and trigrams, all with marks for its ends, and its lexicon
+    features.  Rows are as wide as the longest word needs."""
+    raw = [b"^" + w.encode("utf-8", "surrogatepass") + b"$" for w in words]
     n = np.fromiter(map(len, raw), np.int64, len(raw))
     m = np.frombuffer(b"".join(x.ljust(WIDTH, b"\0") for x in raw), np.uint8).reshape(-1, WIDTH).astype(np.uint64)
-    out = np.zeros((len(raw), SLOTS), np.int64)
+    grams = max(0, int(n.max(initial=0)) - 1)
+    out = np.zeros((len(raw), 7 + 2 * grams + LEXICON_SLOTS), np.int64)
     slot = 0
 
     def put(kind: int, code: np.ndarray, valid: np.ndarray) -> None:
@@ -69,7 +104,7 @@ def feature_rows(words: list[str], lexicon: dict[str, tuple[int, ...]]) -> np.nd
     def gram(at: np.ndarray | int, k: int) -> np.ndarray:
         code = np.zeros(len(raw), np.uint64)
         for i in range(k):
-            column = m[:, at + i] if isinstance(at, int) else m[np.arange(len(raw)), np.clip(at + i, 0, WIDTH - 1)]
+            column = m[:, min(at + i, WIDTH - 1)] if isinstance(at, int) else m[np.arange(len(raw)), np.clip(at + i, 0, WIDTH - 1)]
             code = code * np.uint64(256) + column
         return code
 
@@ -77,10 +112,10 @@ def feature_rows(words: list[str], lexicon: dict[str, tuple[int, ...]]) -> np.nd
     for k in (2, 3, 4):
         put(k, gram(0, k), n >= k)
         put(k + 8, gram(n - k, k), n >= k)
-    for i in range(GRAMS):
+    for i in range(grams):
         put(20, gram(i, 2), n >= i + 2)
         put(21, gram(i, 3), n >= i + 3)
-    for i in range(SLOTS - slot):
+    for i in range(LEXICON_SLOTS):
         out[:, slot + i] = [f[i] if i < len(f) else 0 for f in map(lexicon.get, words, [()] * len(words))]
     return out
 
@@ -114,7 +149,7 @@ def training_rows(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_
 def fit(rows: list) -> tuple[crf.Crf, dict] | None:
     """The model and its lexicon from (doc_id, text, lang) rows."""
     labels = sorted({r[2] for r in rows})
-    docs = [([p for p in map(plain, text.split()) if p], labels.index(lang)) for _, text, lang in rows]
+    docs = [([p for p in map(plain, positions(text)[0]) if p], labels.index(lang)) for _, text, lang in rows]
     docs = [d for d in docs if d[0]]
     if not docs:
         return None
@@ -160,7 +195,13 @@ class WordEmissions(dict):
         for lo in range(0, len(new), 20_000):
             part = new[lo:lo + 20_000]
             plains = [plain(w) for w in part]
-            rows = self.model.weights[feature_rows(plains, self.lexicon)].sum(axis=1)
+            size = np.array([len(p.encode("utf-8", "surrogatepass")) + 2 for p in plains])
+            rows = np.zeros((len(part), len(self.model.labels)), np.float32)
+            for least, most in zip((0, *GROUPS), GROUPS):
+                at = np.flatnonzero((size > least) & (size <= most))
+                if len(at):
+                    found = feature_rows([plains[k] for k in at], self.lexicon)
+                    rows[at] = self.model.weights[found].sum(axis=1)
             at = iter(range(len(self.table), len(self.table) + len(part)))
             keep = np.array([bool(p) for p in plains])
             self.update((w, next(at) if p else 0) for w, p in zip(part, plains, strict=True))
@@ -172,21 +213,22 @@ class WordEmissions(dict):
 
 
 def label_texts(texts: list, model: crf.Crf, emissions: WordEmissions) -> Iterator[tuple]:
-    """(position, word rows, posteriors) of every text that has words."""
+    """(position, word rows, posteriors, positions that cuts added) of every
+    text that has words."""
     held, size = [], 0
     for i, text in enumerate(texts):
-        words = (text or "").split()
-        held.append((i, words))
+        words, added = positions(text)
+        held.append((i, words, added))
         size += len(words)
         if size >= BATCH_WORDS or i + 1 == len(texts):
             emissions.fresh()
-            emissions.learn(set().union(*(w for _, w in held)))
-            ids = [np.fromiter(map(emissions.__getitem__, w), np.int64, len(w)) for _, w in held]
+            emissions.learn(set().union(*(w for _, w, _ in held)))
+            ids = [np.fromiter(map(emissions.__getitem__, w), np.int64, len(w)) for _, w, _ in held]
             for part in crf.batches(np.array([len(x) for x in ids]), BATCH_WORDS):
                 mine = [ids[j] for j in part]
                 gamma = crf.posteriors(model, emissions.table, mine)
                 for c, j in enumerate(part):
-                    yield held[j][0], mine[c], gamma[:len(mine[c]), c]
+                    yield held[j][0], mine[c], gamma[:len(mine[c]), c], held[j][2]
             held, size = [], 0
 
 
@@ -195,14 +237,14 @@ def _predict(texts: list, model: crf.Crf | None, emissions: WordEmissions | None
     n = len(texts)
     names, scores = [UNKNOWN] * n, np.zeros(n)
     words, switches = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for i, rows, gamma in label_texts(texts, model, emissions) if model else ():
+    for i, rows, gamma, added in label_texts(texts, model, emissions) if model else ():
         gamma = gamma[rows > 0]
         if len(gamma):
             mass = gamma.sum(axis=0, dtype=np.float64)
             best = int(mass.argmax())
             names[i], scores[i] = model.labels[best], min(1.0, mass[best] / mass.sum())
             top = gamma.argmax(axis=1)
-            words[i], switches[i] = len(top), int((top[1:] != top[:-1]).sum())
+            words[i], switches[i] = len(top) - added, int((top[1:] != top[:-1]).sum())
     return names, scores, words, switches
 
 
@@ -210,7 +252,7 @@ def identify(docs: DataFrame, usable: Column) -> DataFrame:
     """(doc_id, lang_pred, score, n_words, n_switches) of every row of
     ``docs``; ``usable`` says which rows may be learnt from.  n_words are those
     with letters, n_switches the changes of the likeliest language between
-    them."""
+    them and the pieces of long ones."""
     fitted = fit(training_rows(docs, usable))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,6 +84,24 @@ def test_language_held_out_and_awkward(spark):
     assert kept.count() == docs.count() - 3
 
 
+def test_language_of_text_without_blanks(spark):
+    assert langid.pieces("a" * 65) == ["a" * 30, "a" * 30, "a" * 5] and langid.pieces("") == []
+    for word in ("\u4e2d\u6587\u5b57" * 40, "\u00e9" * 31, "a\u0e01\U00020000" * 30):
+        cut = langid.pieces(word)
+        assert "".join(cut) == word and max(len(x.encode()) for x in cut) <= 30
+    assert langid.positions("a " + "b" * 31 + " " + "-" * 40 + "c") == (["a", "b" * 30, "b", "-" * 40 + "c"], 1)
+    # every letter of a word is in some feature
+    long = "abcdefghijklmnopqrstuvwxyz"
+    rows = langid.feature_rows([long, *(long[:i] + "0" + long[i + 1:] for i in range(26))], {})
+    assert all((row != rows[0]).any() for row in rows[1:])
+    rows = language_rows()
+    xx, yy = ("".join(t.replace(" ", "") for _, t, k, _, _ in rows if k == lang) for lang in ("xx", "yy"))
+    odd = [(2000, xx[:40] + yy, None, "s", 0), (2001, f"{xx[:30]}/{yy}", None, "s", 0), (2002, yy[:40] + xx * 20, None, "s", 0)]
+    got = {r["doc_id"]: r for r in langid.identify(docs_frame(spark, rows + odd), remainder("doc_id", 4) != 2).collect()}
+    assert [got[i]["lang_pred"] for i in (2000, 2001, 2002)] == ["yy", "yy", "xx"]
+    assert all(got[i]["score"] > 0.9 and got[i]["n_words"] == 1 and got[i]["n_switches"] >= 1 for i in (2000, 2002))
+
+
 def test_language_without_labels(spark):
     docs = docs_frame(spark, [(1, "some text", None, "s", 0)])
     assert [(r["lang_pred"], r["score"]) for r in langid.identify(docs, F.lit(True)).collect()] == [("und", 0.0)]
