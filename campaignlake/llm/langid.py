@@ -233,9 +233,10 @@ def label_texts(texts: list, model: crf.Crf, emissions: WordEmissions) -> Iterat
 
 
 def _predict(texts: list, model: crf.Crf | None, emissions: WordEmissions | None) -> tuple:
-    """Languages, scores, words and switches of ``texts``."""
+    """Languages, scores, words, switches and certainties (the mean of the
+    words' best posteriors) of ``texts``."""
     n = len(texts)
-    names, scores = [UNKNOWN] * n, np.zeros(n)
+    names, scores, sure = [UNKNOWN] * n, np.zeros(n), np.zeros(n)
     words, switches = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for i, rows, gamma, added in label_texts(texts, model, emissions) if model else ():
         gamma = gamma[rows > 0]
@@ -243,9 +244,10 @@ def _predict(texts: list, model: crf.Crf | None, emissions: WordEmissions | None
             mass = gamma.sum(axis=0, dtype=np.float64)
             best = int(mass.argmax())
             names[i], scores[i] = model.labels[best], min(1.0, mass[best] / mass.sum())
+            sure[i] = gamma.max(axis=1).mean(dtype=np.float64)
             top = gamma.argmax(axis=1)
             words[i], switches[i] = len(top) - added, int((top[1:] != top[:-1]).sum())
-    return names, scores, words, switches
+    return names, scores, words, switches, sure
 
 
 def identify(docs: DataFrame, usable: Column) -> DataFrame:
@@ -258,7 +260,7 @@ def identify(docs: DataFrame, usable: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, emissions = (fitted[0], WordEmissions(*fitted)) if fitted else (None, None)
         for batch in batches:
-            names, *numbers = _predict(batch.column(1).to_pylist(), model, emissions)
+            names, *numbers, _ = _predict(batch.column(1).to_pylist(), model, emissions)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), *map(pa.array, numbers)],
                                              ["doc_id", "lang_pred", "score", "n_words", "n_switches"])
 
@@ -268,14 +270,14 @@ def identify(docs: DataFrame, usable: Column) -> DataFrame:
 
 
 def accepted(docs: DataFrame, usable: Column, least: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` whose language is known with a score of ``least`` or
-    more, unchanged."""
+    """Rows of ``docs`` whose words' languages are known with a certainty of
+    ``least`` or more, in however many languages, unchanged."""
     fitted, at = fit(training_rows(docs, usable)), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, emissions = (fitted[0], WordEmissions(*fitted)) if fitted else (None, None)
         for batch in batches:
-            names, scores, *_ = _predict(batch.column(at).to_pylist(), model, emissions)
-            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(names, scores, strict=True)], pa.bool_()))
+            names, *_, sure = _predict(batch.column(at).to_pylist(), model, emissions)
+            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(names, sure, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,7 +11,7 @@ from campaignlake.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a known language, or none with half the text, go."""
+    """Documents whose words' languages are not known go; those that switch languages stay."""
     return langid.accepted(docs, remainder("doc_id", 4) != 2)
 
 

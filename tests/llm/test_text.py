@@ -102,6 +102,17 @@ def test_language_of_text_without_blanks(spark):
     assert all(got[i]["score"] > 0.9 and got[i]["n_words"] == 1 and got[i]["n_switches"] >= 1 for i in (2000, 2002))
 
 
+def test_even_mixes_of_languages_are_accepted(spark):
+    rows = language_rows()
+    odd = [(3000 + i, " ".join(rows[j][1] for j in js), None, "s", 0)
+           for i, js in enumerate([(0, 1), (1, 2), (2, 0), (0, 1, 2), (2, 1, 0), (3, 1, 5), (1, 0, 5), (6, 7, 8)])]
+    docs, usable = docs_frame(spark, rows + odd), remainder("doc_id", 4) != 2
+    scores = {r["doc_id"]: r["score"] for r in langid.identify(docs, usable).collect()}
+    assert all(scores[i] < 0.45 for i in range(3003, 3008))  # no language has half of these
+    kept = {r["doc_id"] for r in langid.accepted(docs, usable).select("doc_id").collect()}
+    assert {i for i, *_ in odd} <= kept
+
+
 def test_language_without_labels(spark):
     docs = docs_frame(spark, [(1, "some text", None, "s", 0)])
     assert [(r["lang_pred"], r["score"]) for r in langid.identify(docs, F.lit(True)).collect()] == [("und", 0.0)]
