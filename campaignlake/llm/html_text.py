@@ -2,8 +2,9 @@
 
 A page is cut into blocks at its block elements.  Parts that cannot be text
 (scripts, styles, forms) and parts that say what they are (navigation, headers,
-footers, side bars, adverts, notices, comments: by element, role, class or id)
-are left out.  First pass: link density, length and stop-word density make each
+footers, side bars, adverts, notices, comments: by element, role, whole class
+or id) are left out; a class or id does not count where the element holds an
+article or most of the page's text.  First pass: link density, length and stop-word density make each
 block good, bad or undecided (short, or with few stop words).  Second pass:
 undecided blocks take the label of their nearest decided neighbours; between a
 good and a bad one the nearer counts (ties: good inside the article element,
@@ -41,7 +42,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary "
                    "table tbody td tfoot th thead tr ul".split())
 LEFT_OUT = frozenset("nav aside footer form button select textarea noscript template svg iframe object canvas audio video "
-                     "dialog menu label input head title figcaption".split())
+                     "dialog menu label input head title".split())
 CONTAINERS = (BLOCKS | LEFT_OUT | {"span", "a", "header"}) - {"p", "hr", "li", "input"}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SAYS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies "
@@ -58,7 +59,7 @@ _MARKUP = re.compile(
     r"|</?[a-zA-Z!?/][^>]*(?:>|\Z)", re.S | re.I)
 _NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_PARTS = re.compile(r"[a-z]+")
+_FIRST = re.compile(r"[a-z]+(?=[-_])")
 _SPACE = re.compile(r"\s+")
 
 
@@ -71,8 +72,20 @@ class Block:
     label: str = ""
 
 
+def named(attrs: str, inside: bool) -> bool:
+    """Whether a whole class or id is a name of ``SAYS``, or outside the article
+    the first part of one."""
+    for m in _NAMED.finditer(attrs):
+        if m[1].lower() in ("class", "id"):
+            for name in m[2].strip("\"'").lower().split():
+                first = None if inside else _FIRST.match(name)
+                if name in SAYS or first and first[0] in SAYS:
+                    return True
+    return False
+
+
 def says_so(attrs: str) -> bool:
-    """Whether an element's attributes call it something other than text."""
+    """Whether an element's role or style says that it is not text."""
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs, re.I):
         return True
     for m in _NAMED.finditer(attrs):
@@ -81,15 +94,19 @@ def says_so(attrs: str) -> bool:
             return True
         if name == "style" and _HIDDEN.search(value):
             return True
-        if name in ("class", "id") and not SAYS.isdisjoint(_PARTS.findall(value)):
-            return True
     return False
 
 
-def blocks(page: str) -> tuple[list[Block], bool]:
-    """Blocks of a page that are not left out, and whether it has an article."""
+def blocks(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[Block], bool]:
+    """Blocks of a page that are not left out, and whether it has an article.
+    An element left out for its name alone is kept when it holds an article, or
+    most of the page's text: then the page is read again with the places of all
+    such elements in ``kept``."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open containers, and whether they are left out
+    # open containers, whether they are left out, for their name alone, their place, text before
+    stack: list[tuple[str, bool, bool, int, int]] = []
+    sizes: dict[int, int] = {}  # text of named elements by place
+    total = 0
     text: list[str] = []
     links = linked = breaks = skipped = articles = 0
     heading = article_seen = False
@@ -104,7 +121,9 @@ def blocks(page: str) -> tuple[list[Block], bool]:
 
     def pop() -> None:
         nonlocal skipped, articles, links
-        tag, left_out = stack.pop()
+        tag, left_out, by_name, place, before = stack.pop()
+        if by_name:
+            sizes[place] = total - before
         skipped -= left_out
         articles -= tag in ("article", "main")
         links -= tag == "a"
@@ -113,6 +132,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
     for m in _MARKUP.finditer(page):
         part = page[at:m.start()]
         at = m.end()
+        total += len(part.strip())
         if part and not skipped:
             if not part.isspace():
                 breaks = 0
@@ -138,7 +158,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if m["close"]:
             if tag[0] == "h" and tag[1:].isdigit():
                 continue
-            if any(t == tag for t, _ in stack):
+            if any(x[0] == tag for x in stack):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -147,22 +167,34 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             heading = True
             continue
         attrs = m["attrs"] or ""
-        if tag in ("article", "main") and not (attrs and says_so(attrs)):
-            while any(left_out and t in ("nav", "header", "footer", "aside", "head") for t, left_out in stack):
+        said = bool(attrs) and tag not in ("html", "body") and says_so(attrs)
+        by_name = (bool(attrs) and tag not in ("html", "body") and m.start() not in kept and named(attrs, articles > 0))
+        if tag in ("article", "main") and not (said or by_name):
+            while any(x[1] and x[0] in ("nav", "header", "footer", "aside", "head") for x in stack):
                 pop()  # never closed
+            for i, x in enumerate(stack):
+                if x[1] and x[2]:
+                    stack[i] = x[0], False, *x[2:]
+                    skipped -= 1
             article_seen = True
         if not attrs.rstrip().endswith("/"):
-            left_out = (tag in LEFT_OUT or tag == "header" and not articles
-                        or bool(attrs) and tag not in ("html", "body") and says_so(attrs))
+            by_tag = tag in LEFT_OUT or tag == "header" and not articles
+            left_out, by_name = by_tag or said or by_name, by_name and not (by_tag or said)
             if left_out and not skipped:
                 end()
-            stack.append((tag, left_out))
+            stack.append((tag, left_out, by_name, m.start(), total))
             skipped += left_out
             articles += tag in ("article", "main")
             links += tag == "a"
     if not skipped and at < len(page):
         text.append(page[at:])
+    total += len(page[at:].strip())
     end()
+    while stack:
+        pop()
+    most = frozenset(place for place, size in sizes.items() if 2 * size > total)
+    if most and not kept:
+        return blocks(page, most)
     return out, article_seen
 
 

@@ -352,6 +352,20 @@ def test_pages(page, text):
         assert got.startswith(LONG_A) and "form" not in got
 
 
+@pytest.mark.parametrize("page,text", [
+    (f"<div class='layout {name}'><article><p>{LONG_A}</p></article></div>", LONG_A) for name in ("has-sidebar", "no-sidebar", "menu", "search-page")
+] + [
+    (f"<article class='post category-legal'><p>{LONG_A}</p></article>", LONG_A),
+    (f"<main class='with-menu'><p>{LONG_A}</p><p class='notice'>{LONG_B}</p></main>", f"{LONG_A}\n{LONG_B}"),
+    (f"<section id='search-results'><p>{LONG_A}</p><p>{LONG_B}</p></section><div class=ad>{LONG_B}</div>", f"{LONG_A}\n{LONG_B}"),
+    (f"<article class=social><div class=widget><p>{LONG_A}</p></div></article>", LONG_A),
+    (f"<article><p>{LONG_A}</p><figure><img src=x><figcaption>The cat.</figcaption></figure><p>{LONG_B}</p></article>",
+     f"{LONG_A}\nThe cat.\n{LONG_B}"),
+])
+def test_names_do_not_remove_the_text(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, "u", f"<p>{LONG_A}</p>", "x"), (1, "u", f"<p>{LONG_A}</p>", "x"), (2, None, None, "x"),
                                    (None, "u", "<p>" + LONG_A * 3000, "x")], "page_id long, url string, html string, text string")
