@@ -130,9 +130,6 @@ def q_train_click_model(spark, sf):
                                  "n_train long, n_test long, pos_train long, pos_test long, auc_is_rank_sum boolean")
 
 
-SCORING_ROUNDS = 5  # the scored model is trained for the query; its rules hold for any number
-
-
 @register("score_users", f"WITH {_FEATURE_CTES} SELECT user_id, snapshot_date, COALESCE(segment, 'default') AS segment, "
           "true AS probability_in_range, true AS bid_follows_rule FROM f")
 def q_score_users(spark, sf):
@@ -141,7 +138,7 @@ def q_score_users(spark, sf):
     rules."""
     path = new_scratch(spark, "click-model")
     feats = lifecycle.stage(feature_table(spark, sf), name="features")
-    trained, _, _ = model.train_click_model(feats, maxIter=SCORING_ROUNDS)
+    trained, _, _ = model.train_click_model(feats)
     model.save_model_with_meta(spark, trained, path, {})
     m, _ = model.load_model_with_meta(spark, path)
     out = lifecycle.write_predictions(model.score_users(m, feats), new_scratch(spark, "ml-click-predictions"))

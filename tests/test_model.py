@@ -52,3 +52,19 @@ def test_training_with_forty_tariffs(spark, monkeypatch):
     monkeypatch.setattr(model, "MOST_CATEGORIES", 10)
     with pytest.raises(ValueError, match="tariff"):
         model.train_click_model(feats, maxIter=2)
+
+
+def test_score_users_trains_the_full_model(spark, monkeypatch):
+    from campaignlake.plans import queries_ml
+
+    class Asked(Exception):
+        pass
+
+    def train(feats, **overrides):
+        raise Asked(overrides)
+
+    monkeypatch.setattr(queries_ml, "feature_table", lambda spark, sf: spark.range(1))
+    monkeypatch.setattr(queries_ml.model, "train_click_model", train)
+    with pytest.raises(Asked) as asked:
+        queries_ml.q_score_users(spark, "")
+    assert asked.value.args == ({},) and queries_ml.model.GBT_PARAMS["maxIter"] == 200
