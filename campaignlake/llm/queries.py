@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, langid, mixing, neardup, neighbours, packing, pii, quality, setjoin, toxicity
+from . import html_text, langid, merkle, mixing, neardup, neighbours, packing, pii, quality, setjoin, toxicity
 from .common import remainder, table
 
 
@@ -68,6 +69,21 @@ def op10_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(remainder("doc_id", 3) == 0, merkle.leaf_digest(*[lowered if c == "text" else F.col(c) for c in merkle.COLUMNS]))
+    manifest = merkle.build(docs, tampered=tampered)
+    proved = merkle.prove(manifest)
+    root = F.lit(manifest.root).cast("binary")
+    folded = merkle.fold(F.coalesce("tampered", "digest"), F.col("proof"))
+    return proved.select(F.col("order").alias("doc_id"), merkle.hex_text(F.col("digest")).alias("leaf"),
+                         merkle.hex_text(F.col("subroot")).alias("subroot"), merkle.hex_text(root).alias("root"),
+                         merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         merkle.hex_text(folded).alias("folded_root")).withColumn(
+                             "verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_hnsw": op2_hnsw,
@@ -79,13 +95,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
     "op10_setjoin": op10_setjoin,
+    "op11_manifest": op11_manifest,
 }
 _REACH = """
 closure(node, low) AS (SELECT a, a FROM links UNION SELECT l.b, c.low FROM closure c JOIN links l ON l.a = c.node
                        WHERE c.low < l.b),
 found AS (SELECT node, MIN(low) AS low FROM closure GROUP BY node)"""
 
-# SQL can express the exact joins; the other results come from trained models,
+_TREE = """
+  SELECT {key}, lvl + 1, rank // 8, sha256(string_agg(d, '' ORDER BY rank)), (n + 7) // 8
+  FROM {tree} WHERE n > 1 GROUP BY {key}, lvl, rank // 8, n"""
+_SEGMENTS = """
+  SELECT x.{key}, x.lvl, x.rank, COALESCE(string_agg(y.d, '' ORDER BY y.rank) FILTER (y.rank < x.rank), '') AS l,
+         COALESCE(string_agg(y.d, '' ORDER BY y.rank) FILTER (y.rank > x.rank), '') AS r
+  FROM {tree} x JOIN {tree} y ON x.{key} = y.{key} AND x.lvl = y.lvl AND x.rank // 8 = y.rank // 8
+  WHERE x.n > 1 GROUP BY ALL"""
+_LEAF = "sha256(" + " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# SQL can express the exact joins and digests; the other results come from trained models,
 # random codes or graphs, hashes or positions in texts (see tests/llm).
 ORACLE: dict[str, str] = {
     "op4_neardup": f"""
@@ -111,4 +141,34 @@ common AS (SELECT p.doc_id AS a, q.doc_id AS b, p.n AS na, q.n AS nb, COUNT(*) A
 links AS (SELECT a, b FROM common WHERE 100 * c >= 90 * (na + nb - c)), {_REACH}
 SELECT s.doc_id, len(s.s) AS n_shingles, COALESCE(f.low, s.doc_id) AS component_id
 FROM s LEFT JOIN found f ON f.node = s.doc_id""",
+    "op11_manifest": f"""
+WITH RECURSIVE codes AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, s: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t FROM range(256) r(i)),
+ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM documents),
+crc AS (SELECT id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(id, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS c FROM ids, codes),
+leaves AS (SELECT doc_id, lang, {_LEAF.format(text="text")} AS leaf,
+             CASE WHEN c % 3 = 0 THEN {_LEAF.format(text=_LOWERED)} ELSE {_LEAF.format(text="text")} END AS shown
+           FROM documents LEFT JOIN crc ON id = CAST(doc_id AS VARCHAR)),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, COUNT(*) OVER (PARTITION BY lang) AS n,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM leaves),
+nodes AS (SELECT tree, 0 AS lvl, rank, leaf AS d, n FROM ranked UNION ALL {_TREE.format(key="tree", tree="nodes")}),
+subroots AS (SELECT tree, d FROM nodes WHERE n = 1),
+above AS (SELECT 0 AS tree, 0 AS lvl, tree AS rank, d, COUNT(*) OVER () AS n FROM subroots
+          UNION ALL {_TREE.format(key="tree", tree="above")}),
+low AS ({_SEGMENTS.format(key="tree", tree="nodes")}),
+high AS ({_SEGMENTS.format(key="tree", tree="above")}),
+steps AS (SELECT tree, list({{'l': l, 'r': r, 'd': ''}} ORDER BY lvl) AS p FROM (
+            SELECT s.tree, h.lvl, h.l, h.r FROM subroots s JOIN high h ON h.rank = s.tree // CAST(pow(8, h.lvl) AS BIGINT)) GROUP BY tree),
+paths AS (SELECT k.tree, k.rank, list({{'l': l, 'r': r, 'd': ''}} ORDER BY lvl) AS p
+          FROM ranked k JOIN low w ON w.tree = k.tree AND w.rank = k.rank // CAST(pow(8, w.lvl) AS BIGINT) GROUP BY ALL),
+proofs AS (SELECT k.*, s.d AS subroot, (SELECT d FROM above WHERE n = 1) AS root,
+             list_concat(COALESCE(p.p, []), COALESCE(h.p, [])) AS p
+           FROM ranked k JOIN subroots s USING (tree) LEFT JOIN paths p ON p.tree = k.tree AND p.rank = k.rank
+           LEFT JOIN steps h ON h.tree = k.tree),
+folded AS (SELECT *, list_reduce(list_concat([{{'l': '', 'r': '', 'd': shown}}], p),
+                                 lambda a, s: {{'l': '', 'r': '', 'd': sha256(s.l || a.d || s.r)}}).d AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified FROM folded""",
 }
