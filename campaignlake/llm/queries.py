@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, langid, merkle, mixing, neardup, neighbours, packing, pii, quality, setjoin, toxicity
+from . import html_text, langid, merkle, mixing, neardup, neighbours, packing, periodic, pii, quality, setjoin, toxicity
 from .common import remainder, table
 
 
@@ -84,6 +84,31 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "verified", F.col("folded_root") == F.col("root"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where 10 divides the id's crc32, the words from one
+    place on repeat with a period, both following from the crc32."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"),
+                                                              (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(*[F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")])
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), "best.length",
+        (-F.col("best.p")).alias("period"), F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_hnsw": op2_hnsw,
@@ -96,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_setjoin": op10_setjoin,
     "op11_manifest": op11_manifest,
+    "op12_runs": op12_runs,
 }
 _REACH = """
 closure(node, low) AS (SELECT a, a FROM links UNION SELECT l.b, c.low FROM closure c JOIN links l ON l.a = c.node
