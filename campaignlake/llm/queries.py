@@ -6,10 +6,10 @@ import os
 import string
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, langid, merkle, mixing, neardup, neighbours, packing, periodic, pii, quality, setjoin, toxicity
+from . import html_text, langid, licenses, merkle, mixing, neardup, neighbours, packing, periodic, pii, quality, setjoin, toxicity
 from .common import remainder, table
 
 
@@ -109,6 +109,20 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def names(c: str) -> Column:
+        return F.transform(c, lambda x: x["label"])
+
+    def listed(a: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(a)), ",")
+
+    found, starts = licenses.scan(table(spark, sf_dir, "documents")), F.transform("places", lambda x: x["start"])
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        listed(names("places")).alias("base_labels"),
+                        listed(F.concat(names("places"), names("notices"))).alias("labels"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_hnsw": op2_hnsw,
@@ -122,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_setjoin": op10_setjoin,
     "op11_manifest": op11_manifest,
     "op12_runs": op12_runs,
+    "op13_licenses": op13_licenses,
 }
 _REACH = """
 closure(node, low) AS (SELECT a, a FROM links UNION SELECT l.b, c.low FROM closure c JOIN links l ON l.a = c.node
@@ -141,6 +156,37 @@ _LEAF = "sha256(" + " || ".join(
     for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
 _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+_TEXTS = [(t, label, licenses.plain_words(text), [licenses.plain_words(k) for k in keys])
+          for t, (label, text, keys) in enumerate(licenses.TEMPLATES)]
+_NAMES = [(licenses.plain_words(p), label) for p, label in licenses.PHRASES.items()]
+_AHEAD = 2 * licenses.SLACK * (1 + max(len(w) for _, _, w, _ in _TEXTS))
+_NOTICES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED.replace("text", "COALESCE(text, '')", 1)},
+                                                                      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+tw(t, at, word) AS (VALUES {_values([(t, i, x) for t, _, w, _ in _TEXTS for i, x in enumerate(w)])}),
+keys(t, at, k) AS (VALUES {", ".join(f"({t}, {licenses._position(w, k)}, {k})" for t, _, w, ks in _TEXTS for k in ks)}),
+named(t, label) AS (VALUES {_values([(t, label) for t, label, _, _ in _TEXTS])}),
+flat AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+seen AS (SELECT word, COUNT(DISTINCT r) AS df FROM flat WHERE word IN (SELECT word FROM tw) GROUP BY word),
+ranked AS (SELECT t, word, row_number() OVER (PARTITION BY t ORDER BY COALESCE(df, 0), word) AS k
+           FROM (SELECT DISTINCT t, word FROM tw) LEFT JOIN seen USING (word)),
+rare AS (SELECT t, word, COUNT(*) OVER (PARTITION BY t) AS size FROM ranked WHERE k <= {licenses.RARE}),
+agreed AS (SELECT r, t, size, g, (i - at + {_AHEAD} + g * {licenses.SLACK}) // {2 * licenses.SLACK} AS b, COUNT(DISTINCT word) AS m
+           FROM flat JOIN rare USING (word) JOIN tw USING (t, word), range(2) x(g)
+           GROUP BY ALL HAVING COUNT(DISTINCT word) >= ceil({licenses.SHARE} * size)),
+starts AS (SELECT r, t, m / size AS share, b * {2 * licenses.SLACK} - {_AHEAD} - g * {licenses.SLACK} AS s FROM agreed),
+stand AS (SELECT DISTINCT s.* FROM starts s JOIN d USING (r) WHERE NOT EXISTS (
+            SELECT 1 FROM keys k WHERE k.t = s.t AND len(list_filter(
+              range(greatest(s.s + k.at - {licenses.SLACK}, 0), greatest(s.s + k.at + {3 * licenses.SLACK} + 1, 0)),
+              lambda p: d.w[p + 1:p + len(k.k)] = k.k)) = 0)),
+places AS (SELECT r, label, unnest(list_filter(range(len(w)), lambda p: w[p + 1:p + len(k)] = k)) AS s
+           FROM d, (VALUES {", ".join(f"({w}, '{label}')" for w, label in _NAMES)}) p(k, label)),
+found AS (SELECT r, label FROM places UNION SELECT r, label FROM stand JOIN named USING (t))"""
+
 # SQL can express the exact joins and digests; the other results come from trained models,
 # random codes or graphs, hashes or positions in texts (see tests/llm).
 ORACLE: dict[str, str] = {
@@ -197,4 +243,11 @@ folded AS (SELECT *, list_reduce(list_concat([{{'l': '', 'r': '', 'd': shown}}],
                                  lambda a, s: {{'l': '', 'r': '', 'd': sha256(s.l || a.d || s.r)}}).d AS folded_root FROM proofs)
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root,
        folded_root = root AS verified FROM folded""",
+    "op13_licenses": f"""{_NOTICES},
+b AS (SELECT r, COUNT(*) AS n, MIN(s) AS first, MAX(s) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY r),
+m AS (SELECT r, MAX(share) AS share FROM stand GROUP BY r)
+SELECT doc_id, len(w) AS n_words, COALESCE(n, 0) AS n_base, first AS first_word, last AS last_word, COALESCE(b.labels, '') AS base_labels,
+       COALESCE(l.labels, '') AS labels, CASE WHEN n > 0 THEN 1.0 ELSE COALESCE(share, 0) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r) LEFT JOIN m USING (r)""",
 }
