@@ -56,8 +56,9 @@ def licensed_rows():
     for k, (_, text, _) in enumerate(licenses.TEMPLATES):
         broken = re.sub(r"\w+", lambda m: m[0] if rng.random() > 0.12 else "changed", text)
         spread = text.replace(",", " one two three")
-        for j, t in enumerate((text, text.upper(), filler(40) + "\n * " + text + filler(30), broken, spread, " ".join(reversed(text.split())),
-                               text[:len(text) // 2], filler(900) + text + filler(500) + text)):
+        for j, t in enumerate((text, text.upper(), f"{filler(40)}\n * {text} {filler(30)}", broken, spread,
+                               " ".join(reversed(text.split())), text[:len(text) // 2],
+                               f"{filler(900)} {text} {filler(500)} {text}")):
             rows.append((1000 + 20 * k + j, t, "en", "s", 1))
     names = ["MIT License", "mit-license mit\tLicense. Apache\x00License", "xmit license", "mit licensé", "general  public _license_ general public",
              "MIT LICENSE " * 3000, "the mit licenKe", "Apache License, the GENERAL PUBLIC LICENSE; MIT (license)", "mit mit license license"]
