@@ -167,21 +167,21 @@ _AHEAD = 2 * licenses.SLACK * (1 + max(len(w) for _, _, w, _ in _TEXTS))
 _NOTICES = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED.replace("text", "COALESCE(text, '')", 1)},
                                                                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-tw(t, at, word) AS (VALUES {_values([(t, i, x) for t, _, w, _ in _TEXTS for i, x in enumerate(w)])}),
-keys(t, at, k) AS (VALUES {", ".join(f"({t}, {licenses._position(w, k)}, {k})" for t, _, w, ks in _TEXTS for k in ks)}),
+tw(t, pos, word) AS (VALUES {_values([(t, i, x) for t, _, w, _ in _TEXTS for i, x in enumerate(w)])}),
+keys(t, pos, k) AS (VALUES {", ".join(f"({t}, {licenses._position(w, k)}, {k})" for t, _, w, ks in _TEXTS for k in ks)}),
 named(t, label) AS (VALUES {_values([(t, label) for t, label, _, _ in _TEXTS])}),
 flat AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
 seen AS (SELECT word, COUNT(DISTINCT r) AS df FROM flat WHERE word IN (SELECT word FROM tw) GROUP BY word),
 ranked AS (SELECT t, word, row_number() OVER (PARTITION BY t ORDER BY COALESCE(df, 0), word) AS k
            FROM (SELECT DISTINCT t, word FROM tw) LEFT JOIN seen USING (word)),
 rare AS (SELECT t, word, COUNT(*) OVER (PARTITION BY t) AS size FROM ranked WHERE k <= {licenses.RARE}),
-agreed AS (SELECT r, t, size, g, (i - at + {_AHEAD} + g * {licenses.SLACK}) // {2 * licenses.SLACK} AS b, COUNT(DISTINCT word) AS m
+agreed AS (SELECT r, t, size, g, (i - pos + {_AHEAD} + g * {licenses.SLACK}) // {2 * licenses.SLACK} AS b, COUNT(DISTINCT word) AS m
            FROM flat JOIN rare USING (word) JOIN tw USING (t, word), range(2) x(g)
            GROUP BY ALL HAVING COUNT(DISTINCT word) >= ceil({licenses.SHARE} * size)),
 starts AS (SELECT r, t, m / size AS share, b * {2 * licenses.SLACK} - {_AHEAD} - g * {licenses.SLACK} AS s FROM agreed),
 stand AS (SELECT DISTINCT s.* FROM starts s JOIN d USING (r) WHERE NOT EXISTS (
             SELECT 1 FROM keys k WHERE k.t = s.t AND len(list_filter(
-              range(greatest(s.s + k.at - {licenses.SLACK}, 0), greatest(s.s + k.at + {3 * licenses.SLACK} + 1, 0)),
+              range(greatest(s.s + k.pos - {licenses.SLACK}, 0), greatest(s.s + k.pos + {3 * licenses.SLACK} + 1, 0)),
               lambda p: d.w[p + 1:p + len(k.k)] = k.k)) = 0)),
 places AS (SELECT r, label, unnest(list_filter(range(len(w)), lambda p: w[p + 1:p + len(k)] = k)) AS s
            FROM d, (VALUES {", ".join(f"({w}, '{label}')" for w, label in _NAMES)}) p(k, label)),
