@@ -11,9 +11,10 @@ Phrases (short names of licences) are looked up by their one rarest word and
 verified word for word; every place counts.
 
 Only DataFrame functions are used and no row leaves its partition: the first
-pass counts in how many documents each word of the templates occurs (one row
-per template word reaches the driver), the second evaluates every file where it
-lies.  A file's work is linear in its words and sorts its postings.
+pass splits every text once and keeps where words of the templates and phrases
+stand, as a written table; of it one row per such word, with its number of
+documents, reaches the driver, and the second pass evaluates every file from its
+kept words.  A file's work is linear in its words and sorts its postings.
 
 Words are runs of ASCII letters and digits (A-Z lower-cased) and of characters
 beyond ASCII.  Defined cases: null text is empty; a file without words has no
@@ -31,6 +32,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 # Names of licences that are found as they stand, by label.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Public licence notices (label, text, mandatory key phrases).
@@ -86,11 +89,18 @@ def words_of(text: Column) -> Column:
                                 F.lit(WORD), F.lit(0))
 
 
-def document_frequencies(docs: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]:
-    """In how many documents each word of the vocabulary occurs (those that occur)."""
-    found = F.array_distinct(F.filter(words_of(F.col("text")), lambda w: w.isin(*vocabulary)))
-    rows = docs.select(F.explode(found).alias("word")).groupBy("word").count()
-    return {r["word"]: r["count"] for r in rows.collect()}  # one row per template word at most
+def known_words(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """doc_id, n_words and ``hits``: array of (w, i), the words of the vocabulary
+    in a text with their positions, in order."""
+    rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    numbered = F.transform("words", lambda w, i: F.when(w.isin(*vocabulary), F.struct(w.alias("w"), i.cast("long").alias("i"))))
+    return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.array_compact(numbered).alias("hits"))
+
+
+def document_frequencies(known: DataFrame) -> dict[str, int]:
+    """In how many documents each word of ``known_words`` occurs."""
+    rows = known.select(F.explode(F.array_distinct("hits.w")).alias("word")).groupBy("word").count()
+    return {r["word"]: r["count"] for r in rows.collect()}  # one row per word of the vocabulary at most
 
 
 def rarest(words: Sequence[str], seen: Mapping[str, int], most: int) -> list[str]:
@@ -133,14 +143,17 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str, tuple[str, ...]]]
     texts = [(label, plain_words(text), [plain_words(k) for k in keys]) for label, text, keys in templates]
     names = [(plain_words(p), label) for p, label in phrases.items()]
     vocabulary = sorted({w for _, t, _ in texts for w in t} | {w for p, _ in names for w in p})
-    seen = document_frequencies(docs, vocabulary)
+    known = written(known_words(docs, vocabulary), "known-words")
+    seen = document_frequencies(known)
     rare = [rarest(t, seen, RARE) for _, t, _ in texts]
     by_word = [(w, f"named_struct('t', {t}L, 'no', {rare[t].index(w)}L, 'at', {i}L)")
                for t, (_, text, _) in enumerate(texts) for i, w in enumerate(text) if w in rare[t]]
+    keys = sorted({(t, _position(text, k), tuple(k)) for t, (_, text, ks) in enumerate(texts) for k in ks})
     by_name = []
-    for words, label in names:
+    # phrases are numbered from 0, key phrases after them
+    for no, words in enumerate([words for words, _ in names] + [list(k) for _, _, k in keys]):
         i = words.index(rarest(words, seen, 1)[0])
-        by_name.append((words[i], f"named_struct('at', {i}L, 'label', '{label}', 'words', {_words_sql(words)})"))
+        by_name.append((words[i], f"named_struct('no', {no}, 'at', {i}, 'words', {_words_sql(words)})"))
     indexed = sorted({w for w, _ in by_word + by_name})
 
     window = 2 * SLACK
@@ -148,29 +161,30 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str, tuple[str, ...]]]
     needs = _array([f"{math.ceil(SHARE * len(r))}" for r in rare], "int")
     sizes = _array([f"{len(r)}D" for r in rare], "double")
     labels = _array([f"'{label}'" for label, _, _ in texts], "string")
-    keys = _array([_array([f"named_struct('at', {_position(t, k)}L, 'words', {_words_sql(k)})" for k in ks],
-                          "struct<at:bigint,words:array<string>>") for _, t, ks in texts],
-                  "array<struct<at:bigint,words:array<string>>>")
+    phrase_labels = _array([f"'{label}'" for _, label in names], "string")
+    key_of = _array([_array([f"named_struct('no', {len(names) + no}, 'at', {at}L)" for no, (u, at, _) in enumerate(keys) if u == t],
+                            "struct<no:int,at:bigint>") for t in range(len(texts))], "array<struct<no:int,at:bigint>>")
     # a code holds template and grid (2^35), window (64) and word; windows of the second grid begin SLACK words earlier
     grids = ", ".join(f"(((p.t * 2 + {g}) * {1 << 34}L + (h.i - p.at + {ahead + g * SLACK}L) div {window}) * 64 + p.no)" for g in (0, 1))
 
-    def is_at(start: str, words: str) -> str:
-        return f"slice(words, cast({start} + 1 as int), size({words})) = {words}"
-
     def step(df: DataFrame, name: str, sql: str) -> DataFrame:
         return df.withColumn(name, F.expr(sql))
 
-    rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    rows = rows.withColumn("hits", F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))),
-                                            lambda h: h["w"].isin(*indexed)))
-    rows = step(rows, "places", f"""
-        flatten(transform(hits, h -> transform({_postings(by_name, "struct<at:bigint,label:string,words:array<string>>")},
-            p -> named_struct('start', h.i - p.at, 'label', p.label, 'words', p.words))))""")
+    # a hit's number among the hits goes with it: a phrase's words are all kept, so that they follow one another there too
+    rows = known.withColumn("indexed", F.filter(
+        F.transform("hits", lambda h, j: F.struct(h["w"].alias("w"), h["i"].alias("i"), j.alias("j"))),
+        lambda h: h["w"].isin(*indexed)))
+    rows = step(rows, "stand", f"""
+        flatten(transform(indexed, h -> transform(filter({_postings(by_name, "struct<no:int,at:int,words:array<string>>")},
+            p -> h.j >= p.at and slice(hits.w, greatest(h.j - p.at, 0) + 1, size(p.words)) = p.words
+                 and get(hits, h.j - p.at).i = h.i - p.at
+                 and get(hits, h.j - p.at + size(p.words) - 1).i = h.i - p.at + size(p.words) - 1),
+            p -> named_struct('start', h.i - p.at, 'no', p.no))))""")
     rows = step(rows, "places", f"""
-        array_sort(transform(filter(places, x -> x.start >= 0 and {is_at("greatest(x.start, 0)", "x.words")}),
-            x -> named_struct('start', x.start, 'label', x.label)))""")
+        array_sort(transform(filter(stand, x -> x.no < {len(names)}),
+            x -> named_struct('start', x.start, 'label', get({phrase_labels}, x.no))))""")
     rows = step(rows, "codes", f"""
-        array_sort(array_distinct(flatten(transform(hits, h -> flatten(transform(
+        array_sort(array_distinct(flatten(transform(indexed, h -> flatten(transform(
             {_postings(by_word, "struct<t:bigint,no:bigint,at:bigint>")}, p -> array({grids})))))))""")
     # codes are distinct and sorted: a window holds m words if the code m - 1 places on is of the same window
     rows = step(rows, "windows", f"""
@@ -180,11 +194,10 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str, tuple[str, ...]]]
         transform(windows, c -> named_struct('t', cast(c div {1 << 35}L as int),
             'start', (c % {1 << 34}L) * {window} - {ahead}L - ((c div {1 << 34}L) % 2) * {SLACK},
             'found', size(filter(codes, k -> k div 64 = c))))""")
-    first, last = f"greatest(n.start + k.at - {SLACK}, 0)", f"n.start + k.at + {window + SLACK}"
     rows = step(rows, "notices", f"""
-        transform(filter(notices, n -> forall(get({keys}, n.t), k -> exists(sequence({first}, greatest({first}, {last})),
-            s -> {is_at("s", "k.words")}))),
+        transform(filter(notices, n -> forall(get({key_of}, n.t), k -> exists(stand,
+            x -> x.no = k.no and x.start between n.start + k.at - {SLACK} and n.start + k.at + {window + SLACK}))),
             n -> named_struct('label', get({labels}, n.t), 'start', greatest(n.start, 0L), 'share', n.found / get({sizes}, n.t)))""")
-    return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), "places", "notices",
+    return rows.select("doc_id", "n_words", "places", "notices",
                        F.when(F.size("places") > 0, 1.0).otherwise(
                            F.coalesce(F.array_max(F.transform("notices", lambda n: n["share"])), F.lit(0.0))).alias("score"))

@@ -80,9 +80,10 @@ def test_query_against_brute_force(spark, tmp_path):
 
 def test_plan_is_native(spark, tmp_path):
     df = spark.createDataFrame(awkward_docs(), DOCS)
-    plan = licenses.scan(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
-    assert plan.count("regexp_extract_all(") == 1  # texts are split once
+    passes = [licenses.known_words(df, ["mit"]), licenses.scan(df)]
+    plans = [p._jdf.queryExecution().executedPlan().toString() for p in passes]
+    assert not any(x in plan for plan in plans for x in ("Python", "Arrow", "Exchange"))
+    assert [plan.count("regexp_extract_all(") for plan in plans] == [1, 0]  # texts are split once
 
 
 def test_empty_table_and_own_templates(spark):
