@@ -16,12 +16,14 @@ occur; an empty table gives no piece; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,10 +35,12 @@ END_ID = 1
 CACHED_WORDS = 250_000
 CACHED_LENGTH = 40
 BATCH_BYTES = 16 << 20
+ENCODED_BYTES = 8 << 20  # of texts encoded at once
 
 # A space is an edge of the tokenizer's word pattern when neither neighbour is
 # white space; a text without a space beside other white space is split plainly.
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_UNEVEN = ("  | \n|\n |[\t\r\x0b\x0c\x1c-\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+           "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
 _EDGE = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = ".,;:!?%&#$*|"
 
@@ -99,12 +103,47 @@ class WordEncoder(dict):
             out = self[key] = self.ids(text)
         return out
 
+    def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (no nulls) in one array, each text's followed by
+        ``end_id``, and the places where texts begin (and the last one ends).
+
+        Words are told apart by a dictionary of the batch: every distinct word
+        is encoded once, then ids are gathered by word number."""
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        words = pc.split_pattern(texts, " ")
+        if pc.any(uneven).as_py():
+            split = pa.array([_EDGE.split(t) for t in texts.filter(uneven).to_pylist()], words.type)
+            at = np.cumsum(uneven.to_numpy(zero_copy_only=False)) - 1 + len(texts)
+            words = pa.concat_arrays([words, split]).take(pc.if_else(uneven, pa.array(at), pa.array(np.arange(len(texts)))))
+        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        flat = words.flatten()
+        known, first = flat.dictionary_encode(), flat.take(pa.array(edges[:-1])).dictionary_encode()
+        # a text's first word has no space before it; the last number is the end mark
+        parts = [*map(self.__getitem__, known.dictionary.to_pylist()), *map(self.ids, first.dictionary.to_pylist()),
+                 np.array([end_id], self.dtype).tobytes()]
+        codes = known.indices.to_numpy().astype(np.int64)
+        codes[edges[:-1]] = first.indices.to_numpy().astype(np.int64) + len(known.dictionary)
+        codes = np.insert(codes, edges[1:], len(parts) - 1)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(self.dtype).itemsize
+        n = sizes[codes]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        begin = (np.cumsum(sizes) - sizes)[codes]
+        ids = np.frombuffer(b"".join(parts), self.dtype)[np.repeat(begin - upto[:-1], n) + np.arange(upto[-1])]
+        return ids, upto[edges + np.arange(len(edges))]
+
     def text(self, text: str) -> bytes:
-        if "  " in text or " \n" in text or "\n " in text or _OTHER_SPACE.search(text):
-            first, *rest = _EDGE.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return self.ids(first) + b"".join(map(self.__getitem__, rest))
+        """Ids of one text, without an end mark."""
+        return self.texts(pa.array([text]), 0)[0][:-1].tobytes()
+
+
+def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches (first, past the last) of about ``most`` bytes, one text at least."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
@@ -116,27 +155,18 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
 
         wide = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) > 1 << 16
         encoder = WordEncoder(tokenizer_path, "<u4" if wide else "<u2")
-        width, part, at = 4 if wide else 2, TaskContext.get().partitionId(), 0
-        end = np.array([end_id], encoder.dtype).tobytes()
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            names, rows, held = batch.column(0), [], 0
-            for k, text in enumerate(batch.column(1)):
-                ids = encoder.text(text.as_py() or "") + end
-                n = len(ids) // width
-                rows.append((k, at, n, ids))
-                at, held = at + n, held + len(ids)
-                if held >= BATCH_BYTES:
-                    yield emit(names, part, rows)
-                    rows, held = [], 0
-            if rows:
-                yield emit(names, part, rows)
-
-    def emit(names: pa.Array, part: int, rows: list) -> pa.RecordBatch:
-        k, at, n, ids = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [names.take(pa.array(k)), pa.array([part] * len(k), pa.int32()), pa.array(at, pa.int64()),
-             pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-            ["doc_id", "part", "start_in_part", "doc_tokens", "ids"])
+            texts = pc.fill_null(batch.column(1), "")
+            for lo, hi in slices(texts, ENCODED_BYTES):
+                ids, edges = encoder.texts(texts.slice(lo, hi - lo), end_id)
+                raw, width = ids.tobytes(), ids.itemsize
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(np.full(hi - lo, part, np.int32)), pa.array(at + edges[:-1]),
+                     pa.array(np.diff(edges)),
+                     pa.array([raw[s * width:e * width] for s, e in itertools.pairwise(edges.tolist())], pa.binary())],
+                    ["doc_id", "part", "start_in_part", "doc_tokens", "ids"])
+                at += int(edges[-1])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", "text").mapInArrow(
