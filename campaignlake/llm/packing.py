@@ -32,7 +32,7 @@ from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, written
 
 LENGTH = 2048
 END_ID = 1
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
 CACHED_LENGTH = 40
 BATCH_BYTES = 16 << 20
 ENCODED_BYTES = 8 << 20  # of texts encoded at once
@@ -81,27 +81,32 @@ class WordEncoder(dict):
     def __missing__(self, word: str) -> bytes:
         out = self.older.get(word)
         if out is None:
-            # letters followed by marks: the pattern cuts between the two
-            letters = word.rstrip(_MARKS)
-            if self.model is None or not letters.isalpha():
-                out = self.ids(" " + word)
-            elif len(letters) < len(word):
-                out = self[letters] + self.marks(word[len(letters):])
-            else:
-                out = self.letters_only(word)
-        if len(word) <= CACHED_LENGTH:
+            out = self.letters_only(word) if self.model and word.isalpha() else self.ids(" " + word)
+        return self.keep(word, out)
+
+    def keep(self, key: str, out: bytes) -> bytes:
+        if len(key) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.older = dict(self)
                 self.clear()
-            self[word] = out
+            self[key] = out
         return out
 
     def marks(self, text: str) -> bytes:
         key = " " + text  # words hold no space
         out = dict.get(self, key)
-        if out is None:
-            out = self[key] = self.ids(text)
-        return out
+        return self.keep(key, self.ids(text)) if out is None else out
+
+    def words(self, words: pa.Array) -> list[bytes]:
+        """Ids of " " + word for distinct words.  Letters followed by marks: the
+        word pattern cuts between the two, so the letters are encoded once."""
+        if self.model is None:
+            return [self[w] for w in listed(words)]
+        cut = pc.utf8_rtrim(words, _MARKS).dictionary_encode()
+        letters = [w if w.isalpha() else None for w in listed(cut.dictionary)]
+        found = [w and self[w] for w in letters]
+        return [self[w] if found[k] is None else found[k] if len(letters[k]) == len(w) else found[k] + self.marks(w[len(letters[k]):])
+                for w, k in zip(listed(words), listed(cut.indices), strict=True)]
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (no nulls) in one array, each text's followed by
@@ -119,7 +124,7 @@ class WordEncoder(dict):
         flat = words.flatten()
         known, first = flat.dictionary_encode(), flat.take(pa.array(edges[:-1])).dictionary_encode()
         # a text's first word has no space before it; the last number is the end mark
-        parts = [*map(self.__getitem__, known.dictionary.to_pylist()), *map(self.ids, first.dictionary.to_pylist()),
+        parts = [*self.words(known.dictionary), *map(self.ids, listed(first.dictionary)),
                  np.array([end_id], self.dtype).tobytes()]
         codes = known.indices.to_numpy().astype(np.int64)
         codes[edges[:-1]] = first.indices.to_numpy().astype(np.int64) + len(known.dictionary)
@@ -136,6 +141,11 @@ class WordEncoder(dict):
         return self.texts(pa.array([text]), 0)[0][:-1].tobytes()
 
 
+def listed(a: pa.Array) -> list:
+    """``a.to_pylist()`` without a scalar object per value (no nulls)."""
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Stretches (first, past the last) of about ``most`` bytes, one text at least."""
     upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
