@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,24 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | str | No
     return path
 
 
+def partition_folder(partition: str, value: object) -> str:
+    """Name of the folder that holds a partition value."""
+    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, values: Sequence) -> str:
+    """``write_layer``, after which the partitions of ``values`` hold the rows
+    of ``df`` and nothing else: those that ``df`` has no row of are removed."""
+    spark = df.sparkSession
+    folders = [f"{path}/{partition_folder(partition, v)}" for v in values]
+    before = {f: set(list_files(spark, f)) for f in folders}
+    write_layer(df, path, partition)
+    for f, files in before.items():
+        if files & set(list_files(spark, f)):  # a rewritten partition has new files only
+            delete_path(spark, f)
+    return path
+
+
 def clustered_for_write(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """``df`` with the ``rebalance`` hint on the partition columns (if any)."""
     return df.hint("rebalance", *partition_cols) if partition_cols else df
@@ -101,45 +120,70 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame,
 
 
 # B51 -----------------------------------------------------------------------
-COMPACTED = "_compacted"  # new folders on their way in
-REPLACED = "_replaced"    # old folders on their way out
+COMPACTED = "_compacted"    # new files on their way in
+COMPACTION = "_compaction"  # journal: the files that they stand for
+REPLACED = "_replaced"      # whole folders moved out by earlier versions
 
 
-def _finish_compaction(spark: SparkSession, path: str) -> None:
-    """After an interrupted swap: a partition whose old folder was moved out
-    but whose new one is not in place gets the old one back."""
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Put a copied compaction in place, also after an interruption: exactly the
+    files that were copied go, partition by partition, and their copies come in.
+    A copy without its journal entry is unfinished and is thrown away."""
     for name in list_folders(spark, f"{path}/{REPLACED}"):
         if path_exists(spark, f"{path}/{name}"):
             delete_path(spark, f"{path}/{REPLACED}/{name}")
         else:
             rename_path(spark, f"{path}/{REPLACED}/{name}", f"{path}/{name}")
     delete_path(spark, f"{path}/{REPLACED}")
+    old = read_note(spark, f"{path}/{COMPACTION}/copied")
+    if old is not None:
+        for folder, files in groupby(sorted(old), key=lambda f: f.rpartition("/")[0]):
+            for f in files:
+                delete_path(spark, f"{path}/{f}")
+            for f in list_files(spark, f"{path}/{COMPACTED}/{folder}"):
+                rename_path(spark, f"{path}/{COMPACTED}/{folder}/{f}", f"{path}/{folder}/{f}")
+        delete_path(spark, f"{path}/{COMPACTION}")
     delete_path(spark, f"{path}/{COMPACTED}")
 
 
+def copy_compacted(spark: SparkSession, path: str, partition: str, where: str | None = None,
+                   rows_per_file: int = ROWS_PER_FILE) -> int:
+    """First half of ``compact_partitions``: the files present now are copied
+    into larger ones beside the table and noted.  Returns their number."""
+    df = spark.read.parquet(path)
+    files = list_files(spark, path)
+    if where:
+        folders = {partition_folder(partition, v) for v in partition_values(df.filter(where), partition)}
+        files = [f for f in files if f.split("/")[0] in folders]
+    if not files:
+        return 0
+    # exactly these files: rows that arrive meanwhile stay in files of their own
+    sel = spark.read.schema(df.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in files])
+    rows = {r[0]: r[1] for r in sel.groupBy(partition).count().collect()}  # one per day
+    pieces = {v: -(-n // rows_per_file) for v, n in rows.items()}
+    large = [x for v, k in pieces.items() if k > 1 and v is not None for x in (F.lit(str(v)).cast("date"), F.lit(k))]
+    spread = F.coalesce(F.try_element_at(F.create_map(*large), F.col(partition)), F.lit(1)) if large else F.lit(1)
+    salted = (sel.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in df.columns if c != partition]), spread))
+              .repartition(max(1, sum(pieces.values())), partition, "_salt").drop("_salt"))
+    copy = write_layer(salted, f"{path}/{COMPACTED}", partition, rows_per_file=2 * rows_per_file, rebalance=False)
+    got = spark.read.schema(df.schema).parquet(copy).count()
+    if got != sum(rows.values()):
+        raise RuntimeError(f"compaction copied {got} of {sum(rows.values())} rows of {path}; nothing was replaced")
+    write_note(spark, f"{path}/{COMPACTION}/copied", files)
+    return len(files)
+
+
 def compact_partitions(spark: SparkSession, path: str, partition: str, where: str | None = None,
                        rows_per_file: int = ROWS_PER_FILE) -> str:
     """Rewrite the partitions that hold a row of ``where`` into files of about
     ``rows_per_file`` rows, each row being written once.  A partition with more rows than that
     is spread over several tasks by a hash salt, so one large day never lands
-    in a single task.  The new folders are written beside the table and then
-    swapped in, one rename out and one in per partition."""
-    _finish_compaction(spark, path)
-    df = spark.read.parquet(path)
-    sel = df.where(in_partitions(partition, partition_values(df.filter(where), partition))) if where else df
-    rows = {r[0]: r[1] for r in sel.groupBy(partition).count().collect()}  # one per day
-    files = {v: -(-n // rows_per_file) for v, n in rows.items()}
-    large = [x for v, k in files.items() if k > 1 and v is not None for x in (F.lit(str(v)).cast("date"), F.lit(k))]
-    spread = F.coalesce(F.try_element_at(F.create_map(*large), F.col(partition)), F.lit(1)) if large else F.lit(1)
-    salted = (sel.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in df.columns if c != partition]), spread))
-              .repartition(max(1, sum(files.values())), partition, "_salt").drop("_salt"))
-    write_layer(salted, f"{path}/{COMPACTED}", partition, rows_per_file=2 * rows_per_file, rebalance=False)
-    for name in list_folders(spark, f"{path}/{COMPACTED}"):
-        if "=" in name:
-            rename_path(spark, f"{path}/{name}", f"{path}/{REPLACED}/{name}")
-            rename_path(spark, f"{path}/{COMPACTED}/{name}", f"{path}/{name}")
-            delete_path(spark, f"{path}/{REPLACED}/{name}")
-    _finish_compaction(spark, path)
+    in a single task.  A fixed list of files is copied beside the table, counted
+    and noted; then these files go and the copies come in, so that rows appended
+    meanwhile stay.  A run after an interrupted one ends it first."""
+    finish_compaction(spark, path)
+    copy_compacted(spark, path, partition, where, rows_per_file)
+    finish_compaction(spark, path)
     return path
 
 

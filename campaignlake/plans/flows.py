@@ -5,6 +5,7 @@ that a delivery touches are rebuilt from all deliveries."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from campaignlake import schemas
 from campaignlake.operators import clean, features, lifecycle, marts
-from campaignlake.session import delete_path, path_exists
+from campaignlake.session import delete_path, path_exists, read_note, write_note
 from campaignlake.sources import delimited, messages
 
 DELIVERY_FILES = {
@@ -50,13 +51,38 @@ def _delivery_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def _pending(lake_root: str, name: str, entity: str = "") -> str:
+    """Journal of a delivery: the days of an entity that it touches."""
+    return f"{_layer(lake_root, 'raw', '_pending')}/{name}/{entity}".rstrip("/")
+
+
+def _touch(spark: SparkSession, table: str, name: str, day: str, journal: str) -> list:
+    """Days that the delivery's stored rows are of, and those that an
+    interrupted run noted; noted before its folder is removed."""
+    folder = f"{table}/{DELIVERY}={name}"
+    stored = lifecycle.read_table(spark, folder) if path_exists(spark, folder) else None
+    days = set(lifecycle.partition_values(stored, day)) if stored is not None else set()
+    for noted in read_note(spark, journal) or []:
+        days.add(None if noted == "null" else dt.date.fromisoformat(noted))
+    write_note(spark, journal, ["null" if d is None else str(d) for d in sorted(days, key=lambda d: (d is not None, d))])
+    delete_path(spark, folder)
+    return list(days)
+
+
+def _days_of(spark: SparkSession, table: str, name: str, day: str, before: list) -> list:
+    """``before`` and the days that the delivery's stored rows are of now."""
+    stored = lifecycle.read_table(spark, f"{table}/{DELIVERY}={name}")
+    now = lifecycle.partition_values(stored, day) if stored is not None else []
+    return sorted({*before, *now}, key=lambda d: (d is not None, d))
+
+
 def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str,
                       delivery: str | None = None) -> dict[str, list]:
     """B01-B04 for every delivered file present.  Raw tables are partitioned
     by ``delivery`` (default: the folder's name) and, for facts, by day: the
     same delivery again replaces its own rows only.  Lines with a wrong number
     of fields go to quarantine/<entity>.  Returns {entity: days that the
-    delivery holds} ([] for dictionaries)."""
+    delivery holds or held before} ([] for dictionaries)."""
     name = delivery or _delivery_name(delivery_root)
 
     def job(entity: str, src: str) -> Callable[[], list]:
@@ -64,6 +90,8 @@ def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str,
             good, bad = delimited.split_malformed(delimited.read_lines_checked(spark, src))
             out = _layer(lake_root, "raw", entity)
             quarantine = bad.withColumn(DELIVERY, F.lit(name))
+            # a corrected delivery may have no such line: its folder goes first
+            delete_path(spark, f"{_layer(lake_root, 'quarantine', entity)}/{DELIVERY}={name}")
             lifecycle.write_layer(quarantine, _layer(lake_root, "quarantine", entity), DELIVERY)
             df = delimited.conform_entity(good, schemas.ENTITIES[entity])
             if entity not in DAYS:
@@ -72,11 +100,10 @@ def load_raw_delivery(spark: SparkSession, delivery_root: str, lake_root: str,
             day, ts = DAYS[entity]
             if entity == "banner_events":
                 df = clean.add_event_identity(df)
-            # the delivery may have held other days before: its folder goes first
-            delete_path(spark, f"{out}/{DELIVERY}={name}")
+            # the delivery may have held other days before: they count as touched
+            before = _touch(spark, out, name, day, _pending(lake_root, name, entity))
             lifecycle.write_layer(df.withColumn(day, F.to_date(ts)).withColumn(DELIVERY, F.lit(name)), out, [DELIVERY, day])
-            written = lifecycle.read_table(spark, f"{out}/{DELIVERY}={name}")
-            return lifecycle.partition_values(written, day) if written is not None else []
+            return _days_of(spark, out, name, day, before)
         return run
 
     jobs = {}
@@ -103,18 +130,22 @@ def build_ods(spark: SparkSession, lake_root: str, touched: dict[str, list] | No
     dictionary.
 
     Of the facts only the ``touched`` days (default: all) are rebuilt, each
-    from the rows that all deliveries hold of it; dictionaries are replaced by
-    those of ``delivery`` (default: the last one by name).  Row counts per
-    entity and stage (B14) are observed during the writes and returned under
-    ``"report"`` ({entity: {stage: rows}}; impressions also as
+    from the rows that all deliveries hold of it; a day without rows goes.
+    Dictionaries are those of ``delivery`` (default: the last one by name, also
+    when an earlier one is loaded again); budget metrics follow the impressions.
+    Row counts per entity and stage (B14) are observed during the writes and
+    returned under ``"report"`` ({entity: {stage: rows}}; impressions also as
     ``"banner_report"``)."""
-    touched = _all_days(spark, lake_root) if touched is None else touched
+    touched = dict(_all_days(spark, lake_root) if touched is None else touched)
+    if "banner_events" in touched:
+        touched.setdefault("cd_campaign", [])
     raw = {}
     for entity, days in touched.items():
         t = lifecycle.read_table(spark, _layer(lake_root, "raw", entity))
         if t is None:
-            continue
-        if entity in DAYS:
+            for d in days:
+                delete_path(spark, f"{_layer(lake_root, 'ods', entity)}/{lifecycle.partition_folder(DAYS[entity][0], d)}")
+        elif entity in DAYS:
             raw[entity] = t.where(lifecycle.in_partitions(DAYS[entity][0], days)).drop(DELIVERY)
         else:
             last = delivery or t.agg(F.max(F.col(DELIVERY).cast("string"))).first()[0]
@@ -123,8 +154,10 @@ def build_ods(spark: SparkSession, lake_root: str, touched: dict[str, list] | No
     report = ods.pop("_report", {})
 
     def write(entity: str, df: DataFrame) -> str:
-        return lifecycle.write_layer(clean.stamp_processing_date(df, processing_date), _layer(lake_root, "ods", entity),
-                                     DAYS[entity][0] if entity in DAYS else None)
+        df, out = clean.stamp_processing_date(df, processing_date), _layer(lake_root, "ods", entity)
+        if entity not in DAYS:
+            return lifecycle.write_layer(df, out)
+        return lifecycle.replace_partitions(df, out, DAYS[entity][0], touched[entity])
 
     out: dict[str, object] = dict(_concurrently(
         {entity: (lambda e=entity, d=df: write(e, d)) for entity, df in ods.items() if entity != "cd_campaign"}))
@@ -148,11 +181,12 @@ def build_mart(spark: SparkSession, lake_root: str, processing_date: str | None
     Rows of a date depend on the facts of that date only, so with ``touched``
     just these days of all facts are read and rewritten."""
     facts = {e: lifecycle.read_table(spark, _layer(lake_root, "ods", e)) for e in DAYS}
+    days: list = []
     if touched is not None:
         days = sorted({d for e in DAYS for d in touched.get(e, []) if d is not None})
         facts = {e: t if t is None else t.where(lifecycle.in_partitions(DAYS[e][0], days)) for e, t in facts.items()}
     mart = marts.campaign_daily_full(facts["banner_events"], facts["installs"], facts["fct_actions"], processing_date)
-    path = lifecycle.write_layer(mart, _layer(lake_root, "dm", "campaign_daily"), "date")
+    path = lifecycle.replace_partitions(mart, _layer(lake_root, "dm", "campaign_daily"), "date", days)
     return spark.read.parquet(path).select(*schemas.MART_COLUMNS)
 
 
@@ -160,12 +194,15 @@ def csv_flow(spark: SparkSession, delivery_root: str, lake_root: str,
              processing_date: str | None = None, delivery: str | None = None) -> DataFrame:
     """P2: delimited delivery -> raw -> ods -> dm.campaign_daily.
 
-    A delivery may hold new days, late rows of known days, or be repeated: the
-    days it touches are rebuilt from all deliveries, the others stay."""
+    A delivery may hold new days, late rows of known days, or be repeated, also
+    corrected: the days it touches or touched before are rebuilt from all
+    deliveries, the others stay."""
     name = delivery or _delivery_name(delivery_root)
     touched = load_raw_delivery(spark, delivery_root, lake_root, name)
-    build_ods(spark, lake_root, touched, name, processing_date)
-    return build_mart(spark, lake_root, processing_date, touched)
+    build_ods(spark, lake_root, touched, None, processing_date)
+    mart = build_mart(spark, lake_root, processing_date, touched)
+    delete_path(spark, _pending(lake_root, name))
+    return mart
 
 
 def banner_events_flow(spark: SparkSession, source: str, lake_root: str, fmt: str = "text",
@@ -184,14 +221,15 @@ def banner_events_flow(spark: SparkSession, source: str, lake_root: str, fmt: st
         return None
     name = delivery or (_delivery_name(source) if fmt != "kafka" else f"{source}-{uuid.uuid4().hex[:12]}")
     raw_path = _layer(lake_root, "raw", "banner_events")
-    delete_path(spark, f"{raw_path}/{DELIVERY}={name}")
+    before = _touch(spark, raw_path, name, "event_date", _pending(lake_root, name, "messages"))
     lifecycle.write_layer(decoded.withColumn(DELIVERY, F.lit(name)), raw_path, [DELIVERY, "event_date"])
-    days = lifecycle.partition_values(spark.read.parquet(f"{raw_path}/{DELIVERY}={name}"), "event_date")
+    days = _days_of(spark, raw_path, name, "event_date", before)
     hit = lifecycle.in_partitions("event_date", days)
     ods = clean.clean_banner_events(spark.read.parquet(raw_path).where(hit).drop(DELIVERY))
-    ods_path = lifecycle.write_layer(ods, _layer(lake_root, "ods", "banner_events"), "event_date")
+    ods_path = lifecycle.replace_partitions(ods, _layer(lake_root, "ods", "banner_events"), "event_date", days)
     lite = marts.campaign_daily_lite(spark.read.parquet(ods_path).where(hit), processing_date)
-    path = lifecycle.write_layer(lite, _layer(lake_root, "dm", "campaign_daily_lite"), "date")
+    path = lifecycle.replace_partitions(lite, _layer(lake_root, "dm", "campaign_daily_lite"), "date", days)
+    delete_path(spark, _pending(lake_root, name))
     return spark.read.parquet(path).select(*schemas.MART_COLUMNS)
 
 

@@ -152,6 +152,25 @@ def q_csv_flow_two_deliveries(spark, sf):
     return csv_flow(spark, f"{root}/day-1", lake, PROCESSING_DATE)
 
 
+def _first_delivery(rows: str, ts: str) -> str:
+    late = f"COALESCE(user_id, 1) % {V.LATE_USERS} = 0 OR second({ts}) % {V.LATE_USERS} = 0"
+    return f"SELECT * FROM {rows} WHERE {ts} < TIMESTAMP '{V.FIRST_DELIVERY_BEFORE}' AND NOT ({late})"
+
+
+@register("csv_flow_corrected", f"WITH {O.base_ctes()}, b1 AS ({_first_delivery('b', 'event_ts')}), "
+          f"i1 AS ({_first_delivery('i', 'install_timestamp')}), a1 AS ({_first_delivery('a', 'session_start')}), "
+          f"{O.mart_ctes('b1', 'i1', 'a1')} {O.mart_select('c', PROCESSING_DATE)}")
+def q_csv_flow_corrected(spark, sf):
+    """P2 on a delivery with every day and bad lines, then on the same delivery
+    corrected, with fewer rows and days: the mart of the corrected one alone."""
+    from campaignlake.plans.flows import csv_flow
+    root, lake = new_scratch(spark, "delivery"), new_scratch(spark, "lake")
+    for version, part in (("sent", None), ("corrected", 1)):
+        V.write_delimited_delivery(spark, sf, f"{root}/{version}", part, malformed=part is None)
+        mart = csv_flow(spark, f"{root}/{version}", lake, PROCESSING_DATE, "day-1")
+    return mart
+
+
 @register("csv_flow_quarantine", ORACLE["quarantine_rows"])
 def q_csv_flow_quarantine(spark, sf):
     """P2 on a delivery with bad lines: what the flow set aside."""

@@ -220,6 +220,20 @@ def q_compact_partitions(spark, sf):
     return spark.read.parquet(table).select(*_ODS_COLS)
 
 
+@register("compact_beside_append", f"WITH {O.base_ctes()} SELECT * FROM b")
+def q_compact_beside_append(spark, sf):
+    """Rows come into the same days after a compaction copied its files and
+    before it puts the copies in place: all rows are there."""
+    rows = ods_banners(spark, sf)
+    late = F.pmod(V.event_number(), F.lit(3)) == 0
+    table = lifecycle.write_layer(rows.where(~late).repartition(16), new_scratch(spark, "ods-banners"), "event_date",
+                                  rebalance=False)
+    lifecycle.copy_compacted(spark, table, "event_date", rows_per_file=1000)
+    lifecycle.write_layer(rows.where(late), table, "event_date", mode="append")
+    lifecycle.finish_compaction(spark, table)
+    return spark.read.parquet(table).select(*_ODS_COLS)
+
+
 _AS_OF = "2024-02-15"
 
 

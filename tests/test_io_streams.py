@@ -491,3 +491,44 @@ def test_second_delivery_keeps_earlier_days(spark):
     assert rows == {"2025-02-01": (2, 1, 1, 1, 100.0), "2025-02-02": (1, 0, 1, 0, 0.0)}
     for t in ("banner_events", "installs", "fct_actions"):
         assert spark.read.parquet(f"{lake}/ods/{t}").where("processing_date IS NOT NULL").count() > 0
+
+
+def test_corrected_delivery_leaves_nothing_stale(spark):
+    from campaignlake.plans import flows
+    lake, root = new_scratch(spark, "t-lake"), new_scratch(spark, "t-deliveries").replace("file:", "")
+    head = "banner_id;campaign_id;user_id;timestamp;placement;device_type;os;geo;is_clicked\n"
+
+    def deliver(name, days, segment=None, bad=""):
+        _write_text(f"{root}/{name}/Fct_banners_show", head + "".join(f"1;1;{u};2025-02-0{d} 10:00:00;site;phone;ios;g;1\n" for u, d in days) + bad)
+        if segment:
+            _write_text(f"{root}/{name}/CD_user", f"user_id;segment;tariff;date_create;date_end\n1;{segment};t;2025-01-01;\n")
+        mart = flows.csv_flow(spark, f"{root}/{name}", lake, "2025-02-10")
+        return {str(r.date): r.impressions for r in mart.collect()}
+
+    assert deliver("day-1", [(1, 1), (2, 2), (3, 3)], "old", "1;1\n") == {"2025-02-01": 1, "2025-02-02": 1, "2025-02-03": 1}
+    assert spark.read.parquet(f"{lake}/quarantine/banner_events").count() == 1
+    assert deliver("day-2", [(4, 3)], "new") == {"2025-02-01": 1, "2025-02-02": 1, "2025-02-03": 2}
+    # interrupted once the old rows are gone: the days are in the journal
+    raw = f"{lake}/raw/banner_events"
+    assert len(flows._touch(spark, raw, "day-1", "event_date", flows._pending(lake, "day-1", "banner_events"))) == 3
+    assert deliver("day-1", [(1, 1)], "old") == {"2025-02-01": 1, "2025-02-03": 1}
+    assert lifecycle.read_table(spark, f"{lake}/quarantine/banner_events") is None
+    assert {str(r[0]) for r in spark.read.parquet(f"{lake}/ods/banner_events").select("event_date").collect()} == {"2025-02-01", "2025-02-03"}
+    # the dictionaries are the newest delivery's, whichever was loaded last
+    assert [r.segment for r in spark.read.parquet(f"{lake}/ods/cd_user").collect()] == ["new"]
+
+
+def test_compaction_keeps_rows_that_come_meanwhile(spark):
+    day = F.lit("2025-02-01").cast("date")
+    path = lifecycle.write_layer(spark.range(100).withColumn("d", day).repartition(8), new_scratch(spark, "t-compact"), "d", rebalance=False)
+    assert lifecycle.copy_compacted(spark, path, "d") == 8
+    lifecycle.write_layer(spark.range(100, 105).withColumn("d", day), path, "d", mode="append")
+    # the swap stops after its first deletions and is taken up by the next run
+    for f in lifecycle.read_note(spark, f"{path}/_compaction/copied")[:3]:
+        lifecycle.delete_path(spark, f"{path}/{f}")
+    lifecycle.compact_partitions(spark, path, "d")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(105)) and len(lifecycle.list_files(spark, path)) == 1
+    # a copy that was not noted is thrown away
+    lifecycle.write_layer(spark.range(7).withColumn("d", day), f"{path}/_compacted", "d")
+    lifecycle.compact_partitions(spark, path, "d")
+    assert spark.read.parquet(path).count() == 105
