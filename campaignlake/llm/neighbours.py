@@ -207,11 +207,34 @@ def search(vectors: np.ndarray, levels: np.ndarray, layers: list[np.ndarray], qu
     return tuple(np.concatenate([x[i] for x in out]) for i in (0, 1))
 
 
-def _augmented(v: np.ndarray, norm2: float) -> np.ndarray:
-    rest = np.sqrt(np.maximum(0.0, norm2 - (v * v).sum(axis=1)))
+def _scaled(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows divided by their largest component, and that component."""
+    top = np.abs(v).max(axis=1, keepdims=True)
+    top[top == 0] = 1
+    return v / top, top[:, 0]
+
+
+def norm_classes(v: np.ndarray) -> np.ndarray:
+    """Class of each row: norms of a class differ by a factor of 2 at most
+    (edges halfway between powers of 2, so that unit vectors share one)."""
+    unit, top = _scaled(v)
+    return np.rint(np.log2(top) + np.log2((unit * unit).sum(axis=1)) / 2).astype(np.int64)
+
+
+def _augmented(v: np.ndarray, norm_class: int) -> np.ndarray:
+    """Rows of one norm class, scaled and lengthened to one norm."""
+    v = np.ldexp(v, -norm_class)
+    size = (v * v).sum(axis=1)
+    rest = np.sqrt(np.maximum(0.0, size.max(initial=0.0) - size))
     return np.concatenate([v, rest[:, None]], 1).astype(np.float32)
 
 
+def _stretches(classes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(class, first, past the last) of sorted classes."""
+    cuts = [0, *(np.flatnonzero(np.diff(classes)) + 1).tolist(), len(classes)]
+    return ((int(classes[lo]), lo, hi) for lo, hi in zip(cuts, cuts[1:]) if hi > lo)
+
+
 def _flat(levels: np.ndarray, layers: list[np.ndarray]) -> list[bytes]:
     return [b"".join(layers[k][i].tobytes() for k in range(int(levels[i]) + 1)) for i in range(len(levels))]
 
@@ -230,8 +253,11 @@ def _layers(levels: np.ndarray, flat: list[bytes]) -> list[np.ndarray]:
 
 def build_index(nodes: DataFrame, shards: int) -> DataFrame:
     """Index table of ``nodes`` (node, vector): dim, shard, position, node,
-    level, vector (doubles), neighbours (32-bit positions); written."""
-    norm2 = nodes.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))).first()[0] or 0.0
+    level, vector (doubles), neighbours (32-bit positions), norm_class; written.
+
+    A shard holds a graph for each class of norms, one after the other, with
+    neighbours counted from the graph's first position: a few long vectors do
+    not take the precision of the links among the others."""
     keyed = nodes.select(F.size("vector").alias("dim"),
                          F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(shards)).cast("int").alias("shard"), "node", "vector")
 
@@ -259,19 +285,22 @@ def build_index(nodes: DataFrame, shards: int) -> DataFrame:
 
     def emit(key: tuple, ids: list, parts: list) -> Iterator[pa.RecordBatch]:
         names, v = np.concatenate(ids), np.concatenate(parts)
-        levels, layers = build(_augmented(v, norm2))
-        flat = _flat(levels, layers)
+        classes = norm_classes(v)
+        order = np.lexsort((names, classes))
+        names, v, classes = names[order], v[order], classes[order]
+        graphs = [build(_augmented(v[lo:hi], c)) for c, lo, hi in _stretches(classes)]
+        levels, flat = np.concatenate([g[0] for g in graphs]), [x for g in graphs for x in _flat(*g)]
         for lo in range(0, len(names), 8192):
             s = slice(lo, lo + 8192)
             m = len(names[s])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key[0]] * m, pa.int32()), pa.array([key[1]] * m, pa.int32()),
                  pa.array(np.arange(lo, lo + m)), pa.array(names[s]), pa.array(levels[s]), blobs(v[s]),
-                 pa.array(flat[s], pa.binary())],
-                ["dim", "shard", "position", "node", "level", "vector", "neighbours"])
+                 pa.array(flat[s], pa.binary()), pa.array(classes[s])],
+                ["dim", "shard", "position", "node", "level", "vector", "neighbours", "norm_class"])
 
     out = (keyed.repartitionByRange(shards, "shard", "dim").sortWithinPartitions("dim", "shard", "node")
-           .mapInArrow(run, "dim int, shard int, position long, node long, level long, vector binary, neighbours binary"))
+           .mapInArrow(run, "dim int, shard int, position long, node long, level long, vector binary, neighbours binary, norm_class long"))
     return written(out, "index")
 
 
@@ -289,8 +318,9 @@ def search_index(index: DataFrame, queries: DataFrame, shards: int, k: int, ef:
     asked = (queries.select("query_id", "vector").mapInArrow(as_blobs, "dim int, node long, vector binary")
              .select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"),
                      F.col("node").alias("position"), "node", F.lit(0).cast("long").alias("level"), "vector",
-                     F.lit(None).cast("binary").alias("neighbours")))
-    both = index.select("dim", "shard", F.lit(0).alias("kind"), "position", "node", "level", "vector", "neighbours").union(asked)
+                     F.lit(None).cast("binary").alias("neighbours"), F.lit(0).cast("long").alias("norm_class")))
+    both = index.select("dim", "shard", F.lit(0).alias("kind"), "position", "node", "level", "vector", "neighbours",
+                        "norm_class").union(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, graph = None, [], None
@@ -305,25 +335,28 @@ def search_index(index: DataFrame, queries: DataFrame, shards: int, k: int, ef:
                     key, held, graph = (dim, shard), [], None
                 if kind == 0:
                     held.append((part.column(4).to_numpy(), part.column(5).to_numpy(), stacked(part.column(6), "f8"),
-                                 part.column(7).to_pylist()))
+                                 part.column(7).to_pylist(), part.column(8).to_numpy()))
                 elif held or graph:
                     if graph is None:
-                        names, levels, v = (np.concatenate([h[i] for h in held]) for i in range(3))
-                        graph = names, levels, v, _layers(levels, [x for h in held for x in h[3]])
-                        wide, held = np.concatenate([v, np.zeros((len(v), 1))], 1).astype(np.float32), []
-                    names, levels, v, layers = graph
+                        names, levels, v, classes = (np.concatenate([h[i] for h in held]) for i in (0, 1, 2, 4))
+                        flat, graph, held = [x for h in held for x in h[3]], [], []
+                        for c, i, j in _stretches(classes):
+                            wide = np.concatenate([np.ldexp(v[i:j], -c), np.zeros((j - i, 1))], 1).astype(np.float32)
+                            graph.append((names[i:j], v[i:j], wide, levels[i:j], _layers(levels[i:j], flat[i:j])))
                     asked_ids, q = part.column(4).to_numpy(), stacked(part.column(6), "f8")
-                    q32 = np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32)
-                    ids, _ = search(wide, levels, layers, q32, max(ef, k))
-                    ids = ids[:, :max(2 * k, k + 16)]
-                    exact = np.einsum("qd,qkd->qk", q, v[np.maximum(ids, 0)])
-                    exact[ids < 0] = -np.inf
-                    o = np.argsort(-exact, axis=1, kind="stable")[:, :k]
-                    ids, exact = np.take_along_axis(ids, o, 1), np.take_along_axis(exact, o, 1)
-                    r, c = np.nonzero(ids >= 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(asked_ids[r]), pa.array(names[ids[r, c]]), pa.array(exact[r, c])],
-                        ["query_id", "node", "score"])
+                    q32 = np.concatenate([_scaled(q)[0], np.zeros((len(q), 1))], 1).astype(np.float32)
+                    for names, v, wide, levels, layers in graph:
+                        yield best(asked_ids, q, names, v, search(wide, levels, layers, q32, max(ef, k))[0])
+
+    def best(asked_ids: np.ndarray, q: np.ndarray, names: np.ndarray, v: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        ids = ids[:, :max(2 * k, k + 16)]
+        exact = np.einsum("qd,qkd->qk", q, v[np.maximum(ids, 0)])
+        exact[ids < 0] = -np.inf
+        o = np.lexsort((names[np.maximum(ids, 0)], -exact), axis=1)[:, :k]  # ties to the smaller node
+        ids, exact = np.take_along_axis(ids, o, 1), np.take_along_axis(exact, o, 1)
+        r, c = np.nonzero(ids >= 0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(asked_ids[r]), pa.array(names[ids[r, c]]), pa.array(exact[r, c])], ["query_id", "node", "score"])
 
     return (both.repartitionByRange(shards, "shard", "dim").sortWithinPartitions("dim", "shard", "kind", "position")
             .mapInArrow(run, "query_id long, node long, score double"))
@@ -332,7 +365,10 @@ def search_index(index: DataFrame, queries: DataFrame, shards: int, k: int, ef:
 def nearest(rows: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for every row of ``queries`` its k
     nearest rows of ``rows`` other than itself (by id), by inner product,
-    nearest first, equal scores by id."""
+    nearest first, equal scores by id.
+
+    A query row that is there several times gives one answer; an id asked with
+    several vectors gets each row by its best score."""
     base = rows_of(rows, id_column, vector).select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     same = Window.partitionBy("vector").orderBy("vec_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     members = written(base.withColumn("n", F.row_number().over(same)).withColumn("node", F.first("vec_id").over(same))
@@ -341,8 +377,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_i
     shards = max(LEAST_SHARDS, -(-nodes.count() // SHARD_ROWS))
     index = build_index(nodes, shards)
     asked = rows_of(queries, id_column, vector).select(F.col(id_column).cast("long").alias("query_id"),
-                                                       F.col(vector).alias("vector"))
-    found = search_index(index, asked, shards, k + 1)
+                                                       F.col(vector).alias("vector")).distinct()
+    found = search_index(index, asked, shards, k + 1).groupBy("node", "query_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.join(members.select("node", "vec_id"), "node").where("vec_id <> query_id")
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

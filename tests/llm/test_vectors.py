@@ -135,3 +135,27 @@ def test_graph_keeps_flat_arrays():
     ids, _ = neighbours.search(v, levels, layers, v[:200], 64)
     best = np.argsort(-(v[:200] @ v.T), axis=1)[:, :20]
     assert np.mean([len(set(a[:20]) & set(b)) / 20 for a, b in zip(ids, best)]) > 0.95
+
+
+@pytest.mark.parametrize("long", [1.0, 1e4, 1e6])
+def test_nearest_with_a_long_vector_and_repeated_queries(spark, long, monkeypatch):
+    # one shard, far larger than the beam
+    monkeypatch.setattr(neighbours, "LEAST_SHARDS", 1)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 24))
+    v = centres[rng.integers(0, 30, 3000)] + 0.3 * rng.normal(size=(3000, 24))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[7] *= long
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    queries = rows.where("vec_id % 40 = 0").union(rows.where("vec_id = 40"))
+    got = {}
+    for r in neighbours.nearest(rows, queries, 20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(got) == list(range(0, 3000, 40))
+    hit = 0
+    for q, found in got.items():
+        score = v @ v[q]
+        score[q] = -np.inf
+        hit += len({i for _, i in found} & set(np.argsort(-score, kind="stable")[:20].tolist()))
+        assert sorted(k for k, _ in found) == list(range(1, 21)) and len({i for _, i in found}) == 20
+    assert hit / (20 * len(got)) >= 0.95
