@@ -19,6 +19,7 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ END_ID = 1
 CACHED_WORDS = 400_000
 CACHED_LENGTH = 40
 BATCH_BYTES = 16 << 20
-ENCODED_BYTES = 8 << 20  # of texts encoded at once
+ENCODED_BYTES = 16 << 20  # of texts encoded at once
 
 # A space is an edge of the tokenizer's word pattern when neither neighbour is
 # white space; a text without a space beside other white space is split plainly.
@@ -62,7 +63,7 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.dtype = dtype
+        self.dtype, self.code = dtype, {"<u2": "H", "<u4": "I"}[dtype]  # tasks run on little-endian machines
         self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -72,11 +73,11 @@ class WordEncoder(dict):
         self.letters = byte_letters()
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def letters_only(self, word: str) -> bytes:
         written = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(self.letters[32] + written)], self.dtype).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(self.letters[32] + written)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         out = self.older.get(word)
@@ -132,8 +133,10 @@ class WordEncoder(dict):
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(self.dtype).itemsize
         n = sizes[codes]
         upto = np.concatenate([[0], np.cumsum(n)])
-        begin = (np.cumsum(sizes) - sizes)[codes]
-        ids = np.frombuffer(b"".join(parts), self.dtype)[np.repeat(begin - upto[:-1], n) + np.arange(upto[-1])]
+        kind = np.int32 if upto[-1] < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(sizes) - sizes)[codes] - upto[:-1]).astype(kind), n)
+        place += np.arange(upto[-1], dtype=kind)
+        ids = np.frombuffer(b"".join(parts), self.dtype)[place]
         return ids, upto[edges + np.arange(len(edges))]
 
     def text(self, text: str) -> bytes:
