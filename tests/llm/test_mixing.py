@@ -129,3 +129,31 @@ def test_mixed_documents_are_in_schedule_order(spark, tmp_path):
 def test_plan_is_native(spark):
     plan = mixing.mix(docs_frame(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan.split("Physical Plan")[1])
+
+
+def test_texts_of_the_mix_move_once(spark):
+    plan = mixing.mixed_documents(docs_frame(spark, many_docs(200)))._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("Initial Plan")[0].splitlines() if "Exchange" in line and "Broadcast" not in line
+             and "RoundRobin" not in line]  # the fixture's own
+    assert len(moved) == 1 and "passthrough" in moved[0]
+    assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+def test_mixed_documents_with_a_hot_repeated_row(spark):
+    rows = many_docs(100) + [(7_000, " ".join(["h"] * 40), "en", "hot", 0)] * 60
+    docs = docs_frame(spark, rows)
+    expected = defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        for n in (0, 1):
+            part = [p["hi"] - p["lo"] for p in r["pieces"] if p["round"] == n]
+            expected[r["doc_id"]] += bool(part) and 2 * sum(part) >= r["size"]
+    got = defaultdict(int)
+    for r in mixing.mixed_documents(docs).collect():
+        got[r["doc_id"]] += 1
+    assert got == {k: n for k, n in expected.items() if n} and got[7_000] > 60
+
+
+def test_schedule_of_many_sources(spark):
+    targets = spark.range(3000).select(F.col("id").alias("source_no"), F.lit(10.0).alias("target"))
+    got = mixing.schedule(targets, 1).groupBy("source_no").agg(F.count("*").alias("n"), F.max("rank").alias("m"))
+    assert got.where("n = 10 and m = 9").count() == 3000
