@@ -2,11 +2,16 @@
 
 A page is cut into blocks at its block elements.  Parts that cannot be text
 (scripts, styles, forms) and parts that say what they are (navigation, headers,
-footers, side bars, adverts, notices, comments: by element, role, whole class
-or id) are left out; a class or id does not count where the element holds an
-article or most of the page's text.  First pass: link density, length and stop-word density make each
-block good, bad or undecided (short, or with few stop words).  Second pass:
-undecided blocks take the label of their nearest decided neighbours; between a
+footers, side bars, adverts, notices, comments: by element, role, class or id)
+are left out.  A class or id says so when every part of it (between hyphens,
+underscores and changes of case) is a name of such a part or a word for a box,
+as in ``comment-list``; ``has-sidebar`` or ``search-results`` do not.  It does
+not count where the element holds the page's first article, unless it names
+readers' comments, whose articles are none of the page's; and where nothing is
+left of a page with an article, only names of readers' comments count.
+
+First pass: link density, length and stop-word density make each block good,
+bad or undecided (short, or with few stop words).  Second pass: undecided blocks take the label of their nearest decided neighbours; between a
 good and a bad one the nearer counts (ties: good inside the article element,
 bad outside).  Where a page has an article or main element, blocks outside are
 bad.
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,12 +50,18 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 LEFT_OUT = frozenset("nav aside footer form button select textarea noscript template svg iframe object canvas audio video "
                      "dialog menu label input head title".split())
 CONTAINERS = (BLOCKS | LEFT_OUT | {"span", "a", "header"}) - {"p", "hr", "li", "input"}
+NEVER_AROUND = frozenset("nav header footer aside head".split())  # an article inside means that they were not closed
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SAYS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies "
                  "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup sidebar side "
                  "aside widget widgets related recommended recommendations share sharing social breadcrumb breadcrumbs menu "
                  "nav navbar navigation toolbar pagination pager footer header masthead topbar comment comments commentlist "
                  "respond reply replies disqus login search copyright legal disclaimer hidden".split())
+BOXES = frozenset("area bar block body bottom box btn button buttons card cards center col column container content feed form "
+                  "full group holder icon icons inline inner item items layer left line link links list main module outer page "
+                  "panel post posts primary reader readers right row rows secondary section site slot small stories thread title "
+                  "top unit user users wrap wrapper zone".split())
+READERS = frozenset("comment comments commentlist respond reply replies disqus".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
 _MARKUP = re.compile(
@@ -59,7 +71,8 @@ _MARKUP = re.compile(
     r"|</?[a-zA-Z!?/][^>]*(?:>|\Z)", re.S | re.I)
 _NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_FIRST = re.compile(r"[a-z]+(?=[-_])")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -72,16 +85,15 @@ class Block:
     label: str = ""
 
 
-def named(attrs: str, inside: bool) -> bool:
-    """Whether a whole class or id is a name of ``SAYS``, or outside the article
-    the first part of one."""
+def named(attrs: str) -> frozenset[str]:
+    """The names of ``SAYS`` in a class or id that has only these and ``BOXES``."""
     for m in _NAMED.finditer(attrs):
         if m[1].lower() in ("class", "id"):
-            for name in m[2].strip("\"'").lower().split():
-                first = None if inside else _FIRST.match(name)
-                if name in SAYS or first and first[0] in SAYS:
-                    return True
-    return False
+            for name in m[2].strip("\"'").split():
+                parts = frozenset((name.lower(),)) & SAYS or frozenset(map(str.lower, _PARTS.findall(name)))
+                if parts <= SAYS | BOXES and parts & SAYS:
+                    return parts & SAYS
+    return frozenset()
 
 
 def says_so(attrs: str) -> bool:
@@ -97,19 +109,19 @@ def says_so(attrs: str) -> bool:
     return False
 
 
-def blocks(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[Block], bool]:
-    """Blocks of a page that are not left out, and whether it has an article.
-    An element left out for its name alone is kept when it holds an article, or
-    most of the page's text: then the page is read again with the places of all
-    such elements in ``kept``."""
+def blocks(page: str, names_of: frozenset[str] = SAYS) -> tuple[list[Block], bool]:
+    """Blocks of a page that are not left out, and whether it has an article;
+    linear in the page, however its elements nest.  Of the names only those of
+    ``names_of`` count."""
     out: list[Block] = []
-    # open containers, whether they are left out, for their name alone, their place, text before
-    stack: list[tuple[str, bool, bool, int, int]] = []
-    sizes: dict[int, int] = {}  # text of named elements by place
-    total = 0
+    stack: list[tuple[str, bool, bool]] = []  # open containers, whether left out, whether an article of the page
+    opened: Counter = Counter()               # their tags
+    by_name: list[int] = []                   # places in the stack of those left out for a name that an article overrules
+    comments: list[int] = []                  # places of readers' comments
+    stuck = 0                                 # open elements left out as navigation and the like
     text: list[str] = []
     links = linked = breaks = skipped = articles = 0
-    heading = article_seen = False
+    heading = article_seen = first_seen = False
 
     def end() -> None:
         nonlocal linked, heading, breaks
@@ -120,19 +132,21 @@ def blocks(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[Block],
         linked, heading, breaks = 0, False, 0
 
     def pop() -> None:
-        nonlocal skipped, articles, links
-        tag, left_out, by_name, place, before = stack.pop()
-        if by_name:
-            sizes[place] = total - before
+        nonlocal skipped, articles, links, stuck
+        tag, left_out, article = stack.pop()
+        opened[tag] -= 1
+        for places in (by_name, comments):
+            if places and places[-1] == len(stack):
+                places.pop()
+        stuck -= left_out and tag in NEVER_AROUND
         skipped -= left_out
-        articles -= tag in ("article", "main")
+        articles -= article
         links -= tag == "a"
 
     at = 0
     for m in _MARKUP.finditer(page):
         part = page[at:m.start()]
         at = m.end()
-        total += len(part.strip())
         if part and not skipped:
             if not part.isspace():
                 breaks = 0
@@ -158,7 +172,7 @@ def blocks(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[Block],
         if m["close"]:
             if tag[0] == "h" and tag[1:].isdigit():
                 continue
-            if any(x[0] == tag for x in stack):
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -167,34 +181,36 @@ def blocks(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[Block],
             heading = True
             continue
         attrs = m["attrs"] or ""
+        names = named(attrs) & names_of if attrs and tag not in ("html", "body") else frozenset()
         said = bool(attrs) and tag not in ("html", "body") and says_so(attrs)
-        by_name = (bool(attrs) and tag not in ("html", "body") and m.start() not in kept and named(attrs, articles > 0))
-        if tag in ("article", "main") and not (said or by_name):
-            while any(x[1] and x[0] in ("nav", "header", "footer", "aside", "head") for x in stack):
+        article = tag in ("article", "main") and not comments
+        if article and not (said or names):
+            while stuck:
                 pop()  # never closed
-            for i, x in enumerate(stack):
-                if x[1] and x[2]:
-                    stack[i] = x[0], False, *x[2:]
-                    skipped -= 1
+            for i in by_name:
+                stack[i] = stack[i][0], False, stack[i][2]
+                skipped -= 1
+            by_name.clear()
             article_seen = True
+            first_seen |= tag == "article"
         if not attrs.rstrip().endswith("/"):
             by_tag = tag in LEFT_OUT or tag == "header" and not articles
-            left_out, by_name = by_tag or said or by_name, by_name and not (by_tag or said)
+            left_out = by_tag or said or bool(names)
             if left_out and not skipped:
                 end()
-            stack.append((tag, left_out, by_name, m.start(), total))
+            if names & READERS:
+                comments.append(len(stack))
+            elif names and not (by_tag or said or first_seen):
+                by_name.append(len(stack))
+            stack.append((tag, left_out, article))
+            opened[tag] += 1
+            stuck += left_out and tag in NEVER_AROUND
             skipped += left_out
-            articles += tag in ("article", "main")
+            articles += article
             links += tag == "a"
     if not skipped and at < len(page):
         text.append(page[at:])
-    total += len(page[at:].strip())
     end()
-    while stack:
-        pop()
-    most = frozenset(place for place, size in sizes.items() if 2 * size > total)
-    if most and not kept:
-        return blocks(page, most)
     return out, article_seen
 
 
@@ -214,6 +230,8 @@ def _first_pass(b: Block, article: bool) -> str:
 def main_text(page: str | None) -> str:
     """The good blocks of a page, in order, joined by line ends."""
     found, article = blocks(page or "")
+    if not found and _ARTICLE.search(page or ""):
+        found, article = blocks(page or "", READERS)
     for b in found:
         b.label = _first_pass(b, article)
     # the nearest decided block on either side, inside or outside the article as the block is

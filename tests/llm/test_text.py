@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -372,3 +373,28 @@ def test_page_rows(spark):
     rows = html_text.extract(pages).collect()
     assert sorted((str(r["page_id"]), r["n_chars"]) for r in rows) == [("1", len(LONG_A)), ("1", len(LONG_A)), ("2", 0), ("None", 3000 * len(LONG_A))]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["comment-list", "comments-area", "user-comments", "ad-container", "related-posts", "share-buttons",
+                                  "newsletter-signup", "commentList", "cookie_notice", "ads"])
+def test_named_parts_of_an_article(name):
+    page = f"<article><p>{LONG_A}</p><div class='{name}'><p>{LONG_A * 20} inner</p><article><p>{LONG_A} more</p></article></div></article>"
+    assert html_text.main_text(page) == LONG_A
+    page = f"<article><p>{LONG_A}</p></article><section class='x {name}'><article><p>{LONG_A * 20} inner</p></article></section>"
+    assert html_text.main_text(page) == LONG_A
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "category-legal", "search-results", "with-menu", "sidebar", "threads"])
+def test_names_around_an_article(name):
+    assert html_text.main_text(f"<div class='{name}'><article><p>{LONG_A}</p></article></div>") == LONG_A
+
+
+def test_nesting_is_linear():
+    times = []
+    for n in (4000, 16000):
+        pages = ["<div>" * n + "</span>" * n, "<article>" * n + "</nav>" * n, "<div class=ad><article>" * n, "<nav><article>" * n]
+        start = time.perf_counter()
+        for page in pages:
+            html_text.main_text(page + f"<p>{LONG_A}</p>")
+        times.append(time.perf_counter() - start)
+    assert times[1] < 8 * times[0] + 0.5
