@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import new_scratch
@@ -32,6 +32,26 @@ def bounded_broadcast(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def first_by_hash(df: DataFrame, n: int, by: tuple = (), ties: tuple = ()) -> DataFrame:
+    """The first ``n`` rows (of each group ``by``) in the order of doc_id's hash,
+    doc_id and ``ties``.  Rows are counted by ranges of the hash first
+    (combined in every task); only rows up to the range in which the n-th one
+    lies are ranked, so neither a group nor a task brings more than these."""
+    hashed = df.withColumn("_hash", F.xxhash64("doc_id")).withColumn("_range", F.shiftright("_hash", 48))
+    counts = hashed.groupBy(*by, "_range").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).where(F.col("_before") < n)
+    last = counts.groupBy(*by).agg(F.max("_range").alias("_last"))
+    order = ["_hash", "doc_id", *ties]
+    if not by:
+        upto = last.first()[0]
+        near = hashed.where(F.col("_range") <= F.lit(upto)) if upto is not None else hashed.where(F.lit(False))
+        return near.orderBy(*order).limit(n).select(*df.columns)
+    near = hashed.join(bounded_broadcast(last, MAX_ONE_ROW_PER_PARTITION), list(by)).where("_range <= _last")
+    near = near.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return near.where(F.col("_rank") <= n).select(*df.columns)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor`` (the held-out rule)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

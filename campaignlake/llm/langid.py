@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, mix64
+from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, first_by_hash, mix64
 
 DOCS_PER_LANGUAGE = 400
 FEATURES = 1 << 16
@@ -138,9 +138,8 @@ def _lexicon(counts: dict[str, Counter]) -> dict[str, tuple[int, ...]]:
 def training_rows(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_LANGUAGE) -> list:
     """(text, lang) of at most ``per_language`` rows of each language among
     those ``usable``, chosen by a hash of the id."""
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (docs.where(usable & F.col("lang").isNotNull()).select("doc_id", "lang")
-           .withColumn("n", F.row_number().over(by)).where(F.col("n") <= per_language).select("doc_id").distinct())
+    known = docs.where(usable & F.col("lang").isNotNull()).select("doc_id", "lang")
+    ids = first_by_hash(known, per_language, ("lang",)).select("doc_id").distinct()
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     found = rows.join(bounded_broadcast(ids, MAX_ONE_ROW_PER_PARTITION), "doc_id").dropDuplicates(["doc_id"])
     return sorted((r["doc_id"], r["text"], r["lang"]) for r in found.collect())

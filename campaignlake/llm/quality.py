@@ -11,7 +11,8 @@ The model is fitted on a bounded sample of labelled rows (``SAMPLE``, by a hash
 of the id); features are computed from whole texts.  Defined cases: null text
 is empty; empty texts have features like any other; without a labelled row of
 both kinds every score is the share of label 1 (0.5 without any); repeated rows
-score alike; an empty table gives an empty result; other columns are not read.
+score alike; labels of one id that disagree are learnt from one by one; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import first_by_hash, written
 
 SAMPLE = 30_000   # labelled rows
 BINS = 32
@@ -210,8 +211,7 @@ def classify(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "q
     ``labels`` for which ``usable`` holds."""
     table = feature_table(docs)
     known = labels.where(usable & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y"))
-    rows = (table.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(SAMPLE)
-            .select("features", "y").toPandas())
+    rows = first_by_hash(table.join(known, "doc_id"), SAMPLE, ties=("y",)).select("features", "y").toPandas()
     x = np.stack(rows["features"]) if len(rows) else np.zeros((0, len(NAMES)))
     model = fit(x, rows["y"].to_numpy(np.float64))
 

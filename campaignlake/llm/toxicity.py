@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast
+from .common import bounded_broadcast, first_by_hash
 
 SAMPLE = 6000          # labelled documents
 WINDOW = 8             # words on each side
@@ -245,8 +245,8 @@ def fit(texts: list[str], y: np.ndarray) -> Model:
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, label: str) -> tuple[list[str], np.ndarray]:
     """Texts and labels of at most ``SAMPLE`` labelled documents."""
-    ids = (labels.where(usable & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
+    known = labels.where(usable & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    ids = first_by_hash(known, SAMPLE)
     found = docs.select("doc_id", "text").join(bounded_broadcast(ids, SAMPLE), "doc_id").dropDuplicates(["doc_id"])
     rows = sorted((r["doc_id"], r["text"] or "", r["y"]) for r in found.collect())
     return [r[1] for r in rows], np.array([r[2] for r in rows], np.float64)
