@@ -9,7 +9,6 @@ so category codes fitted at training are the codes used at scoring.
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -82,33 +81,39 @@ def encode_features(features: DataFrame) -> DataFrame:
 
 
 # B34 -----------------------------------------------------------------------
-def split_threshold(fraction: float) -> str:
-    """Hex text t such that 'first 8 hex digits of the hash < t' holds for
-    a ``fraction`` share of uniformly spread hashes."""
-    return f"{min(16 ** 8 - 1, math.ceil(fraction * 16 ** 8)):08x}"
-
-
-def in_train(user_col: str = "user_id", fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED):
-    """Stable pseudo-random train flag per user: SHA-256 of 'user:seed',
-    first 8 hex digits compared as text (the same in any SQL engine)."""
-    h = F.substring(F.sha2(F.concat_ws(":", F.col(user_col).cast("string"), F.lit(str(seed))), 256), 1, 8)
-    return h < F.lit(split_threshold(fraction))
+def split_assignment(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED,
+                     user_col: str = "user_id", label: str = LABEL) -> DataFrame:
+    """The split as a column: ``split`` = 'train' or 'test'.  Of the n rows of
+    each label, the round(fraction * n) first ones in the order of SHA-256 of
+    'user:seed' (then user and snapshot) are 'train'.
+
+    Rows are counted by label and range of the hash first; the running count
+    names the range in which the cut lies, and only its rows are ranked.  A
+    label with a third of all rows or more is never gathered in one task."""
+    data = stage(df.withColumn("_hash", F.sha2(F.concat_ws(":", F.col(user_col).cast("string"), F.lit(str(seed))), 256))
+                 .withColumn("_range", F.substring("_hash", 1, 4)).withColumn("_label", F.struct(label)), name="split")
+    every = Window.partitionBy("_label")
+    ahead = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (data.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("n"))
+            .select("_label", "_range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"),
+                    F.round(F.sum("n").over(every) * F.lit(fraction)).cast("long").alias("wanted"))
+            .where(F.col("before") < F.col("wanted")).groupBy("_label")
+            .agg(F.max(F.struct("_range", F.col("wanted") - F.col("before"))).alias("_cut"))
+            .select("_label", F.col("_cut._range").alias("_last"), F.col("_cut.col2").alias("_rest")))
+    placed = data.join(cuts, "_label", "left")
+    at_cut = F.coalesce(F.col("_range") == F.col("_last"), F.lit(False))
+    order = ["_hash", user_col, *[c for c in ("snapshot_date",) if c in df.columns]]
+    ranked = placed.where(at_cut).withColumn("_n", F.row_number().over(every.orderBy(*order)))
+    name = lambda train: F.when(train, F.lit("train")).otherwise(F.lit("test")).alias("split")
+    return (placed.where(~at_cut).select(*df.columns, name(F.col("_range") < F.col("_last")))
+            .union(ranked.select(*df.columns, name(F.col("_n") <= F.col("_rest")))))
 
 
 def stratified_split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED,
-                     user_col: str = "user_id") -> tuple[DataFrame, DataFrame]:
-    """Train/test by a hash of the user: deterministic, no shuffle, and the
-    train share is ``fraction`` within each label in expectation (the hash is
-    independent of the label).  A per-label rank window would put each label
-    in one task."""
-    flag = in_train(user_col, fraction, seed)
-    return df.filter(flag), df.filter(~flag)
-
-
-def split_assignment(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
-    """The split as a column: ``split`` = 'train' or 'test'."""
-    return df.withColumn("split", F.when(in_train("user_id", fraction, seed), F.lit("train"))
-                         .otherwise(F.lit("test")))
+                     user_col: str = "user_id", label: str = LABEL) -> tuple[DataFrame, DataFrame]:
+    """Train and test parts of ``split_assignment``, staged once."""
+    parts = stage(split_assignment(df, fraction, seed, user_col, label), name="parts")
+    return tuple(parts.where(F.col("split") == part).drop("split") for part in ("train", "test"))
 
 
 # B35 -----------------------------------------------------------------------
@@ -149,18 +154,30 @@ def train_click_model(features: DataFrame, **overrides) -> tuple[PipelineModel,
 # B36 -----------------------------------------------------------------------
 def evaluate_auc(model: PipelineModel, test: DataFrame) -> float:
     """ROC-AUC on the held-out part (target > 0.8)."""
+    return auc(model.transform(test))
+
+
+def auc(predictions: DataFrame) -> float:
+    """ROC-AUC of scored rows, with a point of the curve for every distinct score."""
     ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
-    return float(ev.evaluate(model.transform(test)))
+                                       metricName="areaUnderROC", numBins=0)
+    return float(ev.evaluate(predictions))
 
 
 def rank_sum_auc(predictions: DataFrame) -> float:
     """ROC-AUC as the rank-sum statistic of the predicted probabilities, ties
-    counting half (the window runs over one row per distinct probability)."""
+    counting half: distinct probabilities in ranges, running sums of the
+    ranges' totals, then inside each range."""
     by = (predictions.groupBy(vector_to_array("probability")[1].alias("p"))
           .agg(F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg")))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    r = by.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2)).agg(F.sum("wins"), F.sum("pos"), F.sum("neg")).first()
+    by = stage(by.repartitionByRange("p").withColumn("part", F.spark_partition_id()), name="ranges")
+    def ahead(window):
+        return F.coalesce(F.sum("neg").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+
+    parts = by.groupBy("part").agg(F.sum("neg").alias("neg")).select("part", ahead(Window.orderBy("part")).alias("before"))
+    below = F.col("before") + ahead(Window.partitionBy("part").orderBy("p"))
+    r = (by.join(parts, "part").withColumn("wins", F.col("pos") * (below + F.col("neg") / 2))
+         .agg(F.sum("wins"), F.sum("pos"), F.sum("neg")).first())
     return float(r[0] / (r[1] * r[2])) if r[1] and r[2] else float("nan")
 
 

@@ -97,10 +97,13 @@ def q_recommend_bid(spark, sf):
                                          "segment"))
 
 
-@register("stratified_split", f"WITH {_FEATURE_CTES} SELECT user_id, snapshot_date, "
+@register("stratified_split", f"WITH {_FEATURE_CTES}, y AS (SELECT user_id, snapshot_date, "
           "CAST(COALESCE(clicks_7d, 0) > 0 AS DOUBLE) AS target_click, "
-          "CASE WHEN substr(sha256(CAST(user_id AS VARCHAR) || ':' || '" + str(model.SPLIT_SEED) + "'), 1, 8) < '"
-          + model.split_threshold(model.TRAIN_FRACTION) + "' THEN 'train' ELSE 'test' END AS split FROM f")
+          f"sha256(CAST(user_id AS VARCHAR) || ':' || '{model.SPLIT_SEED}') AS h FROM f) "
+          "SELECT user_id, snapshot_date, target_click, "
+          "CASE WHEN row_number() OVER (PARTITION BY target_click ORDER BY h, user_id) <= "
+          f"round({model.TRAIN_FRACTION} * COUNT(*) OVER (PARTITION BY target_click)) "
+          "THEN 'train' ELSE 'test' END AS split FROM y")
 def q_stratified_split(spark, sf):
     labelled = model.click_label(feature_table(spark, sf))
     return model.split_assignment(labelled).select("user_id", "snapshot_date", model.LABEL, "split")

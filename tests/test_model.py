@@ -68,3 +68,34 @@ def test_score_users_trains_the_full_model(spark, monkeypatch):
     with pytest.raises(Asked) as asked:
         queries_ml.q_score_users(spark, "")
     assert asked.value.args == ({},) and queries_ml.model.GBT_PARAMS["maxIter"] == 200
+
+
+def test_split_is_exact_for_every_label(spark):
+    rows = spark.range(30_000).select(
+        F.col("id").alias("user_id"), F.when(F.col("id") % 11 == 0, 1.0).when(F.col("id") < 3, None).otherwise(0.0).alias(model.LABEL))
+    train, test = model.stratified_split(rows)
+    got = {r[0]: r[1] for r in train.groupBy(model.LABEL).count().collect()}
+    every = {r[0]: r[1] for r in rows.groupBy(model.LABEL).count().collect()}
+    assert got == {k: round(0.8 * n) for k, n in every.items()} and train.columns == rows.columns
+    assert train.count() + test.count() == 30_000 and not train.join(test, "user_id", "left_semi").count()
+    again, _ = model.stratified_split(rows.repartition(7))
+    assert not again.select("user_id").exceptAll(train.select("user_id")).count()
+    assert model.split_assignment(rows.limit(0)).count() == 0
+
+
+def test_auc_of_many_distinct_scores(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(100_000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(40_000)) / 40_000.0).alias("p"), F.rand(5).alias("u"))
+    rows = rows.select((1 - F.col("p")).alias("q"), "p", (F.col("u") < F.col("p")).cast("double").alias(model.LABEL))
+    for name in ("probability", "rawPrediction"):
+        rows = VectorAssembler(inputCols=["q", "p"], outputCol=name).transform(rows)
+    rows = rows.cache()
+    pdf = rows.select("p", model.LABEL).toPandas()
+    ranks, y = pdf["p"].rank().to_numpy(), pdf[model.LABEL].to_numpy()
+    n = y.sum()
+    expected = (ranks[y == 1].sum() - n * (n + 1) / 2) / (n * (len(y) - n))
+    assert rows.select("p").distinct().count() > 30_000
+    assert abs(model.rank_sum_auc(rows) - expected) < 1e-9 and abs(model.auc(rows) - expected) < 1e-9
+    rows.unpersist()
