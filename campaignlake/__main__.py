@@ -81,6 +81,8 @@ def main(argv: list[str] | None = None) -> None:
         if name != "ship-lines":
             p.add_argument("--format", default="text", choices=["text", "kafka"])
             p.add_argument("--bootstrap", default=None)
+        else:
+            p.add_argument("--growing", action="store_true", help="also ship lines that files get later; rotated files go on")
         p.add_argument("--continuous", action="store_true", help="keep running instead of once")
 
     args = ap.parse_args(argv)
@@ -123,7 +125,7 @@ def main(argv: list[str] | None = None) -> None:
             q = events.stream_dedup_within_window(spark, args.source, args.table, args.checkpoint,
                                                   available_now=once, fmt=args.format, options=opts)
         else:
-            q = events.ship_lines(spark, args.source, args.table, args.checkpoint, available_now=once)
+            q = events.ship_lines(spark, args.source, args.table, args.checkpoint, available_now=once, growing=args.growing)
         if args.continuous:
             q.awaitTermination()
     elif args.job == "stream-changes":

@@ -13,7 +13,7 @@ from campaignlake.plans.queries_core import ods_banners
 from campaignlake.plans.queries_ingest import _decoded_sql
 from campaignlake.plans.queries_ml import _FEATURE_CTES, _BID_SQL, q_recommend_bid
 from campaignlake.plans.registry import PROCESSING_DATE, SNAPSHOT_DATE, register
-from campaignlake.session import new_scratch
+from campaignlake.session import list_files, new_scratch, rename_path
 from campaignlake.sources import deliveries as V
 from campaignlake.sources import domain as D
 from campaignlake.streaming import changes, events
@@ -141,9 +141,12 @@ _LINE = ("concat_ws(';', COALESCE(CAST(user_id AS VARCHAR), ''), "
          "COALESCE(strftime(install_timestamp, '%Y-%m-%d %H:%M:%S.%f'), ''), COALESCE(source, ''))")
 
 
-@register("ship_lines", f"WITH i AS ({D.SQL_RAW_INSTALLS}), l AS (SELECT {_LINE} AS line FROM i) "
-          "SELECT 'filebeat-logs' AS topic, '{\"message\":\"' || line || '\",\"fields\":{\"log_type\":\"csv\"}}' "
-          "AS value, line AS message FROM l")
+_SHIPPED_SQL = (f"WITH i AS ({D.SQL_RAW_INSTALLS}), l AS (SELECT {_LINE} AS line FROM i) "
+                "SELECT 'filebeat-logs' AS topic, '{\"message\":\"' || line || '\",\"fields\":{\"log_type\":\"csv\"}}' "
+                "AS value, line AS message FROM l")
+
+
+@register("ship_lines", _SHIPPED_SQL)
 def q_ship_lines(spark, sf):
     src = V.write_lines(V.installs_lines(D.raw_installs(spark, sf)), V.INSTALLS_HEADER,
                         new_scratch(spark, "delivery-installs"))
@@ -152,6 +155,22 @@ def q_ship_lines(spark, sf):
     return spark.read.parquet(table).select("topic", "value", "message")
 
 
+@register("ship_lines_growing", _SHIPPED_SQL)
+def q_ship_lines_growing(spark, sf):
+    """Files that grow between runs of the stream, with a last line that is not
+    complete yet, and are then rotated: every line is shipped once."""
+    lines = V.installs_lines(D.raw_installs(spark, sf))
+    feed, table, ckpt = (new_scratch(spark, n) for n in ("growing-installs", "log-messages", "checkpoint-lines"))
+    for turn, cut in enumerate((9, 0, 0)):
+        part = lines.where(F.pmod(F.xxhash64("value", F.lit(1)), F.lit(3)) == turn)
+        if turn == 2:
+            for name in list_files(spark, feed, ".csv"):
+                rename_path(spark, f"{feed}/{name}", f"{feed}/{name}.1")
+        V.grow_files(part, V.INSTALLS_HEADER, feed, cut=cut)
+        events.ship_lines(spark, feed, table, ckpt, skip_line=";".join(V.INSTALLS_HEADER), growing=True)
+    return spark.read.parquet(table).select("topic", "value", "message")
+
+
 # --- lifecycle ------------------------------------------------------------------
 
 _SPLIT_OLD = "2024-01-16 12:00:00"

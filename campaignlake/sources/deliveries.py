@@ -71,6 +71,36 @@ def write_lines(lines: DataFrame, header: tuple[str, ...], path: str, sep: str =
     return path
 
 
+def grow_files(lines: DataFrame, header: tuple[str, ...], folder: str, files: int = 4, cut: int = 0, sep: str = ";") -> None:
+    """Append a ``value`` column of lines to the files log-<n>.csv of ``folder``
+    as a program does that is still writing: the last ``cut`` bytes of what a
+    file got are held back (in a hidden file) until it grows again.  New files
+    start with the header."""
+    from pyarrow import fs
+
+    first = (sep.join(header) + "\n").encode()
+
+    def append(batches):
+        store, root = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
+        store.create_dir(root)
+        for batch in batches:
+            for n, part in batch.groupby("file"):
+                path, tail = f"{root}/log-{n}.csv", f"{root}/.tail-{n}"
+                old = b"" if store.get_file_info(path).type != fs.FileType.NotFound else first
+                if store.get_file_info(tail).type != fs.FileType.NotFound:
+                    with store.open_input_file(tail) as f:
+                        old = f.read()
+                data = old + "".join(f"{v}\n" for v in part["value"]).encode()
+                with store.open_append_stream(path) as f:
+                    f.write(data[:len(data) - cut])
+                with store.open_output_stream(tail) as f:
+                    f.write(data[len(data) - cut:])
+                yield part[["file"]].head(1)
+
+    placed = lines.select("value", F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("file"))
+    placed.repartition(files, "file").sortWithinPartitions("file").mapInPandas(append, "file int").count()
+
+
 # --- delimited files ----------------------------------------------------------
 
 def banner_lines(raw_banners: DataFrame, malformed: bool = False) -> DataFrame:

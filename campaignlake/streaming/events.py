@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from campaignlake import schemas
 from campaignlake.functions import columns as C
 from campaignlake.session import delete_path, new_scratch
+from campaignlake.sources.growing import growing_lines
 from campaignlake.sources.messages import decode_events
 from campaignlake.streaming.sink import append_batch, append_stream, run_batches
 
@@ -126,12 +127,18 @@ def stream_dedup_within_window(spark: SparkSession, source: str, table_path: str
 
 # B48 -----------------------------------------------------------------------
 def ship_lines(spark: SparkSession, source: str, table_path: str, checkpoint: str | None = None,
-               skip_line: str | None = None, available_now: bool = True, host: str | None = None):
+               skip_line: str | None = None, available_now: bool = True, host: str | None = None,
+               growing: bool = False):
     """Tail the lines of delimited files into log messages: ``topic``,
     ``value`` = JSON {message, fields: {log_type}} (+ host name when given),
-    ``source_file``.  ``skip_line`` drops an exact line (e.g. the header)."""
-    lines = spark.readStream.format("text").load(source) \
-        .select("value", F.col("_metadata.file_path").alias("source_file"))
+    ``source_file``.  ``skip_line`` drops an exact line (e.g. the header).
+    With ``growing`` lines that are added to a file later are shipped too, and
+    rotated files go on (``sources.growing``); else a file is read once."""
+    if growing:
+        lines = growing_lines(spark, source).select("value", "source_file")
+    else:
+        lines = spark.readStream.format("text").load(source) \
+            .select("value", F.col("_metadata.file_path").alias("source_file"))
     if skip_line is not None:
         lines = lines.filter(F.col("value") != F.lit(skip_line))
     parts = [F.col("value").alias("message"), F.struct(F.lit(LOG_TYPE).alias("log_type")).alias("fields")]
