@@ -42,7 +42,7 @@ LENGTH = 32
 STEPS = 400
 LEXICON = 2000          # words of a language
 CACHED_WORDS = 150_000
-BATCH_WORDS = 300_000
+BATCH_WORDS = 150_000
 UNKNOWN = "und"
 
 

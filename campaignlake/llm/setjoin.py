@@ -43,7 +43,7 @@ LEAST_BITS, MOST_BITS = 16, 26  # of the sketch: 64 KB to 64 MB
 CHUNK_BITS = 16         # of the sketch, in one row
 WORD_BYTES = 6          # for the size of the sketch
 MOST_SMALL = 24         # largest boundary that is considered
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 LONG_LIST = 50_000      # entries of a list that one task may hold
 ID_BITS = 27            # of the filter of ids: 16 MB
 ID_CHUNK = 1 << 17      # bytes
