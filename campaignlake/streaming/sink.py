@@ -13,15 +13,30 @@ of its stream.)
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from campaignlake.session import delete_path, list_files, path_exists, rename_path, write_note
 
 DEFAULT_INTERVAL = "60 seconds"
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """A stateful stream runs its batches without adaptive execution, where the
+    ``rebalance`` hint does nothing: every state partition would write a file
+    into every day.  The write of a batch is a plan of its own (the state's
+    partitions stay as they are), so it may be adaptive."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def append_batch(df: DataFrame, table_path: str, checkpoint: str, batch_id: int, partition_by: str | None = None) -> None:
     """Add ``df`` to the table exactly once for this stream and batch."""
     spark = df.sparkSession
@@ -36,8 +51,9 @@ def append_batch(df: DataFrame, table_path: str, checkpoint: str, batch_id: int,
             if f.rsplit("/", 1)[-1].startswith(prefix):
                 delete_path(spark, f"{table_path}/{f}")
     write_note(spark, f"{notes}/begun-{batch_id}", [table_path])
-    writer = (df.hint("rebalance", partition_by) if partition_by else df).write
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(staged)
+    with _adaptive(spark):  # the hint is resolved at once
+        writer = (df.hint("rebalance", partition_by) if partition_by else df).write
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(staged)
     for i, f in enumerate(list_files(spark, staged)):
         folder = f.rpartition("/")[0]
         rename_path(spark, f"{staged}/{f}", "/".join(x for x in (table_path, folder, f"{prefix}{i:05d}.parquet") if x))

@@ -133,6 +133,17 @@ def test_streams_equal_batch_when_replayed_in_time_order(spark, tmp_path):
     assert got == want and len(got) == 6
 
 
+def test_stream_writes_few_files_a_day(spark, tmp_path):
+    src, days = str(tmp_path / "msgs"), [f"2025-02-{d:02d}" for d in range(1, 6)]
+    _message_files(spark, src, [[_msg(f"e{d}{u}", 1, u, f"{d}T10:00:00") for d in days for u in range(40)]])
+    table = new_scratch(spark, "t-files")
+    events.stream_banner_events(spark, src, table)
+    files = glob.glob(f"{table.removeprefix('file:')}/event_date=*/*.parquet")
+    assert len(files) == len(days)  # not one for every partition of the state and day
+    got = {(str(r.event_date), r.user_id) for r in spark.read.parquet(table).collect()}
+    assert got == {(d, u) for d in days for u in range(40)}
+
+
 def test_unwrap_changes_rules(spark):
     env = ('{"before":null,"after":{"user_id":1,"session_start":"2025-02-01 10:00:00","actions":"x"},'
            '"op":"%s","ts_ms":1}')
