@@ -12,6 +12,16 @@ from ..session import new_scratch
 
 MAX_ONE_ROW_PER_PARTITION = 1_000_000  # rows of a table that holds one row per input partition
 
+TEXTS_PER_BATCH, BYTES_PER_BATCH = 2000, "4m"  # of rows that go to Python at once
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python a few MB at a time (by default 10,000 rows): a task
+    holds a batch several times over, on both sides.  Set for the session, as a
+    frame is planned when its caller runs it; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -49,6 +49,7 @@ ID_BITS = 27            # of the filter of ids: 16 MB
 ID_CHUNK = 1 << 17      # bytes
 ID_PARTS = 8
 CACHED_WORDS = 150_000
+HELD_SHINGLES = 500_000  # that a task gathers before it adds them to its sketch
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = (np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03))
 
@@ -184,7 +185,7 @@ def _first_pass(docs: DataFrame, n: int, bits: int) -> DataFrame:
                 rows.append((len(s), *signature(s)))
                 held.append((s >> shift).astype(np.uint32))
                 n_held += len(s)
-                if n_held > 2_000_000:
+                if n_held > HELD_SHINGLES:
                     add()
                     n_held = 0
             a = np.array(rows, np.int64).reshape(-1, 3)

@@ -1,5 +1,8 @@
 from collections import Counter
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from campaignlake.llm import langid, pii
 from campaignlake.llm.common import remainder, written
@@ -50,3 +53,28 @@ def test_empty_documents(spark):
 def test_run_reads_documents(spark, tmp_path):
     docs_frame(spark, [(i, t, k, "s", 0) for i, t, k, _, _ in language_rows(30)], clash=False).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_stages_hand_small_batches_to_python(spark):
+    docs = spark.createDataFrame([(1, "one two three", "en")], "doc_id long, text string, lang string")
+    names = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before = {n: spark.conf.get(n) for n in names}
+    rows = spark.range(0, 6000, 1, 1).withColumn("text", F.repeat(F.lit("x"), F.when(F.col("id") < 4000, 10).otherwise(9000)))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "source_mix":  # no Python
+                continue
+            for n in names:
+                spark.conf.set(n, before[n])
+            stage(spark, docs, "")
+            seen = rows.mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r["n"] for r in seen) == 6000
+            assert max(r["n"] for r in seen) <= 2000 and max(r["size"] for r in seen) < 9 << 20
+    finally:
+        for n in names:
+            spark.conf.set(n, before[n])
