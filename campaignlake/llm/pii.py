@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -36,6 +37,7 @@ SLOTS = 16
 ROUNDS = 12       # times that the labelled table is used, with other digits
 STEPS = 300
 BATCH_TOKENS = 200_000
+PIECE_TOKENS = 4_000  # whose features are held at once
 CACHED = 100_000
 NEVER = -1e6      # log weight of a move that no labelling has
 CONTEXT = 3       # chunks beside a mark that are decoded at first
@@ -204,6 +206,22 @@ def features(text: str, spans: list[tuple[int, int]], hashed: Hashed) -> np.ndar
     return out
 
 
+def spans_of_tokens(text: str, lo: int, hi: int) -> np.ndarray:
+    """``tokens`` as an array: start, end."""
+    return np.fromiter(chain.from_iterable(m.span() for m in _TOKEN.finditer(text, lo, hi)), np.int64).reshape(-1, 2)
+
+
+def emissions(text: str, spans: np.ndarray, model: crf.Crf, hashed: Hashed) -> np.ndarray:
+    """Summed weights of every token, a piece at a time with the two neighbours
+    on each side that its features see."""
+    out = np.empty((len(spans), len(model.labels)), model.weights.dtype)
+    for lo in range(0, len(spans), PIECE_TOKENS):
+        a, hi = max(0, lo - 2), min(len(spans), lo + PIECE_TOKENS)
+        f = features(text, spans[a:hi + 2].tolist(), hashed)[lo - a:hi - a]
+        out[lo:hi] = model.weights[f].sum(axis=1)
+    return out
+
+
 def parse_labelled(line: str) -> tuple[str, list[tuple[str, int, int]]]:
     """Text and spans of a line of the table."""
     text, spans, at = "", [], 0
@@ -304,17 +322,18 @@ def _sound(kind: str, part: str) -> bool:
 
 
 def _decoded(texts: list[str], todo: list, model: crf.Crf, hashed: Hashed) -> Iterator[tuple]:
-    """((text number, start, end), tokens, labels) of the islands ``todo``."""
+    """((text number, start, end), tokens, labels) of the islands ``todo``.  A
+    token takes some hundred bytes, however long its island is."""
     held: list[tuple] = []
     size = 0
     for n, island in enumerate(todo, 1):
         i, lo, hi = island
-        toks = tokens(texts[i], lo, hi)
-        held.append((island, toks, features(texts[i], toks, hashed)))
+        toks = spans_of_tokens(texts[i], lo, hi)
+        held.append((island, toks, emissions(texts[i], toks, model, hashed)))
         size += len(toks)
         if size > BATCH_TOKENS or n == len(todo):
             for part in crf.batches(np.array([len(h[1]) for h in held]), BATCH_TOKENS):
-                found = crf.viterbi(model, [model.weights[held[k][2]].sum(axis=1) for k in part])
+                found = crf.viterbi(model, [held[k][2] for k in part])
                 for j, y in zip(part, found, strict=True):
                     yield held[j][0], held[j][1], y
             held.clear()
@@ -345,7 +364,7 @@ def found_spans(texts: list[str], base: list[list], model: crf.Crf, hashed: Hash
                 kind, end = LABELS[y[at]][2:], at + 1
                 while end < len(y) and LABELS[y[end]] == f"i-{kind}":
                     end += 1
-                s, e = toks[at][0], toks[end - 1][1]
+                s, e = int(toks[at, 0]), int(toks[end - 1, 1])
                 if _sound(kind, texts[i][s:e]) and all(e <= a or b <= s for _, a, b in base[i]):
                     spans.append((kind, s, e))
                 at = end

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -304,6 +305,24 @@ def test_islands_equal_whole_texts():
     assert sum(map(len, got)) > 100
 
 
+def test_one_long_island_is_decoded_in_little_memory():
+    model, hashed, rng = pii.fit(), pii.Hashed(), random.Random(4)
+    words = ["415-555-0199", "10.20.30.40", "+44 20 7946 0018", "kim (at) example (dot) org", "12", "no"]
+    text = " ".join(rng.choice(words) for _ in range(12_000))
+    toks = pii.tokens(text, 0, len(text))
+    assert len(pii.islands(text)) == 1 and len(toks) > 50_000
+    tracemalloc.start()
+    try:
+        got, = pii.found_spans([text], [[]], model, hashed)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 400 * len(toks) and len(got) > 1000
+    assert len(toks) > 10 * pii.PIECE_TOKENS
+    e = model.weights[pii.features(text, toks, hashed)].sum(axis=1)
+    assert np.array_equal(e, pii.emissions(text, np.array(toks), model, hashed))
+
+
 def test_personal_data_rows(spark):
     text = "write to ann.lee@mail.example.com or +1 (168) 555-5254 from 10.0.0.7"
     rows = [(1, text, "en", "s", len(text)), (1, text, "en", "s", len(text)), (2, None, "en", "s", None), (3, "", "en", "s", 0),
