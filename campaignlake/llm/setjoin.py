@@ -2,18 +2,25 @@
 
 Small sets enumerate fixed-size subsets: for every size o that the overlap with
 a partner may need, all subsets of o elements are keys, so two small sets that
-share o elements meet at a key.  Large sets scan inverted lists: elements have
-one global order, rare ones first, and a set of a elements posts its first
-a - ceil(t * a) + 1; two sets at similarity t or more share one of them.  The
-boundary between small and large is where the sum of keys and list entries is
-least (``boundary``); sets within a factor t of it are in both parts, so no
-pair falls between.
+share o elements meet at a key.  Large sets scan inverted lists.  Sizes lie in
+brackets, and a bracket deals the elements to parts by hash; what a set has in
+a part is a token.  Two sets that differ in d elements differ in d tokens at
+most, so with one global order of tokens, rare ones first, each posts its first
+d + 1, d being the most that a partner in the bracket may differ in, and two
+sets at similarity t or more share one of them.  A token stands for several
+elements, so lists hold sets that agree in all of these and stay short however
+large the corpus is; a set with fewer tokens posts them all, and its first
+a - ceil(t * a) + 1 elements for others of its kind.  The boundary between small
+and large is where the sum of keys and list entries is least (``boundary``);
+sets within a factor t of it are in both parts, so no pair falls between.
 
 The order comes from a count sketch with a bucket for every ``LOAD`` shingles,
-up to 64 MB.  It only says how long lists are: any order gives the same links,
-and a corpus for which 64 MB are too few gets longer lists, not other results.
+up to 16 MB: a token is as rare as its rarest element.  It only says how long
+lists are: any order gives the same links.
 
-Sets that meet at a key, and are of neighbouring sizes, form candidate groups; each group's texts are brought
+A task ties the sets that meet at a key to one of them and hands on only that
+one, and keys move in blocks of a range of keys each, where the rest is tied.
+Sets that are tied form candidate groups; each group's texts are brought
 together once (large groups as pairs of blocks of bounded size), where the
 overlaps are counted exactly and the links are reduced to a spanning forest.
 Copies (equal sets) are one node throughout.  No list, group or set is capped.
@@ -33,25 +40,29 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_ONE_ROW_PER_PARTITION, bounded_broadcast, connected_components, mix64, written
+from .common import connected_components, mix64, written
 
 LOAD = 4                # shingles to a bucket of the sketch, up to the size below
-LEAST_BITS, MOST_BITS = 16, 26  # of the sketch: 64 KB to 64 MB
+LEAST_BITS, MOST_BITS = 16, 24  # of the sketch: 64 KB to 16 MB
 CHUNK_BITS = 16         # of the sketch, in one row
 WORD_BYTES = 6          # for the size of the sketch
 MOST_SMALL = 24         # largest boundary that is considered
 BLOCK_SHINGLES = 2_000_000
-LONG_LIST = 50_000      # entries of a list that one task may hold
+SPREAD = 1.5            # parts of a bracket for each token that a set posts
+LONG_LIST = 1_000_000   # keys that a task gathers before it ties them
+RANGE_KEYS = 1_000_000  # of a range of keys, about
+LEAST_RANGES = 48
 ID_BITS = 27            # of the filter of ids: 16 MB
 ID_CHUNK = 1 << 17      # bytes
 ID_PARTS = 8
 CACHED_WORDS = 150_000
 HELD_SHINGLES = 500_000  # that a task gathers before it adds them to its sketch
 _P = np.uint64(0x9E3779B97F4A7C15)
-_SALTS = (np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03))
+_SALTS = tuple(map(np.uint64, (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03, 0xDB4F0B9175AE2165,
+                              0xBBE0563303A4615F)))
 
 
 class WordHashes(dict):
@@ -112,6 +123,72 @@ def subset_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def bracket_lows(num: int, den: int) -> np.ndarray:
+    """Least sizes of the brackets, a factor of t * t apart."""
+    lows = [1]
+    while lows[-1] < 1 << 40:
+        lows.append(max(lows[-1] + 1, -(-lows[-1] * den * den // (num * num))))
+    return np.array(lows, np.int64)
+
+
+def most_apart(a: int, b: int, num: int, den: int) -> int:
+    """Most elements in one of two sets of a and b only, at similarity num/den."""
+    return (a + b) * (den - num) // (den + num)
+
+
+def list_keys(s: np.ndarray, level: np.ndarray, lows: np.ndarray, num: int, den: int) -> list[np.ndarray]:
+    """Keys of the lists that a set is in, for its bracket and, if it may link
+    with larger sets there, the next one.  ``level``: of its elements, by the
+    sketch."""
+    a, out = len(s), []
+    at = int(np.searchsorted(lows, a, "right")) - 1
+    place = mix64(s ^ _SALTS[3])
+    order = np.argsort(place)
+    place, value, level_at = place[order] >> np.uint64(32), mix64(s ^ _SALTS[4])[order], level[order]
+    for i in (at, at + 1):
+        if a * den < num * int(lows[i]):
+            continue
+        top = int(lows[i + 1]) - 1
+        parts = int(np.ceil(SPREAD * (most_apart(top, top, num, den) + 1)))
+        d = most_apart(a, min(top, a * den // num), num, den)
+        part = place * np.uint64(parts) >> np.uint64(32)  # in order, as places are
+        starts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
+        salt = np.uint64((i + 1) * int(_P) & (1 << 64) - 1)
+        tokens = mix64(mix64(np.add.reduceat(value, starts) + part[starts]) ^ salt)
+        if len(tokens) > d + 1:
+            rank = np.minimum.reduceat(level_at, starts).astype(np.uint64) << np.uint64(56) | tokens >> np.uint64(8)
+            tokens = tokens[np.argpartition(rank, d)[:d + 1]]
+        out.append(tokens)
+        if len(tokens) <= d:
+            # rare first, equal levels by hash (s is sorted, the sort is stable)
+            out.append(mix64(s[np.argsort(level, kind="stable")[:prefix(a, num, den)]] ^ salt))
+    return out
+
+
+def tied(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the smallest node at each, and the distinct pairs
+    (rows) of it and another node there."""
+    order = np.argsort(keys)
+    keys, nodes = keys[order], nodes[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return keys, nodes, np.empty((0, 2), np.int64)
+    low = np.minimum.reduceat(nodes, starts)
+    each = np.repeat(low, np.diff(np.append(starts, len(keys))))
+    more = each != nodes
+    return keys[starts], low, distinct_pairs(np.stack([each[more], nodes[more]], axis=1))
+
+
+def distinct_pairs(pairs: np.ndarray) -> np.ndarray:
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])[:len(pairs)]]
+
+
+def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
 def boundary(sizes: dict[int, int], counts: np.ndarray, num: int, den: int) -> int:
     """Largest size that enumerates subsets.  ``sizes``: sets by size up to
     ``MOST_SMALL`` + a factor; ``counts``: buckets of the sketch by level.  A
@@ -246,69 +323,77 @@ def _sketch(first: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out, seen
 
 
-def _postings(docs: DataFrame, n: int, num: int, den: int, sketch: np.ndarray, bits: int, small: int) -> DataFrame:
-    """(key, node, size_class): keys of every set; node is the set's first
-    signature.  Sets that may link are in one size class or in neighbouring
-    ones."""
-    width = np.log(den / num) * (1 + 1e-9)  # of a size class, on the log scale
-    shared, shift = docs.sparkSession.sparkContext.broadcast(sketch), np.uint64(64 - bits)
+def _postings(docs: DataFrame, n: int, num: int, den: int, sketch: np.ndarray, bits: int, small: int, ranges: int) -> DataFrame:
+    """(range, kind, data): by range of keys, blocks of keys and a node for each
+    (kind 0), and by range of first nodes, blocks of candidate edges (kind 1).
+    A node is a set's first signature.  Equal sets of a task are taken once, and
+    a key of several sets leaves a task once, with edges between these sets."""
+    shared, shift, lows = docs.sparkSession.sparkContext.broadcast(sketch), np.uint64(64 - bits), bracket_lows(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, levels = WordHashes(), shared.value
+        hashes, levels, seen = WordHashes(), shared.value, set()
+        keys, nodes, lens, held = [], [], [], 0
         for batch in batches:
-            keys, nodes, lens, classes = [], [], [], []
             for text in batch.column(0):
                 s = shingles(as_bytes(text.as_py()), n, hashes)
                 a = len(s)
-                if not a:
+                if not a or (node := signature(s)[0]) in seen:
                     continue
-                found = []
-                if a <= small:
-                    found.append(subset_keys(s, num, den))
+                seen.add(node)
+                found = [subset_keys(s, num, den)] if a <= small else []
                 if a * den >= num * (small + 1):
-                    level = levels[s >> shift]
-                    # rare first, equal levels by hash (s is sorted, the sort is stable)
-                    found.append(s[np.argsort(level, kind="stable")[:prefix(a, num, den)]])
+                    found += list_keys(s, levels[s >> shift], lows, num, den)
                 keys += found
+                nodes.append(node)
                 lens.append(sum(map(len, found)))
-                nodes.append(signature(s)[0])
-                classes.append(int(np.log(a) / width))
-                if len(nodes) >= 4096:
-                    yield emit(keys, nodes, classes, lens)
-                    keys, nodes, lens, classes = [], [], [], []
-            if nodes:
-                yield emit(keys, nodes, classes, lens)
-
-    def emit(keys: list, nodes: list, classes: list, lens: list) -> pa.RecordBatch:
+                held += lens[-1]
+                if held >= LONG_LIST:
+                    yield emit(keys, nodes, lens)
+                    keys, nodes, lens, held = [], [], [], 0
+        if nodes:
+            yield emit(keys, nodes, lens)
+
+    def emit(keys: list, nodes: list, lens: list) -> pa.RecordBatch:
+        at, low, edges = tied(np.concatenate(keys), np.repeat(np.array(nodes, np.int64), lens))
+        rows = [(r, 0, at[lo:hi].tobytes() + low[lo:hi].tobytes()) for r, lo, hi in blocks(range_of(at, ranges))]
+        where = range_of(mix64(edges[:, 0].view(np.uint64) if len(edges) else np.empty(0, np.uint64)), ranges)
+        order = np.argsort(where, kind="stable")
+        rows += [(r, 1, edges[order[lo:hi]].tobytes()) for r, lo, hi in blocks(where[order])]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).astype(np.int64)),
-             pa.array(np.repeat(np.array(nodes, np.int64), lens)), pa.array(np.repeat(np.array(classes, np.int32), lens))],
-            ["key", "node", "size_class"])
+            [pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int32()),
+             pa.array([x[2] for x in rows], pa.binary())], ["range", "kind", "data"])
+
+    def blocks(where: np.ndarray) -> list[tuple[int, int, int]]:
+        ends = np.append(np.flatnonzero(where[1:] != where[:-1]) + 1, len(where)).tolist() if len(where) else []
+        return [(int(where[lo]), lo, hi) for lo, hi in zip([0, *ends], ends, strict=False)]
 
-    return docs.select("text").mapInArrow(run, "key long, node long, size_class int")
+    return docs.select("text").mapInArrow(run, "range int, kind int, data binary")
 
 
 def _stars(posts: DataFrame) -> DataFrame:
-    """Candidate edges (a, b): in every list, the sets of neighbouring size
-    classes are tied to the smallest of them, so an edge a posting at most.
-    First the lists are cut down to those with several entries."""
-    several = written(posts.groupBy("key").count().where("count > 1"), "lists")
-
-    def bracketed(keys: DataFrame) -> DataFrame:
-        # a set lies in the brackets (class, class) and (class, class + 1)
-        return (posts.join(keys.select("key"), "key")
-                .withColumn("bracket", F.explode(F.array("size_class", F.col("size_class") + 1))).drop("size_class"))
-
-    # lists of bounded length lie together after the join: no further shuffle
-    group = Window.partitionBy("key", "bracket")
-    out = (bracketed(several.where(F.col("count") <= LONG_LIST)).withColumn("a", F.min("node").over(group))
-           .where("node <> a").select("a", F.col("node").alias("b")))
-    long_ones = several.where(F.col("count") > LONG_LIST)
-    if not long_ones.isEmpty():  # their minimum is combined before the shuffle, their rows are not gathered
-        both = bracketed(bounded_broadcast(long_ones.select("key"), MAX_ONE_ROW_PER_PARTITION))
-        low = both.groupBy("key", "bracket").agg(F.min("node").alias("a"))
-        out = out.union(both.join(low, ["key", "bracket"]).where("node <> a").select("a", F.col("node").alias("b")))
-    return out.distinct()
+    """Candidate edges (a, b): at every key, the sets are tied to the smallest
+    of them, so an edge a posting at most.  A task holds one range of keys at a
+    time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [])
+        for batch in batches:
+            for r, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if r != now:
+                    if now is not None:
+                        yield emit(*held)
+                    now, held = r, ([], [])
+                held[kind].append(data.as_py())
+        if now is not None:
+            yield emit(*held)
+
+    def emit(posted: list, edges: list) -> pa.RecordBatch:
+        halves = [np.frombuffer(x, np.int64).reshape(2, -1) for x in posted]
+        keys, nodes = np.concatenate([np.empty((2, 0), np.int64), *halves], axis=1)
+        found = [tied(keys.view(np.uint64), nodes)[2], *(np.frombuffer(x, np.int64).reshape(-1, 2) for x in edges)]
+        pairs = distinct_pairs(np.concatenate(found))
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy(), pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return posts.repartition("range").sortWithinPartitions("range").mapInArrow(run, "a long, b long")
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -432,8 +517,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     sketch, levels = _sketch(first, bits)
     sizes = dict(sets.where(F.col("n_shingles").between(1, 2 * MOST_SMALL)).groupBy("n_shingles").count().collect())
     small = boundary(sizes, levels, num, den)
-    posts = written(_postings(docs, n, num, den, sketch, bits, small), "postings")
-    groups = connected_components(_stars(posts))
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    ranges = int(max(LEAST_RANGES, -(-total * 3 * (den - num) // (2 * num * RANGE_KEYS))))
+    groups = connected_components(_stars(_postings(docs, n, num, den, sketch, bits, small, ranges)))
 
     classes = written(sets.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
                       .agg(F.min("doc_id").alias("first_id")), "classes")

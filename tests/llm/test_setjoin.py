@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from campaignlake.llm import setjoin
+from campaignlake.llm.common import written
 
 from .tables import DOCS, docs_frame
 
@@ -107,3 +108,50 @@ def test_subset_keys_meet_exactly_when_sets_overlap_enough():
         linked = 100 * common >= 80 * (len(np.union1d(a, b)))
         meet = len(np.intersect1d(setjoin.subset_keys(a, 80, 100), setjoin.subset_keys(np.unique(b), 80, 100))) > 0
         assert meet or not linked
+
+
+def test_sets_of_common_shingles_are_no_candidates(spark, monkeypatch):
+    # every shingle is in many texts, so no order of single shingles has rare ones first
+    rng, placed = random.Random(5), []
+    rows = [(i, " ".join(f"v{rng.randrange(10)}" for _ in range(90))) for i in range(300)]
+    rows += [(300 + i, rows[i][1] + " end") for i in range(10)]
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "placed":
+            placed.append(out.count())
+        return out
+
+    monkeypatch.setattr(setjoin, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in setjoin.jaccard_components(df, 3, 90, 100).collect()}
+    assert got == brute_force(rows, 3, 90, 100)
+    assert 20 <= placed[0] < 60
+
+
+@pytest.mark.parametrize("num,den", [(80, 100), (90, 100), (50, 100)])
+def test_list_keys_meet_when_sets_are_similar(num, den):
+    rng = np.random.default_rng(2)
+    pool, lows = setjoin.mix64(np.arange(1, 4000, dtype=np.uint64)), setjoin.bracket_lows(num, den)
+    linked = unlinked = 0
+    for size in [1, 2, 3, 5, 8, 13, 20, 40, 41, 90, 200, 400] * 25:
+        a = np.sort(rng.choice(pool, size, replace=False))
+        b = np.union1d(rng.choice(a, rng.integers(max(1, size * num // den), size + 1), replace=False),
+                       rng.choice(pool, rng.integers(0, size // 4 + 1)))
+        levels = [(s % np.uint64(7)).astype(np.uint8) for s in (a, b)]
+        keys = [np.concatenate(setjoin.list_keys(s, level, lows, num, den)) for s, level in zip((a, b), levels, strict=True)]
+        if den * len(np.intersect1d(a, b)) >= num * len(np.union1d(a, b)):
+            linked += 1
+            assert len(np.intersect1d(*keys))
+        other = np.sort(rng.choice(pool, size, replace=False))
+        unlinked += len(np.intersect1d(a, other)) > 0
+    assert linked > 50 and unlinked > 50
+
+
+def test_tied_keys_hand_on_one_node():
+    keys = np.array([5, 1, 5, 9, 5, 1], np.uint64)
+    at, low, edges = setjoin.tied(keys, np.array([3, 7, -2, 4, 8, 7], np.int64))
+    assert at.tolist() == [1, 5, 9] and low.tolist() == [7, -2, 4]
+    assert edges.tolist() == [[-2, 3], [-2, 8]]
+    at, low, edges = setjoin.tied(np.empty(0, np.uint64), np.empty(0, np.int64))
+    assert not len(at) and not len(low) and edges.shape == (0, 2)
