@@ -1,10 +1,11 @@
+import random
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from campaignlake.llm import langid, pii
+from campaignlake.llm import langid, pii, setjoin
 from campaignlake.llm.common import remainder, written
 
 from .tables import DOCS, docs_frame
@@ -78,3 +79,22 @@ def test_stages_hand_small_batches_to_python(spark):
     finally:
         for n in names:
             spark.conf.set(n, before[n])
+
+
+def test_near_duplicates_move_a_text_once(spark, monkeypatch):
+    # unrelated texts that share shingles; were they one group, each would go to every pair of its blocks
+    rng, placed = random.Random(6), []
+    rows = [(i, " ".join(f"v{rng.randrange(6)}" for _ in range(90)), "en", "s", 0) for i in range(300)]
+    rows += [(300 + i, rows[i][1] + " end", "en", "s", 0) for i in range(10)]
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "placed":
+            placed.append(out.count())
+        return out
+
+    monkeypatch.setattr(setjoin, "written", counted)
+    monkeypatch.setattr(setjoin, "BLOCK_SHINGLES", 4000)
+    kept = corpus_pipeline.near_duplicates(spark, docs_frame(spark, rows, clash=False), "").collect()
+    assert {r["doc_id"] for r in kept} == set(range(300))
+    assert 20 <= placed[0] <= len(rows)
